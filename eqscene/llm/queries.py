@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eqscene.llm._common import read_table, whole_text
 from eqscene.llm.decontaminate import find_contamination, is_contaminated
+from eqscene.llm.fingerprints import fingerprint_with_next
 from eqscene.llm.sharding import assign_shards
 
 
@@ -46,6 +47,10 @@ SELECT doc_id, size::BIGINT AS size,
 FROM s, t"""
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_with_next(read_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -86,6 +91,7 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_fingerprints": op3_fingerprints,
     "op7_decontamination": op7_decontamination,
 }
 
