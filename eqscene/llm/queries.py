@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eqscene.llm._common import read_table, whole_text
 from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
+from eqscene.llm.quality import score_quality
 from eqscene.llm.sharding import assign_shards
 
 
@@ -51,6 +52,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_with_next(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -92,6 +97,7 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_fingerprints": op3_fingerprints,
+    "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
 }
 
