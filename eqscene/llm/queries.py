@@ -12,6 +12,7 @@ from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
 from eqscene.llm.quality import score_quality
 from eqscene.llm.sharding import assign_shards
+from eqscene.llm.toxicity import score_toxicity
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +69,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT DISTINCT doc_id, regexp_extract_all(
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
