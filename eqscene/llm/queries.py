@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eqscene.llm._common import read_table, whole_text
 from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
+from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
 from eqscene.llm.quality import score_quality
 from eqscene.llm.sharding import assign_shards
 from eqscene.llm.toxicity import score_toxicity
@@ -69,6 +70,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, counts=True).select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.char_length(whole_text()).cast("long").alias("kept_chars"),
+        F.sha2(whole_text(), 256).alias("kept_sha256"),
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -99,15 +111,41 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
 
+OP8_SQL = f"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line_no, a[i] AS line FROM (
+    SELECT doc_id, a, unnest(range(1, len(a) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents))),
+u AS (
+  SELECT line, min((doc_id, line_no)) AS first, length(line) AS n
+  FROM l WHERE regexp_matches(line, '\\S') GROUP BY line),
+f AS (
+  SELECT DISTINCT b.line FROM u a JOIN u b
+    ON a.first < b.first AND abs(a.n - b.n) <= 1 AND least(a.n, b.n) >= {FUZZY_FROM}
+   AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
+        OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))
+  WHERE len(list_filter(range(0, least(a.n, b.n) + 1), lambda i: left(a.line, i) = left(b.line, i)
+    AND substr(a.line, i + 1 + (a.n >= b.n)::INT) = substr(b.line, i + 1 + (b.n >= a.n)::INT))) > 0),
+k AS (
+  SELECT l.doc_id, l.line_no, l.line,
+         coalesce((l.doc_id, l.line_no) <> u.first, false) OR f.line IS NOT NULL AS gone
+  FROM l LEFT JOIN u ON l.line = u.line LEFT JOIN f ON l.line = f.line)
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_removed,
+       length(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), ''))::BIGINT AS kept_chars,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
+    "op8_line_dedup": op8_line_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": _op1_sql(),
     "op7_decontamination": OP7_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
