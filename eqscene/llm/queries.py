@@ -11,6 +11,7 @@ from eqscene.llm._common import read_table, whole_text
 from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
 from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
+from eqscene.llm.order_minhash import near_duplicates
 from eqscene.llm.quality import score_quality
 from eqscene.llm.sharding import assign_shards
 from eqscene.llm.toxicity import score_toxicity
@@ -50,6 +51,10 @@ SELECT doc_id, size::BIGINT AS size,
 FROM s, t"""
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_with_next(read_table(spark, sf_dir, "documents"))
 
@@ -137,6 +142,7 @@ FROM k GROUP BY doc_id"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
