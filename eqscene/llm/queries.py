@@ -13,6 +13,7 @@ from eqscene.llm.fingerprints import fingerprint_with_next
 from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
 from eqscene.llm.order_minhash import near_duplicates
 from eqscene.llm.quality import score_quality
+from eqscene.llm.sentencepiece_lattice import decode, encode
 from eqscene.llm.sharding import assign_shards
 from eqscene.llm.toxicity import score_toxicity
 
@@ -86,6 +87,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded, and decoded again: the digest is that of the text with marks as spaces."""
+    coded = decode(encode(read_table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", "n_tokens", "token_ids", F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -147,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
 }
 
