@@ -12,6 +12,7 @@ from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
 from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
 from eqscene.llm.order_minhash import near_duplicates
+from eqscene.llm.pii import pseudonymise
 from eqscene.llm.quality import score_quality
 from eqscene.llm.sentencepiece_lattice import decode, encode
 from eqscene.llm.sharding import assign_shards
@@ -64,6 +65,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs).select("doc_id", "n_values", "text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -152,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
+    "op5_pii": op5_pii,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
