@@ -63,13 +63,15 @@ def _blocks() -> Column:
     """(key, block) of what surrounds each block, for both lengths of the shorter line."""
     line, length = F.col("line"), F.char_length("line")
 
-    def around(n: Column, j: Column) -> Column:
-        rest = F.greatest(n - BLOCK * (j + 1), F.lit(0))
-        return F.struct(F.xxhash64(n, j, F.left(line, BLOCK * j), F.right(line, rest)).alias("key"), j.alias("block"))
+    def around(n: Column) -> Column:
+        def block(j: Column) -> Column:
+            rest = F.greatest(n - BLOCK * (j + 1), F.lit(0))
+            key = F.xxhash64(n, j, F.left(line, BLOCK * j), F.right(line, rest))
+            return F.struct(key.alias("key"), j.alias("block"))
 
-    return F.concat(
-        *(F.transform(F.sequence(F.lit(0), (n / BLOCK).cast("int")), lambda j, n=n: around(n, j)) for n in (length - 1, length))
-    )
+        return F.transform(F.sequence(F.lit(0), (n / BLOCK).cast("int")), block)
+
+    return F.concat(around(length - 1), around(length))
 
 
 def _variants() -> Column:
