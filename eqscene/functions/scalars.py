@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Latin letters that a canonical or compatibility decomposition takes apart, by rule.
 _LATIN = {
@@ -30,7 +31,7 @@ def snake_title(title: Column) -> Column:
     return F.lower(F.regexp_replace(words, " ", "_"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkd_ascii(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The exact decomposition, for titles beyond Latin letters."""
     for s in batches:
@@ -163,8 +164,8 @@ def radar_job(
         F.concat(title, F.lit("-"), direction_code(direction), path3(path)).alias("name"),
         F.lit("ARIA_S1_COSEIS").alias("job_type"),
         F.struct(
-            F.transform(granules, strip_suffix).alias("granules"),
-            F.transform(secondary, strip_suffix).alias("secondary_granules"),
+            F.transform(granules, lambda g: strip_suffix(g)).alias("granules"),
+            F.transform(secondary, lambda g: strip_suffix(g)).alias("secondary_granules"),
             F.lit(-1).alias("frame_id"),
             F.lit(True).alias("estimate_ionosphere_delay"),
             F.lit(-1).alias("esd_coherence_threshold"),
@@ -183,8 +184,8 @@ def optical_job(title: Column, orbit: Column, before: Column, after: Column, ref
         F.concat(title, F.lit("-S2-R"), orbit, F.lit("-"), before, F.lit("_"), after).alias("name"),
         F.lit("AUTORIFT").alias("job_type"),
         F.struct(
-            F.transform(reference, strip_archive).alias("reference"),
-            F.transform(secondary, strip_archive).alias("secondary"),
+            F.transform(reference, lambda g: strip_archive(g)).alias("reference"),
+            F.transform(secondary, lambda g: strip_archive(g)).alias("secondary"),
             F.lit(24).alias("chip_size"),
             F.lit(64).alias("search_range"),
         ).alias("job_parameters"),

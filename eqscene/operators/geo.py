@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BOX = ("minx", "miny", "maxx", "maxy")
 
@@ -85,7 +86,7 @@ def union_area(rings: list[np.ndarray], box: tuple[float, float, float, float])
     return float(total)
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def mosaic_area(rings: pa.Array, minx: pa.Array, miny: pa.Array, maxx: pa.Array, maxy: pa.Array) -> pa.Array:
     """Column form of ``union_area``: rings as arrays of x/y structs; null ones are left out."""
     boxes = zip(*(c.to_pylist() for c in (minx, miny, maxx, maxy)), strict=True)

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eqscene.functions.scalars import has_failures
@@ -95,11 +94,11 @@ def fold_state(tracks: DataFrame, later: DataFrame, results: DataFrame, acks: Da
     )
 
 
-STATE_INPUT = T.StructType.fromDDL(
+STATE_INPUT = (
     "event_id string, track string, kind string, event_time timestamp, acq_date date, start_time timestamp, "
     "pos bigint, area double, result string"
 )
-STATE_OUTPUT = T.StructType.fromDDL("event_id string, track string, status string, post_date date")
+STATE_OUTPUT = "event_id string, track string, status string, post_date date"
 
 
 class TrackProcessor(StatefulProcessor):
