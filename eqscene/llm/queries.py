@@ -16,6 +16,7 @@ from eqscene.llm.pii import pseudonymise
 from eqscene.llm.quality import score_quality
 from eqscene.llm.sentencepiece_lattice import decode, encode
 from eqscene.llm.sharding import assign_shards
+from eqscene.llm.suffix_dedup import remove_repeats
 from eqscene.llm.toxicity import score_toxicity
 
 
@@ -70,6 +71,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs).select("doc_id", "n_values", "text")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -159,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_quality": op4_quality,
     "op5_pii": op5_pii,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
