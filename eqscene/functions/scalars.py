@@ -10,6 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Names and settings that processors of the jobs expect (fixed values).
+RADAR_JOB_TYPE, OPTICAL_JOB_TYPE = "ARIA_S1_COSEIS", "AUTORIFT"
+FILTER_POWER, CHIP_SIZE, SEARCH_RANGE = 0.5, 24, 64
+
 #: Latin letters that a canonical or compatibility decomposition takes apart, by rule.
 _LATIN = {
     chr(c): d
@@ -162,7 +166,7 @@ def radar_job(
     resolution = F.lit(resolution) if isinstance(resolution, int) else resolution
     return [
         F.concat(title, F.lit("-"), direction_code(direction), path3(path)).alias("name"),
-        F.lit("ARIA_S1_COSEIS").alias("job_type"),
+        F.lit(RADAR_JOB_TYPE).alias("job_type"),
         F.struct(
             F.transform(granules, lambda g: strip_suffix(g)).alias("granules"),
             F.transform(secondary, lambda g: strip_suffix(g)).alias("secondary_granules"),
@@ -170,7 +174,7 @@ def radar_job(
             F.lit(True).alias("estimate_ionosphere_delay"),
             F.lit(-1).alias("esd_coherence_threshold"),
             F.lit(True).alias("compute_solid_earth_tide"),
-            F.lit(0.5).alias("goldstein_filter_power"),
+            F.lit(FILTER_POWER).alias("goldstein_filter_power"),
             F.lit(True).alias("unfiltered_coherence"),
             F.lit(True).alias("dense_offsets"),
             resolution.cast("int").alias("output_resolution"),
@@ -178,16 +182,42 @@ def radar_job(
     ]
 
 
+def local_params(
+    title: Column, timing: Column, direction: Column, path: Column, frames: Column, reference_date: Column,
+    secondary_date: Column, reference: Column, secondary: Column,
+) -> Column:
+    """The flat parameter object of a local run; its resolution is fixed at 30."""
+    return F.struct(
+        title.alias("title"),
+        timing.alias("timing"),
+        direction_name(direction_code(direction)).alias("flight-direction"),
+        path.alias("path-number"),
+        frames.alias("frame-numbers"),
+        reference_date.alias("reference-date"),
+        secondary_date.alias("secondary-date"),
+        F.transform(reference, lambda g: strip_suffix(g)).alias("reference-scenes"),
+        F.transform(secondary, lambda g: strip_suffix(g)).alias("secondary-scenes"),
+        F.lit(-1).alias("frame-id"),
+        F.lit(True).alias("estimate-ionosphere-delay"),
+        F.lit(-1).alias("esd-coherence-threshold"),
+        F.lit(True).alias("compute-solid-earth-tide"),
+        F.lit(FILTER_POWER).alias("goldstein-filter-power"),
+        F.lit(30).alias("output-resolution"),
+        F.lit(True).alias("unfiltered-coherence"),
+        F.lit(True).alias("dense-offsets"),
+    )
+
+
 def optical_job(title: Column, orbit: Column, before: Column, after: Column, reference: Column, secondary: Column, note: Column) -> list[Column]:
     """``name, job_type, job_parameters, status_note`` of an optical pair; the note is null if complete."""
     return [
         F.concat(title, F.lit("-S2-R"), orbit, F.lit("-"), before, F.lit("_"), after).alias("name"),
-        F.lit("AUTORIFT").alias("job_type"),
+        F.lit(OPTICAL_JOB_TYPE).alias("job_type"),
         F.struct(
             F.transform(reference, lambda g: strip_archive(g)).alias("reference"),
             F.transform(secondary, lambda g: strip_archive(g)).alias("secondary"),
-            F.lit(24).alias("chip_size"),
-            F.lit(64).alias("search_range"),
+            F.lit(CHIP_SIZE).alias("chip_size"),
+            F.lit(SEARCH_RANGE).alias("search_range"),
         ).alias("job_parameters"),
         note.alias("status_note"),
     ]

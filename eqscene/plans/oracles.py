@@ -184,6 +184,11 @@ ORACLES: dict[str, str] = {
     "job_struct": f"""SELECT pos, name, 'ARIA_S1_COSEIS' AS job_type, concat('{{"granules":', CASE WHEN len(granules) = 0 THEN '[]' ELSE '["' || array_to_string(granules, '","') || '"]' END,
   ',"secondary_granules":', CASE WHEN len(secondary_granules) = 0 THEN '[]' ELSE '["' || array_to_string(secondary_granules, '","') || '"]' END,
   ',"frame_id":-1,"estimate_ionosphere_delay":true,"esd_coherence_threshold":-1,"compute_solid_earth_tide":true,"goldstein_filter_power":0.5,"unfiltered_coherence":true,"dense_offsets":true,"output_resolution":90}}') AS parameters FROM ({J})""",
+    "local_params": f"""SELECT pos, name.split('-')[1] AS title, CASE WHEN name.split('-')[2][1] = 'A' THEN 'ASCENDING' ELSE 'DESCENDING' END AS direction,
+  name.split('-')[2][2:]::INT AS path, array_to_string(granules, ',') AS reference, 30 AS resolution FROM ({J})""",
+    "footprint_ring": f"SELECT pos, 4::BIGINT AS n, minx::DOUBLE AS minx, miny::DOUBLE AS miny, maxx::DOUBLE AS maxx, maxy::DOUBLE AS maxy FROM ({S})",
+    "missing_local": f"""SELECT doc_id, file FROM ({v.duck(v.DELIVERED)} FROM documents) WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "tracker_orphans": f"SELECT DISTINCT event_id, track FROM ({TS}) WHERE (event_id, track) NOT IN (SELECT (event_id, track) FROM ({_asof('pre')}))",
     "set_resolution": f"SELECT pos, 30 AS output_resolution, array_to_string(granules, ',') AS granules FROM ({J})",
     "curation_funnel": f"""WITH f AS (SELECT *, keep AND {_CONFORMS} AS ok FROM ({_dedupe()}))
   SELECT 0 AS step_no, 'all' AS step, count(DISTINCT event_name) AS n_events, count(*) AS n_jobs FROM f UNION ALL

@@ -384,6 +384,34 @@ def job_struct(spark: SparkSession, d: str) -> DataFrame:
     return _full_job(spark, d).select("pos", "name", "job_type", F.to_json("job_parameters").alias("parameters"))
 
 
+@_query
+def local_params(spark: SparkSession, d: str) -> DataFrame:
+    t = F.split(F.col("name"), "-")
+    day = F.lit("2024-01-02")
+    p = s.local_params(F.get(t, F.lit(0)), F.lit("co-seismic"), s.direction_name(F.substring(F.get(t, F.lit(1)), 1, 1)), F.substring(F.get(t, F.lit(1)), 2, 3).cast("int"), F.array(F.size("granules")), day, day, F.col("granules"), F.col("secondary_granules"))
+    return v.view(spark, d, v.JOB_SPARK).select("pos", p.alias("p")).select("pos", "p.title", F.col("p.flight-direction").alias("direction"), F.col("p.path-number").alias("path"), F.array_join("p.reference-scenes", ",").alias("reference"), F.col("p.output-resolution").alias("resolution"))
+
+
+@_query
+def footprint_ring(spark: SparkSession, d: str) -> DataFrame:
+    x = lambda c: F.col(c).cast("string")
+    corners = F.concat_ws(", ", *(F.concat_ws(" ", x(a), x(b)) for a, b in (("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "miny"))))
+    scenes = v.view(spark, d, v.SCENE).withColumn("ring", s.wkt_ring(F.concat(F.lit("geography'SRID=4326;POLYGON (("), corners, F.lit("))'"))))
+    return scenes.select("pos", F.size("ring").cast("long").alias("n"), readers.ring_box(F.col("ring")).alias("b")).select("pos", "n", "b.*")
+
+
+@_query
+def missing_local(spark: SparkSession, d: str) -> DataFrame:
+    key = lambda t: v.view(spark, d, f"{v.DELIVERED} FROM {t}").select("doc_id", "file")
+    return delivery.missing_local(key("documents"), key("labels")).select("doc_id", "file")
+
+
+@_query
+def tracker_orphans(spark: SparkSession, d: str) -> DataFrame:
+    tracks = tracker.init_tracks(_scenes(spark, d), RATIO)
+    return tracker.orphans(_scenes(spark, d).select("event_id", "track").distinct(), tracks)
+
+
 @_query
 def set_resolution(spark: SparkSession, d: str) -> DataFrame:
     p = s.set_resolution(F.col("job_parameters"), 30)
