@@ -46,10 +46,11 @@ MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_LOOKUP = 4_000_000
 LONG_UNIT = 96
+PART_UNITS = 20_000
 #: Java and Python regular expression of a unit.
 UNIT = rf"{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{M}}{MARK}]+|{MARK}+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_CHARS = 1_000_000
+_CHUNK_CHARS, _CHUNK_IDS = 500_000, 200_000
 
 
 @dataclass
@@ -119,38 +120,34 @@ def units_of(docs: DataFrame) -> DataFrame:
     )
 
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``unit, n, edges``: for each unit its edges (score, start, end, id), best first.
+def lattice(units: DataFrame, pieces: DataFrame, longest: int, parts: int) -> DataFrame:
+    """``unit, n, edges``: for each unit its edges (cost, start, end, id), best first.
 
-    ``pieces`` is broadcast: a fixed table. Exploding and joining keep the rows where
-    their unit is, so that grouping needs no further exchange.
+    ``pieces`` is broadcast: a fixed table. Units are dealt out once, to ``parts`` tasks; exploding and
+    joining keep the rows where their unit is, so grouping needs no further exchange.
+    An empty substring, which the empty piece joins, keeps units without any edge.
     """
     length = F.char_length("unit")
     spans = F.flatten(
         F.transform(
             F.sequence(F.lit(0), length - 1),
             lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(length - s, F.lit(longest))),
+                F.sequence(F.when(s == 0, 0).otherwise(1), F.least(length - s, F.lit(longest))),
                 lambda k: F.struct(s.alias("start"), F.substring(F.col("unit"), s + 1, k).alias("piece")),
             ),
         )
     )
+    empty = pieces.sparkSession.sql("SELECT '' AS piece, -1 AS id, 0D AS score")
+    edge = F.struct(
+        (-F.col("score")).alias("cost"), "start", (F.col("start") + F.char_length("piece")).alias("end"), "id"
+    )
     return (
-        units.select("unit", F.inline(spans))
-        .join(F.broadcast(pieces), "piece")
-        .groupBy("unit")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        (-F.col("score")).alias("cost"),
-                        "start",
-                        (F.col("start") + F.char_length("piece")).alias("end"),
-                        "id",
-                    )
-                )
-            ).alias("edges")
-        )
+        units.repartition(parts, "unit")
+        .select("unit", "n", F.inline(spans))
+        .join(F.broadcast(pieces.unionByName(empty)), "piece")
+        .groupBy("unit", "n")
+        .agg(F.collect_list(edge).alias("edges"))
+        .withColumn("edges", F.array_sort(F.filter("edges", lambda e: e["id"] >= 0)))
     )
 
 
@@ -164,25 +161,30 @@ def _merged(edges: Column, length: Column) -> Column:
 
     def take(state: Column, best: Column) -> Column:
         merged = F.transform(
-            state,
+            state["ends"],
             lambda x, i: F.when(i == best["start"], best["end"])
             .when((i > best["start"]) & (i < best["end"]), F.lit(-1))
             .otherwise(x),
         )
-        return F.when(best.isNull(), state).otherwise(merged)
+        return F.when(
+            best.isNull(), F.struct(state["ends"].alias("ends"), F.lit(True).alias("done"))
+        ).otherwise(F.struct(merged.alias("ends"), F.lit(False).alias("done")))
 
     def fold(steps: Column) -> Column:
         def step(state: Column, _: Column) -> Column:
-            open_edges = F.filter(
-                steps,
-                lambda e: _let(
-                    F.get(state, e["start"]), lambda m: (m > 0) & (m < e["end"]) & (F.get(state, m) == e["end"])
-                ),
+            ends = state["ends"]
+            # from the start over one piece to the middle, and from there to the edge's end
+            fits = F.filter(steps, lambda e: F.get(ends, F.get(ends, e["start"])) == e["end"])
+            return F.when(state["done"], state).otherwise(
+                _let(F.get(fits, F.lit(0)), lambda best: take(state, best))
             )
-            return _let(F.get(open_edges, F.lit(0)), lambda best: take(state, best))
 
-        start = F.concat(F.sequence(F.lit(1), length), F.array(F.lit(-1)))
-        return F.aggregate(F.slice(F.sequence(F.lit(1), length), 1, F.size(steps)), start, step)
+        start = F.struct(
+            F.concat(F.sequence(F.lit(1), length), F.array(F.lit(-1))).alias("ends"), F.lit(False).alias("done")
+        )
+        return F.aggregate(
+            F.slice(F.sequence(F.lit(1), length), 1, F.size(steps)), start, step, lambda state: state["ends"]
+        )
 
     return _let(F.filter(edges, lambda e: e["end"] - e["start"] > 1), fold)
 
@@ -268,30 +270,31 @@ def fold_python(unit: str, edges: list[tuple], kind: str) -> list[int]:
     return end
 
 
-def encode_units(units: DataFrame, table: Pieces) -> DataFrame:
-    """``unit, ids`` for every unit."""
+def encode_units(units: DataFrame, table: Pieces, total: int) -> DataFrame:
+    """``unit, n, ids`` for every (unit, n); ``total`` is their number."""
+    parts = total // PART_UNITS + 1
     spark = units.sparkSession
     length = F.char_length("unit")
-    edged = lattice(units.select("unit"), piece_table(spark, table), table.longest)
-    edged = units.select("unit").join(edged, "unit", "left").withColumn(
-        "edges", F.coalesce("edges", F.array().cast("array<struct<cost:double,start:int,end:int,id:int>>"))
-    )
+    edged = lattice(units.filter(length <= LONG_UNIT), piece_table(spark, table), table.longest, parts)
 
     @F.arrow_udf("array<int>")
     def long_fold(unit: pa.Array, edges: pa.Array) -> pa.Array:
         rows = zip(unit.to_pylist(), edges.to_pylist(), strict=True)
         return pa.array(
             [
-                fold_python(u, [(e["cost"], e["start"], e["end"], e["id"]) for e in es], table.kind) if u else None
+                fold_python(u, [(e["cost"], e["start"], e["end"], e["id"]) for e in es], table.kind)
+                if len(u) > LONG_UNIT
+                else None
                 for u, es in rows
             ],
             pa.list_(pa.int32()),
         )
 
     fold = _merged if table.kind == "bpe" else _viterbi
-    short = edged.filter(length <= LONG_UNIT).withColumn("ends", fold(F.col("edges"), length))
-    long = edged.filter(length > LONG_UNIT).withColumn("ends", long_fold("unit", "edges"))
-    return short.unionByName(long).select("unit", _ids(table).alias("ids"))
+    short = edged.withColumn("ends", fold(F.col("edges"), length))
+    long = lattice(units.filter(length > LONG_UNIT), piece_table(spark, table), table.longest, parts)
+    long = long.withColumn("ends", long_fold("unit", "edges"))
+    return short.unionByName(long).select("unit", "n", _ids(table).alias("ids"))
 
 
 def _ids(table: Pieces) -> Column:
@@ -427,9 +430,9 @@ def encode(docs: DataFrame, table: Pieces | None = None, max_lookup: int = MAX_L
     table = table or load_pieces()
     spark = docs.sparkSession
     counted = staged(units_of(docs), "units")
-    codes = staged(_hashed_units(encode_units(counted, table).join(counted, "unit")), "codes")
-
     total = counted.count()
+    codes = staged(_hashed_units(encode_units(counted, table, total)).drop("unit"), "codes")
+
     least = 1
     if total > max_lookup:  # the least count of which all units fit
         by_count = counted.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).agg(F.count("*").alias("units")).collect()
@@ -458,10 +461,10 @@ def encode(docs: DataFrame, table: Pieces | None = None, max_lookup: int = MAX_L
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lookup.value
         for batch in batches:
-            texts = [_escape(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             for i, j in _ranges(texts):
                 own = batch.column("own").slice(i, j - i)
-                yield _encode_rows(batch.column("doc_id").slice(i, j - i), texts[i:j], own, known)
+                yield _encode_rows(batch.column("doc_id").slice(i, j - i), [_escape(t) for t in texts[i:j]], own, known)
 
     return rows.mapInArrow(encoded, f"doc_id {kind}, n_tokens long, token_ids array<int>")
 
@@ -504,9 +507,9 @@ def _with_own(rows: DataFrame, rare: DataFrame, lookup, kind: str) -> DataFrame:
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_escape(t) for t in batch.column("text").to_pylist()]
+            texts = batch.column("text").to_pylist()
             for i, j in _ranges(texts):
-                hashes, _, _, n = unit_hashes(texts[i:j])
+                hashes, _, _, n = unit_hashes([_escape(t) for t in texts[i:j]])
                 lacks = lookup.value.find(hashes) < 0
                 row = np.repeat(np.arange(j - i), n)[lacks]
                 pairs = np.unique(np.stack([row.astype(np.uint64), hashes[lacks]], 1), axis=0)
@@ -538,15 +541,24 @@ def decode(encoded: DataFrame, table: Pieces | None = None) -> DataFrame:
     size = np.array([len(b) for b in spelt], np.int64)
     first, raw = np.cumsum(size) - size, np.frombuffer(b"".join(spelt), np.uint8)
 
-    @F.arrow_udf("string")
-    def text(rows: pa.Array) -> pa.Array:
-        ids = rows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    def spell(ids: np.ndarray, count: np.ndarray) -> Iterator[str]:
         ids = np.where((ids < 0) | (ids >= top), top - 1, ids)
         last = np.cumsum(size[ids])
         flat = raw[np.repeat(first[ids] - (last - size[ids]), size[ids]) + np.arange(int(last[-1]) if len(last) else 0)]
-        count = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         edge = np.concatenate(([0], np.concatenate(([0], last))[np.cumsum(count)]))
-        out = [flat[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(edge[:-1], edge[1:], strict=True)]
-        return pa.array([t.removeprefix(" ") for t in out], pa.string())
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            yield flat[a:b].tobytes().decode("utf-8", "replace").removeprefix(" ")
+
+    @F.arrow_udf("string")
+    def text(rows: pa.Array) -> pa.Array:
+        count = rows.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        end = np.cumsum(count)
+        out: list[str] = []
+        while len(out) < len(rows):  # about _CHUNK_IDS ids at a time
+            i = len(out)
+            j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + _CHUNK_IDS)))
+            ids = rows.slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
+            out += spell(ids.astype(np.int64), count[i:j])
+        return pa.array(out, pa.string())
 
     return encoded.withColumn("text", text("token_ids"))
