@@ -14,8 +14,11 @@ the longer. Classes are the connected components of links.
 Equal texts are folded into their least doc_id first. In a bucket every text is aligned
 with a lead, the one whose buckets hold most others, unless links found so far have brought both into one
 class; those left in other classes go on among themselves with eight times the leads a
-round, until none are left: no candidate is dropped, and a bucket of near copies costs
-one alignment each rather than all pairs.
+round, until none are left. Then, in each bucket that still holds texts of several
+classes, all pairs of texts from different ones are compared by their shingles, in
+blocks, and those alike enough are aligned: no candidate is dropped. A bucket of near
+copies that all come into one class costs one alignment each rather than all pairs; one
+that stays divided costs a comparison of shingles for each pair across its classes.
 
 Edge cases: texts without words (null and empty ones among them) are alike only if
 equal, a null one counting as empty; a text of fewer than five words is one shingle; a
@@ -43,6 +46,9 @@ SAMPLES = 2 * BANDS
 FIRST_BANDS = 2
 BLOCK = 65_536
 CELLS = 8_000_000
+#: A block of a bucket holds texts of about so many shingles, each counted with TEXT_WEIGHT more.
+BLOCK_WEIGHT = 16_384
+TEXT_WEIGHT = 64
 BROADCAST_ROWS = 4_000_000
 _SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS) | np.uint64(1)
@@ -199,6 +205,42 @@ def _distinct_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([batch.column("rep").take(row), pa.array(flat)], names=["rep", "shingle"])
 
 
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [t.encode() for t in batch.column("text").to_pylist()]
+        for i, j in chunks(texts):
+            hashes, count = shingle_hashes(texts[i:j])
+            end = np.cumsum(count)
+            own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(end, count, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").slice(i, j - i), pa.array(own, pa.list_(pa.int64()))], names=["rep", "shingles"]
+            )
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of two blocks' texts with unlike roots whose shingles are alike enough."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            xs, ys = batch.column("xs")[row].values, batch.column("ys")[row].values
+            parts = [(x.field("shingles").flatten().to_numpy(), x.field("shingles").value_lengths().to_numpy()) for x in (xs, ys)]
+            common = np.intersect1d(np.unique(parts[0][0]), np.unique(parts[1][0]), assume_unique=True)
+            held = []
+            for flat, count in parts:
+                at = np.minimum(np.searchsorted(common, flat), max(len(common) - 1, 0))
+                inside = common[at] == flat if len(common) else np.zeros(len(flat), bool)
+                table = np.zeros((len(count), len(common)), np.float32)
+                table[np.repeat(np.arange(len(count)), count)[inside], at[inside]] = 1
+                held.append(table)
+            both = (held[0] @ held[1].T).astype(float)
+            likeness = both / (parts[0][1][:, None] + parts[1][1] - both)
+            roots = [np.array(x.field("root").to_pylist(), object) for x in (xs, ys)]
+            i, j = np.nonzero((likeness >= SIMILARITY - 1e-6) & (roots[0][:, None] != roots[1]))
+            yield pa.RecordBatch.from_arrays(
+                [xs.field("rep").take(pa.array(i)), ys.field("rep").take(pa.array(j)), pa.array(likeness[i, j])],
+                names=["rep", "lead", "likeness"],
+            )
+
+
 def _statistics(members: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
     """``rep, n, shared, rank``: distinct shingles, those that some other candidate has too,
     and how many candidates its buckets hold. Texts with too few shared ones to be like
@@ -247,11 +289,84 @@ def _needed(n: str, m: str) -> Column:
     return SIMILARITY / (1 + SIMILARITY) * (F.col(n) + F.col(m)) - 1e-6
 
 
+def _aligned(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
+    """Those of ``pairs`` (rep, lead) that are alike."""
+    return staged(
+        pairs.select("rep", "lead")
+        .distinct()
+        .join(texts, "rep")
+        .join(texts.select(F.col("rep").alias("lead"), F.col("text").alias("lead_text")), "lead")
+        .select("rep", "lead", "text", "lead_text")
+        .mapInArrow(_verify, f"rep {kind}, lead {kind}, linked boolean")
+        .filter("linked")
+        .select("rep", "lead"),
+        "verdicts",
+    )
+
+
+def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The roots that ``links`` (rep, lead) give together with those so far."""
+    edges = links.select(F.col("rep").alias("u"), F.col("lead").alias("v"))
+    if roots is None:
+        return components(edges)
+    if edges.isEmpty():
+        return roots
+    return components(edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+
+
+def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rep, lead, likeness``: all pairs of texts that share a bucket but no root, and whose
+    distinct shingles are alike enough.
+
+    The texts of a bucket are dealt into blocks of about BLOCK_WEIGHT, those of a large
+    class apart from all others, so that blocks of one class don't meet; pairs are formed
+    inside a row of two blocks.
+    """
+    bucket = ["band", "value"]
+    rooted = staged(_with_root(members, "rep", roots, "root"), "rooted")
+    sides = rooted.groupBy(*bucket, "root").agg(F.sum(F.col("n") + TEXT_WEIGHT).alias("size"))
+    mixed = (
+        sides.groupBy(*bucket)
+        .agg(F.count("*").alias("sides"), F.sum(F.when(F.col("size") < BLOCK_WEIGHT, F.col("size"))).alias("small"))
+        .filter("sides > 1")
+    )
+    large = F.col("size") >= BLOCK_WEIGHT
+    dealt = sides.join(mixed, bucket).select(
+        *bucket, "root", F.when(large, F.col("root")).alias("owner"), F.ceil(F.when(large, F.col("size")).otherwise(F.col("small")) / BLOCK_WEIGHT).alias("parts")
+    )
+    placed = staged(
+        rooted.join(dealt, [*bucket, "root"]).withColumn("block", F.xxhash64("owner", F.pmod(F.xxhash64("rep"), F.col("parts")))),
+        "placed",
+    )
+    kind = texts.schema["rep"].dataType.simpleString()
+    sets = staged(
+        texts.join(placed.select("rep").distinct(), "rep", "left_semi").mapInArrow(_shingle_sets, f"rep {kind}, shingles array<long>"), "sets"
+    )
+    blocks = staged(
+        placed.join(sets, "rep")
+        .groupBy(*bucket, "block")
+        .agg(F.first("owner").alias("owner"), F.collect_list(F.struct("rep", "root", "shingles")).alias("held")),
+        "blocks",
+    )
+    one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"))
+    two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"))
+    meet = one.join(two, bucket).filter("b1 <= b2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
+    met = meet.join(blocks.select(*bucket, F.col("block").alias("b1"), F.col("held").alias("xs")), [*bucket, "b1"]).join(
+        blocks.select(*bucket, F.col("block").alias("b2"), F.col("held").alias("ys")), [*bucket, "b2"]
+    )
+
+    pairs = met.select("xs", "ys").mapInArrow(_across, f"rep {kind}, lead {kind}, likeness double")
+    return staged(
+        pairs.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead"), "likeness").distinct(), "divided"
+    )
+
+
 def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """Verified links (rep, lead), and the roots they give; ``members`` are (band, value, rep).
 
-    A text that has come into the class of a lead of its bucket is done with that bucket,
-    so after the first wave of bands few alignments of a large group are left. Two texts
+    A text that has come into the class of a lead of its bucket meets no more leads there,
+    so after the first wave of bands few alignments of a large group are left; buckets that
+    stay divided into classes are gone through by pairs at the end. Two texts
     of n and m shingles are alike only if they share (n + m) * s / (1 + s); neither can
     share more than it has in common with any candidate, which rules pairs out unread.
     """
@@ -279,24 +394,9 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
             .select("band", "value", "rep", "lead", "r1", "r2"),
             "meeting",
         )
-        verdicts = staged(
-            meeting.filter("r1 <> r2")
-            .select("rep", "lead")
-            .distinct()
-            .join(texts, "rep")
-            .join(texts.select(F.col("rep").alias("lead"), F.col("text").alias("lead_text")), "lead")
-            .select("rep", "lead", "text", "lead_text")
-            .mapInArrow(_verify, f"rep {kind}, lead {kind}, linked boolean")
-            .filter("linked")
-            .select("rep", "lead"),
-            "verdicts",
-        )
+        verdicts = _aligned(meeting.filter("r1 <> r2"), texts, kind)
         found = verdicts if found is None else found.unionByName(verdicts)
-        edges = verdicts.select(F.col("rep").alias("u"), F.col("lead").alias("v"))
-        if roots is None:
-            roots = components(edges)
-        elif not edges.isEmpty():
-            roots = components(edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        roots = _merged(roots, verdicts)
         # done with a bucket: who is in the class of a lead that it met, and the leads
         place = ["band", "value", "rep"]
         joined = (
@@ -314,7 +414,19 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
         crowded = waiting.groupBy("band", "value").agg(F.count("*").alias("crowd")).filter("crowd > 1").select("band", "value")
         rest, leads = staged(waiting.join(crowded, ["band", "value"]).select(*now.columns), "members"), 8 * leads
         if rest.isEmpty():
-            return found, roots
+            break
+    # who left a bucket may be like those who stayed: first the likest pair of each two classes, then all whose classes still differ
+    left = _divided(members, roots, texts)
+    sides = ["r1", "r2"]
+    for likest in (True, False):
+        apart = _with_root(_with_root(left, "rep", roots, "r1"), "lead", roots, "r2").filter("r1 <> r2")
+        if likest:
+            apart = apart.groupBy(F.least(*sides).alias("r1"), F.greatest(*sides).alias("r2")).agg(
+                F.max_by(F.struct("rep", "lead"), F.struct("likeness", "rep", "lead")).alias("pair")
+            ).select("pair.*")
+        verdicts = _aligned(apart, texts, kind)
+        found, roots = found.unionByName(verdicts), _merged(roots, verdicts)
+    return found, roots
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

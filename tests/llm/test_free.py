@@ -210,3 +210,29 @@ def test_sentencepiece_against_the_library(docs, none, kind, held):
     got = sorted((str(r.doc_id), list(r.token_ids), r.text) for r in sentencepiece_lattice.decode(coded, table).collect())
     assert got == sorted((str(i), library.encode(t or ""), (t or "").replace("▁", " ")) for i, t in TEXTS)
     assert sentencepiece_lattice.encode(none, table).collect() == []
+
+
+def test_no_candidate_of_a_divided_bucket_is_dropped(docs):
+    """Chains a ~ b ~ c, a not like c, beside hundreds of copies of c's end of the chain."""
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(200)]
+
+    def edited(spots, mark):
+        return " ".join(f"{mark}{i}" if i in spots else w for i, w in enumerate(base))
+
+    rows, chain = [], []
+    for k in range(300):
+        rows.append((1000 + k, edited({rng.randrange(200)}, f"m{k}x")))
+    for k in range(40):
+        spots = rng.sample(range(0, 200, 5), 6)
+        chain.append((10 * k, edited(set(spots), f"c{k}x")))
+        chain.append((10 * k + 1, edited(set(spots[:3]), f"c{k}x")))
+    rows += chain
+    root = {i: i for i, _ in rows}
+    for n, (i, a) in enumerate(rows):
+        for j, b in rows[:n]:
+            if root[i] != root[j] and order_minhash.alike(a, b):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {k: new if v == old else v for k, v in root.items()}
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs(rows)).collect()}
+    assert got == root
