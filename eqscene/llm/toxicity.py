@@ -6,8 +6,8 @@ documents that may be learnt from (a bounded sample, ``max_train_rows``): a word
 beginning whose documents are toxic far more often than documents are at large.
 
 A generative model of the votes (no labels in it) is fitted by expectation
-maximisation on a bounded sample of all documents: for each voter the chances of its
-votes given the class, and, from the residuals, the correlations between voters; a
+maximisation on all documents, counted by their row of votes: for
+each voter the chances of its votes given the class, and, from the residuals, the correlations between voters; a
 voter that says what others say counts for less. Its posteriors are the labels that a
 linear classifier over the voters' counts is trained on, and that classifier scores
 all documents.
@@ -20,7 +20,7 @@ doc_id is not held out; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,13 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eqscene.llm._common import whole_text
+from eqscene.llm._common import staged, whole_text
 from eqscene.llm._labelled import fold, labelled_sample
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
 MAX_TRAIN_ROWS = 12_000
-MAX_MODEL_ROWS = 20_000
 MAX_TERMS = 1_000
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: How far from chance a listed term is, and the share of its documents that are toxic.
@@ -119,28 +118,29 @@ class LabelModel:
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
 
-def label_model(v: np.ndarray, balance: float, rounds: int = 25) -> LabelModel:
-    """Expectation maximisation from the majority of votes; no labels.
+def label_model(v: np.ndarray, balance: float, rounds: int = 25, times: np.ndarray | None = None) -> LabelModel:
+    """Expectation maximisation from the majority of votes; no labels. Row i stands for ``times[i]`` texts.
 
     Correlations are those of the residuals after the class is taken out, averaged
     over the classes.
     """
     m = v.shape[1]
+    times = np.ones(len(v)) if times is None else times
     balance = float(np.clip(balance, 0.005, 0.5))
     p = np.where(v.sum(1) > 0, 0.95, 0.02) if len(v) else np.zeros(0)
     model = LabelModel(np.full((2, m, 3), 1 / 3), np.eye(m), balance)
     onehot = np.stack([v == -1, v == 0, v == 1], 2).astype(float)
     for _ in range(rounds if len(v) else 0):
-        for c, w in ((0, 1 - p), (1, p)):
+        for c, w in ((0, times * (1 - p)), (1, times * p)):
             model.chances[c] = (np.einsum("i,ijk->jk", w, onehot) + 0.1) / (w.sum() + 0.3)
         total = np.zeros((m, m))
-        for c, w in ((0, 1 - p), (1, p)):
+        for c, w in ((0, times * (1 - p)), (1, times * p)):
             centred = (v - (model.chances[c] * np.array([-1, 0, 1])).sum(1)) * np.sqrt(w)[:, None]
             cov = centred.T @ centred / max(w.sum(), 1e-9)
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-9))
             total += cov / sd[:, None] / sd
         model.correlations = total / 2
-        model.balance = float(np.clip(p.mean(), 0.005, 0.5))
+        model.balance = float(np.clip(np.average(p, weights=times), 0.005, 0.5))
         p = model.posterior(v)
     return model
 
@@ -163,18 +163,25 @@ def design(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([votes(counts).astype(float), np.log1p(counts)], 1)
 
 
-def fit_linear(x: np.ndarray, p: np.ndarray, ridge: float = 1e-3, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Logistic regression on posteriors by Newton's method with backtracking to small steps."""
-    a = np.concatenate([x, np.ones((len(x), 1))], 1)
-    w = np.zeros(a.shape[1])
-    penalty = np.full(len(w), ridge * max(len(x), 1))
+def newton_sums(a: np.ndarray, p: np.ndarray, times: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The slope and curvature of the logistic loss at ``w``, summed over the rows, in one flat array."""
+    q = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+    return np.concatenate([a.T @ (times * (q - p)), ((a * (times * q * (1 - q))[:, None]).T @ a).ravel()])
+
+
+def fit_linear(sums: Callable[[np.ndarray], np.ndarray], width: int, n: float, ridge: float = 1e-3, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Logistic regression on posteriors of ``n`` rows by Newton's method with backtracking to small steps."""
+    w = np.zeros(width + 1)
+    penalty = np.full(len(w), ridge * max(n, 1))
     penalty[-1] = 1e-6
-    for _ in range(rounds if len(x) else 0):
-        q = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (q - p) + penalty * w
-        hess = (a * (q * (1 - q))[:, None]).T @ a + np.diag(penalty + 1e-6)
+    for _ in range(rounds if n else 0):
+        found = sums(w)
+        grad = found[: len(w)] + penalty * w
+        hess = found[len(w) :].reshape(len(w), len(w)) + np.diag(penalty + 1e-6)
         step = np.linalg.solve(hess, grad)
         w = w - step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-10:
+            break
     return w[:-1], float(w[-1])
 
 
@@ -212,26 +219,53 @@ def mine(docs: DataFrame, labels: DataFrame, max_train_rows: int) -> tuple[Lexic
     return Lexicon(frozenset(SEED_WORDS), frozenset(k[1:] for k in keys if k[0] == "="), begins), rate
 
 
-def train(
-    docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS, max_model_rows: int = MAX_MODEL_ROWS
-) -> Linear:
-    """Lists from labels, a label model of unlabelled votes, a classifier on its posteriors."""
+def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_ROWS) -> Linear:
+    """Lists from labels, a label model of unlabelled votes, a classifier on its posteriors.
+
+    Spark counts all documents by their row of counts. The label model needs only the
+    rows of votes, few whatever the size of the corpus; each Newton step is summed over
+    the rows of counts where they lie.
+    """
     lexicon, rate = mine(docs, labels, max_train_rows)
-    n = docs.count()
-    share = 1.0 if n <= max_model_rows else 0.95 * max_model_rows / n
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("votes")), F.lit(1_000_000)) < int(share * 1_000_000))
+    m = len(VOTERS)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [lexicon.counts(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64()))], names=["counts"])
-
-    rows = sample.select(whole_text().alias("text")).mapInArrow(counted, "counts array<double>").toPandas()
-    counts = np.array(sorted(map(tuple, rows["counts"])), float).reshape(len(rows), len(VOTERS))
-    v = votes(counts)
-    posterior = label_model(v, rate or 0.05).posterior(v) if len(v) else np.zeros(0)
-    weight, bias = fit_linear(design(counts), posterior)
-    return Linear(lexicon, weight, bias if len(v) else -3.0)
+            counts = np.array([lexicon.counts(t) for t in b.column("text").to_pylist()], float).reshape(b.num_rows, m)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.list_(pa.float64())), pa.array(list(votes(counts)), pa.list_(pa.int8()))],
+                names=["counts", "votes"],
+            )
+
+    rows = staged(
+        docs.select(whole_text().alias("text"))
+        .mapInArrow(counted, "counts array<double>, votes array<tinyint>")
+        .groupBy("counts", "votes")
+        .agg(F.count("*").alias("times")),
+        "counts",
+    )
+    patterns = rows.groupBy("votes").agg(F.sum("times").alias("times")).orderBy("votes").collect()
+    if not patterns:
+        return Linear(lexicon, np.zeros(2 * m), -3.0)
+    times = np.array([r["times"] for r in patterns], float)
+    v = np.array([r["votes"] for r in patterns], np.int8)
+    model = label_model(v, rate or 0.05, times=times)
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    x = design(np.array(b.column("counts").to_pylist(), float))
+                    p = model.posterior(np.array(b.column("votes").to_pylist(), np.int8))
+                    a = np.concatenate([x, np.ones((len(x), 1))], 1)
+                    part = newton_sums(a, p, b.column("times").to_numpy().astype(float), w)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(part))), pa.array(part)], names=["at", "part"])
+
+        parts = rows.mapInArrow(summed, "at long, part double").groupBy("at").agg(F.sum("part").alias("part")).orderBy("at").collect()
+        return np.array([r["part"] for r in parts])
+
+    weight, bias = fit_linear(sums, 2 * m, times.sum())
+    return Linear(lexicon, weight, bias)
 
 
 def toxicity_score(model: Linear) -> Column:

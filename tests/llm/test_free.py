@@ -236,3 +236,17 @@ def test_no_candidate_of_a_divided_bucket_is_dropped(docs):
                 root = {k: new if v == old else v for k, v in root.items()}
     got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs(rows)).collect()}
     assert got == root
+
+
+def test_toxicity_is_fitted_on_all_rows(docs, spark):
+    """Rare votes among more documents than a sample would hold: the classifier is that of all rows."""
+    texts = ["plain words here", "you idiot", "such stupid filth and scum", "an idiot " + "w " * 300]
+    rows = [(i, texts[3 if i % 5000 == 7 else 2 if i % 300 == 1 else 1 if i % 40 == 3 else 0]) for i in range(21_000)]
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    got = toxicity.train(docs(rows, clash=False), labels)
+    counts = np.array([got.lexicon.counts(t) for _, t in rows], float)
+    v, x = toxicity.votes(counts), toxicity.design(counts)
+    p = toxicity.label_model(v, 0.05).posterior(v)
+    a, w = np.concatenate([x, np.ones((len(x), 1))], 1), np.append(got.weight, got.bias)
+    slope = a.T @ (1 / (1 + np.exp(-a @ w)) - p) + np.append(np.full(x.shape[1], 1e-3 * len(x)), 1e-6) * w
+    assert np.abs(slope).max() < 1e-4  # the least loss over all rows
