@@ -23,12 +23,16 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read again: lineage ends there."""
+def staged_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder and read again, where lineage ends; and its folder."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    return staged_at(df, label)[0]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
 from eqscene.llm.order_minhash import near_duplicates
 from eqscene.llm.pii import pseudonymise
 from eqscene.llm.quality import score_quality
-from eqscene.llm.sentencepiece_lattice import decode, encode
+from eqscene.llm.sentencepiece_lattice import encode
 from eqscene.llm.sharding import assign_shards
 from eqscene.llm.suffix_dedup import remove_repeats
 from eqscene.llm.toxicity import score_toxicity
@@ -101,7 +101,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded, and decoded again: the digest is that of the text with marks as spaces."""
-    coded = decode(encode(read_table(spark, sf_dir, "documents")))
+    coded = encode(read_table(spark, sf_dir, "documents"), decoded=True)
     return coded.select("doc_id", "n_tokens", "token_ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 

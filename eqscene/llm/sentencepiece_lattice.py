@@ -11,15 +11,20 @@ higher-order aggregates:
 * ``kind="bpe"``: the best-scored edge that spans exactly two present pieces is taken,
   leftmost first, until there is none. A BPE model's scores are merge ranks, not
   logarithms of chances, and the path with the greatest sum of them is not what such a
-  model encodes; the lattice is the same, only the fold differs.
+  model encodes; the lattice is the same, only the fold differs. One sweep over the
+  edges in order of their rank does it unless taking an edge lets a better-ranked one in
+  that had been passed over; such units, found by that rule, are folded step by step.
 
 Units of more than ``LONG_UNIT`` characters are folded in an Arrow function with a heap
-(BPE) or a window of back pointers (unigram) over the same edges, in near-linear time.
+(BPE) or a window of back pointers (unigram) over the same pieces, in near-linear time
+and memory.
 
-Documents are encoded by looking their units up. The ``max_lookup`` commonest units
-are broadcast as packed arrays (at most about 32 bytes each); what a document holds
+Documents are encoded by looking their units up. The commonest units, as many as their
+codes fit into ``lookup_bytes``, are read by each Python worker from the shared folder,
+where the tasks that encoded them left them: the driver sees none. What a document holds
 beyond them comes to it by a shuffled join, as a list of its own, so that the result is
-the same for any bound.
+the same for any bound. A unit is known by a 64-bit hash and a 32-bit check. The shared
+folder must be one that pyarrow opens (local or mounted paths, hdfs, s3, gs).
 
 Edge cases: null and empty texts have no tokens; characters without a piece become their
 UTF-8 bytes' pieces (or the unknown piece if the model has none); spaces and the space
@@ -32,6 +37,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -39,18 +45,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eqscene.llm._common import staged, whole_text
+from eqscene.llm._common import staged, staged_at, whole_text
 from eqscene.llm._shingles import mix
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_LOOKUP = 4_000_000
-LONG_UNIT = 96
+LOOKUP_BYTES = 160_000_000
+LONG_UNIT = 60
 PART_UNITS = 20_000
 #: Java and Python regular expression of a unit.
 UNIT = rf"{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{M}}{MARK}]+|{MARK}+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_CHARS, _CHUNK_IDS = 500_000, 200_000
+_CHUNK_CHARS, _COUNT_CHARS, _CHUNK_IDS = 500_000, 2_000_000, 200_000
+#: Places of an edge's parts in one long: rank, start, end, whether its rank needs care, id.
+_RANK, _START, _END, _CARE = 41, 33, 25, 24
+_ID = (1 << _CARE) - 1
+#: A bit above all bounds of a unit.
+_AGAIN = 1 << 62
 
 
 @dataclass
@@ -101,53 +112,84 @@ def _checked(table: Pieces) -> Pieces:
 
 
 def piece_table(spark: SparkSession, table: Pieces) -> DataFrame:
-    """``piece, id, score``: as many rows as the model has pieces."""
-    frame = pd.DataFrame({"piece": table.pieces, "id": table.ids, "score": table.scores})
-    return spark.createDataFrame(frame, "piece string, id int, score double")
+    """``piece, head, score``: as many rows as the model has pieces, and the empty one.
 
-
-def escaped(text: Column) -> Column:
-    """Spaces as marks, and one mark before a text that is not empty."""
-    return F.when(text == "", text).otherwise(F.concat(F.lit(MARK), F.translate(text, " ", MARK)))
+    ``head`` holds the rank, the id, and for BPE whether the piece begins or ends another
+    one of no worse rank with a piece beside it.
+    """
+    rank = {x: i for i, x in enumerate(sorted(set(table.scores), reverse=True))}
+    ranked = {p: rank[x] for p, x in zip(table.pieces, table.scores, strict=True)}
+    care = set()
+    for p, r in ranked.items():
+        for i in range(1, len(p) if table.kind == "bpe" else 1):
+            one, two = p[:i], p[i:]
+            if all(len(x) == 1 or x in ranked for x in (one, two)):
+                care |= {x for x in (one, two) if len(x) > 1 and ranked[x] >= r}
+    head = [ranked[p] << _RANK | (p in care) << _CARE | i for p, i in zip(table.pieces, table.ids, strict=True)]
+    frame = pd.DataFrame({"piece": table.pieces, "head": head, "score": table.scores})
+    pieces = spark.createDataFrame(frame, "piece string, head long, score double")
+    return pieces.unionByName(spark.sql("SELECT '' AS piece, CAST(NULL AS BIGINT) AS head, 0D AS score"))
 
 
 def units_of(docs: DataFrame) -> DataFrame:
     """``unit, n``: the distinct units of all texts and how often they occur."""
-    return (
-        docs.select(F.explode(F.regexp_extract_all(escaped(whole_text()), F.lit(UNIT), F.lit(0))).alias("unit"))
-        .groupBy("unit")
-        .agg(F.count("*").alias("n"))
-    )
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_escape(t) for t in batch.column("text").to_pylist()]
+            for i, j in _ranges(texts, _COUNT_CHARS):
+                h, check, starts, ends, _ = unit_hashes(texts[i:j])
+                order = np.argsort(h, kind="stable")
+                new = np.ones(len(h), bool)
+                new[1:] = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
+                at = np.flatnonzero(new)
+                first, flat = order[at], "".join(texts[i:j])
+                spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([flat[x:y] for x, y in spans], pa.string()), pa.array(np.diff(np.append(at, len(h))))], names=["unit", "n"]
+                )
+
+    rows = docs.select(whole_text().alias("text")).mapInArrow(counted, "unit string, n long")
+    return rows.groupBy("unit").agg(F.sum("n").alias("n"))
+
+
+def _bit(at: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
 
-def lattice(units: DataFrame, pieces: DataFrame, longest: int, parts: int) -> DataFrame:
-    """``unit, n, edges``: for each unit its edges (cost, start, end, id), best first.
+
+def lattice(units: DataFrame, pieces: DataFrame, table: Pieces, parts: int) -> DataFrame:
+    """``unit, n, edges``: for each unit (uid, unit, n) its edges, best first.
 
     ``pieces`` is broadcast: a fixed table. Units are dealt out once, to ``parts`` tasks; exploding and
-    joining keep the rows where their unit is, so grouping needs no further exchange.
-    An empty substring, which the empty piece joins, keeps units without any edge.
+    joining keep the rows where their unit is, so grouping needs no further exchange. An
+    empty substring, which the empty piece joins, keeps units without any edge. Of BPE
+    pieces only those of two characters or more are edges: all others are there anyway.
     """
-    length = F.char_length("unit")
-    spans = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), length - 1),
-            lambda s: F.transform(
-                F.sequence(F.when(s == 0, 0).otherwise(1), F.least(length - s, F.lit(longest))),
-                lambda k: F.struct(s.alias("start"), F.substring(F.col("unit"), s + 1, k).alias("piece")),
-            ),
+    length, least = F.char_length("unit"), 2 if table.kind == "bpe" else 1
+    exploded = (
+        units.repartition(parts, "uid")
+        .select("uid", "unit", "n", F.explode(F.sequence(F.lit(0), F.greatest(length - least, F.lit(0)))).alias("start"))
+        .select(
+            "*",
+            F.explode(
+                F.sequence(F.when(F.col("start") == 0, 0).otherwise(least), F.least(length - F.col("start"), F.lit(table.longest)))
+            ).alias("size"),
         )
+        .select("uid", "unit", "n", "start", (F.col("start") + F.col("size")).alias("end"), F.substring("unit", F.col("start") + 1, F.col("size")).alias("part"))
     )
-    empty = pieces.sparkSession.sql("SELECT '' AS piece, -1 AS id, 0D AS score")
-    edge = F.struct(
-        (-F.col("score")).alias("cost"), "start", (F.col("start") + F.char_length("piece")).alias("end"), "id"
-    )
+    # a join on one long alone, and the exact test as an order that is no second key
+    same = (F.xxhash64("part") == F.xxhash64("piece")) & (F.col("part") >= F.col("piece")) & (F.col("part") <= F.col("piece"))
+    packed = F.col("head") + F.shiftleft(F.col("start").cast("long"), _START) + F.shiftleft(F.col("end").cast("long"), _END)
+    if table.kind == "bpe":
+        low, high = _bit(F.col("start")), _bit(F.col("end"))
+        opened = F.struct(packed.alias("code"), low.bitwiseOR(high).alias("bounds"), (high + high - low).alias("span"))
+        edge = F.when(F.col("end") - F.col("start") > 1, opened)
+    else:
+        edge = F.when(packed.isNotNull(), F.struct("end", "start", "score", packed.alias("code")))
     return (
-        units.repartition(parts, "unit")
-        .select("unit", "n", F.inline(spans))
-        .join(F.broadcast(pieces.unionByName(empty)), "piece")
-        .groupBy("unit", "n")
-        .agg(F.collect_list(edge).alias("edges"))
-        .withColumn("edges", F.array_sort(F.filter("edges", lambda e: e["id"] >= 0)))
+        exploded.join(F.broadcast(pieces), same)
+        .groupBy("uid")
+        .agg(F.first("unit").alias("unit"), F.first("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("edges"))
     )
 
 
@@ -156,45 +198,62 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _fits(bounds: Column, edge: Column) -> Column:
+    """Whether one piece goes from the edge's start to a middle, and one from there to its end."""
+    inside = bounds.bitwiseAND(edge["span"])
+    return (F.bit_count(inside) == 3) & (inside.bitwiseAND(edge["bounds"]) == edge["bounds"])
+
+
+def _taken(bounds: Column, edge: Column) -> Column:
+    """``bounds`` without those inside ``edge``."""
+    return bounds.bitwiseAND(F.bitwise_not(edge["span"].bitwiseXOR(edge["bounds"])))
+
+
+def _stepwise(steps: Column, bounds: Column) -> Column:
+    """BPE by its definition: each time the best edge that fits, until none does."""
+
+    def step(state: Column, _: Column) -> Column:
+        best = F.get(F.filter(steps, lambda e: _fits(state, e)), F.lit(0))
+        return _let(best, lambda e: F.coalesce(_taken(state, e), state))
+
+    return F.aggregate(steps, bounds, step)
+
+
 def _merged(edges: Column, length: Column) -> Column:
-    """BPE: for each place the end of the piece that starts there, or -1."""
-
-    def take(state: Column, best: Column) -> Column:
-        merged = F.transform(
-            state["ends"],
-            lambda x, i: F.when(i == best["start"], best["end"])
-            .when((i > best["start"]) & (i < best["end"]), F.lit(-1))
-            .otherwise(x),
-        )
-        return F.when(
-            best.isNull(), F.struct(state["ends"].alias("ends"), F.lit(True).alias("done"))
-        ).otherwise(F.struct(merged.alias("ends"), F.lit(False).alias("done")))
+    """BPE: the codes of the edges that stand at the end.
+
+    The bounds between pieces are the bits of a long; edges are (code, bounds, span): the
+    bits of their two ends, and of all places from one to the other.
+    """
+    single = _bit(length + 1) - 1
 
     def fold(steps: Column) -> Column:
-        def step(state: Column, _: Column) -> Column:
-            ends = state["ends"]
-            # from the start over one piece to the middle, and from there to the edge's end
-            fits = F.filter(steps, lambda e: F.get(ends, F.get(ends, e["start"])) == e["end"])
-            return F.when(state["done"], state).otherwise(
-                _let(F.get(fits, F.lit(0)), lambda best: take(state, best))
+        def lets_in(e: Column) -> Column:
+            """Whether an edge before ``e`` holds it at one of its own ends: ``e`` may let that one in too late."""
+            care = F.shiftright(e["code"], _CARE).bitwiseAND(1) == 1
+            return care & F.exists(
+                steps,
+                lambda q: (q["code"] < e["code"])
+                & (q["span"].bitwiseAND(e["span"]) == e["span"])
+                & (q["bounds"].bitwiseAND(e["bounds"]) != 0),
             )
 
-        start = F.struct(
-            F.concat(F.sequence(F.lit(1), length), F.array(F.lit(-1))).alias("ends"), F.lit(False).alias("done")
-        )
-        return F.aggregate(
-            F.slice(F.sequence(F.lit(1), length), 1, F.size(steps)), start, step, lambda state: state["ends"]
-        )
+        def sweep(state: Column, e: Column) -> Column:
+            return F.when(_fits(state, e), _taken(state, e).bitwiseOR(F.when(lets_in(e), F.lit(_AGAIN)).otherwise(F.lit(0)))).otherwise(state)
 
-    return _let(F.filter(edges, lambda e: e["end"] - e["start"] > 1), fold)
+        swept = F.aggregate(steps, single, sweep)
+        bounds = _let(swept, lambda state: F.when(state >= _AGAIN, _stepwise(steps, single)).otherwise(state))
+        return _let(bounds, lambda x: F.transform(F.filter(steps, lambda e: x.bitwiseAND(e["span"]) == e["bounds"]), lambda e: e["code"]))
+
+    return _let(edges, fold)
 
 
 def _viterbi(edges: Column, length: Column) -> Column:
-    """Unigram: as ``_merged``, of the best path; single characters are always edges."""
+    """Unigram: the edges of the best path; characters without a piece are edges of a very low score."""
     low = -1e9
     by_end = F.array_sort(
         F.concat(
-            F.transform(edges, lambda e: F.struct(e["end"].alias("end"), e["start"].alias("start"), (-e["cost"]).alias("score"))),
+            F.transform(edges, lambda e: F.struct(e["end"].alias("end"), e["start"].alias("start"), e["score"].alias("score"))),
             F.transform(
                 F.sequence(F.lit(0), length - 1),
                 lambda s: F.struct((s + 1).alias("end"), s.alias("start"), F.lit(low).alias("score")),
@@ -234,17 +293,22 @@ def _viterbi(edges: Column, length: Column) -> Column:
             lambda i: F.coalesce(F.get(path, F.nullif(F.array_position(path, i), F.lit(0)).cast("int")), F.lit(-1)),
         )
 
-    return _let(_let(F.aggregate(by_end, start, reach), walk), ends)
+    best = _let(_let(F.aggregate(by_end, start, reach), walk), ends)
+    return _let(best, lambda x: F.transform(F.filter(edges, lambda e: F.get(x, e["start"]) == e["end"]), lambda e: e["code"]))
 
 
-def fold_python(unit: str, edges: list[tuple], kind: str) -> list[int]:
-    """Ends of pieces by start, or -1: the folds above for one long unit."""
+def fold_python(unit: str, scores: dict[str, float], longest: int, kind: str) -> list[tuple[int, int]]:
+    """(start, end) of the pieces: the folds above for one long unit, without a list of its edges."""
     n = len(unit)
     if kind == "bpe":
-        ranked = {(s, e): (c, s, e) for c, s, e, _ in edges if e - s > 1}
-        end, begin = list(range(1, n + 1)), list(range(-1, n))
-        heap = [ranked[i, i + 2] for i in range(n - 1) if (i, i + 2) in ranked]
-        heapq.heapify(heap)
+        end, begin, heap = list(range(1, n + 1)), list(range(-1, n)), []
+
+        def offer(s: int, e: int) -> None:
+            if (score := scores.get(unit[s:e])) is not None:
+                heapq.heappush(heap, (-score, s, e))
+
+        for i in range(n - 1):
+            offer(i, i + 2)
         while heap:
             _, s, e = heapq.heappop(heap)
             middle = end[s]
@@ -253,77 +317,96 @@ def fold_python(unit: str, edges: list[tuple], kind: str) -> list[int]:
             end[s], end[middle] = e, -1
             if e < n:
                 begin[e] = s
-                if (s, end[e]) in ranked:
-                    heapq.heappush(heap, ranked[s, end[e]])
-            if s > 0 and (begin[s], e) in ranked:
-                heapq.heappush(heap, ranked[begin[s], e])
-        return end + [-1]
+                offer(s, end[e])
+            if s > 0:
+                offer(begin[s], e)
+        return [(s, e) for s, e in enumerate(end) if e > 0]
     score, back = [0.0] + [-1e300] * n, [-1] * (n + 1)
-    every = [(e, s, -c) for c, s, e, _ in edges] + [(s + 1, s, -1e9) for s in range(n)]
-    for e, s, gain in sorted(every):
-        if score[s] + gain > score[e]:
-            score[e], back[e] = score[s] + gain, s
-    end, at = [-1] * (n + 1), n
+    for e in range(1, n + 1):
+        for s in range(max(0, e - longest), e):
+            gain = scores.get(unit[s:e])
+            for x in ([gain] if gain is not None else []) + ([-1e9] if s == e - 1 else []):
+                if score[s] + x > score[e]:
+                    score[e], back[e] = score[s] + x, s
+    path, at = [], n
     while at > 0:
-        end[back[at]] = at
+        path.append((back[at], at))
         at = back[at]
-    return end
+    return path[::-1]
 
 
-def encode_units(units: DataFrame, table: Pieces, total: int) -> DataFrame:
-    """``unit, n, ids`` for every (unit, n); ``total`` is their number."""
-    parts = total // PART_UNITS + 1
-    spark = units.sparkSession
-    length = F.char_length("unit")
-    edged = lattice(units.filter(length <= LONG_UNIT), piece_table(spark, table), table.longest, parts)
-
-    @F.arrow_udf("array<int>")
-    def long_fold(unit: pa.Array, edges: pa.Array) -> pa.Array:
-        rows = zip(unit.to_pylist(), edges.to_pylist(), strict=True)
-        return pa.array(
-            [
-                fold_python(u, [(e["cost"], e["start"], e["end"], e["id"]) for e in es], table.kind)
-                if len(u) > LONG_UNIT
-                else None
-                for u, es in rows
-            ],
-            pa.list_(pa.int32()),
-        )
+class _Spelling:
+    """The ids of single characters, as sorted code points; others as bytes or the unknown piece."""
 
-    fold = _merged if table.kind == "bpe" else _viterbi
-    short = edged.withColumn("ends", fold(F.col("edges"), length))
-    long = lattice(units.filter(length > LONG_UNIT), piece_table(spark, table), table.longest, parts)
-    long = long.withColumn("ends", long_fold("unit", "edges"))
-    return short.unionByName(long).select("unit", "n", _ids(table).alias("ids"))
+    def __init__(self, table: Pieces):
+        known = sorted((ord(p), i) for p, i in zip(table.pieces, table.ids, strict=True) if len(p) == 1)
+        self.points = np.array([c for c, _ in known], np.int64)
+        self.ids = np.array([i for _, i in known], np.int64)
+        self.bytes, self.unknown = table.byte_ids, table.unknown
 
+    def spell(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of characters in order, and how many each has."""
+        at = np.minimum(np.searchsorted(self.points, code), max(len(self.points) - 1, 0))
+        known = self.points[at] == code if len(self.points) else np.zeros(len(code), bool)
+        lists = [[int(self.ids[k])] if ok else self._other(int(c)) for k, ok, c in zip(at, known, code, strict=True)] if not known.all() else None
+        if lists is None:
+            return self.ids[at], np.ones(len(code), np.int64)
+        return np.array([i for x in lists for i in x], np.int64), np.array([len(x) for x in lists], np.int64)
 
-def _ids(table: Pieces) -> Column:
-    """The piece ids of a folded unit; characters without a piece as bytes."""
-    unit, edges = F.col("unit"), F.col("edges")
+    def _other(self, c: int) -> list[int]:
+        return [self.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")] if self.bytes else [self.unknown]
 
-    def spelled(start: Column) -> Column:
-        if not table.byte_ids:
-            return F.array(F.lit(table.unknown))
-        digits = F.hex(F.encode(F.substring(unit, start + 1, F.lit(1)), "UTF-8"))
-        return F.transform(
-            F.sequence(F.lit(1), F.length(digits) - 1, F.lit(2)),
-            lambda i: F.get(F.array(*map(F.lit, table.byte_ids)), F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int")),
-        )
 
-    taken = F.filter(F.transform(F.col("ends"), lambda e, s: F.struct(s.alias("s"), e.alias("e"))), lambda x: x["e"] > 0)
-    return F.flatten(
-        F.transform(
-            taken,
-            lambda x: F.coalesce(
-                F.get(
-                    F.transform(
-                        F.filter(edges, lambda e: (e["start"] == x["s"]) & (e["end"] == x["e"])), lambda e: F.array(e["id"])
-                    ),
-                    F.lit(0),
-                ),
-                spelled(x["s"]),
-            ),
-        )
+def encode_units(units: DataFrame, table: Pieces, total: int) -> DataFrame:
+    """``hash, check, n, ids`` for every unit of (uid, unit, n); ``total`` is their number."""
+    parts = total // PART_UNITS + 1
+    length, spelling = F.char_length("unit"), _Spelling(table)
+    edged = lattice(units.filter(length <= LONG_UNIT), piece_table(units.sparkSession, table), table, parts)
+    fold = _merged if table.kind == "bpe" else _viterbi
+    scores, number = dict(zip(table.pieces, table.scores, strict=True)), dict(zip(table.pieces, table.ids, strict=True))
+
+    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ids of pieces at their places, those of all other characters between them."""
+        for batch in batches:
+            texts = batch.column("unit").to_pylist()
+            if not texts:
+                continue
+            code, starts, ends = _joined(texts)
+            count = batch.column("taken").value_lengths().to_numpy(zero_copy_only=False)
+            taken = batch.column("taken").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            begin = np.repeat(starts, count)
+            low, high = begin + (taken >> _START & 255), begin + (taken >> _END & 255)
+            change = np.zeros(len(code) + 1, np.int64)
+            np.add.at(change, low, 1)
+            np.add.at(change, high, -1)
+            single = np.flatnonzero(np.cumsum(change[:-1]) == 0)
+            ids, each = spelling.spell(code[single].astype(np.int64))
+            place = np.concatenate([low, np.repeat(single, each)])
+            order = np.argsort(place, kind="stable")
+            size = np.bincount(np.searchsorted(starts, place, "right") - 1, minlength=len(texts))
+            yield _coded(code, starts, ends, batch.column("n"), size, np.concatenate([taken & _ID, ids])[order])
+
+    def long_finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in enumerate(batch.column("unit").to_pylist()):
+                ids: list[int] = []
+                for s, e in fold_python(text, scores, table.longest, table.kind):
+                    piece = text[s:e]
+                    ids += [number[piece]] if piece in number else spelling._other(ord(piece))
+                code, starts, ends = _joined([text])
+                yield _coded(code, starts, ends, batch.column("n").slice(row, 1), np.array([len(ids)]), np.array(ids, np.int64))
+
+    form = "hash long, check int, n long, ids array<int>"
+    short = edged.select("unit", "n", fold(F.col("edges"), length).alias("taken")).mapInArrow(finished, form)
+    return short.unionByName(units.filter(length > LONG_UNIT).select("unit", "n").mapInArrow(long_finished, form))
+
+
+def _coded(code: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: pa.Array, size: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    hashes, check = _hashed(code, starts, ends)
+    edge = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(hashes.view(np.int64)), pa.array(check.view(np.int32)), n, pa.ListArray.from_arrays(pa.array(edge), pa.array(ids, pa.int32()))],
+        names=["hash", "check", "n", "ids"],
     )
 
 
@@ -343,81 +426,105 @@ def _kinds() -> np.ndarray:
     return _KIND
 
 
-def unit_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of escaped texts: hash, start and end of each unit in the joined texts, and units a text."""
+def _joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of texts that are not empty, and where each starts and ends."""
     size = np.array([len(t) for t in texts], np.int64)
-    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = np.cumsum(size)
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), ends - size, ends
+
+
+def _hashed(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash and a 32-bit check of each span; spans follow each other without a gap."""
+    if not len(starts):
+        return np.empty(0, np.uint64), np.empty(0, np.uint32)
+    powers = np.multiply.accumulate(np.full(int((ends - starts).max()), _BASE, np.uint64))
+    value = (code.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(code)) - np.repeat(starts, ends - starts)]
+    hashes = mix(np.add.reduceat(value, starts))
+    value ^= value >> np.uint64(29)
+    value *= _BASE
+    return hashes, (np.add.reduceat(value, starts) >> np.uint64(32)).astype(np.uint32)
+
+
+def unit_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of escaped texts: hash, check, start and end of each unit in the joined texts, and units a text."""
+    code, begin, last = _joined(texts)
     if not len(code):
         none = np.empty(0, np.int64)
-        return np.empty(0, np.uint64), none, none, np.zeros(len(texts), np.int64)
+        return *_hashed(code, none, none), none, none, np.zeros(len(texts), np.int64)
     kind = _kinds()[code]
     first = np.empty(len(code), bool)
     first[0] = True
     first[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != 0)
-    begin = np.cumsum(size) - size
-    first[begin[size > 0]] = True
+    first[begin[last > begin]] = True
     starts = np.flatnonzero(first)
     ends = np.append(starts[1:], len(code))
-    powers = np.multiply.accumulate(np.full(int((ends - starts).max()), _BASE, np.uint64))
-    offset = np.arange(len(code)) - np.repeat(starts, ends - starts)
-    hashes = mix(np.add.reduceat((code.astype(np.uint64) + np.uint64(1)) * powers[offset], starts))
     seen = np.concatenate(([0], np.cumsum(first)))
-    return hashes, starts, ends, seen[begin + size] - seen[begin]
+    return *_hashed(code, starts, ends), starts, ends, seen[last] - seen[begin]
 
 
 @dataclass
 class Lookup:
-    """Packed arrays: sorted unit hashes, and where each one's ids are."""
+    """Sorted unit hashes with their checks, and where each one's ids are."""
 
     hashes: np.ndarray
+    checks: np.ndarray
     first: np.ndarray
+    size: np.ndarray
     ids: np.ndarray
 
     @classmethod
-    def of(cls, hashes: np.ndarray, ids: pa.ListArray) -> Lookup:
-        values = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-        size = np.diff(ids.offsets.to_numpy())
-        order = np.argsort(hashes, kind="stable")
-        begin = (np.cumsum(size) - size)[order]
-        size = size[order]
-        first = np.concatenate(([0], np.cumsum(size)))
-        at = np.repeat(begin - first[:-1], size) + np.arange(int(size.sum()))
-        return cls(hashes[order], first.astype(np.int64), values[at])
-
-    def find(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each hash, or -1."""
+    def of(cls, hashes: np.ndarray, checks: np.ndarray, size: np.ndarray, ids: np.ndarray) -> Lookup:
+        order = np.lexsort((checks, hashes))
+        first = np.cumsum(size, dtype=np.int64) - size
+        return cls(hashes[order], checks[order], first[order], size[order], ids)
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The place of each unit, or -1."""
         if not len(self.hashes):
             return np.full(len(hashes), -1)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        out = np.where((self.hashes[at] == hashes) & (self.checks[at] == checks), at, -1)
+        for k in np.flatnonzero((out < 0) & (self.hashes[at] == hashes)):  # two units of one hash
+            i = int(at[k])
+            while i < len(self.hashes) and self.hashes[i] == hashes[k]:
+                if self.checks[i] == checks[k]:
+                    out[k] = i
+                i += 1
+        return out
+
+
+@lru_cache(maxsize=1)
+def _loaded(folder: str, least: int) -> Lookup:
+    """In a worker: the codes of ``folder`` whose unit is common enough."""
+    from pyarrow import dataset, fs
+
+    files, path = fs.FileSystem.from_uri(folder)
+    found = dataset.dataset(path, filesystem=files, format="parquet")
+    parts = []
+    for f in found.get_fragments(filter=dataset.field("common") >= least):
+        rows = f.to_table(columns=["hash", "check", "ids"], filter=dataset.field("common") >= least)
+        for b in rows.to_batches(max_chunksize=1_000_000):
+            ids = b.column("ids")
+            parts.append(
+                (
+                    b.column("hash").to_numpy().view(np.uint64),
+                    b.column("check").to_numpy().view(np.uint32),
+                    ids.value_lengths().to_numpy().astype(np.int32),
+                    ids.flatten().to_numpy().astype(np.int32),
+                )
+            )
+    empty = (np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32))
+    return Lookup.of(*(np.concatenate(x) for x in zip(empty, *parts, strict=True)))
 
 
 def _escape(text: str | None) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
-def _hashed_units(units: DataFrame) -> DataFrame:
-    """``units`` with the hash that ``unit_hashes`` gives them."""
-
-    @F.arrow_udf("long")
-    def hashed(unit: pa.Array) -> pa.Array:
-        texts = unit.to_pylist()
-        code = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
-        size = np.array([len(c) for c in code], np.int64)
-        if not len(size):
-            return pa.array([], pa.int64())
-        flat = np.concatenate(code).astype(np.uint64) + np.uint64(1)
-        starts = np.cumsum(size) - size
-        powers = np.multiply.accumulate(np.full(int(size.max()), _BASE, np.uint64))
-        return pa.array(mix(np.add.reduceat(flat * powers[np.arange(len(flat)) - np.repeat(starts, size)], starts)).view(np.int64))
-
-    return units.withColumn("hash", hashed("unit"))
-
-
-def _ranges(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _ranges(texts: list[str], most: int = _CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, t in enumerate(texts):
-        if i > start and total + len(t) > _CHUNK_CHARS:
+        if i > start and total + len(t) > most:
             yield start, i
             start, total = i, 0
         total += len(t)
@@ -425,129 +532,142 @@ def _ranges(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode(docs: DataFrame, table: Pieces | None = None, max_lookup: int = MAX_LOOKUP) -> DataFrame:
-    """``doc_id, n_tokens, token_ids`` for every row of ``docs``."""
-    table = table or load_pieces()
-    spark = docs.sparkSession
-    counted = staged(units_of(docs), "units")
-    total = counted.count()
-    codes = staged(_hashed_units(encode_units(counted, table, total)).drop("unit"), "codes")
-
-    least = 1
-    if total > max_lookup:  # the least count of which all units fit
-        by_count = counted.groupBy(F.least("n", F.lit(1_000_000)).alias("n")).agg(F.count("*").alias("units")).collect()
-        held = 0
-        for row in sorted(by_count, reverse=True):
-            held += row["units"]
-            if held > max_lookup:
-                break
-            least = row["n"]
-        else:
-            least = 1
-        if least == 1:
-            least = sorted(by_count, reverse=True)[0]["n"] + 1
-    common = codes.filter(F.col("n") >= least).select("hash", "ids").toArrow().combine_chunks()
-    ids = common.column("ids")
-    ids = pa.concat_arrays(ids.chunks) if ids.num_chunks else pa.array([], pa.list_(pa.int32()))
-    lookup = spark.sparkContext.broadcast(Lookup.of(common.column("hash").to_numpy().view(np.uint64), ids))
+def _code_table(docs: DataFrame, table: Pieces) -> tuple[DataFrame, str]:
+    """``hash, check, common, ids`` of all units, and the folder that holds it; ``common`` grows with the count."""
+    counted = staged(units_of(docs).withColumn("uid", F.monotonically_increasing_id()), "units")
+    coded = encode_units(counted, table, counted.count())
+    return staged_at(coded.select("hash", "check", F.floor(F.log2("n") * 16).cast("int").alias("common"), "ids"), "codes")
+
+
+def _least(codes: DataFrame, lookup_bytes: int) -> int | None:
+    """The least ``common`` of which all codes fit, or None if they all do. One row for each sixteenth of a power of two."""
+    weight = F.sum(F.size("ids") * 4 + 24).alias("bytes")
+    held, least = 0, None
+    for row in sorted(codes.groupBy("common").agg(weight).collect(), reverse=True):
+        held += row["bytes"]
+        if held > lookup_bytes:
+            return row["common"] + 1 if least is None else least
+        least = row["common"]
+    return None
+
 
+def encode(docs: DataFrame, table: Pieces | None = None, lookup_bytes: int = LOOKUP_BYTES, decoded: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, token_ids`` for every row of ``docs``, and with ``decoded`` also ``text``, what the ids stand for."""
+    table = table or load_pieces()
+    codes, folder = _code_table(docs, table)
+    least = _least(codes, lookup_bytes)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", whole_text().alias("text"))
-    if total > max_lookup:
-        rows = _with_own(rows, codes.filter(F.col("n") < least), lookup, kind)
+    if least is None:
+        rows = rows.withColumn("own", F.lit(None).cast("array<struct<hash:long,check:int,ids:array<int>>>"))
     else:
-        rows = rows.select("doc_id", "text", F.lit(None).cast("array<struct<hash:long,ids:array<int>>>").alias("own"))
+        rows = _with_own(rows, codes.filter(F.col("common") < least), folder, least)
+    surface = _Surface(table) if decoded else None
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lookup.value
+        known = _loaded(folder, least or 0)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for i, j in _ranges(texts):
-                own = batch.column("own").slice(i, j - i)
-                yield _encode_rows(batch.column("doc_id").slice(i, j - i), [_escape(t) for t in texts[i:j]], own, known)
-
-    return rows.mapInArrow(encoded, f"doc_id {kind}, n_tokens long, token_ids array<int>")
-
-
-def _encode_rows(doc_ids: pa.Array, texts: list[str], own: pa.Array, known: Lookup) -> pa.RecordBatch:
-    hashes, _, _, n = unit_hashes(texts)
-    if own.null_count < len(own):  # a table of what these documents bring along
-        brought = {h["hash"]: h["ids"] for row in own.to_pylist() for h in row or ()}
+                count, ids = _looked_up([_escape(t) for t in texts[i:j]], batch.column("own").slice(i, j - i), known)
+                edge = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
+                columns = {
+                    "doc_id": batch.column("doc_id").slice(i, j - i),
+                    "n_tokens": pa.array(count),
+                    "token_ids": pa.ListArray.from_arrays(edge, pa.array(ids)),
+                }
+                if surface:
+                    columns["text"] = pa.array(surface.spell(ids, count), pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return rows.mapInArrow(encoded, f"doc_id {kind}, n_tokens long, token_ids array<int>" + (", text string" if decoded else ""))
+
+
+def _looked_up(texts: list[str], own: pa.Array, known: Lookup) -> tuple[np.ndarray, np.ndarray]:
+    """The number of tokens of each escaped text, and the ids of all in order."""
+    hashes, checks, _, _, n = unit_hashes(texts)
+    at = known.find(hashes, checks)
+    size, first, flat = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), known.ids
+    held = at >= 0
+    size[held], first[held] = known.size[at[held]], known.first[at[held]]
+    if not held.all():  # what these texts bring along
+        brought = {(h["hash"], h["check"]): h["ids"] for row in own.to_pylist() for h in row or ()}
         extra = Lookup.of(
-            np.array(list(brought), np.int64).view(np.uint64), pa.array(list(brought.values()), pa.list_(pa.int32()))
-        )
-        known = Lookup(
-            np.concatenate([known.hashes, extra.hashes]),
-            np.concatenate([known.first, known.first[-1] + extra.first[1:]]),
-            np.concatenate([known.ids, extra.ids]),
+            np.array([h for h, _ in brought], np.int64).view(np.uint64),
+            np.array([c for _, c in brought], np.int32).view(np.uint32),
+            np.array([len(x) for x in brought.values()], np.int64),
+            np.array([i for x in brought.values() for i in x], np.int32),
         )
-        place = Lookup.find(Lookup(known.hashes[: -len(extra.hashes) or None], known.first, known.ids), hashes)
-        late = extra.find(hashes)
-        at = np.where(place >= 0, place, late + len(known.hashes) - len(extra.hashes))
-    else:
-        at = known.find(hashes)
-    if len(at) and at.min() < 0:
-        raise RuntimeError("a unit without a code: the texts changed while they were encoded")
-    size = known.first[at + 1] - known.first[at]
+        late = extra.find(hashes[~held], checks[~held])
+        if late.min() < 0:
+            raise RuntimeError("a unit without a code: the texts changed while they were encoded")
+        size[~held], first[~held] = extra.size[late], extra.first[late]
+        own_ids = extra.ids
     last = np.cumsum(size)
-    flat = known.ids[np.repeat(known.first[at] - (last - size), size) + np.arange(int(size.sum()))]
-    edge = np.concatenate(([0], np.concatenate(([0], last))[np.cumsum(n)]))
-    return pa.RecordBatch.from_arrays(
-        [
-            doc_ids,
-            pa.array(np.diff(edge)),
-            pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(flat, pa.int32())),
-        ],
-        names=["doc_id", "n_tokens", "token_ids"],
-    )
+    place = np.repeat(first - (last - size), size) + np.arange(int(last[-1]) if len(last) else 0)
+    if held.all():
+        ids = flat[place]
+    else:
+        known_id = np.repeat(held, size)
+        ids = np.empty(len(place), np.int32)
+        ids[known_id], ids[~known_id] = flat[place[known_id]], own_ids[place[~known_id]]
+    edge = np.concatenate(([0], last))[np.concatenate(([0], np.cumsum(n)))]
+    return np.diff(edge), ids.astype(np.int32, copy=False)
 
 
-def _with_own(rows: DataFrame, rare: DataFrame, lookup, kind: str) -> DataFrame:
-    """``rows`` with the codes of the units that the broadcast table lacks, as ``own``."""
+def _with_own(rows: DataFrame, rare: DataFrame, folder: str, least: int) -> DataFrame:
+    """``rows`` with the codes of the units that the table in ``folder`` lacks, as ``own``."""
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for i, j in _ranges(texts):
-                hashes, _, _, n = unit_hashes([_escape(t) for t in texts[i:j]])
-                lacks = lookup.value.find(hashes) < 0
-                row = np.repeat(np.arange(j - i), n)[lacks]
-                pairs = np.unique(np.stack([row.astype(np.uint64), hashes[lacks]], 1), axis=0)
+                hashes, checks, _, _, n = unit_hashes([_escape(t) for t in texts[i:j]])
+                lacks = np.flatnonzero(_loaded(folder, least).find(hashes, checks) < 0)
+                row = np.repeat(np.arange(i, j), n)[lacks]
+                order = np.lexsort((hashes[lacks], row))
+                lacks, row = lacks[order], row[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (hashes[lacks][1:] != hashes[lacks][:-1]) | (checks[lacks][1:] != checks[lacks][:-1])
+                lacks, row = lacks[new], row[new]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("key").slice(i, j - i).take(pa.array(pairs[:, 0].astype(np.int64))),
-                        pa.array(pairs[:, 1].view(np.int64)),
-                    ],
-                    names=["key", "hash"],
+                    [batch.column("key").take(pa.array(row)), pa.array(hashes[lacks].view(np.int64)), pa.array(checks[lacks].view(np.int32))],
+                    names=["key", "hash", "check"],
                 )
 
     keyed = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     own = (
         keyed.select("key", "text")
-        .mapInArrow(missing, "key long, hash long")
-        .distinct()
-        .join(rare.select("hash", "ids").dropDuplicates(["hash"]), "hash")
+        .mapInArrow(missing, "key long, hash long, check int")
+        .join(rare.select("hash", "check", "ids"), ["hash", "check"])
         .groupBy("key")
-        .agg(F.collect_list(F.struct("hash", "ids")).alias("own"))
+        .agg(F.collect_set(F.struct("hash", "check", "ids")).alias("own"))
     )
     return keyed.join(own, "key", "left").select("doc_id", "text", "own")
 
 
+class _Surface:
+    """The bytes that ids stand for, packed."""
+
+    def __init__(self, table: Pieces):
+        self.top = max(table.surface, default=-1) + 2  # the last place stands for all other ids
+        spelt = [table.surface.get(i, " ⁇ ".encode()) for i in range(self.top)]
+        self.size = np.array([len(b) for b in spelt], np.int64)
+        self.first, self.raw = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(spelt), np.uint8)
+
+    def spell(self, ids: np.ndarray, count: np.ndarray) -> list[str]:
+        ids = np.where((ids < 0) | (ids >= self.top), self.top - 1, ids)
+        size = self.size[ids]
+        last = np.cumsum(size)
+        flat = self.raw[np.repeat(self.first[ids] - (last - size), size) + np.arange(int(last[-1]) if len(last) else 0)]
+        edge = np.concatenate(([0], np.concatenate(([0], last))[np.cumsum(count)])).tolist()
+        whole = flat.tobytes()
+        return [whole[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
 def decode(encoded: DataFrame, table: Pieces | None = None) -> DataFrame:
     """``encoded`` with ``text``, the text that its ``token_ids`` stand for."""
-    table = table or load_pieces()
-    top = max(table.surface, default=-1) + 2  # the last place stands for all other ids
-    spelt = [table.surface.get(i, " ⁇ ".encode()) for i in range(top)]
-    size = np.array([len(b) for b in spelt], np.int64)
-    first, raw = np.cumsum(size) - size, np.frombuffer(b"".join(spelt), np.uint8)
-
-    def spell(ids: np.ndarray, count: np.ndarray) -> Iterator[str]:
-        ids = np.where((ids < 0) | (ids >= top), top - 1, ids)
-        last = np.cumsum(size[ids])
-        flat = raw[np.repeat(first[ids] - (last - size[ids]), size[ids]) + np.arange(int(last[-1]) if len(last) else 0)]
-        edge = np.concatenate(([0], np.concatenate(([0], last))[np.cumsum(count)]))
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            yield flat[a:b].tobytes().decode("utf-8", "replace").removeprefix(" ")
+    surface = _Surface(table or load_pieces())
 
     @F.arrow_udf("string")
     def text(rows: pa.Array) -> pa.Array:
@@ -558,7 +678,7 @@ def decode(encoded: DataFrame, table: Pieces | None = None) -> DataFrame:
             i = len(out)
             j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + _CHUNK_IDS)))
             ids = rows.slice(i, j - i).flatten().to_numpy(zero_copy_only=False)
-            out += spell(ids.astype(np.int64), count[i:j])
+            out += surface.spell(ids.astype(np.int64), count[i:j])
         return pa.array(out, pa.string())
 
     return encoded.withColumn("text", text("token_ids"))

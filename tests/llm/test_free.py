@@ -196,7 +196,7 @@ TEXTS = [(1, ""), (2, None), (3, "Hello  world\n  foo\tbar 123 ½ ﬁ 😀  "),
 
 
 @pytest.mark.parametrize("kind", ["bpe", "unigram"])
-@pytest.mark.parametrize("held", [sentencepiece_lattice.MAX_LOOKUP, 3])
+@pytest.mark.parametrize("held", [sentencepiece_lattice.LOOKUP_BYTES, 80])
 def test_sentencepiece_against_the_library(docs, none, kind, held):
     spm = pytest.importorskip("sentencepiece")
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
@@ -209,6 +209,8 @@ def test_sentencepiece_against_the_library(docs, none, kind, held):
     coded = sentencepiece_lattice.encode(docs(TEXTS), table, held)
     got = sorted((str(r.doc_id), list(r.token_ids), r.text) for r in sentencepiece_lattice.decode(coded, table).collect())
     assert got == sorted((str(i), library.encode(t or ""), (t or "").replace("▁", " ")) for i, t in TEXTS)
+    fused = sentencepiece_lattice.encode(docs(TEXTS), table, held, decoded=True)
+    assert sorted((str(r.doc_id), list(r.token_ids), r.text) for r in fused.collect()) == got
     assert sentencepiece_lattice.encode(none, table).collect() == []
 
 
