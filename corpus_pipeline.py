@@ -2,12 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's ``docs``. All but the last return the columns
-of ``documents``; the last returns ``doc_id, n_tokens, token_ids``.
+of ``documents``; the last returns ``doc_id, n_tokens, token_ids, decoded_sha256``.
+
+Edge cases, for all stages: an empty table gives no rows; null and empty texts are kept
+and have no tokens; a null doc_id is kept; rows that share a doc_id are judged each by
+its own text; extra columns pass through all but the last stage, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eqscene.llm._common import read_table, staged
 from eqscene.llm.decontaminate import drop_contaminated
@@ -38,8 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of each document."""
-    return encode(docs)
+    """The token ids of each document, and the digest of the text that they decode to."""
+    coded = encode(docs, decoded=True)
+    return coded.select("doc_id", "n_tokens", "token_ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [
