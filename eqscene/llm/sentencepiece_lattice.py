@@ -37,7 +37,6 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -56,7 +55,7 @@ PART_UNITS = 20_000
 #: Java and Python regular expression of a unit.
 UNIT = rf"{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{M}}{MARK}]+|{MARK}+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_CHARS, _COUNT_CHARS, _CHUNK_IDS = 500_000, 2_000_000, 200_000
+_CHUNK_CHARS, _COUNT_CHARS, _CHUNK_IDS = 500_000, 1_000_000, 200_000
 #: Places of an edge's parts in one long: rank, start, end, whether its rank needs care, id.
 _RANK, _START, _END, _CARE = 41, 33, 25, 24
 _ID = (1 << _CARE) - 1
@@ -474,8 +473,8 @@ class Lookup:
 
     @classmethod
     def of(cls, hashes: np.ndarray, checks: np.ndarray, size: np.ndarray, ids: np.ndarray) -> Lookup:
-        order = np.lexsort((checks, hashes))
-        first = np.cumsum(size, dtype=np.int64) - size
+        order = np.argsort(hashes, kind="stable")
+        first = (np.cumsum(size, dtype=np.int64) - size).astype(np.uint32 if len(ids) < 2**32 else np.int64)
         return cls(hashes[order], checks[order], first[order], size[order], ids)
 
     def find(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
@@ -493,28 +492,39 @@ class Lookup:
         return out
 
 
-@lru_cache(maxsize=1)
+_HELD: dict[tuple[str, int], Lookup] = {}
+
+
 def _loaded(folder: str, least: int) -> Lookup:
-    """In a worker: the codes of ``folder`` whose unit is common enough."""
+    """In a worker: the codes of ``folder`` whose unit is common enough. A worker holds one such table."""
+    if (folder, least) not in _HELD:
+        _HELD.clear()
+        _HELD[folder, least] = _read(folder, least)
+    return _HELD[folder, least]
+
+
+def _read(folder: str, least: int) -> Lookup:
     from pyarrow import dataset, fs
 
     files, path = fs.FileSystem.from_uri(folder)
-    found = dataset.dataset(path, filesystem=files, format="parquet")
-    parts = []
-    for f in found.get_fragments(filter=dataset.field("common") >= least):
-        rows = f.to_table(columns=["hash", "check", "ids"], filter=dataset.field("common") >= least)
-        for b in rows.to_batches(max_chunksize=1_000_000):
+    common = dataset.field("common") >= least
+    kept: tuple[list, list, list, list] = ([np.empty(0, np.uint64)], [np.empty(0, np.uint32)], [np.empty(0, np.int32)], [np.empty(0, np.int32)])
+    for f in dataset.dataset(path, filesystem=files, format="parquet").get_fragments():
+        for b in f.to_batches(columns=["hash", "check", "ids"], filter=common, use_threads=False, batch_readahead=1):
             ids = b.column("ids")
-            parts.append(
-                (
-                    b.column("hash").to_numpy().view(np.uint64),
-                    b.column("check").to_numpy().view(np.uint32),
-                    ids.value_lengths().to_numpy().astype(np.int32),
-                    ids.flatten().to_numpy().astype(np.int32),
-                )
-            )
-    empty = (np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int32), np.empty(0, np.int32))
-    return Lookup.of(*(np.concatenate(x) for x in zip(empty, *parts, strict=True)))
+            flat = ids.flatten().to_numpy()
+            kept[0].append(b.column("hash").to_numpy().view(np.uint64))
+            kept[1].append(b.column("check").to_numpy().view(np.uint32))
+            kept[2].append(ids.value_lengths().to_numpy().astype(np.int32))
+            kept[3].append(flat.astype(np.uint16) if len(flat) and flat.max() < 2**16 else flat.astype(np.int32))
+    if all(x.dtype == np.uint16 for x in kept[3][1:]):
+        del kept[3][0]
+        kept[3].append(np.empty(0, np.uint16))
+    columns = []
+    for part in kept:
+        columns.append(np.concatenate(part))
+        part.clear()
+    return Lookup.of(*columns)
 
 
 def _escape(text: str | None) -> str:
