@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: A table is sent to all executors only if its values, as text, and 16 bytes for each take less.
+BROADCAST_BYTES = 64_000_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -44,6 +48,7 @@ def whole_text(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` with a broadcast hint when its counted rows stay within ``rows``, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A staged ``df`` with a broadcast hint when its bytes, which are added up, stay within ``most``, else as it is."""
+    wide = sum((F.octet_length(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))) + 16 for c in df.columns), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(wide)).first()[0] or 0) <= most else df

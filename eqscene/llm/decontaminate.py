@@ -13,11 +13,11 @@ items' on two 64-bit hashes, and neighbouring hits are merged into spans, which
 the words hit. Fingerprints are exploded without the text, and texts are read a second
 time for candidates only.
 
-The item side is broadcast when its counted rows stay under ``BROADCAST_ROWS``; beyond
-that the same joins are shuffled.
+The item side is broadcast when its bytes, added up, stay under a bound; beyond that the
+same joins are shuffled.
 
-Edge cases: null or empty texts have no words and are clean; rows with equal doc_id and
-text are one row of the result; a null doc_id is kept as null; repeated items count once
+Edge cases: null or empty texts have no words and are clean; every row has its row in the
+result, repeated ones too; rows of one doc_id with unlike texts are judged apart; a null doc_id is kept as null; repeated items count once
 per item_id, a null item_id as the text ``null``; an empty benchmark leaves all clean;
 other columns are ignored.
 """
@@ -34,8 +34,6 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 GRAM = 6
 SPAN = WINDOW - GRAM + 1
-BROADCAST_ROWS = 1_000_000
-BROADCAST_DOCS = 4_000_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -108,25 +106,27 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    item_marks = broadcast_if_small(item_marks.withColumn("found", F.lit(True)), BROADCAST_ROWS)
+    item_marks = broadcast_if_small(staged(item_marks.withColumn("found", F.lit(True)), "marks"))
 
     worded = docs.select("doc_id", _key(), words_of(whole_text()).alias("words"))
     marked = worded.select("doc_id", "doc_key", "words", _grams(F.col("words"), GRAM).alias("grams"))
     marks = F.concat(_kept(F.col("grams")), *[_grams(F.col("words"), m) for m in short])
     seen = (
         marked.select("doc_id", "doc_key", F.size("words").cast("long").alias("n_words"), marks.alias("marks"))
-        .select("doc_id", "doc_key", "n_words", F.explode_outer("marks").alias("mark"))
+        .select("doc_id", "doc_key", "n_words", F.posexplode_outer("marks").alias("place", "mark"))
         .join(item_marks, "mark", "left")
         .groupBy("doc_id", "doc_key", "n_words")
-        .agg(F.coalesce(F.bool_or("found"), F.lit(False)).alias("candidate"))
+        .agg(
+            F.coalesce(F.bool_or("found"), F.lit(False)).alias("candidate"),
+            F.count_if(F.coalesce("place", F.lit(0)) == 0).cast("int").alias("copies"),
+        )
     )
     seen = staged(seen, "seen")
 
     candidates = broadcast_if_small(
-        seen.filter("candidate").select(F.col("doc_id").alias("c_id"), F.col("doc_key").alias("c_key")),
-        BROADCAST_DOCS,
+        seen.filter("candidate").select(F.col("doc_id").alias("c_id"), F.col("doc_key").alias("c_key"))
     )
-    item_windows = broadcast_if_small(
+    item_windows = broadcast_if_small(staged(
         items.select(
             "item_id",
             F.when(F.size("words") >= WINDOW, _windows(F.col("words"), WINDOW))
@@ -145,20 +145,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("item_id", F.inline("w"))
         .select("item_id", "width", "h1", "h2")
         .distinct(),
-        BROADCAST_ROWS,
-    )
+        "windows",
+    ))
     chosen = docs.select("doc_id", _key(), whole_text().alias("text")).join(
         candidates,
         F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("doc_key") == F.col("c_key")),
         "left_semi",
     )
     words = F.col("words")
-    hits = (
+    matches = staged(
         chosen.select("doc_id", "doc_key", words_of(F.col("text")).alias("words"))
+        .dropDuplicates(["doc_id", "doc_key"])
         .select("doc_id", "doc_key", F.inline(F.concat(*[_windows(words, m) for m in (WINDOW, *short)])))
         .join(item_windows, ["width", "h1", "h2"])
-        .groupBy("doc_id", "doc_key", "at")
-        .agg((F.col("at") + F.max("width")).alias("end"), F.collect_set("item_id").alias("item_ids"))
+        .select("doc_id", "doc_key", "at", "width", "item_id"),
+        "matches",
+    )
+    hits = matches.groupBy("doc_id", "doc_key", "at").agg((F.col("at") + F.max("width")).alias("end"))
+    found = (
+        matches.select("doc_id", "doc_key", "item_id")
+        .distinct()
+        .groupBy(F.col("doc_id").alias("f_id"), F.col("doc_key").alias("f_key"))
+        .agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"))
     )
     before = (
         Window.partitionBy("doc_id", "doc_key").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
@@ -168,21 +176,22 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     hit = (
         hits.withColumn("fresh", fresh)
-        .groupBy("doc_id", "doc_key")
-        .agg(
-            F.sum("fresh").cast("long").alias("n_hit"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-        )
-        .select(F.col("doc_id").alias("h_id"), F.col("doc_key").alias("h_key"), "n_hit", "item_ids")
+        .groupBy(F.col("doc_id").alias("h_id"), F.col("doc_key").alias("h_key"))
+        .agg(F.sum("fresh").cast("long").alias("n_hit"))
+        .join(found, F.col("h_id").eqNullSafe(F.col("f_id")) & (F.col("h_key") == F.col("f_key")))
+        .select("h_id", "h_key", "n_hit", "item_ids")
     )
-    return seen.join(
-        hit, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("doc_key") == F.col("h_key")), "left"
-    ).select(
-        "doc_id",
-        "doc_key",
-        "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+    return (
+        seen.join(hit, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("doc_key") == F.col("h_key")), "left")
+        .select(
+            "doc_id",
+            "doc_key",
+            "n_words",
+            F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+            F.explode(F.sequence(F.lit(1), "copies")).alias("copy"),
+        )
+        .drop("copy")
     )
 
 
@@ -196,10 +205,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = (
         find_contamination(docs, benchmark)
         .filter(is_contaminated())
-        .select(F.col("doc_id").alias("__bad_id"), F.col("doc_key").alias("__bad_key"))
-    )
-    key = F.xxhash64(docs["doc_id"], whole_text(docs["text"]))
-    bad = broadcast_if_small(staged(bad, "contaminated"), BROADCAST_DOCS)
-    return docs.join(
-        bad, docs["doc_id"].eqNullSafe(F.col("__bad_id")) & (key == F.col("__bad_key")), "left_anti"
+        .select(F.col("doc_id").alias("bad_id"), F.col("doc_key").alias("bad_key"))
     )
+    bad = broadcast_if_small(staged(bad, "contaminated"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), _key().alias("key"))
+    return rows.join(bad, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("key") == F.col("bad_key")), "left_anti").select("row.*")

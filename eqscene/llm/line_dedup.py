@@ -31,7 +31,6 @@ from eqscene.llm._common import broadcast_if_small, staged, whole_text
 
 FUZZY_FROM = 16
 BLOCK = 64
-BROADCAST_ROWS = 1_000_000
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -130,7 +129,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         "lines",
     )
     alike = staged(_shared(known.select("h1", "h2", "first", F.explode("halves").alias("key")), ["h1", "h2", "first"]), "alike")
-    wanted = broadcast_if_small(alike, BROADCAST_ROWS)
+    wanted = broadcast_if_small(alike)
     texts = staged(
         _lines(docs)
         .select("line", F.struct("doc_id", "line_no").alias("at"), *_name())
@@ -179,36 +178,37 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, counts: bool = False) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, and ``n_chars`` (if there is
-    such a column) set to what is left. ``counts`` adds ``n_lines`` and ``n_removed``.
+    such a column) set to what is left. ``counts`` adds ``n_lines`` and ``n_removed``, in
+    place of columns of these names.
     """
-    bad = broadcast_if_small(repeated_lines(docs), BROADCAST_ROWS)
+    bad = broadcast_if_small(repeated_lines(docs))
     gone = (
         _lines(docs)
         .select("doc_id", "line_no", *_name())
         .join(bad, ["h1", "h2"])
         .filter(F.col("near") | ~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("__doc"))
-        .agg(F.collect_set(F.struct("line_no", "h1")).alias("__gone"))
+        .groupBy(F.col("doc_id").alias("of"))
+        .agg(F.collect_set(F.struct("line_no", "h1")).alias("gone"))
     )
-    joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__doc")), "left")
-    lines = F.split(docs["text"], "\n", -1)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("text").alias("whole"))
+    joined = rows.join(gone, F.col("id").eqNullSafe(F.col("of")), "left")
+    lines = F.split("whole", "\n", -1)
     kept = F.filter(
         F.transform(lines, lambda line, i: F.struct(line.alias("line"), F.struct(i.alias("line_no"), F.xxhash64(line).alias("h1")).alias("id"))),
-        lambda x: ~F.array_contains(F.col("__gone"), x["id"]),
+        lambda x: ~F.array_contains(F.col("gone"), x["id"]),
     )
-    text = F.when(F.col("__gone").isNull(), docs["text"]).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
+    text = F.when(F.col("gone").isNull(), F.col("whole")).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
+    n = F.when(F.col("whole").isNull(), 0).otherwise(F.size(lines)).cast("long")
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long")
+    done = joined.select("row", text.alias("new"), n.alias("lines"), removed.alias("removed"))
     out = []
     for c in docs.columns:
         if c == "text":
-            out.append(text.alias("text"))
+            out.append(F.col("new").alias(c))
         elif c == "n_chars":
-            out.append(F.char_length(text).cast(docs.schema[c].dataType).alias(c))
-        else:
-            out.append(docs[c])
+            out.append(F.char_length("new").cast(docs.schema[c].dataType).alias(c))
+        elif not (counts and c in ("n_lines", "n_removed")):
+            out.append(F.col("row")[c].alias(c))
     if counts:
-        n = F.coalesce(F.size(lines), F.lit(0))
-        out += [
-            F.when(docs["text"].isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
-            F.when(F.col("__gone").isNull(), 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_removed"),
-        ]
-    return joined.select(*out)
+        out += [F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed")]
+    return done.select(*out)

@@ -2,28 +2,34 @@
 
 The k-mers are shingles of five words, each labelled with its occurrence number. A
 sample hashes them with its own seed, takes the two least and keeps them in text order,
-so that it is sensitive to moved text as well as to changed text. ``SAMPLES`` samples
-are joined by two into ``BANDS`` band keys. Of two texts that share 0.8 of their
-shingles, one band agrees with a chance of 0.8 ** 4 = 0.41, some band with 0.9998.
-
-Two texts are linked if they share a band, at least ``SIMILARITY`` of their distinct
-shingles (Jaccard), and the edit distance of their words, found in a band about the
-diagonal that is doubled until it holds the alignment, is at most ``1 - SIMILARITY`` of
-the longer. Classes are the connected components of links.
-
-Equal texts are folded into their least doc_id first. In a bucket every text is aligned
-with a lead, the one whose buckets hold most others, unless links found so far have brought both into one
-class; those left in other classes go on among themselves with eight times the leads a
-round, until none are left. Then, in each bucket that still holds texts of several
-classes, all pairs of texts from different ones are compared by their shingles, in
-blocks, and those alike enough are aligned: no candidate is dropped. A bucket of near
-copies that all come into one class costs one alignment each rather than all pairs; one
-that stays divided costs a comparison of shingles for each pair across its classes.
+so that it is sensitive to moved text as well as to changed text. Each of ``BANDS``
+samples is a key; texts that share a key are candidates. Of two texts whose shingles
+have a Jaccard index of 0.4, some key agrees with a chance of 0.996, at 0.3 with 0.95.
+
+Two texts are linked if they share a key and the edit distance of their words, found in
+a band about the diagonal that is doubled until it holds the alignment, is at most
+``1 - SIMILARITY`` of the longer. Nothing else decides. Classes are the connected
+components of links.
+
+What rules a pair out before its texts are read is implied by that distance: an edit
+changes the number of words by one at most, and takes one word at most out of the bag of
+words. Bags are compared by the counts of ``BINS`` bins of hashed words (profiles), whose
+differences are never greater than those of the words.
+
+Equal texts are folded into one first. In a bucket every text is aligned with a lead,
+the one whose buckets hold most others, unless links found so far have brought both into
+one class; those left in other classes meet eight leads each. Then, in each bucket that
+still holds texts of several classes, the profiles of all texts from different ones are
+compared in blocks, and the pairs that are not ruled out are aligned: no candidate is
+dropped. A bucket of near copies that all come into one class costs one alignment each
+rather than all pairs; one that stays divided costs a comparison of profiles for each
+pair across its classes with compatible lengths.
 
 Edge cases: texts without words (null and empty ones among them) are alike only if
 equal, a null one counting as empty; a text of fewer than five words is one shingle; a
 row with a null doc_id gets the class of an equal text, or null; rows of one doc_id with
-equal texts are one document; an empty table gives no rows; other columns are ignored.
+equal texts are one document, with unlike texts they are judged apart; an empty table
+gives no rows; other columns are ignored, or passed through whatever their names.
 """
 
 from __future__ import annotations
@@ -41,16 +47,17 @@ from eqscene.llm._components import components
 from eqscene.llm._shingles import SHINGLE, chunks, mix, shingle_hashes, word_hashes
 
 SIMILARITY = 0.8
-BANDS = 16
-SAMPLES = 2 * BANDS
+BANDS = 32
 FIRST_BANDS = 2
+LEADS = 8
 BLOCK = 65_536
 CELLS = 8_000_000
-#: A block of a bucket holds texts of about so many shingles, each counted with TEXT_WEIGHT more.
-BLOCK_WEIGHT = 16_384
-TEXT_WEIGHT = 64
-BROADCAST_ROWS = 4_000_000
-_SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BINS = 256
+#: A block of a bucket holds about so many texts.
+BLOCK_TEXTS = 128
+#: What a lead meets is dealt into so many parts, so that no lead is one hot key.
+SALTS = 256
+_SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = mix(_SEEDS) | np.uint64(1)
 _TIE = np.uint64(0xD1342543DE82EF95)
 _MOST = np.uint64(2**64 - 1)
@@ -89,8 +96,7 @@ def bands(shingles: np.ndarray) -> np.ndarray:
         pick = _two_least((own[at] ^ _SEEDS[:, None]) * _FACTORS[:, None])
         at = np.take_along_axis(at, pick, 1)
     at.sort(axis=1)
-    sample = mix(own[at[:, 0]] * _TIE + own[at[:, 1]])
-    return mix(sample[::2] * _TIE + sample[1::2])
+    return mix(own[at[:, 0]] * _TIE + own[at[:, 1]])
 
 
 def word_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
@@ -164,19 +170,21 @@ def _rows(a: np.ndarray, b: np.ndarray, width: int) -> int | None:
     return d if d <= width else None
 
 
+def labels(words: np.ndarray) -> np.ndarray:
+    """The bag of words as a sorted set: each word labelled with its occurrence number."""
+    return np.sort(labelled(words)) if len(words) else words
+
+
 def alike(a: str, b: str, similarity: float = SIMILARITY) -> bool:
-    """Whether two texts are near-duplicates; exact, of the shingle sets and the alignment."""
-    pair = [a.encode(), b.encode()]
-    hashes, count = shingle_hashes(pair)
-    one, two = np.unique(hashes[: count[0]]), np.unique(hashes[count[0] :])
-    if not len(one) or not len(two):
+    """Whether two texts are near-duplicates: exact, by the edit distance of their words."""
+    words, n = word_hashes([a.encode(), b.encode()])
+    if not n.all():
         return a == b
-    shared = len(np.intersect1d(one, two, assume_unique=True))
-    if shared < similarity * (len(one) + len(two) - shared):
-        return False
-    words, n = word_hashes(pair)
     limit = int((1 - similarity) * n.max() + 1e-9)
-    return word_distance(words[: n[0]], words[n[0] :], limit) is not None
+    one, two = words[: n[0]], words[n[0] :]
+    if len(np.intersect1d(labels(one), labels(two), assume_unique=True)) < n.max() - limit:
+        return False
+    return word_distance(one, two, limit) is not None
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,87 +201,64 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _distinct_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         for i, j in chunks(texts):
-            hashes, count = shingle_hashes(texts[i:j])
-            end = np.cumsum(count)
-            own = [np.unique(hashes[e - c : e]) for e, c in zip(end, count, strict=True)]
-            row = pa.array(np.repeat(np.arange(i, j), [len(o) for o in own]))
-            flat = np.concatenate(own).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("rep").take(row), pa.array(flat)], names=["rep", "shingle"])
+            words, n = word_hashes(texts[i:j])
+            at = np.repeat(np.arange(j - i), n) * BINS + (words >> np.uint64(40)).astype(np.int64) % BINS
+            bins = np.bincount(at, minlength=(j - i) * BINS).astype(np.int32).reshape(j - i, BINS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").slice(i, j - i), pa.array(n), pa.array([row.tobytes() for row in bins], pa.binary())],
+                names=["rep", "n", "profile"],
+            )
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts(profiles: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(profiles.to_pylist()), np.int32).reshape(-1, BINS)
+
+
+def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least share of the longer text's words that an edit changes, by profiles."""
+    surplus = np.maximum(a - b, 0).sum(-1)
+    n, m = a.sum(-1), b.sum(-1)
+    return np.maximum(surplus, surplus - n + m) / np.maximum(np.maximum(n, m), 1)
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that their profiles do not rule out."""
     for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        for i, j in chunks(texts):
-            hashes, count = shingle_hashes(texts[i:j])
-            end = np.cumsum(count)
-            own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(end, count, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("rep").slice(i, j - i), pa.array(own, pa.list_(pa.int64()))], names=["rep", "shingles"]
-            )
+        near = _bound(_counts(batch.column("one")), _counts(batch.column("two"))) <= 1 - SIMILARITY + 1e-9
+        yield batch.select(["rep", "lead"]).filter(pa.array(near))
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of two blocks' texts with unlike roots whose shingles are alike enough."""
+    """The pairs of two blocks' texts with unlike roots that their profiles do not rule out."""
     for batch in batches:
         for row in range(batch.num_rows):
             xs, ys = batch.column("xs")[row].values, batch.column("ys")[row].values
-            parts = [(x.field("shingles").flatten().to_numpy(), x.field("shingles").value_lengths().to_numpy()) for x in (xs, ys)]
-            common = np.intersect1d(np.unique(parts[0][0]), np.unique(parts[1][0]), assume_unique=True)
-            held = []
-            for flat, count in parts:
-                at = np.minimum(np.searchsorted(common, flat), max(len(common) - 1, 0))
-                inside = common[at] == flat if len(common) else np.zeros(len(flat), bool)
-                table = np.zeros((len(count), len(common)), np.float32)
-                table[np.repeat(np.arange(len(count)), count)[inside], at[inside]] = 1
-                held.append(table)
-            both = (held[0] @ held[1].T).astype(float)
-            likeness = both / (parts[0][1][:, None] + parts[1][1] - both)
-            roots = [np.array(x.field("root").to_pylist(), object) for x in (xs, ys)]
-            i, j = np.nonzero((likeness >= SIMILARITY - 1e-6) & (roots[0][:, None] != roots[1]))
+            a, b = _counts(xs.field("profile")), _counts(ys.field("profile"))
+            bound = np.stack([_bound(x, b) for x in a])
+            sides = [x.field("side").to_numpy() for x in (xs, ys)]
+            i, j = np.nonzero((bound <= 1 - SIMILARITY + 1e-9) & (sides[0][:, None] != sides[1]))
             yield pa.RecordBatch.from_arrays(
-                [xs.field("rep").take(pa.array(i)), ys.field("rep").take(pa.array(j)), pa.array(likeness[i, j])],
-                names=["rep", "lead", "likeness"],
+                [xs.field("rep").take(pa.array(i)), ys.field("rep").take(pa.array(j)), pa.array(bound[i, j])],
+                names=["rep", "lead", "bound"],
             )
 
 
-def _statistics(members: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
-    """``rep, n, shared, rank``: distinct shingles, those that some other candidate has too,
-    and how many candidates its buckets hold. Texts with too few shared ones to be like
-    any other are left out.
-    """
-    shingles = staged(texts.mapInArrow(_distinct_shingles, f"rep {kind}, shingle long"), "shingles")
-    alone = (
-        shingles.groupBy("shingle")
-        .agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
-        .filter("n = 1")
-        .groupBy("rep")
-        .agg(F.count("*").alias("alone"))
-    )
-    crowd = members.groupBy("band", "value").agg(F.count("*").alias("crowd"))
-    rank = members.join(crowd, ["band", "value"]).groupBy("rep").agg(F.sum("crowd").alias("rank"))
-    return staged(
-        shingles.groupBy("rep")
-        .agg(F.count("*").alias("n"))
-        .join(alone, "rep", "left")
-        .join(rank, "rep")
-        .select("rep", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"), "rank")
-        .filter(F.col("shared") >= SIMILARITY * F.col("n")),
-        "statistics",
-    )
-
-
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = zip(batch.column("text").to_pylist(), batch.column("lead_text").to_pylist(), strict=True)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("rep"), batch.column("lead"), pa.array([alike(a, b) for a, b in texts], pa.bool_())],
-            names=["rep", "lead", "linked"],
-        )
+        texts = zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True)
+        linked = pa.array([alike(a, b) for a, b in texts], pa.bool_())
+        yield batch.select(["rep", "lead"]).filter(linked)
+
+
+def _side_by_side(pairs: DataFrame, of: DataFrame, what: str) -> DataFrame:
+    """``pairs`` (rep, lead) with ``what`` of both, as ``one`` and ``two``; a lead of many pairs is dealt out."""
+    dealt = pairs.select("rep", "lead", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt"))
+    leads = dealt.select("lead", "salt").distinct().join(of.select(F.col("rep").alias("lead"), F.col(what).alias("two")), "lead")
+    return dealt.join(of.select("rep", F.col(what).alias("one")), "rep").join(leads, ["lead", "salt"]).select("rep", "lead", "one", "two")
 
 
 def _with_root(df: DataFrame, column: str, roots: DataFrame | None, name: str) -> DataFrame:
@@ -284,24 +269,18 @@ def _with_root(df: DataFrame, column: str, roots: DataFrame | None, name: str) -
     return df.join(of, column, "left").withColumn(name, F.coalesce("__root", column)).drop("__root")
 
 
-def _needed(n: str, m: str) -> Column:
-    """The least number of shingles that texts of n and m distinct ones share if they are alike."""
-    return SIMILARITY / (1 + SIMILARITY) * (F.col(n) + F.col(m)) - 1e-6
+def _compatible(n: str, m: str) -> Column:
+    """Whether texts of n and m words can be alike at all."""
+    return F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-6
 
 
-def _aligned(pairs: DataFrame, texts: DataFrame, kind: str) -> DataFrame:
-    """Those of ``pairs`` (rep, lead) that are alike."""
-    return staged(
-        pairs.select("rep", "lead")
-        .distinct()
-        .join(texts, "rep")
-        .join(texts.select(F.col("rep").alias("lead"), F.col("text").alias("lead_text")), "lead")
-        .select("rep", "lead", "text", "lead_text")
-        .mapInArrow(_verify, f"rep {kind}, lead {kind}, linked boolean")
-        .filter("linked")
-        .select("rep", "lead"),
-        "verdicts",
-    )
+def _aligned(pairs: DataFrame, profiles: DataFrame | None, texts: DataFrame, kind: str) -> DataFrame:
+    """Those of ``pairs`` (rep, lead) that are alike; with ``profiles`` they are looked at first."""
+    form = f"rep {kind}, lead {kind}"
+    pairs = pairs.select("rep", "lead").distinct()
+    if profiles is not None:
+        pairs = staged(_side_by_side(pairs, profiles, "profile").mapInArrow(_possible, form), "possible")
+    return staged(_side_by_side(pairs, texts, "text").mapInArrow(_verify, form), "verdicts")
 
 
 def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -314,51 +293,47 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return components(edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
-def _divided(members: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rep, lead, likeness``: all pairs of texts that share a bucket but no root, and whose
-    distinct shingles are alike enough.
+def _divided(members: DataFrame, roots: DataFrame | None, profiles: DataFrame, kind: str) -> DataFrame:
+    """``rep, lead, bound``: all pairs of texts that share a bucket but no root, and that
+    lengths and profiles do not rule out.
 
-    The texts of a bucket are dealt into blocks of about BLOCK_WEIGHT, those of a large
-    class apart from all others, so that blocks of one class don't meet; pairs are formed
-    inside a row of two blocks.
+    The texts of a bucket are dealt into blocks of about BLOCK_TEXTS of nearly the same
+    length, those of a large class apart from all others, so that blocks of one class or
+    of incompatible lengths don't meet; pairs are formed inside a row of two blocks.
     """
     bucket = ["band", "value"]
-    rooted = staged(_with_root(members, "rep", roots, "root"), "rooted")
-    sides = rooted.groupBy(*bucket, "root").agg(F.sum(F.col("n") + TEXT_WEIGHT).alias("size"))
+    level = F.floor(F.log("n") / F.log(F.lit(1 / (SIMILARITY - 0.01)))).alias("level")  # lengths of alike texts differ by less than one
+    rooted = staged(_with_root(members.select(*bucket, "rep", "n", level), "rep", roots, "root"), "rooted")
+    sides = rooted.groupBy(*bucket, "root").agg(F.count("*").alias("size"))
     mixed = (
         sides.groupBy(*bucket)
-        .agg(F.count("*").alias("sides"), F.sum(F.when(F.col("size") < BLOCK_WEIGHT, F.col("size"))).alias("small"))
+        .agg(F.count("*").alias("sides"), F.sum(F.when(F.col("size") < BLOCK_TEXTS, F.col("size"))).alias("small"))
         .filter("sides > 1")
     )
-    large = F.col("size") >= BLOCK_WEIGHT
+    large = F.col("size") >= BLOCK_TEXTS
     dealt = sides.join(mixed, bucket).select(
-        *bucket, "root", F.when(large, F.col("root")).alias("owner"), F.ceil(F.when(large, F.col("size")).otherwise(F.col("small")) / BLOCK_WEIGHT).alias("parts")
-    )
-    placed = staged(
-        rooted.join(dealt, [*bucket, "root"]).withColumn("block", F.xxhash64("owner", F.pmod(F.xxhash64("rep"), F.col("parts")))),
-        "placed",
-    )
-    kind = texts.schema["rep"].dataType.simpleString()
-    sets = staged(
-        texts.join(placed.select("rep").distinct(), "rep", "left_semi").mapInArrow(_shingle_sets, f"rep {kind}, shingles array<long>"), "sets"
+        *bucket, "root", F.when(large, F.col("root")).alias("owner"), F.ceil(F.when(large, F.col("size")).otherwise(F.col("small")) / BLOCK_TEXTS).alias("parts")
     )
+    block = F.xxhash64("owner", "level", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    placed = rooted.join(dealt, [*bucket, "root"]).withColumn("block", block)
     blocks = staged(
-        placed.join(sets, "rep")
+        placed.join(profiles.select("rep", "profile"), "rep")
         .groupBy(*bucket, "block")
-        .agg(F.first("owner").alias("owner"), F.collect_list(F.struct("rep", "root", "shingles")).alias("held")),
+        .agg(
+            F.first("owner").alias("owner"),
+            F.first("level").alias("level"),
+            F.collect_list(F.struct("rep", F.xxhash64("root").alias("side"), "profile")).alias("held"),
+        ),
         "blocks",
     )
-    one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"))
-    two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"))
-    meet = one.join(two, bucket).filter("b1 <= b2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
+    one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"), F.col("level").alias("l1"))
+    two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"), F.col("level").alias("l2"))
+    meet = one.join(two, bucket).filter("b1 <= b2 AND abs(l1 - l2) <= 1 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
     met = meet.join(blocks.select(*bucket, F.col("block").alias("b1"), F.col("held").alias("xs")), [*bucket, "b1"]).join(
         blocks.select(*bucket, F.col("block").alias("b2"), F.col("held").alias("ys")), [*bucket, "b2"]
     )
-
-    pairs = met.select("xs", "ys").mapInArrow(_across, f"rep {kind}, lead {kind}, likeness double")
-    return staged(
-        pairs.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead"), "likeness").distinct(), "divided"
-    )
+    pairs = met.select("xs", "ys").mapInArrow(_across, f"rep {kind}, lead {kind}, bound double")
+    return staged(pairs.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead"), "bound").distinct(), "divided")
 
 
 def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
@@ -366,39 +341,33 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
 
     A text that has come into the class of a lead of its bucket meets no more leads there,
     so after the first wave of bands few alignments of a large group are left; buckets that
-    stay divided into classes are gone through by pairs at the end. Two texts
-    of n and m shingles are alike only if they share (n + m) * s / (1 + s); neither can
-    share more than it has in common with any candidate, which rules pairs out unread.
+    stay divided into classes are gone through by pairs at the end.
     """
-    known = _statistics(members, texts, kind)
-    members = members.join(known, "rep")
-    least = members.groupBy("band", "value").agg(F.min("n").alias("least_n"))
-    members = staged(
-        members.join(least, ["band", "value"]).filter(F.col("shared") >= _needed("n", "least_n")).drop("least_n"), "members"
-    )
-    found, roots, leads = None, None, 1
-    waves = [members.filter(F.col("band") < FIRST_BANDS), members.filter(F.col("band") >= FIRST_BANDS)]
-    first = rest = None
-    while True:
-        now = waves.pop(0) if waves else rest
+    profiles = staged(texts.mapInArrow(_profiles, f"rep {kind}, n long, profile binary"), "profiles")
+    crowd = members.groupBy("band", "value").agg(F.count("*").alias("crowd"))
+    rank = members.join(crowd, ["band", "value"]).groupBy("rep").agg(F.sum("crowd").alias("rank"))
+    members = staged(members.join(rank.join(profiles.select("rep", "n"), "rep"), "rep"), "members")
+    place = ["band", "value", "rep"]
+    first = F.col("band") < FIRST_BANDS
+    found, roots, waiting = None, None, None
+    for now, leads in ((members.filter(first), 1), (members.filter(~first), 1), (None, LEADS)):
+        now = waiting if now is None else now
         chosen = (
             now.groupBy(F.col("band").alias("b"), F.col("value").alias("v"), F.pmod(F.xxhash64("rep"), F.lit(leads)).alias("part"))
-            .agg(F.min(F.struct((-F.col("rank")).alias("rank"), "rep", "n", "shared")).alias("best"))
-            .select("b", "v", F.col("best.rep").alias("lead"), F.col("best.n").alias("m"), F.col("best.shared").alias("most"))
+            .agg(F.min(F.struct((-F.col("rank")).alias("rank"), "rep", "n")).alias("best"))
+            .select("b", "v", F.col("best.rep").alias("lead"), F.col("best.n").alias("m"))
         )
         same_bucket = (F.col("band") == F.col("b")) & (F.col("value") == F.col("v")) & (F.col("rep") != F.col("lead"))
-        feasible = F.least("shared", "most") >= _needed("n", "m")
         meeting = staged(
             _with_root(now, "rep", roots, "r1")
-            .join(_with_root(chosen, "lead", roots, "r2"), same_bucket & feasible)
-            .select("band", "value", "rep", "lead", "r1", "r2"),
+            .join(_with_root(chosen, "lead", roots, "r2"), same_bucket & _compatible("n", "m"))
+            .select(*place, "lead", "r1", "r2"),
             "meeting",
         )
-        verdicts = _aligned(meeting.filter("r1 <> r2"), texts, kind)
+        verdicts = _aligned(meeting.filter("r1 <> r2"), profiles, texts, kind)
         found = verdicts if found is None else found.unionByName(verdicts)
         roots = _merged(roots, verdicts)
-        # done with a bucket: who is in the class of a lead that it met, and the leads
-        place = ["band", "value", "rep"]
+        # done with leads: who is in the class of one that it met, and the leads themselves
         joined = (
             _with_root(_with_root(meeting.select(*place, "lead"), "rep", roots, "r1"), "lead", roots, "r2")
             .filter("r1 = r2")
@@ -406,85 +375,88 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
             .unionByName(chosen.select(F.col("b").alias("band"), F.col("v").alias("value"), F.col("lead").alias("rep")))
         )
         late = now.join(joined.distinct(), place, "left_anti")
-        waiting = late if first is None else late.unionByName(first)
-        if waves:
-            first = waiting
-            continue
-        first = None
-        crowded = waiting.groupBy("band", "value").agg(F.count("*").alias("crowd")).filter("crowd > 1").select("band", "value")
-        rest, leads = staged(waiting.join(crowded, ["band", "value"]).select(*now.columns), "members"), 8 * leads
-        if rest.isEmpty():
-            break
-    # who left a bucket may be like those who stayed: first the likest pair of each two classes, then all whose classes still differ
-    left = _divided(members, roots, texts)
+        waiting = late if waiting is None else staged(late.unionByName(waiting), "waiting")
+    # what shares a bucket but no class: first the likest pair of each two classes, then all whose classes still differ
+    left = _divided(members, roots, profiles, kind)
     sides = ["r1", "r2"]
     for likest in (True, False):
         apart = _with_root(_with_root(left, "rep", roots, "r1"), "lead", roots, "r2").filter("r1 <> r2")
         if likest:
             apart = apart.groupBy(F.least(*sides).alias("r1"), F.greatest(*sides).alias("r2")).agg(
-                F.max_by(F.struct("rep", "lead"), F.struct("likeness", "rep", "lead")).alias("pair")
+                F.min_by(F.struct("rep", "lead"), F.struct("bound", "rep", "lead")).alias("pair")
             ).select("pair.*")
-        verdicts = _aligned(apart, texts, kind)
+        verdicts = _aligned(apart, None, texts, kind)
         found, roots = found.unionByName(verdicts), _merged(roots, verdicts)
     return found, roots
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id, copy_of, n_links`` for every row of ``docs``.
+def _hashed(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")
 
-    ``class_id`` is the least doc_id of the class, ``copy_of`` that of equal texts,
-    ``n_links`` the number of links that were verified for the text (those that tie the
-    class together; within a class not every pair is aligned).
-    """
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, h1, h2, class_id, copy_of, n_links`` for every row of ``docs``; texts are known by (h1, h2)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = whole_text()
-    hashed = docs.select(
-        "doc_id", F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"), text.alias("text")
-    )
+    hashed = docs.select("doc_id", *_hashed(text), text.alias("text"))
     sketches = staged(
         hashed.mapInArrow(_sketch, f"doc_id {kind}, h1 long, h2 long, bands array<long>"), "sketches"
     )
-    reps = staged(sketches.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")).filter("rep is not null"), "reps")
-    keyed = (
-        sketches.join(reps, ["h1", "h2"])
-        .filter("doc_id = rep")
-        .select("rep", F.posexplode("bands").alias("band", "value"))
-        .distinct()
+    reps = staged(
+        sketches.groupBy("h1", "h2")
+        .agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
+        .filter("first IS NOT NULL")
+        .select(F.struct(F.col("first").alias("doc_id"), "h1", "h2").alias("rep"), "bands"),
+        "reps",
     )
+    keyed = reps.select("rep", F.posexplode("bands").alias("band", "value"))
     crowded = keyed.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1").select("band", "value")
     members = staged(keyed.join(crowded, ["band", "value"]), "members")
-    wanted = broadcast_if_small(staged(members.select("rep").distinct(), "wanted"), BROADCAST_ROWS)
-    texts = staged(
-        docs.select(F.col("doc_id").alias("rep"), text.alias("text")).join(wanted, "rep", "left_semi").dropDuplicates(["rep"]),
-        "texts",
-    )
-    found, roots = _links(members, texts, kind)
-    links = found.select(F.col("rep").alias("u"), F.col("lead").alias("v")).distinct()
+    wanted = broadcast_if_small(staged(members.select("rep").distinct(), "wanted"))
+    rep = F.struct("doc_id", "h1", "h2").alias("rep")
+    texts = staged(hashed.select(rep, "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "texts")
+    form = f"struct<doc_id:{kind},h1:bigint,h2:bigint>"
+    found, roots = _links(members, texts, form)
+    links = found.select(F.col("rep").alias("u"), F.col("lead").alias("v"))
     degree = (
         links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         .distinct()
         .groupBy(F.col("u").alias("rep"))
         .agg(F.count("*").alias("n_links"))
     )
-    return (
-        sketches.select("doc_id", "h1", "h2")
-        .join(reps, ["h1", "h2"], "left")
+    known = staged(
+        reps.select("rep")
         .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .join(degree, "rep", "left")
         .select(
-            "doc_id",
-            F.coalesce("root", "rep").alias("class_id"),
-            F.col("rep").alias("copy_of"),
+            "rep.h1",
+            "rep.h2",
+            F.coalesce("root.doc_id", "rep.doc_id").alias("class_id"),
+            F.col("rep.doc_id").alias("copy_of"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        )
+        ),
+        "classes",
     )
+    return sketches.select("doc_id", "h1", "h2").join(known, ["h1", "h2"], "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, class_id, copy_of, n_links`` for every row of ``docs``.
+
+    ``class_id`` is the least doc_id of the class, ``copy_of`` that of equal texts,
+    ``n_links`` the number of links that were verified for the text (those that tie the
+    class together; within a class not every pair is aligned).
+    """
+    return _classes(docs).select("doc_id", "class_id", "copy_of", "n_links")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the least of its class, with all their columns."""
-    later = near_duplicates(docs).filter("class_id <> doc_id").select(F.col("doc_id").alias("__later")).distinct()
-    later = broadcast_if_small(staged(later, "later"), BROADCAST_ROWS)
-    return docs.join(later, docs["doc_id"] == F.col("__later"), "left_anti")
+    key = ["id", "h1", "h2"]
+    later = _classes(docs).filter("class_id <> doc_id").select(F.col("doc_id").alias("id"), "h1", "h2").distinct()
+    later = broadcast_if_small(staged(later, "later"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), *_hashed(whole_text()))
+    return rows.join(later, key, "left_anti").select("row.*")
 
 
 __all__ = ["SHINGLE", "SIMILARITY", "alike", "drop_near_duplicates", "near_duplicates", "word_distance"]

@@ -111,7 +111,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = r"""
 WITH d AS (
-  SELECT DISTINCT doc_id, regexp_extract_all(
+  SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (
