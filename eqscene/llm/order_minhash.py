@@ -14,16 +14,18 @@ components of links.
 What rules a pair out before its texts are read is implied by that distance: an edit
 changes the number of words by one at most, and takes one word at most out of the bag of
 words. Bags are compared by the counts of ``BINS`` bins of hashed words (profiles), whose
-differences are never greater than those of the words.
+differences are never greater than those of the words. Texts travel as 32-bit codes of
+their words, and many pairs of about the same length are aligned at once.
 
 Equal texts are folded into one first. In a bucket every text is aligned with a lead,
 the one whose buckets hold most others, unless links found so far have brought both into
 one class; those left in other classes meet eight leads each. Then, in each bucket that
-still holds texts of several classes, the profiles of all texts from different ones are
-compared in blocks, and the pairs that are not ruled out are aligned: no candidate is
-dropped. A bucket of near copies that all come into one class costs one alignment each
-rather than all pairs; one that stays divided costs a comparison of profiles for each
-pair across its classes with compatible lengths.
+still holds texts of several classes, all texts from different ones are compared in
+blocks of bounded size, by profiles and where these don't rule it out by alignment: no
+candidate is dropped, and only links that bring two classes together leave a block. A
+bucket of near copies that all come into one class costs one alignment each rather than
+all pairs; one that stays divided costs a comparison for each pair across its classes
+with compatible lengths.
 
 Edge cases: texts without words (null and empty ones among them) are alike only if
 equal, a null one counting as empty; a text of fewer than five words is one shingle; a
@@ -53,8 +55,10 @@ LEADS = 8
 BLOCK = 65_536
 CELLS = 8_000_000
 BINS = 256
-#: A block of a bucket holds about so many texts.
-BLOCK_TEXTS = 128
+#: A block of a bucket holds about so many bytes of codes.
+BLOCK_BYTES = 2_000_000
+#: Texts of up to so many words are aligned many at once, PAIRS of them.
+SHORT, PAIRS = 2_000, 512
 #: What a lead meets is dealt into so many parts, so that no lead is one hot key.
 SALTS = 256
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -201,21 +205,24 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         for i, j in chunks(texts):
             words, n = word_hashes(texts[i:j])
-            at = np.repeat(np.arange(j - i), n) * BINS + (words >> np.uint64(40)).astype(np.int64) % BINS
-            bins = np.bincount(at, minlength=(j - i) * BINS).astype(np.int32).reshape(j - i, BINS)
+            code, end = (words >> np.uint64(32)).astype(np.uint32), np.cumsum(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("rep").slice(i, j - i), pa.array(n), pa.array([row.tobytes() for row in bins], pa.binary())],
-                names=["rep", "n", "profile"],
+                [batch.column("rep").slice(i, j - i), pa.array(n), pa.array([code[e - k : e].tobytes() for e, k in zip(end, n, strict=True)], pa.binary())],
+                names=["rep", "n", "words"],
             )
 
 
-def _counts(profiles: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(profiles.to_pylist()), np.int32).reshape(-1, BINS)
+def _opened(codes: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint32) for x in codes.to_pylist()]
+
+
+def _profile(words: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.bincount(w % BINS, minlength=BINS) for w in words]).astype(np.int32) if words else np.zeros((0, BINS), np.int32)
 
 
 def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -225,35 +232,98 @@ def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(surplus, surplus - n + m) / np.maximum(np.maximum(n, m), 1)
 
 
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that their profiles do not rule out."""
+def within(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """For each pair whether its edit distance is at most ``1 - SIMILARITY`` of the longer."""
+    size = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
+    limit = ((1 - SIMILARITY) * size.max(1, initial=0) + 1e-9).astype(np.int64)
+    out = np.zeros(len(a), bool)
+    fits = np.abs(size[:, 0] - size[:, 1]) <= limit
+    long = size.max(1, initial=0) > SHORT
+    for k in np.flatnonzero(fits & long):
+        out[k] = word_distance(a[k], b[k], int(limit[k])) is not None
+    todo = np.flatnonzero(fits & ~long)
+    todo = todo[np.argsort(size[todo, 0], kind="stable")]
+    for k in range(0, len(todo), PAIRS):
+        pick = todo[k : k + PAIRS]
+        out[pick] = _rows_at_once([a[i] for i in pick], [b[i] for i in pick], size[pick], limit[pick])
+    return out
+
+
+def _rows_at_once(a: list[np.ndarray], b: list[np.ndarray], size: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """The rows of many alignments in one band; those that can't end within their limit leave early."""
+    w, big = int(limit.max()), 1 << 20
+    one = np.full((len(a), int(size[:, 0].max()) + 1), -1, np.int64)
+    two = np.full((len(a), one.shape[1] + 2 * w + 1), -2, np.int64)
+    for k, (x, y) in enumerate(zip(a, b, strict=True)):
+        one[k, : len(x)], two[k, w : w + len(y)] = x, y[: two.shape[1] - w]
+    diagonal = np.arange(-w, w + 1, dtype=np.int32)
+    row = np.broadcast_to(np.where(diagonal >= 0, diagonal, big), (len(a), 2 * w + 1)).astype(np.int32)
+    out, at = np.zeros(len(a), bool), np.arange(len(a))
+    la, goal, limit = size[:, 0], size[:, 1] - size[:, 0] + w, limit.copy()
+    for i in range(one.shape[1]):
+        done = la == i
+        if done.any():
+            out[at[done]] = row[done, goal[done]] <= limit[done]
+        if done.any() or i % 16 == 15:
+            keep = ~done & (row.min(1) <= limit)
+            if not keep.any():
+                break
+            if not keep.all():
+                one, two, row, at, la, goal, limit = one[keep], two[keep], row[keep], at[keep], la[keep], goal[keep], limit[keep]
+        new = row + (two[:, i : i + 2 * w + 1] != one[:, i, None])
+        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
+        if i < w:
+            new[:, : w - i - 1], new[:, w - i - 1] = big, i + 1
+        row = np.minimum.accumulate(new - diagonal, 1) + diagonal
+    return out
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        near = _bound(_counts(batch.column("one")), _counts(batch.column("two"))) <= 1 - SIMILARITY + 1e-9
-        yield batch.select(["rep", "lead"]).filter(pa.array(near))
+        one, two = _opened(batch.column("one")), _opened(batch.column("two"))
+        near = np.flatnonzero(_bound(_profile(one), _profile(two)) <= 1 - SIMILARITY + 1e-9)
+        linked = near[within([one[k] for k in near], [two[k] for k in near])]
+        yield batch.select(["rep", "lead"]).take(pa.array(linked))
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs of two blocks' texts with unlike roots that their profiles do not rule out."""
+    """Of a block, or of two that meet: links that bring texts of unlike sides together, until none is left."""
     for batch in batches:
         for row in range(batch.num_rows):
-            xs, ys = batch.column("xs")[row].values, batch.column("ys")[row].values
-            a, b = _counts(xs.field("profile")), _counts(ys.field("profile"))
-            bound = np.stack([_bound(x, b) for x in a])
-            sides = [x.field("side").to_numpy() for x in (xs, ys)]
-            i, j = np.nonzero((bound <= 1 - SIMILARITY + 1e-9) & (sides[0][:, None] != sides[1]))
+            held = [c[row].values for c in (batch.column("xs"), batch.column("ys")) if c[row].is_valid]
+            reps = pa.concat_arrays([x.field("rep") for x in held])
+            words = [w for x in held for w in _opened(x.field("words"))]
+            _, side = np.unique(np.concatenate([x.field("side").to_numpy() for x in held]), return_inverse=True)
+            block = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            n, profile = np.array([len(w) for w in words]), _profile(words)
+            order = np.argsort(n, kind="stable")
+            found: list[tuple[int, int]] = []
+            pairs: list[tuple[int, int]] = []
+
+            def settle() -> None:
+                """Align what waits; a link gives both sides one number."""
+                open_pairs = [(x, y) for x, y in pairs if side[x] != side[y]]
+                pairs.clear()
+                for (x, y), ok in zip(open_pairs, within([words[x] for x, _ in open_pairs], [words[y] for _, y in open_pairs]), strict=True):
+                    if ok and side[x] != side[y]:
+                        found.append((x, y))
+                        side[side == side[y]] = side[x]
+
+            for k, x in enumerate(order):
+                stop = int(np.searchsorted(n[order], n[x] / SIMILARITY + 1e-6, "right"))
+                others = order[k + 1 : stop]
+                others = others[(side[others] != side[x]) & ((block[others] != block[x]) | (len(held) == 1))]
+                if len(others):
+                    near = others[_bound(profile[x], profile[others]) <= 1 - SIMILARITY + 1e-9]
+                    pairs += [(int(x), int(y)) for y in near]
+                if len(pairs) >= PAIRS:
+                    settle()
+            settle()
             yield pa.RecordBatch.from_arrays(
-                [xs.field("rep").take(pa.array(i)), ys.field("rep").take(pa.array(j)), pa.array(bound[i, j])],
-                names=["rep", "lead", "bound"],
+                [reps.take(pa.array([x for x, _ in found], pa.int64())), reps.take(pa.array([y for _, y in found], pa.int64()))], names=["rep", "lead"]
             )
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = zip(batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True)
-        linked = pa.array([alike(a, b) for a, b in texts], pa.bool_())
-        yield batch.select(["rep", "lead"]).filter(linked)
-
-
 def _side_by_side(pairs: DataFrame, of: DataFrame, what: str) -> DataFrame:
     """``pairs`` (rep, lead) with ``what`` of both, as ``one`` and ``two``; a lead of many pairs is dealt out."""
     dealt = pairs.select("rep", "lead", F.pmod(F.xxhash64("rep"), F.lit(SALTS)).alias("salt"))
@@ -274,13 +344,12 @@ def _compatible(n: str, m: str) -> Column:
     return F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-6
 
 
-def _aligned(pairs: DataFrame, profiles: DataFrame | None, texts: DataFrame, kind: str) -> DataFrame:
-    """Those of ``pairs`` (rep, lead) that are alike; with ``profiles`` they are looked at first."""
-    form = f"rep {kind}, lead {kind}"
-    pairs = pairs.select("rep", "lead").distinct()
-    if profiles is not None:
-        pairs = staged(_side_by_side(pairs, profiles, "profile").mapInArrow(_possible, form), "possible")
-    return staged(_side_by_side(pairs, texts, "text").mapInArrow(_verify, form), "verdicts")
+def _aligned(pairs: DataFrame, codes: DataFrame, kind: str) -> DataFrame:
+    """Those of ``pairs`` (rep, lead) that are alike."""
+    pairs = staged(pairs.select("rep", "lead").distinct(), "pairs")
+    used = broadcast_if_small(staged(pairs.select("rep").unionByName(pairs.select(F.col("lead").alias("rep"))).distinct(), "used"))
+    near = _side_by_side(pairs, codes.join(used, "rep", "left_semi"), "words")
+    return staged(near.mapInArrow(_verify, f"rep {kind}, lead {kind}"), "verdicts")
 
 
 def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -293,47 +362,38 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return components(edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
-def _divided(members: DataFrame, roots: DataFrame | None, profiles: DataFrame, kind: str) -> DataFrame:
-    """``rep, lead, bound``: all pairs of texts that share a bucket but no root, and that
-    lengths and profiles do not rule out.
+def _divided(members: DataFrame, roots: DataFrame | None, codes: DataFrame, kind: str) -> DataFrame:
+    """``rep, lead``: links between texts that share a bucket but no root.
 
-    The texts of a bucket are dealt into blocks of about BLOCK_TEXTS of nearly the same
-    length, those of a large class apart from all others, so that blocks of one class or
-    of incompatible lengths don't meet; pairs are formed inside a row of two blocks.
+    The texts of a bucket are dealt into blocks of about BLOCK_BYTES, those of a large
+    class apart from all others, so that blocks of one class don't meet; pairs are formed
+    inside a block, or a row of two.
     """
     bucket = ["band", "value"]
-    level = F.floor(F.log("n") / F.log(F.lit(1 / (SIMILARITY - 0.01)))).alias("level")  # lengths of alike texts differ by less than one
-    rooted = staged(_with_root(members.select(*bucket, "rep", "n", level), "rep", roots, "root"), "rooted")
-    sides = rooted.groupBy(*bucket, "root").agg(F.count("*").alias("size"))
-    mixed = (
-        sides.groupBy(*bucket)
-        .agg(F.count("*").alias("sides"), F.sum(F.when(F.col("size") < BLOCK_TEXTS, F.col("size"))).alias("small"))
-        .filter("sides > 1")
-    )
-    large = F.col("size") >= BLOCK_TEXTS
-    dealt = sides.join(mixed, bucket).select(
-        *bucket, "root", F.when(large, F.col("root")).alias("owner"), F.ceil(F.when(large, F.col("size")).otherwise(F.col("small")) / BLOCK_TEXTS).alias("parts")
-    )
-    block = F.xxhash64("owner", "level", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    placed = rooted.join(dealt, [*bucket, "root"]).withColumn("block", block)
+    rooted = staged(_with_root(members.select(*bucket, "rep", "n"), "rep", roots, "root"), "rooted")
+    sides = rooted.groupBy(*bucket, "root").agg(F.sum(4 * F.col("n") + 200).alias("size"))
+    large = F.col("size") >= BLOCK_BYTES
+    mixed = sides.groupBy(*bucket).agg(F.count("*").alias("sides"), F.sum(F.when(~large, F.col("size"))).alias("small")).filter("sides > 1")
+    parts = F.ceil(F.when(large, F.col("size")).otherwise(F.col("small")) / BLOCK_BYTES)
+    dealt = sides.join(mixed, bucket).select(*bucket, "root", F.when(large, F.col("root")).alias("owner"), parts.alias("parts"))
+    block = F.xxhash64("owner", F.pmod(F.xxhash64("rep"), F.col("parts")))
     blocks = staged(
-        placed.join(profiles.select("rep", "profile"), "rep")
+        rooted.join(dealt, [*bucket, "root"])
+        .withColumn("block", block)
+        .join(codes.select("rep", "words"), "rep")
         .groupBy(*bucket, "block")
-        .agg(
-            F.first("owner").alias("owner"),
-            F.first("level").alias("level"),
-            F.collect_list(F.struct("rep", F.xxhash64("root").alias("side"), "profile")).alias("held"),
-        ),
+        .agg(F.first("owner").alias("owner"), F.collect_list(F.struct("rep", F.xxhash64("root").alias("side"), "words")).alias("held")),
         "blocks",
     )
-    one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"), F.col("level").alias("l1"))
-    two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"), F.col("level").alias("l2"))
-    meet = one.join(two, bucket).filter("b1 <= b2 AND abs(l1 - l2) <= 1 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
+    inside = blocks.filter("owner IS NULL").select(F.col("held").alias("xs"), F.lit(None).cast(blocks.schema["held"].dataType).alias("ys"))
+    one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"))
+    two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"))
+    meet = one.join(two, bucket).filter("b1 < b2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
     met = meet.join(blocks.select(*bucket, F.col("block").alias("b1"), F.col("held").alias("xs")), [*bucket, "b1"]).join(
         blocks.select(*bucket, F.col("block").alias("b2"), F.col("held").alias("ys")), [*bucket, "b2"]
     )
-    pairs = met.select("xs", "ys").mapInArrow(_across, f"rep {kind}, lead {kind}, bound double")
-    return staged(pairs.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead"), "bound").distinct(), "divided")
+    links = inside.unionByName(met.select("xs", "ys")).mapInArrow(_across, f"rep {kind}, lead {kind}")
+    return staged(links.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead")).distinct(), "divided")
 
 
 def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
@@ -343,10 +403,10 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
     so after the first wave of bands few alignments of a large group are left; buckets that
     stay divided into classes are gone through by pairs at the end.
     """
-    profiles = staged(texts.mapInArrow(_profiles, f"rep {kind}, n long, profile binary"), "profiles")
+    codes = staged(texts.mapInArrow(_codes, f"rep {kind}, n long, words binary"), "codes")
     crowd = members.groupBy("band", "value").agg(F.count("*").alias("crowd"))
     rank = members.join(crowd, ["band", "value"]).groupBy("rep").agg(F.sum("crowd").alias("rank"))
-    members = staged(members.join(rank.join(profiles.select("rep", "n"), "rep"), "rep"), "members")
+    members = staged(members.join(rank.join(codes.select("rep", "n"), "rep"), "rep"), "members")
     place = ["band", "value", "rep"]
     first = F.col("band") < FIRST_BANDS
     found, roots, waiting = None, None, None
@@ -364,7 +424,7 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
             .select(*place, "lead", "r1", "r2"),
             "meeting",
         )
-        verdicts = _aligned(meeting.filter("r1 <> r2"), profiles, texts, kind)
+        verdicts = _aligned(meeting.filter("r1 <> r2"), codes, kind)
         found = verdicts if found is None else found.unionByName(verdicts)
         roots = _merged(roots, verdicts)
         # done with leads: who is in the class of one that it met, and the leads themselves
@@ -376,18 +436,8 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
         )
         late = now.join(joined.distinct(), place, "left_anti")
         waiting = late if waiting is None else staged(late.unionByName(waiting), "waiting")
-    # what shares a bucket but no class: first the likest pair of each two classes, then all whose classes still differ
-    left = _divided(members, roots, profiles, kind)
-    sides = ["r1", "r2"]
-    for likest in (True, False):
-        apart = _with_root(_with_root(left, "rep", roots, "r1"), "lead", roots, "r2").filter("r1 <> r2")
-        if likest:
-            apart = apart.groupBy(F.least(*sides).alias("r1"), F.greatest(*sides).alias("r2")).agg(
-                F.min_by(F.struct("rep", "lead"), F.struct("bound", "rep", "lead")).alias("pair")
-            ).select("pair.*")
-        verdicts = _aligned(apart, None, texts, kind)
-        found, roots = found.unionByName(verdicts), _merged(roots, verdicts)
-    return found, roots
+    across = _divided(members, roots, codes, kind)
+    return found.unionByName(across), _merged(roots, across)
 
 
 def _hashed(text: Column) -> tuple[Column, Column]:
@@ -414,7 +464,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     members = staged(keyed.join(crowded, ["band", "value"]), "members")
     wanted = broadcast_if_small(staged(members.select("rep").distinct(), "wanted"))
     rep = F.struct("doc_id", "h1", "h2").alias("rep")
-    texts = staged(hashed.select(rep, "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "texts")
+    texts = hashed.select(rep, "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
     form = f"struct<doc_id:{kind},h1:bigint,h2:bigint>"
     found, roots = _links(members, texts, form)
     links = found.select(F.col("rep").alias("u"), F.col("lead").alias("v"))

@@ -80,6 +80,15 @@ def test_word_distance():
             assert order_minhash._rows(x, y, 40) == d
 
 
+def test_alignments_at_once():
+    rng = random.Random(12)
+    a = [np.array([rng.randint(1, 6) for _ in range(rng.choice([1, 5, 40, 41, 90]))], np.uint32) for _ in range(300)]
+    b = [np.array([w for w in x if rng.random() > rng.choice([0, 0.1, 0.2])] + [rng.randint(1, 6)] * rng.choice([0, 1, 9]), np.uint32) for x in a]
+    want = [order_minhash.word_distance(x, y, int(0.2 * max(len(x), len(y)) + 1e-9)) is not None for x, y in zip(a, b, strict=True)]
+    assert order_minhash.within(a, b).tolist() == want and 50 < sum(want) < 250
+    assert order_minhash.within([], []).tolist() == []
+
+
 def test_components(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "u long, v long")).collect()}
