@@ -57,6 +57,8 @@ CELLS = 8_000_000
 BINS = 256
 #: A block of a bucket holds about so many bytes of codes.
 BLOCK_BYTES = 2_000_000
+#: Overlaps of bags are counted for so many words of either side at once.
+TILE_WORDS = 200_000
 #: Texts of up to so many words are aligned many at once, PAIRS of them.
 SHORT, PAIRS = 2_000, 512
 #: What a lead meets is dealt into so many parts, so that no lead is one hot key.
@@ -232,6 +234,41 @@ def _bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(surplus, surplus - n + m) / np.maximum(np.maximum(n, m), 1)
 
 
+def _features(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) of all words: the first, second, ... word of each bin are features of their own."""
+    text = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    key = np.sort(text * BINS + np.concatenate(words).astype(np.int64) % BINS)
+    at = np.arange(len(key))
+    new = np.append(True, key[1:] != key[:-1])
+    return key // BINS, (at - np.maximum.accumulate(np.where(new, at, 0))) * BINS + key % BINS
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many words each of ``a`` has in common with each of ``b`` at most: a product of 0-1 matrices."""
+    sides = [_features(a), _features(b)]
+    common = np.intersect1d(np.unique(sides[0][1]), np.unique(sides[1][1]), assume_unique=True)
+    tables = []
+    for (text, feature), n in zip(sides, (len(a), len(b)), strict=True):
+        at = np.minimum(np.searchsorted(common, feature), max(len(common) - 1, 0))
+        inside = common[at] == feature if len(common) else np.zeros(len(feature), bool)
+        table = np.zeros((n, len(common)), np.float32)
+        table[text[inside], at[inside]] = 1
+        tables.append(table)
+    return tables[0] @ tables[1].T
+
+
+def _tiles(n: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about TILE_WORDS, by their lengths."""
+    start = total = 0
+    for i, k in enumerate(n.tolist()):
+        if i > start and total + k > TILE_WORDS:
+            yield start, i
+            start, total = i, 0
+        total += k
+    if start < len(n):
+        yield start, len(n)
+
+
 def within(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """For each pair whether its edit distance is at most ``1 - SIMILARITY`` of the longer."""
     size = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)], np.int64).reshape(-1, 2)
@@ -295,8 +332,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = [w for x in held for w in _opened(x.field("words"))]
             _, side = np.unique(np.concatenate([x.field("side").to_numpy() for x in held]), return_inverse=True)
             block = np.repeat(np.arange(len(held)), [len(x) for x in held])
-            n, profile = np.array([len(w) for w in words]), _profile(words)
-            order = np.argsort(n, kind="stable")
+            order = np.argsort([len(w) for w in words], kind="stable")
+            n = np.array([len(words[k]) for k in order])
             found: list[tuple[int, int]] = []
             pairs: list[tuple[int, int]] = []
 
@@ -309,15 +346,18 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         found.append((x, y))
                         side[side == side[y]] = side[x]
 
-            for k, x in enumerate(order):
-                stop = int(np.searchsorted(n[order], n[x] / SIMILARITY + 1e-6, "right"))
-                others = order[k + 1 : stop]
-                others = others[(side[others] != side[x]) & ((block[others] != block[x]) | (len(held) == 1))]
-                if len(others):
-                    near = others[_bound(profile[x], profile[others]) <= 1 - SIMILARITY + 1e-9]
-                    pairs += [(int(x), int(y)) for y in near]
-                if len(pairs) >= PAIRS:
-                    settle()
+            for i, j in _tiles(n):
+                stop = int(np.searchsorted(n, n[j - 1] / SIMILARITY + 1e-6, "right"))
+                for k, m in _tiles(n[i:stop]):
+                    xs, ys = order[i:j], order[i + k : i + m]
+                    shared = _overlaps([words[x] for x in xs], [words[y] for y in ys])
+                    near = shared >= SIMILARITY * np.maximum(n[i:j, None], n[i + k : i + m]) - 1e-6
+                    near &= (side[xs][:, None] != side[ys]) & (np.arange(i, j)[:, None] < np.arange(i + k, i + m))
+                    near &= (block[xs][:, None] != block[ys]) | (len(held) == 1)
+                    for x, y in zip(*np.nonzero(near), strict=True):
+                        pairs.append((int(xs[x]), int(ys[y])))
+                        if len(pairs) >= 4 * PAIRS:
+                            settle()
             settle()
             yield pa.RecordBatch.from_arrays(
                 [reps.take(pa.array([x for x, _ in found], pa.int64())), reps.take(pa.array([y for _, y in found], pa.int64()))], names=["rep", "lead"]
