@@ -324,12 +324,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a block, or of two that meet: links that bring texts of unlike sides together, until none is left."""
+    """Of a block, or of two that meet: links that bring texts of unlike sides together, until none is left.
+
+    A pair is looked at in the first band only whose key it shares.
+    """
     for batch in batches:
         for row in range(batch.num_rows):
             held = [c[row].values for c in (batch.column("xs"), batch.column("ys")) if c[row].is_valid]
             reps = pa.concat_arrays([x.field("rep") for x in held])
             words = [w for x in held for w in _opened(x.field("words"))]
+            keys = np.concatenate([x.field("bands").flatten().to_numpy() for x in held]).reshape(len(reps), -1)
+            keys = keys[:, : batch.column("band")[row].as_py()]
             _, side = np.unique(np.concatenate([x.field("side").to_numpy() for x in held]), return_inverse=True)
             block = np.repeat(np.arange(len(held)), [len(x) for x in held])
             order = np.argsort([len(w) for w in words], kind="stable")
@@ -354,8 +359,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     near = shared >= SIMILARITY * np.maximum(n[i:j, None], n[i + k : i + m]) - 1e-6
                     near &= (side[xs][:, None] != side[ys]) & (np.arange(i, j)[:, None] < np.arange(i + k, i + m))
                     near &= (block[xs][:, None] != block[ys]) | (len(held) == 1)
-                    for x, y in zip(*np.nonzero(near), strict=True):
-                        pairs.append((int(xs[x]), int(ys[y])))
+                    one, two = np.nonzero(near)
+                    for c in range(0, len(one), 4 * PAIRS):
+                        x, y = xs[one[c : c + 4 * PAIRS]], ys[two[c : c + 4 * PAIRS]]
+                        fresh = ~(keys[x] == keys[y]).any(1)
+                        pairs += zip(x[fresh].tolist(), y[fresh].tolist(), strict=True)
                         if len(pairs) >= 4 * PAIRS:
                             settle()
             settle()
@@ -402,7 +410,7 @@ def _merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
     return components(edges.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
 
 
-def _divided(members: DataFrame, roots: DataFrame | None, codes: DataFrame, kind: str) -> DataFrame:
+def _divided(members: DataFrame, roots: DataFrame | None, codes: DataFrame, reps: DataFrame, kind: str) -> DataFrame:
     """``rep, lead``: links between texts that share a bucket but no root.
 
     The texts of a bucket are dealt into blocks of about BLOCK_BYTES, those of a large
@@ -420,23 +428,23 @@ def _divided(members: DataFrame, roots: DataFrame | None, codes: DataFrame, kind
     blocks = staged(
         rooted.join(dealt, [*bucket, "root"])
         .withColumn("block", block)
-        .join(codes.select("rep", "words"), "rep")
+        .join(codes.select("rep", "words").join(reps, "rep"), "rep")
         .groupBy(*bucket, "block")
-        .agg(F.first("owner").alias("owner"), F.collect_list(F.struct("rep", F.xxhash64("root").alias("side"), "words")).alias("held")),
+        .agg(F.first("owner").alias("owner"), F.collect_list(F.struct("rep", F.xxhash64("root").alias("side"), "words", "bands")).alias("held")),
         "blocks",
     )
-    inside = blocks.filter("owner IS NULL").select(F.col("held").alias("xs"), F.lit(None).cast(blocks.schema["held"].dataType).alias("ys"))
+    inside = blocks.filter("owner IS NULL").select("band", F.col("held").alias("xs"), F.lit(None).cast(blocks.schema["held"].dataType).alias("ys"))
     one = blocks.select(*bucket, F.col("block").alias("b1"), F.col("owner").alias("o1"))
     two = blocks.select(*bucket, F.col("block").alias("b2"), F.col("owner").alias("o2"))
     meet = one.join(two, bucket).filter("b1 < b2 AND (o1 IS NULL OR o2 IS NULL OR o1 <> o2)").select(*bucket, "b1", "b2")
     met = meet.join(blocks.select(*bucket, F.col("block").alias("b1"), F.col("held").alias("xs")), [*bucket, "b1"]).join(
         blocks.select(*bucket, F.col("block").alias("b2"), F.col("held").alias("ys")), [*bucket, "b2"]
     )
-    links = inside.unionByName(met.select("xs", "ys")).mapInArrow(_across, f"rep {kind}, lead {kind}")
+    links = inside.unionByName(met.select("band", "xs", "ys")).mapInArrow(_across, f"rep {kind}, lead {kind}")
     return staged(links.select(F.greatest("rep", "lead").alias("rep"), F.least("rep", "lead").alias("lead")).distinct(), "divided")
 
 
-def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+def _links(members: DataFrame, texts: DataFrame, reps: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """Verified links (rep, lead), and the roots they give; ``members`` are (band, value, rep).
 
     A text that has come into the class of a lead of its bucket meets no more leads there,
@@ -476,7 +484,7 @@ def _links(members: DataFrame, texts: DataFrame, kind: str) -> tuple[DataFrame,
         )
         late = now.join(joined.distinct(), place, "left_anti")
         waiting = late if waiting is None else staged(late.unionByName(waiting), "waiting")
-    across = _divided(members, roots, codes, kind)
+    across = _divided(members, roots, codes, reps, kind)
     return found.unionByName(across), _merged(roots, across)
 
 
@@ -506,7 +514,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     rep = F.struct("doc_id", "h1", "h2").alias("rep")
     texts = hashed.select(rep, "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
     form = f"struct<doc_id:{kind},h1:bigint,h2:bigint>"
-    found, roots = _links(members, texts, form)
+    found, roots = _links(members, texts, reps, form)
     links = found.select(F.col("rep").alias("u"), F.col("lead").alias("v"))
     degree = (
         links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
