@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Names and settings that processors of the jobs expect (fixed values).
 RADAR_JOB_TYPE, OPTICAL_JOB_TYPE = "ARIA_S1_COSEIS", "AUTORIFT"
 FILTER_POWER, CHIP_SIZE, SEARCH_RANGE = 0.5, 24, 64
 
-#: Latin letters that a canonical or compatibility decomposition takes apart, by rule.
-_LATIN = {
-    chr(c): d
-    for c in range(0xC0, 0x250)
-    if (d := unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) and len(d) == 1
-}
+def _decomposed(least: int, most: int) -> dict[str, str]:
+    """Characters that a canonical or compatibility decomposition takes apart into ASCII, by rule."""
+    return {chr(c): d for c in range(0x80, 0x20000) if least <= len(d := unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) <= most}
+
+
+_SINGLE, _SEVERAL = _decomposed(1, 1), _decomposed(2, 99)
 
 
 def epoch_ms_to_second(ms: Column) -> Column:
@@ -29,19 +26,15 @@ def epoch_ms_to_second(ms: Column) -> Column:
 
 def snake_title(title: Column) -> Column:
     """Lower-case words joined by underscores; accents and marks dropped."""
-    plain = F.translate(title, "".join(_LATIN), "".join(_LATIN.values()))
+    table = F.str_to_map(F.lit("\n".join(f"{c}\t{d}" for c, d in _SEVERAL.items())), F.lit("\n"), F.lit("\t"))
+    taken = F.array_join(F.transform(F.split(title, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+    some = F.when(title.rlike(f"[{''.join(_SEVERAL)}]"), taken).otherwise(title)
+    plain = F.translate(some, "".join(_SINGLE), "".join(_SINGLE.values()))
     ascii_only = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
     words = F.trim(F.regexp_replace(F.regexp_replace(ascii_only, r"[^A-Za-z0-9_\s]", ""), r"\s+", " "))
     return F.lower(F.regexp_replace(words, " ", "_"))
 
 
-@F.pandas_udf(T.StringType())
-def nfkd_ascii(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The exact decomposition, for titles beyond Latin letters."""
-    for s in batches:
-        yield s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
-
-
 def square_aoi(lon: Column, lat: Column, side: float = 1.0) -> list[Column]:
     """A square about a point: minx, miny, maxx, maxy."""
     half = side / 2

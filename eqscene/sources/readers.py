@@ -6,8 +6,9 @@ they are pushed into Parquet scans when the feed has been landed as Parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from eqscene import schemas
 from eqscene.functions import scalars as s
@@ -71,9 +72,18 @@ def ring_box(ring: Column) -> Column:
     )
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (file, at, ...) with ``pos``: unique over all files, by their names and then by place.
+
+    Only the names of the files are numbered together.
+    """
+    files = rows.select("file").distinct().withColumn("number", F.row_number().over(Window.orderBy("file")) - 1)
+    return rows.join(F.broadcast(files), "file").withColumn("pos", F.col("number") * F.lit(1 << 32) + F.col("at")).drop("number")
+
+
 def read_scenes(spark: SparkSession, path: str) -> DataFrame:
-    """Radar scenes in file order (``pos``); a start time that can't be read is null."""
-    f = _json(spark, schemas.SCENE_FILE, path).select(F.posexplode("features").alias("at", "f"), F.col("_metadata.file_path").alias("file"))
+    """Radar scenes in the order of files and places (``pos``); a start time that can't be read is null."""
+    f = _placed(_json(spark, schemas.SCENE_FILE, path).select(F.posexplode("features").alias("at", "f"), F.col("_metadata.file_path").alias("file")))
     p = F.col("f.properties")
     ring = _ring(F.col("f.geometry.coordinates"))
     return f.select(
@@ -87,7 +97,7 @@ def read_scenes(spark: SparkSession, path: str) -> DataFrame:
         p["processingLevel"].alias("level"),
         ring.alias("ring"),
         ring_box(ring).alias("bbox"),
-        F.col("at").cast("long").alias("pos"),
+        "pos",
         "file",
     )
 
@@ -101,8 +111,8 @@ def catalogue_filter(scenes: DataFrame, direction=None, path=None, beam="IW", le
 
 
 def read_optical(spark: SparkSession, path: str, max_cloud: float = 20.0, name_part: str = "MSIL1C") -> DataFrame:
-    """Optical scenes by start time (``pos`` as a tie-break of file order)."""
-    f = _json(spark, schemas.OPTICAL_FILE, path).select(F.posexplode("value").alias("at", "f"))
+    """Optical scenes; ``pos`` is the order of files and places, a tie-break of equal start times."""
+    f = _placed(_json(spark, schemas.OPTICAL_FILE, path).select(F.posexplode("value").alias("at", "f"), F.col("_metadata.file_path").alias("file")))
     name = F.col("f.Name")
     return f.select(
         name.alias("granule_id"),
@@ -113,7 +123,7 @@ def read_optical(spark: SparkSession, path: str, max_cloud: float = 20.0, name_p
         s.orbit_id(name).alias("orbit_id"),
         s.tile_id(name).alias("tile_id"),
         s.wkt_ring(F.col("f.Footprint")).alias("ring"),
-        F.col("at").cast("long").alias("pos"),
+        "pos",
     ).filter(name_filter(F.col("granule_id"), name_part) & (F.col("cloud_cover") <= max_cloud))
 
 
@@ -122,14 +132,19 @@ def name_filter(name: Column, part: str) -> Column:
 
 
 def read_jobs(spark: SparkSession, path: str) -> DataFrame:
-    """Jobs of one or many lists, with file and position."""
-    return _json(spark, schemas.JOB, path).select("*", F.col("_metadata.file_name").alias("source_file"))
+    """Jobs of one or many lists, with file, place (``pos``) and both granule lists beside the parameters."""
+    jobs = _json(spark, schemas.JOB, path).select(
+        "*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("source_file"), F.monotonically_increasing_id().alias("read")
+    )  # a list is read by one task, in its order
+    jobs = jobs.withColumn("at", F.row_number().over(Window.partitionBy("file").orderBy("read")) - 1).drop("read")
+    granules = (F.col(f"job_parameters.{c}").alias(c) for c in ("granules", "secondary_granules"))
+    return _placed(jobs).select(*schemas.JOB.fieldNames(), *granules, "source_file", "pos")
 
 
 def read_tracker(spark: SparkSession, path: str) -> DataFrame:
     """One row per state file; the id is the file's stem; files that aren't JSON are skipped."""
     raw = (
-        spark.read.schema(schemas.TRACKER.add("_bad", "string"))
+        spark.read.schema(StructType([*schemas.TRACKER.fields, StructField("_bad", StringType())]))
         .option("multiLine", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_bad")

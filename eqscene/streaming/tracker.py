@@ -7,7 +7,7 @@ FAILED_NEEDS_ATTENTION (for good) if the job failed. One transition is made per
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -36,16 +36,28 @@ def discover(feed: DataFrame, known: DataFrame, rules: str = "forward", key: str
     return new_events(rows, known, key)
 
 
-def discovery_stream(feed: DataFrame, known_path: str, out_path: str, checkpoint: str, rules: str = "forward"):
-    """The same for a stream: each batch is held against the snapshot at ``known_path`` and appended to both."""
+def discovery_batch(known_path: str, out_path: str, rules: str = "forward") -> Callable[[DataFrame, int], None]:
+    """What is done with one batch of a stream: each batch is held against the snapshot at ``known_path`` and put into both.
+
+    Both are written under the batch's number, and a batch that is run again does not
+    hold its own ids against itself: it writes the same rows once more.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
-        known = df.sparkSession.read.schema("event_id string").parquet(known_path)
+        own = F.col("_metadata.file_path").contains(f"/batch={number}/")
+        read = df.sparkSession.read.schema("event_id string").option("recursiveFileLookup", "true")
+        known = read.parquet(known_path).filter(~own)
         found = discover(df, known, rules).persist()
         found.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
-        found.select("event_id").write.mode("append").parquet(known_path)
+        found.select("event_id").write.mode("overwrite").parquet(f"{known_path}/batch={number}")
         found.unpersist()
 
+    return batch
+
+
+def discovery_stream(feed: DataFrame, known_path: str, out_path: str, checkpoint: str, rules: str = "forward"):
+    """``discover`` for a stream, by ``discovery_batch``."""
+    batch = discovery_batch(known_path, out_path, rules)
     return feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -117,6 +129,8 @@ class TrackProcessor(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         status, post_date, result = self.state.get() if self.state.exists() else (AWAITING, None, None)
+        if status == REMOVED:  # nothing is kept of a track that is done, whatever still comes
+            return
         before, acknowledged = status, False
         for part in rows:
             for r in part.itertuples():

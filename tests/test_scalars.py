@@ -19,6 +19,7 @@ def value(spark, column):
         ("M 7.7 - 2025 Mandalay, Burma (Myanmar) Earthquake", "m_77_2025_mandalay_burma_myanmar_earthquake"),
         ("  Ñuñoa\tà  Ö ", "nunoa_a_o"),
         ("日本", ""),
+        ("Việt Nam ﬁn Ａ ½ Ⅳ", "viet_nam_fin_a_12_iv"),
     ],
 )
 def test_snake_title(spark, title, snake):

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from eqscene.operators import jobs
 from eqscene.sources import readers, sinks
 
 
@@ -21,6 +22,7 @@ def test_tracker_directory_skips_what_is_not_json(spark, tmp_path):
     good = {"title": "t", "time": 1, "aoi": None, "tracks": {"ASCENDING_18": {"status": "AWAITING_POST_SEISMIC", "path_number": 18}}}
     (tmp_path / "us1.json").write_text(json.dumps(good))
     (tmp_path / "us2.json").write_text("{not json")
+    assert readers.read_tracker(spark, str(tmp_path)).count() == 1  # and once more: the schema is as it was
     rows = readers.read_tracker(spark, str(tmp_path)).collect()
     assert [(r.event_id, list(r.tracks)) for r in rows] == [("us1", ["ASCENDING_18"])]
 
@@ -41,6 +43,8 @@ def test_scenes_keep_file_order(spark, tmp_path):
     scene = lambda i, t: {"properties": {"fileID": i, "startTime": t, "pathNumber": 18, "frameNumber": 1, "flightDirection": "ASCENDING"}, "geometry": {"type": "Polygon", "coordinates": ring}}
     (tmp_path / "s.json").write_text(json.dumps({"features": [scene("x-SLC", "2024-01-02T03:04:05Z"), scene("y", "bad")]}))
     rows = {r.file_id: r for r in readers.catalogue_filter(readers.read_scenes(spark, str(tmp_path)), "ASCENDING", 18).collect()}
+    (tmp_path / "t.json").write_text(json.dumps({"features": [scene("z", "2024-01-02T03:04:05Z")] * 2}))
+    assert [r.pos for r in readers.read_scenes(spark, str(tmp_path)).orderBy("pos").collect()] == [0, 1, 1 << 32, (1 << 32) + 1]
     assert rows["x-SLC"].pos == 0 and rows["x-SLC"].bbox.maxx == 2 and rows["y"].acq_date is None
 
 
@@ -48,14 +52,26 @@ def test_round_trip_of_jobs_and_exports(spark, tmp_path):
     (tmp_path / "in").mkdir()
     job = {"name": "e-A001", "job_type": "T", "job_parameters": {"granules": ["a"], "secondary_granules": [], "output_resolution": 90}}
     (tmp_path / "in" / "l.json").write_text(json.dumps([job, job]))
-    jobs = readers.read_jobs(spark, str(tmp_path / "in"))
-    assert jobs.count() == 2
-    sinks.write_jobs(jobs.drop("source_file"), str(tmp_path / "out"))
+    read = readers.read_jobs(spark, str(tmp_path / "in"))
+    assert read.count() == 2
+    sinks.write_jobs(read.select("name", "job_type", "job_parameters"), str(tmp_path / "out"))
     assert readers.read_jobs(spark, str(tmp_path / "out")).first().job_parameters.granules == ["a"]
-    sinks.write_jobs(jobs.limit(0), str(tmp_path / "none"))
+    sinks.write_jobs(read.limit(0), str(tmp_path / "none"))
     assert not (tmp_path / "none").exists()
 
 
+def test_job_lists_go_from_reader_to_curation(spark, tmp_path):
+    job = lambda n, *g: {"name": n, "job_type": "T", "job_parameters": {"granules": list(g), "secondary_granules": ["S1A_IW_SLC__1SDV_x"]}}
+    (tmp_path / "a.json").write_text(json.dumps([job("m_60_x-A001", "S1A_IW_SLC__1SDV_1", "S1A_IW_SLC__1SDV_2"), job("m_70_y-A001", "S1A_EW_SLC__1SDV_3")]))
+    (tmp_path / "b.json").write_text(json.dumps([job("m_65_z-A001", "S1A_IW_SLC__1SDV_2", "S1A_IW_SLC__1SDV_1"), job("m_60_w-A001", "S1A_IW_SLC__1SDV_1", "S1A_IW_SLC__1SDV_2")]))
+    read = readers.read_jobs(spark, str(tmp_path))
+    names = lambda df: sorted(r.name for r in df.collect())
+    assert [r.name[:4] for r in read.orderBy("pos").collect()] == ["m_60", "m_70", "m_65", "m_60"]
+    assert names(jobs.dedupe_jobs(read)[1]) == ["m_60_w-A001"]
+    assert names(jobs.dedupe_jobs(read, "sorted")[1]) == ["m_60_w-A001", "m_60_x-A001"]
+    assert names(jobs.conforming(read)[1]) == ["m_70_y-A001"]
+
+
 def test_compile_features(spark):
     rows = [('{"type":"Feature","id":1}',), ('{"type":"FeatureCollection","features":[{"id":2},{"id":3}]}',), ('{"type":"Point"}',)]
     assert readers.compile_features(spark.createDataFrame(rows, "value string")).count() == 3

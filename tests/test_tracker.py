@@ -12,6 +12,21 @@ def test_discovery_takes_the_latest_significant_revision(spark):
     assert [(r.event_id, r.revision) for r in tracker.discover(feed, known).collect()] == [(1, 2)]
 
 
+def test_a_batch_that_is_run_again_gives_the_same_events(spark, tmp_path):
+    schema = "event_id string, revision long, event_time timestamp, mag double, depth_km double"
+    feed = lambda *ids: spark.createDataFrame([(i, 1, T, 6.5, 10.0) for i in ids], schema)
+    known, out = str(tmp_path / "known"), str(tmp_path / "out")
+    spark.createDataFrame([("old",)], "event_id string").write.parquet(known)
+    batch = tracker.discovery_batch(known, out)
+    found = lambda n: {r.event_id for r in spark.read.parquet(f"{out}/batch={n}").collect()}
+    batch(feed("old", "a"), 0)
+    batch(feed("old", "a"), 0)
+    assert found(0) == {"a"}
+    batch(feed("a", "b"), 1)
+    batch(feed("a", "b"), 1)
+    assert found(1) == {"b"} and found(0) == {"a"}
+
+
 def test_stream_gives_the_state_of_the_batch_fold(spark, tmp_path):
     source = tmp_path / "in"
     day = lambda d, a: ("e", "A_1", "scene", T, date(2024, 1, d), datetime(2024, 1, d, 6), d, float(a), None)
