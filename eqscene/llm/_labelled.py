@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eqscene.llm._common import whole_text
 
-_PARTS = 1_000_000
+_PARTS = 1 << 62
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -30,5 +30,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     )
     n = known.count()
     share = 1.0 if n <= max_rows else 0.95 * max_rows / n
+    return _sampled(known, docs, share)
+
+
+def _sampled(known: DataFrame, docs: DataFrame, share: float) -> DataFrame:
+    """Labelled documents whose hash lies below a share of its whole range, however small the share is."""
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)) < int(share * _PARTS))
     return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")

@@ -30,7 +30,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "change me"
 ROUNDS = 6
 DAYS, SIDE = 73_049, 271  # 1900-01-01 .. 2099-12-31; SIDE * SIDE >= DAYS
 WALK = 48
@@ -284,7 +283,7 @@ def _date(value: Column, key: str, invert: bool) -> Column:
     )
 
 
-def pseudonym(value: Column, key: str = KEY, invert: bool = False) -> Column:
+def pseudonym(value: Column, key: str, invert: bool = False) -> Column:
     """The pseudonym of one matched value, or the value if it is not valid."""
     kinds = {
         "email": _email,
@@ -301,7 +300,7 @@ def pseudonym(value: Column, key: str = KEY, invert: bool = False) -> Column:
     return out
 
 
-def pseudonymise_text(text: Column, key: str = KEY, invert: bool = False) -> Column:
+def pseudonymise_text(text: Column, key: str, invert: bool = False) -> Column:
     """``text`` with every valid value replaced."""
     gaps, values = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     rewritten = F.array_join(
@@ -311,8 +310,13 @@ def pseudonymise_text(text: Column, key: str = KEY, invert: bool = False) -> Col
     return F.when(text.rlike(ANY), rewritten).otherwise(text)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, invert: bool = False) -> DataFrame:
-    """``docs`` with ``text`` pseudonymised and ``n_values`` matches counted."""
-    return docs.withColumn(
-        "n_values", F.coalesce(F.size(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))), F.lit(0)).cast("long")
-    ).withColumn("text", pseudonymise_text(docs["text"], key, invert))
+def pseudonymise(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
+    """``docs`` with ``text`` pseudonymised, and ``n_values``, how many values were replaced.
+
+    ``n_values`` takes the place of a column of that name; a value that fails its checks is
+    left alone and not counted (nor is one of the rare that stand for themselves).
+    """
+    values = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+    changed = F.size(F.filter(values, lambda v: pseudonym(v, key, invert) != v))
+    count = F.when(F.col("text").rlike(ANY), changed).otherwise(0).cast("long")
+    return docs.withColumns({"n_values": count, "text": pseudonymise_text(docs["text"], key, invert)})

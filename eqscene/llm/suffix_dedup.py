@@ -23,7 +23,7 @@ No group is gathered: forms and names are grouped by aggregation and joined back
 
 Edge cases: null and empty texts, and those under WIDTH bytes, lose nothing; a null
 doc_id neither loses nor removes anything; rows that share a doc_id do not remove each
-other's bytes; long runs of one byte are cut into pieces of bounded length; an empty
+other's bytes, equal texts or not; long runs of one byte are cut into pieces of bounded length; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eqscene.llm._common import staged, whole_text
@@ -46,6 +46,8 @@ GRAM = 24
 SPAN = WIDTH - GRAM + 1
 LETTERS = 24  # bytes of a triple
 MEAN, LEAST, MOST = 128, 64, 4096
+#: A piece is known by its two hashes, 128 bits.
+PIECE = "struct<h1:bigint,h2:bigint>"
 
 
 def _letters(raw: np.ndarray) -> np.ndarray:
@@ -91,6 +93,11 @@ def marks(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
     return grams[at], at
 
 
+def _row_key(text) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64("doc_id", text).alias("key")
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, at, size, h1, h2 = [], [], [], [], []
@@ -103,8 +110,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 h1.append(int.from_bytes(d[:8], "big", signed=True))
                 h2.append(int.from_bytes(d[8:], "big", signed=True))
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id").take(pa.array(ids, pa.int64())), *(pa.array(x, pa.int64()) for x in (at, size, h1, h2))],
-            names=["doc_id", "at", "size", "h1", "h2"],
+            [*(b.column(c).take(pa.array(ids, pa.int64())) for c in ("doc_id", "key")), *(pa.array(x, pa.int64()) for x in (at, size, h1, h2))],
+            names=["doc_id", "key", "at", "size", "h1", "h2"],
         )
 
 
@@ -212,37 +219,36 @@ def repeated_places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     (``piece, place``) whose string also starts in an earlier document.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", whole_text().alias("text")).filter("doc_id IS NOT NULL")
-    cut = staged(texts.mapInArrow(_cut, f"doc_id {kind}, at long, size long, h1 long, h2 long"), "pieces")
-    # the number of a first piece is unique: of its two hashes the pair is, and so is its place
+    texts = docs.select("doc_id", _row_key(whole_text()), whole_text().alias("text")).filter("doc_id IS NOT NULL")
+    cut = staged(texts.mapInArrow(_cut, f"doc_id {kind}, key long, at long, size long, h1 long, h2 long"), "pieces")
     first = staged(
         cut.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "at")).alias("first"), F.first("size").alias("size"))
-        .select("h1", "h2", "first", "size", F.xxhash64("h1", "h2").alias("piece")),
+        .agg(F.min(F.struct("doc_id", "key", "at")).alias("first"), F.first("size").alias("size"))
+        .select("h1", "h2", "first", "size", F.struct("h1", "h2").alias("piece")),
         "first",
     )
     every = cut.join(first.select("h1", "h2", "piece", F.col("first.doc_id").alias("first_doc")), ["h1", "h2"]).select(
-        "doc_id", "at", "size", "piece", "first_doc"
+        "doc_id", "key", "at", "size", "piece", "first_doc"
     )
-    wanted = first.groupBy(F.col("first.doc_id").alias("doc_id")).agg(
+    wanted = first.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key")).agg(
         F.collect_list(F.struct(F.col("first.at").alias("at"), "size", "piece")).alias("wanted")
     )
     stored = staged(
-        texts.dropDuplicates(["doc_id"])
-        .join(wanted, "doc_id")
+        texts.dropDuplicates(["doc_id", "key"])
+        .join(wanted, ["doc_id", "key"])
         .select("doc_id", F.encode("text", "UTF-8").alias("raw"), F.explode("wanted").alias("w"))
         .select("doc_id", "w.piece", F.substring("raw", F.col("w.at").cast("int") + 1, F.col("w.size").cast("int")).alias("bytes")),
         "stored",
     )
-    marked = staged(stored.mapInArrow(_mark, f"piece long, doc_id {kind}, mark long, place int"), "marks")
+    marked = staged(stored.mapInArrow(_mark, f"piece {PIECE}, doc_id {kind}, mark long, place int"), "marks")
     shared = marked.groupBy("mark").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("mark")
     places = marked.join(shared, "mark").groupBy("piece").agg(F.collect_list("place").alias("places"))
     open_pieces = staged(stored.join(places, "piece"), "open")
 
-    triples = staged(open_pieces.mapInArrow(_triples, "piece long, place int, triple binary"), "sampled")
+    triples = staged(open_pieces.mapInArrow(_triples, f"piece {PIECE}, place int, triple binary"), "sampled")
     names = triples.join(_named(triples), "triple").groupBy("piece").agg(F.collect_list(F.struct("place", "name")).alias("names"))
     formed = staged(
-        open_pieces.join(names, "piece").mapInArrow(_forms, f"piece long, doc_id {kind}, place int, rest int, n1 long, n2 long"),
+        open_pieces.join(names, "piece").mapInArrow(_forms, f"piece {PIECE}, doc_id {kind}, place int, rest int, n1 long, n2 long"),
         "forms",
     )
     key = ["rest", "n1", "n2"]
@@ -281,20 +287,21 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     every, again = repeated_places(docs)
-    later = every.filter("first_doc < doc_id").select("doc_id", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+    later = every.filter("first_doc < doc_id").select("doc_id", "key", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
     # places of one piece that follow each other become one span
     runs = (
         again.withColumn("run", F.col("place") - F.row_number().over(Window.partitionBy("piece").orderBy("place")))
         .groupBy("piece", "run")
         .agg(F.min("place").alias("low"), F.max("place").alias("high"))
     )
+    # all texts of the first document hold what the piece's own places lose, wherever they hold the piece
     own = every.filter("first_doc = doc_id").join(runs, "piece").select(
-        "doc_id", (F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + WIDTH).alias("end")
+        "doc_id", "key", (F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + WIDTH).alias("end")
     )
-    spans = later.unionByName(own).groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = later.unionByName(own).groupBy(F.col("doc_id").alias("id"), F.col("key").alias("id_key")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return (
-        docs.select("doc_id", whole_text().alias("text"))
-        .join(spans, F.col("doc_id") == F.col("id"), "left")
+        docs.select("doc_id", _row_key(whole_text()), whole_text().alias("text"))
+        .join(spans, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("id_key")), "left")
         .select("doc_id", "text", "spans")
         .mapInArrow(_strip, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     )

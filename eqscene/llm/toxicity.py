@@ -3,7 +3,9 @@
 Voters look at a whole text: lists of words, lists of word beginnings of several
 lengths, and patterns. The lists are ``SEED_WORDS`` and what stands out in the labelled
 documents that may be learnt from (a bounded sample, ``max_train_rows``): a word or
-beginning whose documents are toxic far more often than documents are at large.
+beginning whose documents are toxic far more often than documents are at large. Of these
+the ``MAX_TERMS`` that occur in most toxic documents are listed: a model parameter, which
+bounds what is sent to tasks and does not depend on the size of the corpus.
 
 A generative model of the votes (no labels in it) is fitted by expectation
 maximisation on all documents, counted by their row of votes: for

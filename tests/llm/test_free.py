@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from eqscene.llm import fingerprints, order_minhash, quality, sentencepiece_lattice, suffix_dedup, toxicity
+from eqscene.llm import _labelled, fingerprints, order_minhash, quality, sentencepiece_lattice, suffix_dedup, toxicity
 from eqscene.llm._components import components
 
 from .conftest import ODD, PROSE
@@ -134,6 +134,14 @@ def labelled(spark, rng):
     return rows, spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
 
 
+def test_a_tiny_share_still_samples(spark, docs):
+    """A share of one in 10 ** 10 of a label table is not rounded to none."""
+    rows = docs([(i, "x") for i in range(2000)])
+    known = spark.range(2000).selectExpr("id AS doc_id", "1 AS label")
+    assert 0 < _labelled._sampled(known, rows, 0.01).count() < 60
+    assert int(1e-10 * _labelled._PARTS) > 0
+
+
 def test_quality(spark, docs, odd, none):
     rows, labels = labelled(spark, random.Random(6))
     got = quality.score_quality(docs(rows), labels).collect()
@@ -199,6 +207,12 @@ def test_repeats_against_brute_force(docs, none):
     got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs(rows)).collect()}
     assert got == brute_repeats(rows)
     assert suffix_dedup.remove_repeats(none).collect() == []
+    p, q = ("".join(rng.choice("abcdefgh") for _ in range(300)) for _ in range(2))
+    r = "".join(rng.choice("abcdefgh") for _ in range(700))
+    rows = [(1, p), (2, q + p), (2, r), (3, "s" + p), (3, r[:400])]  # unlike texts of one doc_id
+    for order in (rows, rows[::-1]):
+        got = {(x.doc_id, x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in suffix_dedup.remove_repeats(docs(order)).collect()}
+        assert got == brute_repeats(rows)
 
 
 TEXTS = [(1, ""), (2, None), (3, "Hello  world\n  foo\tbar 123 ½ ﬁ 😀  "), (4, " "), (5, "a" * 500), (6, "the" * 200 + " 中文 русский"), (7, "x▁y"), (None, "null id"), (3, "again")]

@@ -51,15 +51,16 @@ def test_pseudonyms_invert_link_and_keep_their_format(docs):
         assert back[i] == text
         assert shape(new[i].text, i) == shape(text, i)
         assert (new[i].text != text) == (i < len(VALID))
+        assert new[i].n_values == (2 if i < len(VALID) else 0)
     digits = lambda t: "".join(c for c in t if c.isdigit())
     assert digits(new[0].text) == digits(new[1].text)
     assert digits(new[2].text)[1:11] == digits(new[3].text)[:10]
 
 
 def test_pseudonyms_of_odd_rows(odd, none):
-    out = {(r.doc_id, r.text) for r in pii.pseudonymise(odd).collect()}
+    out = {(r.doc_id, r.text) for r in pii.pseudonymise(odd, "k").collect()}
     assert out == {(i, t) for i, t in ODD}
-    assert pii.pseudonymise(none).collect() == []
+    assert pii.pseudonymise(none, "k").collect() == []
 
 
 def brute_contamination(docs, items):
