@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eqscene.operators.geo import BOX, boxes_overlap, cells
@@ -12,8 +12,15 @@ DAYS = 30
 _BUCKET = 86_400 * DAYS
 
 
-def scene_events(events: DataFrame, scenes: DataFrame, cell: float = CELL) -> DataFrame:
-    """Pairs of an event (event_id, box, window_start, window_end) and a scene (file_id, box, start_time).
+def _buckets(low: str, high: str) -> Column:
+    """Numbers of all 30-day buckets that a window touches."""
+    number = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / _BUCKET)
+    return F.sequence(number(low), number(high))
+
+
+def scene_events(events: DataFrame, scenes: DataFrame, cell: float = CELL, on: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of an event (event_id, box, window_start, window_end) and a scene (file_id, box, start_time),
+    equal in the columns ``on``.
 
     Both sides are dealt to cells of ``cell`` degrees and buckets of 30 days, joined on
     them, and tested exactly. Of the cells that a pair shares only the first counts (the
@@ -21,16 +28,15 @@ def scene_events(events: DataFrame, scenes: DataFrame, cell: float = CELL) -> Da
     comes twice and nothing has to be made distinct.
     """
     e = events.select(
-        "event_id", *BOX, "window_start", "window_end",
-        F.explode(F.sequence(F.floor(F.unix_seconds(F.col("window_start").cast("timestamp")) / _BUCKET), F.floor(F.unix_seconds(F.col("window_end").cast("timestamp")) / _BUCKET))).alias("bucket"),
+        "event_id", *on, *BOX, "window_start", "window_end", F.explode(_buckets("window_start", "window_end")).alias("bucket")
     )
     e = e.withColumn("cx", F.explode(cells(F.col("minx"), F.col("maxx"), cell))).withColumn("cy", F.explode(cells(F.col("miny"), F.col("maxy"), cell)))
     s = scenes.withColumn("bucket", F.floor(F.unix_seconds(F.col("start_time").cast("timestamp")) / _BUCKET))
     s = s.withColumn("cx", F.explode(cells(F.col("minx"), F.col("maxx"), cell))).withColumn("cy", F.explode(cells(F.col("miny"), F.col("maxy"), cell)))
-    met = e.alias("e").join(s.alias("s"), ["bucket", "cx", "cy"])
+    met = e.alias("e").join(s.alias("s"), [*on, "bucket", "cx", "cy"])
     first = (F.col("cx") == F.floor(F.greatest("e.minx", "s.minx") / cell)) & (F.col("cy") == F.floor(F.greatest("e.miny", "s.miny") / cell))
     keep = boxes_overlap("e", "s") & F.col("s.start_time").between(F.col("e.window_start"), F.col("e.window_end")) & first
-    scene_columns = [F.col(f"s.{c}") for c in scenes.columns if c not in BOX]
+    scene_columns = [F.col(c if c in on else f"s.{c}") for c in scenes.columns if c not in BOX]
     return met.filter(keep).select(
         F.col("e.event_id"),
         *(F.col(f"e.{c}") for c in BOX),
@@ -47,21 +53,27 @@ def tracks(pairs: DataFrame) -> DataFrame:
     )
 
 
-def track_scenes(event_tracks: DataFrame, scenes: DataFrame, by: str = "aoi") -> DataFrame:
+def track_scenes(event_tracks: DataFrame, scenes: DataFrame, by: str = "aoi", cell: float = CELL) -> DataFrame:
     """Scenes of each event's track within its window: those that meet the AOI, or (``frame``)
     those whose frame is one of the track's.
+
+    Besides the track, both sides are joined on 30-day buckets, and on cells (``aoi``).
     """
-    t = event_tracks.alias("t")
-    if by == "frame":
-        t = event_tracks.withColumn("frame_number", F.explode("frames")).alias("t")
-    elif by != "aoi":
-        raise ValueError(f"no such restriction: {by}")
-    on = ["flight_direction", "path_number"] + (["frame_number"] if by == "frame" else [])
-    met = t.join(scenes.alias("s"), on).filter(F.col("s.start_time").between(F.col("t.window_start"), F.col("t.window_end")))
+    track = ("flight_direction", "path_number")
+    rest = [c for c in scenes.columns if c not in (*track, "frame_number", *BOX)]
     if by == "aoi":
-        met = met.filter(boxes_overlap("t", "s"))
-    rest = [F.col(f"s.{c}") for c in scenes.columns if c not in (*on, *BOX)]
-    return met.select(F.col("t.event_id"), *on, *rest)
+        return scene_events(event_tracks, scenes, cell, track).select("event_id", *track, *(["frame_number"] if "frame_number" in scenes.columns else []), *rest)
+    if by != "frame":
+        raise ValueError(f"no such restriction: {by}")
+    on = [*track, "frame_number"]
+    t = event_tracks.withColumn("frame_number", F.explode("frames")).select(
+        "event_id", *on, "window_start", "window_end", F.explode(_buckets("window_start", "window_end")).alias("__bucket")
+    )
+    s = scenes.withColumn("__bucket", F.floor(F.unix_seconds(F.col("start_time").cast("timestamp")) / _BUCKET))
+    met = t.alias("t").join(s.alias("s"), [*on, "__bucket"])
+    return met.filter(F.col("s.start_time").between(F.col("t.window_start"), F.col("t.window_end"))).select(
+        "t.event_id", *on, *(F.col(f"s.{c}") for c in rest)
+    )
 
 
 def resolve_aoi(events: DataFrame, fault: DataFrame, user: DataFrame) -> DataFrame:

@@ -38,51 +38,58 @@ def out_of_range(minx: Column, maxx: Column) -> Column:
     return (minx < -180) | (maxx > 180)
 
 
+def _widths(x: np.ndarray, ring: np.ndarray, low: float, high: float) -> np.ndarray:
+    """For each line (row of ``x``) the length of [low, high] that rings cover which cross it at ``x``, each filled even-odd."""
+    order = np.argsort(x, 1)
+    order = np.take_along_axis(order, np.argsort(ring[order], 1, kind="stable"), 1)
+    x = np.clip(np.take_along_axis(x, order, 1), low, high)
+    a, b = x[:, ::2], x[:, 1::2]
+    order = np.argsort(a, 1)
+    a, b = np.take_along_axis(a, order, 1), np.take_along_axis(b, order, 1)
+    before = np.maximum.accumulate(np.concatenate([np.full((len(b), 1), low), b[:, :-1]], 1), 1)
+    return np.maximum(b - np.maximum(a, before), 0).sum(1)
+
+
 def union_area(rings: list[np.ndarray], box: tuple[float, float, float, float]) -> float:
-    """Area of the union of rings within a box, by horizontal slabs.
+    """Area of the union of rings within a box, swept by slabs between the heights of corners.
 
-    Between neighbouring break points (corner heights, heights where edges cross each
-    other or a side of the box) no spans meet, so the covered width is linear there and
-    the width in the middle times the height is exact. Each ring is filled even-odd.
+    Inside a slab edges are straight lines; it is cut again where those that are in it
+    change places or cross a side of the box, so the covered width is linear in each part
+    and the width in the middle times the height is exact. Only edges of one slab are
+    held against each other.
     """
     minx, miny, maxx, maxy = box
-    if maxx <= minx or maxy <= miny:
-        return 0.0
-    edges = []
-    for ring in rings:
-        nxt = np.roll(ring, -1, axis=0)
-        keep = ring[:, 1] != nxt[:, 1]
-        edges.append(np.concatenate([ring[keep], nxt[keep]], 1))
-    if not sum(map(len, edges)):
+    if maxx <= minx or maxy <= miny or not rings:
         return 0.0
-    all_edges = np.concatenate(edges)
-    x1, y1, x2, y2 = all_edges.T
+    nxt = np.concatenate([np.roll(r, -1, axis=0) for r in rings])
+    at = np.concatenate(rings)
+    ring = np.repeat(np.arange(len(rings)), [len(r) for r in rings])
+    keep = at[:, 1] != nxt[:, 1]
+    (x1, y1), (x2, y2), ring = at[keep].T, nxt[keep].T, ring[keep]
     slope = (x2 - x1) / (y2 - y1)
-    cut = [np.array([miny, maxy]), y1, y2]
-    for side in (minx, maxx):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cut.append(y1 + (side - x1) / slope)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gap = slope[:, None] - slope[None, :]
-        meet = ((x1 - slope * y1)[None, :] - (x1 - slope * y1)[:, None]) / gap
-    cut.append(meet[np.triu_indices(len(x1), 1)])
-    y = np.concatenate(cut)
-    y = np.unique(y[np.isfinite(y) & (y >= miny) & (y <= maxy)])
+    bottom, top = np.minimum(y1, y2), np.maximum(y1, y2)
+    heights = np.unique(np.clip(np.concatenate([[miny, maxy], y1, y2]), miny, maxy))
     total = 0.0
-    for low, high in zip(y[:-1], y[1:], strict=True):
-        middle = (low + high) / 2
-        spans = []
-        for part in edges:
-            hit = part[(part[:, 1] > middle) != (part[:, 3] > middle)]
-            xs = np.sort(hit[:, 0] + (middle - hit[:, 1]) * (hit[:, 2] - hit[:, 0]) / (hit[:, 3] - hit[:, 1]))
-            spans += list(zip(xs[::2], xs[1::2], strict=False))
-        reach, width = minx, 0.0
-        for a, b in sorted(spans):
-            a, b = max(a, reach), min(b, maxx)
-            if b > a:
-                width += b - a
-                reach = b
-        total += width * (high - low)
+    for low, high in zip(heights[:-1], heights[1:], strict=True):
+        on = np.flatnonzero((bottom <= low) & (top >= high))
+        if not len(on):
+            continue
+        start, run = x1[on] + (low - y1[on]) * slope[on], slope[on]
+        end = start + (high - low) * run
+        cut = [low, high]
+        if run.any():
+            with np.errstate(divide="ignore", invalid="ignore"):
+                for side in (minx, maxx):
+                    cut += (low + ((side - start) / run)[(start < side) != (end < side)]).tolist()
+            order = np.argsort(start)
+            e = end[order]
+            moved = order[(e < np.maximum.accumulate(e)) | (e > np.minimum.accumulate(e[::-1])[::-1])]  # those that change places
+            i, j = np.nonzero((start[moved, None] < start[moved]) & (end[moved, None] > end[moved]))
+            i, j = moved[i], moved[j]
+            cut += (low + (start[j] - start[i]) / (run[i] - run[j])).tolist()
+        parts = np.unique(np.clip(cut, low, high))
+        middle = (parts[:-1] + parts[1:]) / 2 - low
+        total += _widths(start + middle[:, None] * run, ring[on], minx, maxx) @ np.diff(parts)
     return float(total)
 
 

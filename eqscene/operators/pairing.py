@@ -1,8 +1,10 @@
 """Mosaics of a date, their coverage, and the pairs of dates about a rupture.
 
 Input is one row per event, track and scene: ``event_id, track, event_time, acq_date,
-start_time, pos, scene_id, area`` and, where needed, ``frame_number``. ``area`` is what
-a scene adds; mosaics of real footprints get theirs from ``geo.mosaic_area`` instead.
+start_time, pos, scene_id`` and, where needed, ``frame_number``; and either ``ring``, the
+footprint, and the box of the event's AOI, or ``area``. The coverage of a mosaic is the
+area of the AOI that the union of its footprints covers; areas are added up, so they must
+be of scenes that do not overlap.
 """
 
 from __future__ import annotations
@@ -10,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eqscene.operators.geo import BOX, mosaic_area
+
 KEYS = ("event_id", "track")
 
 
@@ -23,21 +27,37 @@ def split_side(df: DataFrame, kind: str) -> DataFrame:
     return df.filter(_side(kind))
 
 
+def has_footprints(scenes: DataFrame) -> bool:
+    return {"ring", *BOX} <= set(scenes.columns)
+
+
+def _dates(scenes: DataFrame, covers: dict[str, Column], *others: Column) -> DataFrame:
+    """One row per date, with the coverage of the scenes for which each of ``covers`` holds (null: of none)."""
+    united = has_footprints(scenes)
+    what = "ring" if united else "area"
+    fold = F.collect_list if united else F.sum
+    dates = (
+        scenes.repartition(*KEYS)
+        .groupBy(*KEYS, "event_time", "acq_date", *(BOX if united else ()))
+        .agg(*(fold(F.when(c, F.col(what))).alias(n) for n, c in covers.items()), *(F.max(c).alias(f"__{n}") for n, c in covers.items()), *others)
+    )
+    if united:
+        dates = dates.withColumns({n: F.when(F.col(f"__{n}"), mosaic_area(F.col(n), *BOX)) for n in covers}).drop(*BOX)
+    return dates.drop(*(f"__{n}" for n in covers))
+
+
 def mosaics(scenes: DataFrame) -> DataFrame:
     """One row per date: coverage, scenes in input order, and the first scene's time.
 
     Rows are dealt out by (event, track), a part of the grouping key, so that the windows
     over tracks that follow need no exchange of their own.
     """
-    return (
-        scenes.repartition(*KEYS)
-        .groupBy(*KEYS, "event_time", "acq_date")
-        .agg(
-            F.sum("area").alias("coverage"),
-            F.min_by("start_time", "pos").alias("start_time"),
-            F.count("*").alias("n_scenes"),
-            F.array_sort(F.collect_list(F.struct("pos", "scene_id"))).alias("scenes"),
-        )
+    return _dates(
+        scenes,
+        {"coverage": F.lit(True)},
+        F.min_by("start_time", "pos").alias("start_time"),
+        F.count("*").alias("n_scenes"),
+        F.array_sort(F.collect_list(F.struct("pos", "scene_id"))).alias("scenes"),
     )
 
 
@@ -63,15 +83,10 @@ def _asof(scenes: DataFrame, ratio: float, kind: str) -> DataFrame:
     """Scenes are sorted to a side one by one, then grouped. The greatest coverage is that of all
     dates before the rupture's search (``pre``), of later dates only (``post``).
     """
-    own = F.when(_side(kind), F.col("area"))
-    grouped = (
-        scenes.repartition(*KEYS)
-        .groupBy(*KEYS, "event_time", "acq_date")
-        .agg(
-            F.sum("area").alias("whole"),
-            F.sum(own).alias("coverage"),
-            F.array_sort(F.collect_list(F.when(_side(kind), F.struct("pos", "scene_id")))).alias("scenes"),
-        )
+    grouped = _dates(
+        scenes,
+        {"whole": F.lit(True), "coverage": _side(kind)},
+        F.array_sort(F.collect_list(F.when(_side(kind), F.struct("pos", "scene_id")))).alias("scenes"),
     )
     most = F.max("whole" if kind == "pre" else "coverage").over(Window.partitionBy(*KEYS))
     order = F.desc("acq_date") if kind == "pre" else F.asc("acq_date")

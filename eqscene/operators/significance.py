@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from eqscene.operators.geo import cells
 
 ALERTS = ("green", "yellow", "orange", "red")
+#: Degrees of a band; coastline segments are about as long, so each is in one or two.
+BAND = 0.1
 
 
 def strong(rules: str = "historic") -> Column:
@@ -25,11 +27,11 @@ def strong(rules: str = "historic") -> Column:
 def near_line(points: DataFrame, segments: DataFrame, dist: float = 1.0, key: str = "event_id") -> DataFrame:
     """Keys of ``points`` (lon, lat) inside a ring, or nearer than ``dist`` to a segment.
 
-    Two equi-joins on cells: latitude bands for the crossings of a ray to the east (odd
-    for a ring that holds the point), and squares of ``dist`` or more, with a point's
+    Two equi-joins on cells: narrow latitude bands for the crossings of a ray to the east
+    (odd for a ring that holds the point), and squares of ``dist`` or more, with a point's
     neighbours, for the distance. Half-open ends make a shared corner count once.
     """
-    band = 5.0
+    band = BAND
     at = points.select(F.col(key), "lon", "lat").filter("lon IS NOT NULL AND lat IS NOT NULL")
     tall = segments.filter("y1 <> y2").withColumn("band", F.explode(cells(F.least("y1", "y2"), F.greatest("y1", "y2"), band)))
     crossing = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (

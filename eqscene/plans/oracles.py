@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from eqscene.plans import views as v
 
-Q, S, TS, A, L, O, J = (v.duck(x) for x in (v.QUAKE, v.SCENE, v.TRACK_SCENE, v.AREA, v.LAND, v.OPTICAL, v.JOB_SQL))
+Q, S, TS, A, L, O, J, FT = (v.duck(x) for x in (v.QUAKE, v.SCENE, v.TRACK_SCENE, v.AREA, v.LAND, v.OPTICAL, v.JOB_SQL, v.FOOTPRINT))
 HISTORIC = "mag >= 6.0 AND alert IN ('green', 'yellow', 'orange', 'red') AND depth_km <= 40"
 FORWARD = "((mag >= 5.5 AND depth_km <= 15) OR (mag >= 6.0 AND depth_km <= 40))"
 
@@ -48,17 +48,37 @@ QUALIFY row_number() OVER (PARTITION BY event_id, track ORDER BY acq_date {'DESC
 
 _OVERLAP = "e.minx < s.maxx AND s.minx < e.maxx AND e.miny < s.maxy AND s.miny < e.maxy"
 _MET = f"""SELECT e.event_id, e.minx, e.miny, e.maxx, e.maxy, s.file_id, s.path_number, s.flight_direction, s.frame_number, s.acq_date,
-  s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2
+  s.start_time, s.pos, e.window_start, s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2
   FROM ({A}) e JOIN ({S}) s ON {_OVERLAP} AND s.start_time BETWEEN e.window_start AND e.window_end"""
 
 _TILES = f"""WITH t AS (SELECT * FROM ({O})
   QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, acq_date, tile_id ORDER BY cloud_cover, pos) = 1),
+u AS (
+  SELECT event_id, orbit_id, acq_date, count(DISTINCT (x, y))::DOUBLE AS coverage
+  FROM (SELECT *, unnest(range(greatest(y1, 0), least(y2, 10))) AS y FROM (SELECT *, unnest(range(greatest(x1, 0), least(x2, 10))) AS x FROM t)) GROUP BY ALL),
 c AS (
   SELECT event_id, orbit_id, event_time, acq_date, avg(cloud_cover) AS cc, count(*) AS tile_count,
-         least(sum(area), 100.0)::DOUBLE AS coverage, string_agg(granule_id, ',' ORDER BY pos) AS scenes,
+         any_value(coverage) AS coverage, string_agg(granule_id, ',' ORDER BY pos) AS scenes,
          abs(floor((epoch(acq_date::TIMESTAMP) - epoch(event_time)) / 86400))::BIGINT AS delta,
          CASE WHEN acq_date < event_time THEN 'pre' WHEN acq_date > event_time THEN 'post' END AS side
-  FROM t GROUP BY ALL)"""
+  FROM t JOIN u USING (event_id, orbit_id, acq_date) GROUP BY event_id, orbit_id, event_time, acq_date)"""
+
+#: Footprints of whole units: the union's area is the number of unit squares that any covers.
+_FOOT = f"""ft AS ({FT}),
+sq AS (SELECT *, unnest(range(greatest(y1, 0), least(y2, 10))) AS y FROM (SELECT *, unnest(range(greatest(x1, 0), least(x2, 10))) AS x FROM ft))"""
+
+
+def _asof_foot(kind: str) -> str:
+    side = "start_time < event_time" if kind == "pre" else "start_time > event_time"
+    whole = "true" if kind == "pre" else side
+    return f"""SELECT '{kind}' AS side, event_id, track, acq_date, coverage, scenes FROM (
+  SELECT event_id, track, acq_date, scenes, coverage, max(whole) OVER (PARTITION BY event_id, track) AS most
+  FROM (SELECT event_id, track, acq_date, string_agg(scene_id, ',' ORDER BY pos) FILTER ({side}) AS scenes FROM ft GROUP BY ALL)
+  JOIN (SELECT event_id, track, acq_date, count(DISTINCT (x, y)) FILTER ({side})::DOUBLE AS coverage,
+          count(DISTINCT (x, y)) FILTER ({whole}) AS whole FROM sq GROUP BY ALL) USING (event_id, track, acq_date))
+WHERE scenes IS NOT NULL AND most > 0 AND coverage / most > 0.95
+QUALIFY row_number() OVER (PARTITION BY event_id, track ORDER BY acq_date {'DESC' if kind == 'pre' else 'ASC'}) = 1"""
+
 
 _EXPECTED = {
     t: f"""SELECT doc_id, concat('share/', year, '/', event, '/prod.', doc_id, '/prod.', doc_id, '.zip') AS key
@@ -84,15 +104,15 @@ st AS (
   FROM pre LEFT JOIN post USING (event_id, track))"""
 
 #: Union of boxes within a box by slabs: distinct heights, then merged spans in each slab.
-_AREA_SQL = f"""WITH met AS ({_MET}),
-b AS (SELECT event_id, minx, maxx, greatest(sx1, minx) AS x1, least(sx2, maxx) AS x2, greatest(sy1, miny) AS y1, least(sy2, maxy) AS y2 FROM met),
-y AS (SELECT DISTINCT event_id, y1 AS y FROM b UNION SELECT DISTINCT event_id, y2 FROM b),
-slab AS (SELECT event_id, y AS lo, lead(y) OVER (PARTITION BY event_id ORDER BY y) AS hi FROM y),
-span AS (SELECT s.event_id, lo, hi, x1, x2 FROM slab s JOIN b ON b.event_id = s.event_id AND b.y1 <= lo AND b.y2 >= hi WHERE hi IS NOT NULL),
-reach AS (SELECT *, max(x2) OVER (PARTITION BY event_id, lo ORDER BY x1, x2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM span),
-w AS (SELECT event_id, lo, hi, sum(greatest(0, x2 - greatest(x1, coalesce(before, x1)))) AS width FROM reach GROUP BY ALL),
-n AS (SELECT event_id, count(*) AS n_scenes FROM met GROUP BY event_id)
-SELECT event_id, n_scenes, round(sum(width * (hi - lo))::DOUBLE, 6) AS area FROM w JOIN n USING (event_id) GROUP BY ALL"""
+_G = "event_id, path_number, flight_direction, acq_date"
+_AREA = f"""b AS (SELECT {_G}, greatest(sx1, minx) AS x1, least(sx2, maxx) AS x2, greatest(sy1, miny) AS y1, least(sy2, maxy) AS y2 FROM met),
+y AS (SELECT DISTINCT {_G}, y1 AS y FROM b UNION SELECT DISTINCT {_G}, y2 FROM b),
+slab AS (SELECT {_G}, y AS lo, lead(y) OVER (PARTITION BY {_G} ORDER BY y) AS hi FROM y),
+span AS (SELECT {_G}, lo, hi, x1, x2 FROM slab s JOIN b USING ({_G}) WHERE b.y1 <= lo AND b.y2 >= hi AND hi IS NOT NULL),
+reach AS (SELECT *, max(x2) OVER (PARTITION BY {_G}, lo ORDER BY x1, x2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM span),
+w AS (SELECT {_G}, lo, hi, sum(greatest(0, x2 - greatest(x1, coalesce(before, x1)))) AS width FROM reach GROUP BY ALL),
+n AS (SELECT {_G}, count(*) AS n_scenes, arg_min(start_time, pos) AS start_time, min(pos) AS pos FROM met GROUP BY ALL),
+ar AS (SELECT {_G}, n_scenes, start_time, pos, round(sum(width * (hi - lo))::DOUBLE, 6) AS area FROM w JOIN n USING ({_G}) GROUP BY ALL)"""
 
 _BOX = "minx, miny, maxx, maxy"
 
@@ -131,7 +151,21 @@ ORACLES: dict[str, str] = {
   SELECT k.event_id, k.path_number, k.frame_number, s.file_id FROM k JOIN ({A}) e USING (event_id)
   JOIN ({S}) s ON s.flight_direction = k.flight_direction AND s.path_number = k.path_number AND s.frame_number = k.frame_number
    AND s.start_time BETWEEN e.window_start AND e.window_end""",
-    "mosaic_coverage": _AREA_SQL,
+    "mosaic_coverage": f"WITH met AS ({_MET}), {_AREA} SELECT event_id, path_number, acq_date, n_scenes, area FROM ar",
+    "asof_footprints": f"WITH {_FOOT} ({_asof_foot('pre')}) UNION ALL ({_asof_foot('post')})",
+    "pairs_footprints": f"""WITH {_FOOT},
+k AS (SELECT event_id, track, acq_date, count(DISTINCT (x, y)) AS coverage FROM sq GROUP BY ALL),
+m AS (SELECT event_id, track, event_time, acq_date, arg_min(start_time, pos) AS start_time, string_agg(scene_id, ',' ORDER BY pos) AS scenes FROM ft GROUP BY ALL),
+a AS (SELECT * FROM (SELECT *, max(coverage) OVER (PARTITION BY event_id, track) AS most FROM m JOIN k USING (event_id, track, acq_date))
+  WHERE coverage / most > 0.95)
+SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
+    "waiting_scenes": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0), {_AREA}
+  SELECT event_id, concat(flight_direction, '_', path_number) AS track, 'mosaic' AS kind, acq_date, start_time, pos, area FROM ar""",
+    **{
+        f"significant_{k}_land": f"""SELECT DISTINCT event_id, mag, depth_km FROM ({Q}) q JOIN ({L}) l
+  ON pow(greatest(x1 - lon, 0, lon - x2), 2) + pow(greatest(y1 - lat, 0, lat - y2), 2) < 100 WHERE {rule}"""
+        for k, rule in (("historic", HISTORIC), ("forward", FORWARD), ("v1", "mag >= 6.0 AND depth_km <= 40"))
+    },
     "bbox_agg": f"SELECT path_number, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM ({S}) GROUP BY ALL",
     "aoi_precedence": f"""SELECT q.event_id, coalesce(l.x1, u.minx, q.lon - 0.5)::DOUBLE AS minx, coalesce(l.y1, u.miny, q.lat - 0.5)::DOUBLE AS miny,
   coalesce(l.x2, u.maxx, q.lon + 0.5)::DOUBLE AS maxx, coalesce(l.y2, u.maxy, q.lat + 0.5)::DOUBLE AS maxy,

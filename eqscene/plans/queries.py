@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eqscene.functions import scalars as s
 from eqscene.operators import catalog, delivery, geo, jobs, optical, pairing
-from eqscene.operators.significance import near_line, strong
+from eqscene.operators.significance import near_line, significant, strong
 from eqscene.plans import views as v
 from eqscene.sources import readers, sinks
 from eqscene.streaming import tracker
@@ -52,6 +52,39 @@ def _land(spark: SparkSession, d: str) -> DataFrame:
     return v.view(spark, d, v.LAND).select("ring_id", F.inline(sides))
 
 
+def _ring(x1: str, y1: str, x2: str, y2: str) -> Column:
+    """The four corners of a box."""
+    corners = ((x1, y1), (x2, y1), (x2, y2), (x1, y2))
+    return F.array(*(F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) for x, y in corners))
+
+
+def _footprints(spark: SparkSession, d: str) -> DataFrame:
+    return v.view(spark, d, v.FOOTPRINT).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
+
+
+def _optical(spark: SparkSession, d: str) -> DataFrame:
+    return v.view(spark, d, v.OPTICAL).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
+
+
+def _on_land(spark: SparkSession, d: str, rules: str) -> DataFrame:
+    return significant(v.view(spark, d, v.QUAKE), _land(spark, d), rules, 10.0).select("event_id", "mag", "depth_km")
+
+
+@_query
+def significant_historic_land(spark: SparkSession, d: str) -> DataFrame:
+    return _on_land(spark, d, "historic")
+
+
+@_query
+def significant_forward_land(spark: SparkSession, d: str) -> DataFrame:
+    return _on_land(spark, d, "forward")
+
+
+@_query
+def significant_v1_land(spark: SparkSession, d: str) -> DataFrame:
+    return _on_land(spark, d, "v1")
+
+
 @_query
 def significant_historic(spark: SparkSession, d: str) -> DataFrame:
     return v.view(spark, d, v.QUAKE).filter(strong("historic")).select("event_id", "mag", "depth_km", "alert")
@@ -104,6 +137,31 @@ def asof_post(spark: SparkSession, d: str) -> DataFrame:
     return pairing.asof_after(_scenes(spark, d), RATIO).select("event_id", "track", "acq_date", "coverage", _ids("scenes").alias("scenes"))
 
 
+@_query
+def asof_footprints(spark: SparkSession, d: str) -> DataFrame:
+    """Dates before and after the rupture, by the union of overlapping footprints."""
+    scenes = _footprints(spark, d)
+    found = pairing.asof_before(scenes).withColumn("side", F.lit("pre")).unionByName(pairing.asof_after(scenes).withColumn("side", F.lit("post")))
+    return found.select("side", "event_id", "track", "acq_date", F.round("coverage", 6).alias("coverage"), _ids("scenes").alias("scenes"))
+
+
+@_query
+def pairs_footprints(spark: SparkSession, d: str) -> DataFrame:
+    """Co-seismic pairs, by the union of overlapping footprints."""
+    return _pairs(pairing.radar_pairs(_footprints(spark, d)))
+
+
+@_query
+def waiting_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """Mosaics after the rupture that a pass over the waiting tracks puts before the state machine."""
+    area = v.view(spark, d, v.AREA).withColumn("event_time", F.col("window_start"))
+    scenes = v.view(spark, d, v.SCENE).withColumn("ring", _ring("minx", "miny", "maxx", "maxy"))
+    tracks = catalog.tracks(catalog.scene_events(area, scenes.drop("ring"), 40.0)).join(area, "event_id")
+    waiting = tracks.withColumns({"track": F.concat_ws("_", "flight_direction", "path_number"), "status": F.lit(tracker.AWAITING)})
+    found = tracker.waiting_input(waiting.filter("event_id % 3 > 0"), scenes, 40.0)
+    return found.select("event_id", "track", "kind", "acq_date", "start_time", "pos", F.round("area", 6).alias("area"))
+
+
 @_query
 def coseismic_pair(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(pairing.bracket_pair(_accepted(spark, d)))
@@ -162,7 +220,7 @@ def scene_event_join(spark: SparkSession, d: str) -> DataFrame:
 def track_scene_join(spark: SparkSession, d: str) -> DataFrame:
     area = v.view(spark, d, v.AREA)
     tracks = catalog.tracks(catalog.scene_events(area, v.view(spark, d, v.SCENE), 40.0)).join(area, "event_id")
-    return catalog.track_scenes(tracks, v.view(spark, d, v.SCENE)).select("event_id", "path_number", "file_id")
+    return catalog.track_scenes(tracks, v.view(spark, d, v.SCENE), cell=40.0).select("event_id", "path_number", "file_id")
 
 
 @_query
@@ -175,11 +233,10 @@ def track_frame_join(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def mosaic_coverage(spark: SparkSession, d: str) -> DataFrame:
     met = catalog.scene_events(v.view(spark, d, v.AREA), v.view(spark, d, v.SCENE), 40.0)
-    x, y = (F.col("scene_minx"), F.col("scene_maxx")), (F.col("scene_miny"), F.col("scene_maxy"))
-    ring = F.array(*(F.struct(x[i].cast("double").alias("x"), y[j].cast("double").alias("y")) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1))))
+    ring = _ring(*(f"scene_{c}" for c in geo.BOX))
     boxes = [F.col(c).cast("double") for c in geo.BOX]
-    grouped = met.withColumn("ring", ring).groupBy("event_id", *geo.BOX).agg(F.count("*").alias("n_scenes"), F.collect_list("ring").alias("rings"))
-    return grouped.select("event_id", "n_scenes", F.round(geo.mosaic_area("rings", *boxes), 6).alias("area"))
+    grouped = met.withColumn("ring", ring).groupBy("event_id", "path_number", "acq_date", *geo.BOX).agg(F.count("*").alias("n_scenes"), F.collect_list("ring").alias("rings"))
+    return grouped.select("event_id", "path_number", "acq_date", "n_scenes", F.round(geo.mosaic_area("rings", *boxes), 6).alias("area"))
 
 
 @_query
@@ -206,30 +263,30 @@ QUERIES["near_line"] = near_line_join
 
 @_query
 def tile_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    return optical.dedupe_tiles(v.view(spark, d, v.OPTICAL)).select("event_id", "orbit_id", "acq_date", "tile_id", "granule_id")
+    return optical.dedupe_tiles(_optical(spark, d)).select("event_id", "orbit_id", "acq_date", "tile_id", "granule_id")
 
 
 @_query
 def optical_candidates(spark: SparkSession, d: str) -> DataFrame:
-    c = optical.candidates(optical.dedupe_tiles(v.view(spark, d, v.OPTICAL)))
-    return c.select("event_id", "orbit_id", "acq_date", F.round("cc", 6).alias("cc"), "tile_count", "coverage", "delta", "side")
+    c = optical.candidates(optical.dedupe_tiles(_optical(spark, d)))
+    return c.select("event_id", "orbit_id", "acq_date", F.round("cc", 6).alias("cc"), "tile_count", F.round("coverage", 6).alias("coverage"), "delta", "side")
 
 
 @_query
 def optical_best_pair(spark: SparkSession, d: str) -> DataFrame:
-    c = optical.candidates(optical.dedupe_tiles(v.view(spark, d, v.OPTICAL)))
+    c = optical.candidates(optical.dedupe_tiles(_optical(spark, d)))
     return optical.best_pair(c).select("event_id", "orbit_id", "side", "acq_date", _ids("scenes", "granule_id").alias("scenes"))
 
 
 @_query
 def optical_partial(spark: SparkSession, d: str) -> DataFrame:
-    c = optical.candidates(optical.dedupe_tiles(v.view(spark, d, v.OPTICAL)))
+    c = optical.candidates(optical.dedupe_tiles(_optical(spark, d)))
     return optical.partial_best(c).select("event_id", "orbit_id", "side", "acq_date", F.round("cc", 6).alias("cc"))
 
 
 @_query
 def optical_jobs(spark: SparkSession, d: str) -> DataFrame:
-    scenes = v.view(spark, d, v.OPTICAL)
+    scenes = _optical(spark, d)
     titles = v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("event_id"), F.col("s_name").alias("title"))
     p = F.col("job_parameters")
     return optical.optical_pairs(scenes, titles).select(

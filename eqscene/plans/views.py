@@ -41,6 +41,13 @@ SELECT q.event_id, s.path_number AS track, q.event_time, s.acq_date, s.start_tim
 FROM ({QUAKE}) q JOIN ({SCENE}) s ON s.path_number = q.region
 WHERE s.start_time BETWEEN q.event_time - INTERVAL 10 DAY AND q.event_time + INTERVAL 5 DAY"""
 
+#: The same scenes with footprints that overlap, over an area of 10 by 10, dated by the week.
+FOOTPRINT = f"""
+SELECT event_id, track, event_time, CAST(date_trunc('week', start_time) AS DATE) AS acq_date, start_time, pos, scene_id, frame_number,
+       CAST(pos * 7 % 9 - 2 AS INT) AS x1, CAST(pos * 11 % 8 - 2 AS INT) AS y1, CAST(pos * 7 % 9 + 2 + pos % 4 AS INT) AS x2, CAST(pos * 11 % 8 + 3 + pos % 3 AS INT) AS y2,
+       CAST(0 AS DOUBLE) AS minx, CAST(0 AS DOUBLE) AS miny, CAST(10 AS DOUBLE) AS maxx, CAST(10 AS DOUBLE) AS maxy
+FROM ({TRACK_SCENE})"""
+
 #: One-degree areas (in tenths) with a window of ten days each.
 AREA = """
 SELECT c_custkey AS event_id, (c_custkey * 7919) % 3600 - 1800 AS minx, (c_custkey * 104729) % 1600 - 800 AS miny,
@@ -60,7 +67,8 @@ SELECT l_suppkey AS event_id, TIMESTAMP_NTZ '1995-06-17 12:00:00' + (l_suppkey %
        lpad(CAST(l_linenumber AS VARCHAR(9)), 3, '0') AS orbit_id, concat('T00', CAST(l_partkey % 5 AS VARCHAR(9))) AS tile_id,
        CAST(l_shipdate AS DATE) AS acq_date, CAST(CAST(l_quantity AS INT) % 21 AS DOUBLE) AS cloud_cover,
        l_orderkey * 10 + l_linenumber AS pos, concat('S2A_', CAST(l_orderkey * 10 + l_linenumber AS VARCHAR(20)), '.SAFE') AS granule_id,
-       CAST(10 + l_partkey % 30 AS DOUBLE) AS area
+       l_partkey % 5 * 2 - 1 AS x1, l_partkey % 2 * 4 AS y1, l_partkey % 5 * 2 + 3 AS x2, l_partkey % 2 * 4 + 6 AS y2,
+       CAST(0 AS DOUBLE) AS minx, CAST(0 AS DOUBLE) AS miny, CAST(10 AS DOUBLE) AS maxx, CAST(10 AS DOUBLE) AS maxy
 FROM lineitem
 WHERE l_shipdate BETWEEN TIMESTAMP_NTZ '1995-06-17 12:00:00' + (l_suppkey % 30 - 90) * INTERVAL 1 DAY
   AND TIMESTAMP_NTZ '1995-06-17 12:00:00' + (l_suppkey % 30 + 90) * INTERVAL 1 DAY"""

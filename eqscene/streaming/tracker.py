@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eqscene.functions.scalars import has_failures
-from eqscene.operators.pairing import asof_before, bracket_pair, filter_coverage, mosaics, with_max_coverage
+from eqscene.operators.catalog import CELL, track_scenes
+from eqscene.operators.geo import BOX, mosaic_area
+from eqscene.operators.pairing import asof_before, bracket_pair, filter_coverage, mosaics, split_side, with_max_coverage
 from eqscene.operators.significance import strong
 
 AWAITING, READY, FAILED, REMOVED = "AWAITING_POST_SEISMIC", "READY_FOR_EMAIL", "FAILED_NEEDS_ATTENTION", "REMOVED"
@@ -113,9 +115,30 @@ STATE_INPUT = (
 STATE_OUTPUT = "event_id string, track string, status string, post_date date"
 
 
+def waiting_input(tracks: DataFrame, scenes: DataFrame, cell: float = CELL) -> DataFrame:
+    """The later mosaics of waiting tracks, as STATE_INPUT rows of the kind ``mosaic``: one for each
+    date after the rupture, with the area of the AOI under the union of all its footprints.
+
+    ``tracks``: event_id, track, flight_direction, path_number, status, event_time, box and
+    window of the search; ``scenes``: file_id, flight_direction, path_number, acq_date,
+    start_time, pos, ring and box. Tracks in other states take no scenes.
+    """
+    waiting = tracks.filter(F.col("status") == AWAITING)
+    keys = ("event_id", "flight_direction", "path_number")
+    found = track_scenes(waiting, scenes, cell=cell).join(waiting.select(*keys, "track", "event_time", *BOX), list(keys))
+    dates = split_side(found, "post").groupBy("event_id", "track", "event_time", "acq_date", *BOX).agg(
+        F.min_by("start_time", "pos").alias("start_time"), F.min("pos").alias("pos"), F.collect_list("ring").alias("rings")
+    )
+    area = mosaic_area("rings", *(F.col(c).cast("double") for c in BOX))
+    none = F.lit(None).cast("string").alias("result")
+    return dates.select("event_id", "track", F.lit("mosaic").alias("kind"), "event_time", "acq_date", "start_time", "pos", area.alias("area"), none)
+
+
 class TrackProcessor(StatefulProcessor):
     """Per (event, track): areas by later date, result and acknowledgement; decides at the end of each batch.
 
+    A ``scene`` adds its area to its date's; a ``mosaic`` says what the whole date covers.
+
     The greatest coverage is that of later dates seen so far, so the only date may be
     accepted while it is still filling up. Later scenes are never too late: no time-out.
     """
@@ -137,6 +160,8 @@ class TrackProcessor(StatefulProcessor):
                 if r.kind == "scene" and r.start_time > r.event_time:
                     old = self.areas.getValue((r.acq_date,))[0] if self.areas.containsKey((r.acq_date,)) else 0.0
                     self.areas.updateValue((r.acq_date,), (old + r.area,))
+                elif r.kind == "mosaic" and r.start_time > r.event_time:
+                    self.areas.updateValue((r.acq_date,), (r.area,))
                 elif r.kind == "result":
                     result = r.result
                 elif r.kind == "ack":

@@ -36,6 +36,25 @@ def test_union_area_against_a_grid():
     assert union_area([np.array([(0, 0), (1, 0), (1, 1), (0, 1.0)])], (1, 1, 0, 0)) == 0
 
 
+def test_union_of_many_rings_and_of_one_ring_over_itself():
+    rng = np.random.default_rng(1)
+    rings = [rectangle(rng) / 40 + rng.uniform(-0.02, 1.02, 2) for _ in range(400)]
+    grid = (np.arange(900) + 0.5) / 900
+    x, y = np.meshgrid(grid, grid)
+    covered = np.zeros(x.shape, bool)
+    for r in rings:
+        rows = (y[:, 0] >= r[:, 1].min()) & (y[:, 0] <= r[:, 1].max())
+        inside = np.zeros((rows.sum(), x.shape[1]), bool)
+        for a, b in zip(r, np.roll(r, -1, 0), strict=True):
+            hit = (a[1] > y[rows]) != (b[1] > y[rows])
+            inside ^= hit & (x[rows] < a[0] + (y[rows] - a[1]) * (b[0] - a[0]) / (b[1] - a[1]))
+        covered[rows] |= inside
+    assert union_area(rings, (0, 0, 1, 1)) == pytest.approx(covered.mean(), abs=1e-3)
+    knot = np.array([(0, 0), (1, 1), (1, 0), (0, 1.0)])  # crosses itself in the middle
+    assert union_area([knot], (0, 0, 1, 1)) == pytest.approx(0.5)
+    assert union_area([knot] * 3, (0, 0, 1, 1)) == pytest.approx(0.5)
+
+
 def test_mosaic_column_leaves_out_null_rings(spark):
     square = [(0.0, 0.0), (0.5, 0.0), (0.5, 1.0), (0.0, 1.0)]
     df = spark.createDataFrame([([square, None], 0.0, 0.0, 1.0, 1.0), (None, 0.0, 0.0, 1.0, 1.0)], "rings array<array<struct<x:double,y:double>>>, minx double, miny double, maxx double, maxy double")

@@ -1,6 +1,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from eqscene.operators import optical, pairing
 
@@ -66,17 +67,47 @@ def test_v1_wants_a_frame_each_and_whole_days(spark):
     assert pair == []  # the rupture's day is neither side and lies between
 
 
+def box(x1, y1, x2, y2):
+    return [(float(x), float(y)) for x, y in ((x1, y1), (x2, y1), (x2, y2), (x1, y2))]
+
+
+def with_aoi(df):
+    return df.withColumns({c: F.lit(x) for c, x in (("minx", 0.0), ("miny", 0.0), ("maxx", 10.0), ("maxy", 10.0))})
+
+
+HALF, TENTH = box(0, 0, 5, 10), box(0, 0, 1, 10)
+
+
+def test_overlapping_tiles_count_once(spark):
+    schema = "event_id long, event_time timestamp, orbit_id string, tile_id string, acq_date date, cloud_cover double, pos long, granule_id string, ring array<struct<x:double,y:double>>"
+    d = date(2024, 1, 2)
+    rows = [(1, T, "001", t, d, 5.0, i, t, r) for i, (t, r) in enumerate([("a", box(0, 0, 6, 10)), ("b", box(1, 0, 7, 10)), ("c", box(-9, 2, 3, 4)), ("d", None)])]
+    found = optical.candidates(with_aoi(spark.createDataFrame(rows, schema))).first()
+    assert (found.tile_count, round(found.coverage, 6)) == (4, 70.0)
+
+
+def test_overlapping_frames_count_once(spark):
+    schema = "event_id long, track string, event_time timestamp, acq_date date, start_time timestamp, pos long, scene_id string, ring array<struct<x:double,y:double>>"
+    rings = {5: [box(0, 0, 6, 10), box(1, 0, 7, 10)], 8: [box(0, 0, 9, 10)], 9: [None], 12: [box(0, 0, 5, 10), box(5, 0, 10, 10)]}
+    rows = [(1, "A", T, date(2024, 1, d), datetime(2024, 1, d, 6), d * 10 + i, f"s{d}{i}", r) for d, many in rings.items() for i, r in enumerate(many)]
+    df = with_aoi(spark.createDataFrame(rows, schema))
+    assert {r.acq_date.day: round(r.coverage, 6) for r in pairing.mosaics(df).collect()} == {5: 70.0, 8: 90.0, 9: 0.0, 12: 100.0}
+    assert pairing.asof_before(df, 0.65).first().acq_date.day == 8
+    assert pairing.asof_before(df, 0.95).count() == 0
+    assert [r.id for r in pairing.asof_after(df).selectExpr("explode(scenes.scene_id) AS id").collect()] == ["s120", "s121"]
+
+
 def test_optical_ties_and_partial_orbits(spark):
-    schema = "event_id long, event_time timestamp, orbit_id string, tile_id string, acq_date date, cloud_cover double, pos long, granule_id string, area double"
+    schema = "event_id long, event_time timestamp, orbit_id string, tile_id string, acq_date date, cloud_cover double, pos long, granule_id string, ring array<struct<x:double,y:double>>"
     rows = [
-        (1, T, "001", "T1", date(2024, 1, 2), 5.0, 0, "a.SAFE", 50.0),
-        (1, T, "001", "T1", date(2024, 1, 2), 5.0, 1, "b.SAFE", 50.0),
-        (1, T, "001", "T1", date(2024, 1, 10), 5.0, 2, "c.SAFE", 50.0),  # the rupture's day is before it
-        (1, T, "001", "T1", date(2024, 1, 12), 9.0, 3, "d.SAFE", 50.0),
-        (1, T, "002", "T1", date(2024, 1, 3), 7.0, 4, "e.SAFE", 10.0),
-        (1, T, None, "T1", date(2024, 1, 3), 7.0, 5, "f.SAFE", 10.0),
+        (1, T, "001", "T1", date(2024, 1, 2), 5.0, 0, "a.SAFE", HALF),
+        (1, T, "001", "T1", date(2024, 1, 2), 5.0, 1, "b.SAFE", HALF),
+        (1, T, "001", "T1", date(2024, 1, 10), 5.0, 2, "c.SAFE", HALF),  # the rupture's day is before it
+        (1, T, "001", "T1", date(2024, 1, 12), 9.0, 3, "d.SAFE", HALF),
+        (1, T, "002", "T1", date(2024, 1, 3), 7.0, 4, "e.SAFE", TENTH),
+        (1, T, None, "T1", date(2024, 1, 3), 7.0, 5, "f.SAFE", TENTH),
     ]
-    df = spark.createDataFrame(rows, schema)
+    df = with_aoi(spark.createDataFrame(rows, schema))
     assert sorted(r.granule_id for r in optical.dedupe_tiles(df).collect()) == ["a.SAFE", "c.SAFE", "d.SAFE", "e.SAFE"]
     jobs = {r.orbit_id: r for r in optical.optical_pairs(df, spark.createDataFrame([(1, "t")], "event_id long, title string")).collect()}
     assert jobs["001"].name == "t-S2-R001-2024-01-10_2024-01-12"

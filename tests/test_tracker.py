@@ -65,6 +65,22 @@ def test_stream_gives_the_state_of_the_batch_fold(spark, tmp_path):
     assert [r.event_id for r in tracker.collect_finished(tracker.fold_state(tracks, later, results, acks)).collect()] == ["e"]
 
 
+def test_waiting_tracks_take_whole_mosaics(spark):
+    ring = lambda *x: [(a, b) for a, b in ((x[0], x[1]), (x[2], x[1]), (x[2], x[3]), (x[0], x[3]))]
+    footprints = {(9, 0): ring(0.0, 0.0, 1.0, 1.0), (12, 0): ring(0.0, 0.0, 0.6, 1.0), (12, 1): ring(0.4, 0.0, 0.8, 1.0), (13, 0): ring(0.0, 0.0, 1.0, 1.0)}
+    rows = [(f"s{d}{i}", "ASCENDING", 1, date(2024, 1, d), datetime(2024, 1, d, 6), d * 10 + i, r, r[0][0], 0.0, r[1][0], 1.0) for (d, i), r in footprints.items()]
+    scenes = spark.createDataFrame(
+        rows, "file_id string, flight_direction string, path_number int, acq_date date, start_time timestamp, pos long, ring array<struct<x:double,y:double>>, minx double, miny double, maxx double, maxy double"
+    )
+    tracks = spark.createDataFrame(
+        [(e, f"{e}_1", "ASCENDING", 1, s, T, datetime(2024, 1, 1), datetime(2024, 2, 1), 0.0, 0.0, 1.0, 1.0) for e, s in (("w", tracker.AWAITING), ("f", tracker.FAILED))],
+        "event_id string, track string, flight_direction string, path_number int, status string, event_time timestamp, window_start timestamp, window_end timestamp, minx double, miny double, maxx double, maxy double",
+    )
+    found = tracker.waiting_input(tracks, scenes)
+    assert set(found.columns) == {part.split()[0] for part in tracker.STATE_INPUT.split(", ")}
+    assert sorted((r.event_id, r.kind, r.acq_date.day, round(r.area, 9)) for r in found.collect()) == [("w", "mosaic", 12, 0.8), ("w", "mosaic", 13, 1.0)]
+
+
 def test_sync(spark):
     old, new = (spark.createDataFrame([(x,) for x in v], "event_id string") for v in ("ab", "bc"))
     assert {r.event_id: r.action for r in tracker.sync_actions(old, new).collect()} == {"a": "delete", "b": "update", "c": "insert"}
