@@ -51,11 +51,12 @@ _MET = f"""SELECT e.event_id, e.minx, e.miny, e.maxx, e.maxy, s.file_id, s.path_
   s.start_time, s.pos, e.window_start, s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2
   FROM ({A}) e JOIN ({S}) s ON {_OVERLAP} AND s.start_time BETWEEN e.window_start AND e.window_end"""
 
-_TILES = f"""WITH t AS (SELECT * FROM ({O})
+def _tiles(source: str) -> str:
+    return f"""WITH t AS (SELECT * FROM ({source})
   QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, acq_date, tile_id ORDER BY cloud_cover, pos) = 1),
 u AS (
-  SELECT event_id, orbit_id, acq_date, count(DISTINCT (x, y))::DOUBLE AS coverage
-  FROM (SELECT *, unnest(range(greatest(y1, 0), least(y2, 10))) AS y FROM (SELECT *, unnest(range(greatest(x1, 0), least(x2, 10))) AS x FROM t)) GROUP BY ALL),
+  SELECT event_id, orbit_id, acq_date, count(DISTINCT (x, y))::DOUBLE / any_value((maxx - minx) * (maxy - miny)) * 100 AS coverage
+  FROM (SELECT *, unnest(range(greatest(y1, miny::BIGINT), least(y2, maxy::BIGINT))) AS y FROM (SELECT *, unnest(range(greatest(x1, minx::BIGINT), least(x2, maxx::BIGINT))) AS x FROM t)) GROUP BY event_id, orbit_id, acq_date),
 c AS (
   SELECT event_id, orbit_id, event_time, acq_date, avg(cloud_cover) AS cc, count(*) AS tile_count,
          any_value(coverage) AS coverage, string_agg(granule_id, ',' ORDER BY pos) AS scenes,
@@ -63,6 +64,21 @@ c AS (
          CASE WHEN acq_date < event_time THEN 'pre' WHEN acq_date > event_time THEN 'post' END AS side
   FROM t JOIN u USING (event_id, orbit_id, acq_date) GROUP BY event_id, orbit_id, event_time, acq_date)"""
 
+
+_TILES = _tiles(O)
+
+_OPTICAL_JOBS = """, n AS (SELECT *, count(DISTINCT side) OVER (PARTITION BY event_id, orbit_id) AS sides FROM c),
+  p AS (SELECT * FROM n WHERE sides = 2 QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY coverage DESC, cc, delta, acq_date) = 1
+    UNION ALL SELECT * FROM n WHERE sides = 1 QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY cc, acq_date) = 1),
+  g AS (SELECT event_id, orbit_id, sides, max(acq_date) FILTER (side = 'pre') AS d1, max(acq_date) FILTER (side = 'post') AS d2,
+    max(scenes) FILTER (side = 'pre') AS s1, max(scenes) FILTER (side = 'post') AS s2 FROM p GROUP BY ALL)
+  SELECT event_id, orbit_id, concat(s_name, '-S2-R', orbit_id, '-', coalesce(d1::VARCHAR, 'MISSING'), '_', coalesce(d2::VARCHAR, 'MISSING')) AS name,
+    CASE WHEN sides = 1 THEN 'PARTIAL' END AS status_note, replace(coalesce(s1, ''), '.SAFE', '') AS reference, replace(coalesce(s2, ''), '.SAFE', '') AS secondary
+  FROM g JOIN supplier ON s_suppkey = event_id"""
+_OPTICAL_MET = f"""SELECT e.event_id, e.event_time, e.minx, e.miny, e.maxx, e.maxy, s.* FROM ({v.duck(v.OPTICAL_EVENT)}) e JOIN ({v.duck(v.OPTICAL_SCENE)}) s
+  ON e.minx < x2 AND x1 < e.maxx AND e.miny < y2 AND y1 < e.maxy AND s.start_time >= date_trunc('day', event_time - INTERVAL 90 DAY)
+ AND s.start_time <= date_trunc('day', event_time + INTERVAL 30 DAY)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 1 SECOND"""
+
 #: Footprints of whole units: the union's area is the number of unit squares that any covers.
 _FOOT = f"""ft AS ({FT}),
 sq AS (SELECT *, unnest(range(greatest(y1, 0), least(y2, 10))) AS y FROM (SELECT *, unnest(range(greatest(x1, 0), least(x2, 10))) AS x FROM ft))"""
@@ -90,6 +106,14 @@ _NAMED = f"""SELECT *, regexp_extract(name, '^(.*)-([^-]*)$', 1) AS event_name,
 _CONFORMS = "len(list_filter(granules || secondary_granules, lambda g: NOT (contains(g, 'IW') AND (contains(g, '1SDV') OR contains(g, '1SSV'))))) = 0"
 
 
+_TURN = "SELECT * REPLACE (if(pos % 2 = 0, list_reverse(granules), granules) AS granules, if(pos % 2 = 0, list_reverse(secondary_granules), secondary_granules) AS secondary_granules)"
+
+
+def _turned(key: str, magnitude: str) -> str:
+    return f"""SELECT pos, name FROM ({_TURN} FROM ({_NAMED})) QUALIFY row_number() OVER (PARTITION BY {key.format('granules')}, {key.format('secondary_granules')}
+  ORDER BY coalesce(TRY_CAST(regexp_extract(name, '{magnitude}', 1) AS INT), -1) DESC, pos) = 1"""
+
+
 def _dedupe(variant: str = "m_") -> str:
     return f"""SELECT *, row_number() OVER (PARTITION BY granules, secondary_granules
   ORDER BY coalesce(TRY_CAST(regexp_extract(name, '^m_(\\d+)', 1) AS INT), -1) DESC, pos) = 1 AS keep FROM ({_NAMED})"""
@@ -179,14 +203,19 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
   QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY coverage DESC, cc, delta, acq_date) = 1""",
     "optical_partial": f"""{_TILES} SELECT event_id, orbit_id, side, acq_date, round(cc, 6) AS cc FROM c
   QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY cc, acq_date) = 1""",
-    "optical_jobs": f"""{_TILES}, n AS (SELECT *, count(DISTINCT side) OVER (PARTITION BY event_id, orbit_id) AS sides FROM c),
-  p AS (SELECT * FROM n WHERE sides = 2 QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY coverage DESC, cc, delta, acq_date) = 1
-    UNION ALL SELECT * FROM n WHERE sides = 1 QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY cc, acq_date) = 1),
-  g AS (SELECT event_id, orbit_id, sides, max(acq_date) FILTER (side = 'pre') AS d1, max(acq_date) FILTER (side = 'post') AS d2,
-    max(scenes) FILTER (side = 'pre') AS s1, max(scenes) FILTER (side = 'post') AS s2 FROM p GROUP BY ALL)
-  SELECT event_id, orbit_id, concat(s_name, '-S2-R', orbit_id, '-', coalesce(d1::VARCHAR, 'MISSING'), '_', coalesce(d2::VARCHAR, 'MISSING')) AS name,
-    CASE WHEN sides = 1 THEN 'PARTIAL' END AS status_note, replace(coalesce(s1, ''), '.SAFE', '') AS reference, replace(coalesce(s2, ''), '.SAFE', '') AS secondary
-  FROM g JOIN supplier ON s_suppkey = event_id""",
+    "optical_jobs": f"{_TILES}{_OPTICAL_JOBS}",
+    "optical_run": f"{_tiles(_OPTICAL_MET)}{_OPTICAL_JOBS}",
+    "historic_run": f"""WITH q AS (SELECT DISTINCT q.* FROM ({Q}) q JOIN ({L}) l
+  ON pow(greatest(x1 - lon, 0, lon - x2), 2) + pow(greatest(y1 - lat, 0, lat - y2), 2) < 1 WHERE {HISTORIC}),
+met AS (SELECT q.event_id, q.event_time, lon - 400 AS minx, lat - 400 AS miny, lon + 400 AS maxx, lat + 400 AS maxy, s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2,
+    s.file_id, s.path_number, s.flight_direction, s.acq_date, s.start_time, s.pos
+  FROM q JOIN ({S}) s ON lon - 400 < s.maxx AND s.minx < lon + 400 AND lat - 400 < s.maxy AND s.miny < lat + 400
+   AND s.start_time >= date_trunc('day', event_time - INTERVAL 90 DAY) AND s.start_time <= date_trunc('day', event_time + INTERVAL 30 DAY)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 1 SECOND),
+{_AREA},
+m AS (SELECT {_G}, event_time, string_agg(file_id, ',' ORDER BY pos) AS scenes FROM met GROUP BY {_G}, event_time),
+a AS (SELECT * FROM (SELECT *, concat(flight_direction, path_number) AS track, max(area) OVER (PARTITION BY event_id, flight_direction, path_number) AS most
+  FROM m JOIN ar USING ({_G})) WHERE most > 0 AND area / most > 0.95)
+SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO})""",
     "attr_lookup": "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0)::DOUBLE AS k, 0.0::DOUBLE AS other FROM events",
     "title_snake": r"""SELECT doc_id, lower(replace(trim(regexp_replace(regexp_replace(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g'),
   '[^A-Za-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')), ' ', '_')) AS snake FROM documents""",
@@ -209,7 +238,8 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
     "product_boxes": f"""SELECT concat(file_id, '.nc') AS filename, concat('m_', pos % 90, '_place') AS earthquake_name, (pos % 90) / 10 AS magnitude, {_BOX} FROM ({S})""",
     "mainshocks_kept": f"SELECT pos, name FROM ({_dedupe()}) WHERE keep",
     "mainshocks_removed": f"SELECT pos, name FROM ({_dedupe()}) WHERE NOT keep",
-    "dedupe_sorted_key": f"SELECT pos, name FROM ({_dedupe()}) WHERE keep",
+    "dedupe_sorted_key": _turned("list_sort({})", "^m_(\\d+)_"),
+    "dedupe_ordered_key": _turned("{}", "^m_(\\d+)"),
     "jobs_conforming": f"SELECT pos, {_CONFORMS} AS ok FROM ({J})",
     "exclude_platform": f"SELECT pos, name FROM ({J}) WHERE len(list_filter(granules || secondary_granules, lambda g: starts_with(g, 'S1C_'))) = 0",
     "frame_groups": f"""SELECT CASE WHEN len(granules) = len(secondary_granules) THEN len(granules)::VARCHAR ELSE 'mismatched' END AS frame_group, count(*) AS n_jobs FROM ({J}) GROUP BY 1""",

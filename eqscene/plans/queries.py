@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eqscene.functions import scalars as s
 from eqscene.operators import catalog, delivery, geo, jobs, optical, pairing
 from eqscene.operators.significance import near_line, significant, strong
+from eqscene.plans import runs
 from eqscene.plans import views as v
 from eqscene.sources import readers, sinks
 from eqscene.streaming import tracker
@@ -295,6 +296,31 @@ def optical_jobs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_query
+def optical_run(spark: SparkSession, d: str) -> DataFrame:
+    """Events and optical scenes to jobs."""
+    events = v.view(spark, d, v.OPTICAL_EVENT)
+    scenes = v.view(spark, d, v.OPTICAL_SCENE).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
+    p = F.col("job_parameters")
+    return runs.process_optical(events, events, scenes, 10.0).select(
+        "event_id", "orbit_id", "name", "status_note",
+        F.array_join(p["reference"], ",").alias("reference"), F.array_join(p["secondary"], ",").alias("secondary"),
+    )
+
+
+@_query
+def historic_run(spark: SparkSession, d: str) -> DataFrame:
+    """A feed, its coastline and areas of the user to radar jobs."""
+    quakes = v.view(spark, d, v.QUAKE)
+    user = quakes.select("event_id", *((F.col(c) + x).alias(n) for c, x, n in zip(("lon", "lat", "lon", "lat"), (-400, -400, 400, 400), geo.BOX, strict=True)))
+    scenes = v.view(spark, d, v.SCENE).withColumn("ring", _ring(*geo.BOX)).withColumn("bbox", readers.ring_box(F.col("ring")))
+    p = F.col("job_parameters")
+    return runs.historic(quakes, _land(spark, d), scenes, user=user, cell=400.0).select(
+        "event_id", "secondary_date", "reference_date",
+        F.array_join(p["secondary_granules"], ",").alias("secondary"), F.array_join(p["granules"], ",").alias("reference"),
+    )
+
+
 @_query
 def attr_lookup(spark: SparkSession, d: str) -> DataFrame:
     attrs = F.array(F.struct(F.lit("k").alias("Name"), F.get_json_object("props", "$.k").alias("Value")))
@@ -400,9 +426,20 @@ def mainshocks_removed(spark: SparkSession, d: str) -> DataFrame:
     return jobs.dedupe_jobs(v.view(spark, d, v.JOB_SPARK))[1].select("pos", "name")
 
 
+def _turned(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs half of whose lists stand in reverse order, so that the two keys differ."""
+    turned = {c: F.when(F.col("pos") % 2 == 0, F.reverse(c)).otherwise(F.col(c)) for c in ("granules", "secondary_granules")}
+    return v.view(spark, d, v.JOB_SPARK).withColumns(turned)
+
+
 @_query
 def dedupe_sorted_key(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.dedupe_jobs(v.view(spark, d, v.JOB_SPARK), "sorted")[0].select("pos", "name")
+    return jobs.dedupe_jobs(_turned(spark, d), "sorted")[0].select("pos", "name")
+
+
+@_query
+def dedupe_ordered_key(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.dedupe_jobs(_turned(spark, d))[0].select("pos", "name")
 
 
 @_query

@@ -73,6 +73,19 @@ FROM lineitem
 WHERE l_shipdate BETWEEN TIMESTAMP_NTZ '1995-06-17 12:00:00' + (l_suppkey % 30 - 90) * INTERVAL 1 DAY
   AND TIMESTAMP_NTZ '1995-06-17 12:00:00' + (l_suppkey % 30 + 90) * INTERVAL 1 DAY"""
 
+#: Optical scenes and events of a small world of 40 by 40, not yet joined.
+OPTICAL_SCENE = """
+SELECT o_orderkey AS pos, concat('S2A_', CAST(o_orderkey AS VARCHAR(20)), '.SAFE') AS granule_id, o_orderdate AS start_time,
+       CAST(o_orderdate AS DATE) AS acq_date, CAST(o_custkey % 21 AS DOUBLE) AS cloud_cover, lpad(CAST(o_custkey % 3 AS VARCHAR(9)), 3, '0') AS orbit_id,
+       concat('T00', CAST(o_orderkey % 4 AS VARCHAR(9))) AS tile_id,
+       o_custkey * 7 % 31 AS x1, o_custkey * 11 % 29 AS y1, o_custkey * 7 % 31 + 9 AS x2, o_custkey * 11 % 29 + 11 AS y2
+FROM orders"""
+OPTICAL_EVENT = """
+SELECT s_suppkey AS event_id, s_name AS title, TIMESTAMP_NTZ '1995-06-17 12:00:00' + (s_suppkey % 30) * INTERVAL 1 DAY AS event_time,
+       CAST(s_suppkey * 7 % 34 AS DOUBLE) AS minx, CAST(s_suppkey * 5 % 34 AS DOUBLE) AS miny,
+       CAST(s_suppkey * 7 % 34 + 6 AS DOUBLE) AS maxx, CAST(s_suppkey * 5 % 34 + 6 AS DOUBLE) AS maxy
+FROM supplier"""
+
 _GRANULE = "concat(CASE l_suppkey % 3 WHEN 0 THEN 'S1A_IW_SLC__1SDV_' WHEN 1 THEN 'S1B_IW_SLC__1SSV_' ELSE 'S1C_WV_SLC__1SSH_' END, CAST(l_suppkey % 7 AS VARCHAR(9)))"
 _NAME = """concat('m_', CAST(55 + o_orderkey % 30 AS VARCHAR(20)), '_near_place_', CAST(o_custkey % 50 AS VARCHAR(20)), '-',
        CASE WHEN o_custkey % 2 = 0 THEN 'A' ELSE 'D' END, lpad(CAST(o_custkey % 175 AS VARCHAR(20)), 3, '0'))"""
