@@ -216,6 +216,17 @@ m AS (SELECT {_G}, event_time, string_agg(file_id, ',' ORDER BY pos) AS scenes F
 a AS (SELECT * FROM (SELECT *, concat(flight_direction, path_number) AS track, max(area) OVER (PARTITION BY event_id, flight_direction, path_number) AS most
   FROM m JOIN ar USING ({_G})) WHERE most > 0 AND area / most > 0.95)
 SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO})""",
+    "read_feed": f"""SELECT event_id::VARCHAR AS event_id, title, place, url, mag, alert, lon, lat, depth_km, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS at
+  FROM ({Q}) WHERE mag >= 6.0 AND depth_km <= 40""",
+    "read_radar_scenes": f"""SELECT file_id, acq_date, flight_direction, path_number::BIGINT AS path_number, frame_number,
+  minx::DOUBLE AS minx, miny::DOUBLE AS miny, maxx::DOUBLE AS maxx, maxy::DOUBLE AS maxy FROM ({S}) WHERE flight_direction = 'ASCENDING'""",
+    "read_optical_scenes": f"""SELECT concat('S2A_MSIL1C_R', orbit_id, '_T', lpad(tile_id[2:], 5, '0'), '_', pos) AS granule_id, acq_date, cloud_cover, orbit_id,
+  lpad(tile_id[2:], 5, '0') AS tile_id, x1::DOUBLE AS minx, y1::DOUBLE AS miny, x2::DOUBLE AS maxx, y2::DOUBLE AS maxy
+  FROM ({v.duck(v.OPTICAL_SCENE)}) WHERE cloud_cover <= 15 AND pos % 4 <> 0""",
+    "read_job_lists": f"""SELECT array_to_string(granules, ',') AS reference, array_to_string(secondary_granules, ',') AS secondary, 1::BIGINT AS n
+  FROM ({J}) GROUP BY granules, secondary_granules""",
+    "read_coastline": f"""SELECT seg::INT AS seg, [x1, x2, x2, x1][seg + 1] AS x1, [y1, y1, y2, y2][seg + 1] AS y1, [x2, x2, x1, x1][seg + 1] AS x2, [y1, y2, y2, y1][seg + 1] AS y2
+  FROM ({L}), (SELECT unnest(range(4)) AS seg) WHERE ring_id % 5 <> 0""",
     "attr_lookup": "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0)::DOUBLE AS k, 0.0::DOUBLE AS other FROM events",
     "title_snake": r"""SELECT doc_id, lower(replace(trim(regexp_replace(regexp_replace(regexp_replace(strip_accents(text), '[^\x00-\x7F]', '', 'g'),
   '[^A-Za-z0-9_\s]', '', 'g'), '\s+', ' ', 'g')), ' ', '_')) AS snake FROM documents""",

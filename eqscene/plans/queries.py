@@ -12,6 +12,7 @@ from eqscene.operators import catalog, delivery, geo, jobs, optical, pairing
 from eqscene.operators.significance import near_line, significant, strong
 from eqscene.plans import runs
 from eqscene.plans import views as v
+from eqscene.plans.landing import landed
 from eqscene.sources import readers, sinks
 from eqscene.streaming import tracker
 
@@ -321,6 +322,67 @@ def historic_run(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@_query
+def read_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Quakes landed as feed files, read with the feed's own predicates."""
+    p = F.struct("title", "place", "url", "mag", "alert", F.unix_millis(F.col("event_time").cast("timestamp")).alias("time"))
+    point = F.struct(F.lit("Point").alias("type"), F.array("lon", "lat", "depth_km").alias("coordinates"))
+    quakes = v.view(spark, d, v.QUAKE)
+    path = landed(quakes, "event_id", F.struct(F.col("event_id").cast("string").alias("id"), p.alias("properties"), point.alias("geometry")), "features")
+    found = readers.read_quakes(spark, path, min_mag=6.0, max_depth=40.0)
+    return found.select("event_id", "title", "place", "url", "mag", "alert", "lon", "lat", "depth_km", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@_query
+def read_radar_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes landed as catalogue files, read with their boxes."""
+    scenes = v.view(spark, d, v.SCENE)
+    corner = lambda x, y: F.array(F.col(x).cast("double"), F.col(y).cast("double"))
+    corners = F.array(*(corner(x, y) for x, y in (("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "maxy"), ("minx", "miny"))))
+    p = F.struct(
+        F.col("file_id").alias("fileID"), F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("startTime"), F.col("path_number").alias("pathNumber"),
+        F.col("frame_number").alias("frameNumber"), F.col("flight_direction").alias("flightDirection"),
+    )
+    item = F.struct(p.alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates")).alias("geometry"))
+    found = readers.catalogue_filter(readers.read_scenes(spark, landed(scenes, "pos", item, "features")), direction="ASCENDING")
+    return found.select("file_id", "acq_date", "flight_direction", F.col("path_number").cast("long").alias("path_number"), "frame_number", "bbox.*")
+
+
+@_query
+def read_optical_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """Optical scenes landed as catalogue files; those with too many clouds or of another level are left out."""
+    scenes = v.view(spark, d, v.OPTICAL_SCENE)
+    level = F.when(F.col("pos") % 4 == 0, "MSIL2A").otherwise("MSIL1C")
+    name = F.concat(F.lit("S2A_"), level, F.lit("_R"), "orbit_id", F.lit("_"), F.lpad(F.substring("tile_id", 2, 9), 5, "0"), F.lit("_"), F.col("pos").cast("string"))
+    name = F.regexp_replace(name, r"_(\d{5})_", "_T$1_")
+    corners = F.concat_ws(", ", *(F.concat_ws(" ", x, y) for x, y in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"), ("x1", "y1"))))
+    item = F.struct(
+        name.alias("Name"),
+        F.struct(F.date_format("start_time", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("Start")).alias("ContentDate"),
+        F.concat(F.lit("geography'SRID=4326;POLYGON (("), corners, F.lit("))'")).alias("Footprint"),
+        F.array(F.struct(F.lit("cloudCover").alias("Name"), F.col("cloud_cover").cast("string").alias("Value"))).alias("Attributes"),
+    )
+    found = readers.read_optical(spark, landed(scenes, "pos", item, "value"), 15.0)
+    return found.select("granule_id", "acq_date", "cloud_cover", "orbit_id", "tile_id", F.inline(F.array(readers.ring_box(F.col("ring")))))
+
+
+@_query
+def read_job_lists(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs landed as lists, read and curated."""
+    path = landed(_full_job(spark, d), "pos", F.struct("name", "job_type", "job_parameters"), most=4000)
+    kept = jobs.dedupe_jobs(readers.read_jobs(spark, path), "sorted")[0]
+    return kept.groupBy(F.concat_ws(",", "granules").alias("reference"), F.concat_ws(",", "secondary_granules").alias("secondary")).agg(F.count("*").alias("n"))
+
+
+@_query
+def read_coastline(spark: SparkSession, d: str) -> DataFrame:
+    """Rings landed as lines, read as segments; open lines are closed."""
+    land = v.view(spark, d, v.LAND)
+    line = F.array(*(F.array(x, y) for x, y in (("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"))))
+    item = F.struct(F.struct(F.when(F.col("ring_id") % 5 == 0, "Point").otherwise("LineString").alias("type"), line.alias("coordinates")).alias("geometry"))
+    return readers.read_coastline(spark, landed(land, "ring_id", item, "features")).select("seg", "x1", "y1", "x2", "y2")
+
+
 @_query
 def attr_lookup(spark: SparkSession, d: str) -> DataFrame:
     attrs = F.array(F.struct(F.lit("k").alias("Name"), F.get_json_object("props", "$.k").alias("Value")))
