@@ -183,6 +183,12 @@ m AS (SELECT event_id, track, event_time, acq_date, arg_min(start_time, pos) AS
 a AS (SELECT * FROM (SELECT *, max(coverage) OVER (PARTITION BY event_id, track) AS most FROM m JOIN k USING (event_id, track, acq_date))
   WHERE coverage / most > 0.95)
 SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
+    "track_state_stream": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0 AND event_id % 2 = 0), {_AREA}
+  SELECT event_id::VARCHAR AS event_id, concat(flight_direction, '_', path_number) AS track, 'READY_FOR_EMAIL' AS status, min(acq_date) AS post_date
+  FROM (SELECT *, max(area) OVER (PARTITION BY event_id, flight_direction, path_number) AS most FROM ar) WHERE most > 0 AND area / most > 0.95
+  GROUP BY event_id, flight_direction, path_number""",
+    "discovery_run": f"""SELECT region::VARCHAR AS event_id, event_id AS revision, mag, event_time FROM ({Q}) WHERE {FORWARD}
+  AND region NOT IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY region ORDER BY event_time DESC, event_id DESC) = 1""",
     "waiting_scenes": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0), {_AREA}
   SELECT event_id, concat(flight_direction, '_', path_number) AS track, 'mosaic' AS kind, acq_date, start_time, pos, area FROM ar""",
     **{

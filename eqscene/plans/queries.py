@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from eqscene.operators import catalog, delivery, geo, jobs, optical, pairing
 from eqscene.operators.significance import near_line, significant, strong
 from eqscene.plans import runs
 from eqscene.plans import views as v
-from eqscene.plans.landing import landed
+from eqscene.plans.landing import landed, shared_dir
 from eqscene.sources import readers, sinks
 from eqscene.streaming import tracker
 
@@ -153,15 +154,49 @@ def pairs_footprints(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(pairing.radar_pairs(_footprints(spark, d)))
 
 
-@_query
-def waiting_scenes(spark: SparkSession, d: str) -> DataFrame:
-    """Mosaics after the rupture that a pass over the waiting tracks puts before the state machine."""
+def _waiting(spark: SparkSession, d: str) -> DataFrame:
     area = v.view(spark, d, v.AREA).withColumn("event_time", F.col("window_start"))
     scenes = v.view(spark, d, v.SCENE).withColumn("ring", _ring("minx", "miny", "maxx", "maxy"))
     tracks = catalog.tracks(catalog.scene_events(area, scenes.drop("ring"), 40.0)).join(area, "event_id")
-    waiting = tracks.withColumns({"track": F.concat_ws("_", "flight_direction", "path_number"), "status": F.lit(tracker.AWAITING)})
-    found = tracker.waiting_input(waiting.filter("event_id % 3 > 0"), scenes, 40.0)
-    return found.select("event_id", "track", "kind", "acq_date", "start_time", "pos", F.round("area", 6).alias("area"))
+    status = F.when(F.col("event_id") % 3 > 0, tracker.AWAITING).otherwise(tracker.FAILED)
+    waiting = tracks.withColumns({"track": F.concat_ws("_", "flight_direction", "path_number"), "status": status})
+    return tracker.waiting_input(waiting, scenes, 40.0)
+
+
+@_query
+def waiting_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """Mosaics after the rupture that a pass over the waiting tracks puts before the state machine."""
+    return _waiting(spark, d).select("event_id", "track", "kind", "acq_date", "start_time", "pos", F.round("area", 6).alias("area"))
+
+
+@_query
+def track_state_stream(spark: SparkSession, d: str) -> DataFrame:
+    """One pass of the stateful stream over waiting tracks, their later mosaics and their results."""
+    root = f"{shared_dir(spark)}/state-{uuid4().hex}"
+    fields = [f.split() for f in tracker.STATE_INPUT.split(", ")]
+    typed = lambda df: df.select(*(F.col(c).cast(t) for c, t in fields))
+    found = _waiting(spark, d)
+    results = found.filter("event_id % 2 = 0").select("event_id", "track", "event_time").distinct()
+    blank = {c: F.lit(None) for c, _ in fields if c not in results.columns}
+    results = results.withColumns({**blank, "kind": F.lit("result"), "result": F.lit("Success")})
+    typed(found).unionByName(typed(results)).write.parquet(f"{root}/in")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = tracker.track_state(spark.readStream.schema(tracker.STATE_INPUT).parquet(f"{root}/in"))
+    write = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
+    write.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(tracker.STATE_OUTPUT).parquet(f"{root}/out").select("event_id", "track", "status", "post_date")
+
+
+@_query
+def discovery_run(spark: SparkSession, d: str) -> DataFrame:
+    """The stream of discovery over landed quakes, held against the known ones."""
+    root = f"{shared_dir(spark)}/discovery-{uuid4().hex}"
+    feed = v.view(spark, d, v.QUAKE).withColumn("revision", F.col("event_id")).withColumn("event_id", F.col("region").cast("string"))
+    feed.write.parquet(f"{root}/in")
+    v.table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("event_id")).write.parquet(f"{root}/known/first")
+    stream = spark.readStream.schema(feed.schema).parquet(f"{root}/in")
+    tracker.discovery_stream(stream, f"{root}/known", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(feed.schema).parquet(f"{root}/out").select("event_id", "revision", "mag", "event_time")
 
 
 @_query
