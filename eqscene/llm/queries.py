@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eqscene.llm._common import read_table, whole_text
 from eqscene.llm.decontaminate import find_contamination, is_contaminated
 from eqscene.llm.fingerprints import fingerprint_with_next
+from eqscene.llm.hard_negatives import mine
 from eqscene.llm.line_dedup import FUZZY_FROM, dedup_lines
 from eqscene.llm.order_minhash import near_duplicates
 from eqscene.llm.pii import pseudonymise
@@ -17,7 +18,9 @@ from eqscene.llm.quality import score_quality
 from eqscene.llm.sentencepiece_lattice import encode
 from eqscene.llm.sharding import assign_shards
 from eqscene.llm.suffix_dedup import remove_repeats
+from eqscene.llm.token_ids import through_files
 from eqscene.llm.toxicity import score_toxicity
+from eqscene.llm.whitening import whiten
 
 
 #: Of the query alone, so that it gives the same pseudonyms each time; a real key is the caller's.
@@ -113,6 +116,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = through_files(read_table(spark, sf_dir, "documents"))
+    return coded.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 OP7_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(
@@ -163,6 +181,28 @@ SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_removed,
 FROM k GROUP BY doc_id"""
 
 
+OP11_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_near_duplicates": op2_near_duplicates,
@@ -174,10 +214,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_toxicity": op10_toxicity,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_ids": op12_token_ids,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES: dict[str, str] = {
     "op1_sharding": _op1_sql(),
     "op7_decontamination": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
