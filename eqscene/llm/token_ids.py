@@ -15,7 +15,8 @@ time, and decodes only the blocks that these touch.
 
 The default tokenizer drops white space, so that its ids of a text are those of the
 parts between spaces and line ends, one after the other. A worker therefore encodes each
-such part once and keeps its ids (``by_words``; other tokenizers get whole texts). The
+such part once and keeps its ids (``by_words``; other tokenizers get whole texts); plain
+letters go to the tokenizer's model without its normalizer, which only lowers them. The
 store of parts is emptied when it is full, which only costs time.
 
 Edge cases: a null or empty text has the end id alone; rows of one doc_id follow the
@@ -27,7 +28,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from uuid import uuid4
@@ -47,13 +50,14 @@ from eqscene.llm.simple8b import BLOCK
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 #: Parts of texts that a worker keeps, and the longest that it keeps.
-STORE, LONGEST = 1_200_000, 64
-#: Characters encoded, and ids packed or unpacked, at a time.
-CHUNK_CHARS, CHUNK_IDS = 2_000_000, 1 << 20
+STORE, LONGEST = 900_000, 64
+#: Bytes of text encoded, and ids packed or unpacked, at a time.
+CHUNK_BYTES, CHUNK_IDS = 8_000_000, 1 << 19
 MANIFEST = "_files.json"
 _MAGIC = b"IDS8\x01\x00\x00\x00"
 _TRAILER = struct.Struct("<qqq8s")
-_STOPS = frozenset(".,;:!?")
+#: Letters of one byte in Latin-1, and what may follow them: these are always parts of their own.
+_PLAIN = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class _Encoder:
@@ -63,9 +67,12 @@ class _Encoder:
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(file)
+        self.pieces = self.model.model
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xAA, 0x100)}
         self.known: dict[str, bytes] = {}
 
     @classmethod
@@ -74,66 +81,106 @@ class _Encoder:
             cls.held[file, by_words] = cls(file)
         return cls.held[file, by_words]
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
     def whole(self, texts: list[str]) -> list[bytes]:
-        return self._encoded(texts)
+        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def by_words(self, texts: list[str]) -> list[bytes]:
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*parts)
-        if len(self.known) + len(new) > STORE:
+    def by_words(self, words: list[str]) -> list[bytes]:
+        """The ids of different parts of texts."""
+        if len(self.known) + len(words) > STORE:
             self.known.clear()
-        new.difference_update(self.known)
-        self._learn(new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, p)) for p in parts]
-        for w in new:
+        self._learn([w for w in words if w not in self.known])
+        out = [self.known[w] for w in words]
+        for w in words:
             if len(w) > LONGEST:
                 del self.known[w]
         return out
 
-    def _learn(self, new: set[str]) -> None:
-        """A letter and a stop after it are always apart, and plain letters are lowered: so most parts need the library once for all their forms."""
-        plain = {}
+    def encode(self, texts: pa.Array, per_word: bool, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has."""
+        if per_word:
+            parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            coded = parts.flatten().dictionary_encode()
+            raw, at = self.by_words(coded.dictionary.to_pylist()), coded.indices.to_numpy(zero_copy_only=False)
+            edge = np.concatenate(([0], np.cumsum(parts.value_lengths().to_numpy(zero_copy_only=False))))
+        else:
+            raw, at, edge = self.whole(texts.to_pylist()), np.arange(len(texts)), np.arange(len(texts) + 1)
+        own = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        first, flat = np.cumsum(own) - own, np.frombuffer(b"".join(raw), "<u4")
+        size = own[at]
+        last = np.concatenate(([0], np.cumsum(size)))
+        ids = flat[np.repeat(first[at] - last[:-1], size) + np.arange(last[-1])]
+        edge = last[edge]
+        if end_id is None:
+            return ids, np.diff(edge)
+        return np.insert(ids, edge[1:], end_id), np.diff(edge) + 1
+
+    def _learn(self, new: list[str]) -> None:
+        known, other = self.known, []
         for w in new:
-            stem, stop = (w[:-1], w[-1]) if w[-1:] in _STOPS and w[-2:-1].isalpha() and w[-2:-1].isascii() else (w, "")
-            plain[w] = (stem.lower() if stem.isascii() and stem.isalpha() else stem), stop
-        wanted = sorted({x for pair in plain.values() for x in pair}.difference(self.known))
-        fresh = dict(zip(wanted, self._encoded(wanted), strict=True))
-        self.known.update((w, i) for w, i in fresh.items() if len(w) <= LONGEST)
-        for w, (stem, stop) in plain.items():
-            if w not in self.known:
-                self.known[w] = (fresh[stem] if stem in fresh else self.known[stem]) + self.known[stop]
+            plain = _PLAIN.fullmatch(w) if len(w) <= LONGEST else None
+            if not plain:
+                other.append(w)
+                continue
+            stem, stop = plain[1].lower(), plain[2]
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = self._letters(stem)
+            if stop:
+                if stop not in known:
+                    known[stop] = self.whole([stop])[0]
+                ids += known[stop]
+            known[w] = ids
+        known.update(zip(other, self.whole(other), strict=True))
+
+    def _letters(self, word: str) -> bytes:
+        """The ids of one lowered word of plain letters: what the tokenizer's normalizer and its cuts leave as it is."""
+        return array("I", [t.id for t in self.pieces.tokenize(word if word.isascii() else word.translate(self.bytes))]).tobytes()
+
+
+def _encoder(file: str | None, by_words: bool | None) -> tuple[str, bool]:
+    if file is None:
+        import public_tokenizers
+
+        return public_tokenizers.path(TOKENIZER), by_words is not False
+    return file, bool(by_words)
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about CHUNK_BYTES."""
+    size = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + CHUNK_BYTES, "right")))
+        yield i, j
+        i = j
 
 
 def tokenise(docs: DataFrame, file: str | None = None, end_id: int | None = END_ID, by_words: bool | None = None) -> DataFrame:
     """``doc_id, ids`` for every row: the ids of the whole text and ``end_id`` as little-endian unsigned 32-bit integers."""
-    if file is None:
-        import public_tokenizers
-
-        file, by_words = public_tokenizers.path(TOKENIZER), by_words is not False
-    per_word = bool(by_words)
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    file, per_word = _encoder(file, by_words)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder.of(file, per_word)
-        run = encoder.by_words if per_word else encoder.whole
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            size = np.cumsum([len(t) for t in texts])
-            i = 0
-            while i < len(texts):
-                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + CHUNK_CHARS, "right")))
-                ids = [x + end for x in run(texts[i:j])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
-                i = j
+            yield from _tokenised(batch, file, per_word, end_id)
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(encoded, f"doc_id {kind}, ids binary")
 
 
+def _tokenised(batch: pa.RecordBatch, file: str, per_word: bool, end_id: int | None) -> Iterator[pa.RecordBatch]:
+    """(key, text) as (key, ids), some texts at a time."""
+    encoder, texts = _Encoder.of(file, per_word), pc.fill_null(batch.column(1), "")
+    for i, j in _chunks(texts):
+        ids, count = encoder.encode(texts.slice(i, j - i), per_word, end_id)
+        yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), _as_bytes(ids, count)], names=["doc_id", "ids"])
+
+
+def _as_bytes(ids: np.ndarray, count: np.ndarray) -> pa.Array:
+    edge = 4 * np.concatenate(([0], np.cumsum(count)))
+    buffers = [None, pa.py_buffer(edge.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))]
+    return pa.Array.from_buffers(pa.binary(), len(count), buffers)
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` sorted over ranges of doc_id; rows of one doc_id may fill many ranges."""
     rows = docs.select("doc_id", whole_text().alias("text"))
@@ -157,8 +204,15 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, schema: str):
-        self.path, self.schema = path, schema
+    def __init__(self, path: str, schema: str, encoder: tuple[str, bool, int | None] | None):
+        self.path, self.schema, self.encoder = path, schema, encoder
+
+    def _coded(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if self.encoder:
+                yield from _tokenised(batch, *self.encoder)
+            else:
+                yield batch
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         files, folder = _opened(self.path)
@@ -182,7 +236,7 @@ class _Writer(DataSourceArrowWriter):
                 else:
                     out.write(coded.words.astype("<u8").tobytes())
 
-            for batch in iterator:
+            for batch in self._coded(iterator):
                 keys.append(batch.column(0))
                 values, length = _values(batch.column(1))
                 lengths.append(length)
@@ -228,7 +282,11 @@ def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all rows in order, and how many each has; null rows have none. Ids are bytes of 32-bit integers or lists."""
     if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
         size = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        raw = b"".join(x for x in column.to_pylist() if x)
+        if not column.null_count and pa.types.is_binary(column.type):
+            edge = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+            raw = memoryview(column.buffers()[2] or b"")[edge[0] : edge[-1]]
+        else:
+            raw = b"".join(x for x in column.to_pylist() if x)
         return np.frombuffer(raw, "<u4").astype(np.uint64), size
     size = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = column.flatten().to_numpy(zero_copy_only=False)
@@ -280,8 +338,7 @@ class _Reader(DataSourceReader):
                 else:
                     if len(values) and values.max() >= 2**32:
                         raise ValueError("an id takes more than 32 bits; read with wide=true")
-                    raw = pa.py_buffer(values.astype("<u4").tobytes())
-                    ids = pa.Array.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer((4 * edge).astype(np.int64).tobytes()), raw]).cast(pa.binary())
+                    ids = _as_bytes(values.astype("<u4"), count)
                 yield pa.RecordBatch.from_arrays(
                     [docs["doc_id"].slice(i, j - i).combine_chunks(), pa.array(part.start + first + edge[:-1]), pa.array(count), ids],
                     names=["doc_id", "start", "n_tokens", "ids"],
@@ -314,7 +371,7 @@ def _listed(path: str) -> dict:
 
 
 class TokenIdFiles(DataSource):
-    """Format ``token_ids``: writes (key, ids), reads ``doc_id, start, n_tokens, ids``; the option ``wide`` gives ids as ``array<long>``."""
+    """Format ``token_ids``: writes (key, ids), or (key, text) given a ``tokenizer``; reads ``doc_id, start, n_tokens, ids``, as ``array<long>`` if ``wide``."""
 
     @classmethod
     def name(cls) -> str:
@@ -332,7 +389,9 @@ class TokenIdFiles(DataSource):
         return _Reader(self.options["path"], self._wide)
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], schema[0].dataType.simpleString())
+        file, by_words, end = (self.options.get(k) for k in ("tokenizer", "words", "end"))
+        encoder = (file, by_words == "true", int(end) if end else None) if file else None
+        return _Writer(self.options["path"], schema[0].dataType.simpleString(), encoder)
 
 
 def write_ids(coded: DataFrame, path: str) -> None:
@@ -341,6 +400,14 @@ def write_ids(coded: DataFrame, path: str) -> None:
     coded.select("doc_id", "ids").write.format("token_ids").mode("append").save(path)
 
 
+def write_texts(docs: DataFrame, path: str, file: str | None = None, end_id: int | None = END_ID, by_words: bool | None = None) -> None:
+    """``doc_id, text``, whose partitions follow each other in order: tokenised by the tasks that write the files."""
+    file, per_word = _encoder(file, by_words)
+    docs.sparkSession.dataSource.register(TokenIdFiles)
+    options = {"tokenizer": file, "words": str(per_word).lower()} | ({} if end_id is None else {"end": str(end_id)})
+    docs.select("doc_id", "text").write.format("token_ids").options(**options).mode("append").save(path)
+
+
 def read_ids(spark: SparkSession, path: str, wide: bool = False) -> DataFrame:
     """``doc_id, start, n_tokens, ids`` of the files in ``path``; ``start`` counts the ids of all documents before."""
     spark.dataSource.register(TokenIdFiles)
@@ -351,5 +418,5 @@ def through_files(docs: DataFrame, path: str | None = None, file: str | None = N
     """``docs`` tokenised, written in ascending doc_id order (to ``path``, or a folder of its own) and read back."""
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark)}/token-ids-{uuid4().hex}"
-    write_ids(tokenise(in_order(docs), file), path)
+    write_texts(in_order(docs), path, file)
     return read_ids(spark, path)

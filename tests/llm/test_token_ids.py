@@ -5,6 +5,7 @@ from uuid import uuid4
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -78,14 +79,14 @@ def test_all_documents_of_the_smallest_table(spark):
 @given(st.text(st.one_of(st.sampled_from(" \n.,;:!?'<|>ABab́ßİΣ1"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_parts_of_a_text_give_the_ids_of_the_text(text):
     encoder = token_ids._Encoder.of(public_tokenizers.path(token_ids.TOKENIZER), True)
-    assert np.frombuffer(encoder.by_words([text])[0], "<u4").tolist() == _ids([text], ())[0]
+    assert encoder.encode(pa.array([text, ""]), True, None)[0].tolist() == _ids([text], ())[0]
 
 
 def test_a_full_store_is_emptied(monkeypatch):
     monkeypatch.setattr(token_ids, "STORE", 20)
     encoder = token_ids._Encoder(public_tokenizers.path(token_ids.TOKENIZER))
     texts = [f"word{i} other{i}. end" for i in range(50)]
-    assert [np.frombuffer(x, "<u4").tolist() for t in texts for x in encoder.by_words([t])] == _ids(texts, ())
+    assert [encoder.encode(pa.array([t]), True, None)[0].tolist() for t in texts] == _ids(texts, ())
 
 
 def test_repeated_rows_and_whole_texts(spark, docs):
