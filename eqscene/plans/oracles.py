@@ -138,6 +138,38 @@ w AS (SELECT {_G}, lo, hi, sum(greatest(0, x2 - greatest(x1, coalesce(before, x1
 n AS (SELECT {_G}, count(*) AS n_scenes, arg_min(start_time, pos) AS start_time, min(pos) AS pos FROM met GROUP BY ALL),
 ar AS (SELECT {_G}, n_scenes, start_time, pos, round(sum(width * (hi - lo))::DOUBLE, 6) AS area FROM w JOIN n USING ({_G}) GROUP BY ALL)"""
 
+_IN = """start_time >= date_trunc('day', event_time - INTERVAL 90 DAY)
+    AND start_time <= date_trunc('day', event_time + INTERVAL 30 DAY)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 1 SECOND"""
+#: Scenes of the forward run, by what they are compared for: dates before the rupture as known in an event's first
+#: pass (``p0``), and dates after it as known in either pass.
+_FORWARD = f"""WITH q AS (SELECT DISTINCT q.*, q.event_id % 2 + 1 AS p0 FROM ({Q}) q JOIN ({L}) l
+  ON pow(greatest(x1 - lon, 0, lon - x2), 2) + pow(greatest(y1 - lat, 0, lat - y2), 2) < 1 WHERE {FORWARD}),
+s AS (SELECT *, CASE WHEN pos % 3 = 0 THEN 2 ELSE 1 END AS p FROM ({S})),
+near AS (SELECT q.event_id, q.event_time, q.p0, lon - 50 AS minx, lat - 50 AS miny, lon + 50 AS maxx, lat + 50 AS maxy, s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2,
+    s.file_id, s.path_number, s.flight_direction AS direction, s.acq_date, s.start_time, s.pos, s.p
+  FROM q JOIN s ON lon - 50 < s.maxx AND s.minx < lon + 50 AND lat - 50 < s.maxy AND s.miny < lat + 50),
+met AS (
+  SELECT *, concat('whole|', direction) AS flight_direction FROM near WHERE p <= p0 AND {_IN}
+  UNION ALL SELECT *, concat('pre|', direction) FROM near WHERE p <= p0 AND start_time < event_time AND {_IN}
+  UNION ALL SELECT *, concat('post1|', direction) FROM near WHERE p0 = 1 AND p = 1 AND start_time > event_time
+  UNION ALL SELECT *, concat('post2|', direction) FROM near WHERE start_time > event_time),
+{_AREA},
+k AS (SELECT event_id, path_number, split_part(flight_direction, '|', 2) AS direction, split_part(flight_direction, '|', 1) AS kind, acq_date, area FROM ar),
+most AS (SELECT event_id, path_number, direction, kind, max(area) AS most FROM k GROUP BY ALL),
+found AS (SELECT k.*, max(k.acq_date) OVER w AS latest, min(k.acq_date) OVER w AS earliest FROM k JOIN most m
+  ON m.event_id = k.event_id AND m.path_number = k.path_number AND m.direction = k.direction AND m.kind = CASE k.kind WHEN 'pre' THEN 'whole' ELSE k.kind END
+  WHERE k.kind <> 'whole' AND most > 0 AND area / most > 0.95 WINDOW w AS (PARTITION BY k.event_id, k.path_number, k.direction, k.kind)),
+one AS (SELECT DISTINCT event_id, path_number, direction, kind, CASE kind WHEN 'pre' THEN latest ELSE earliest END AS day FROM found),
+ids AS (SELECT event_id, path_number, direction, split_part(flight_direction, '|', 1) AS kind, acq_date AS day, string_agg(file_id, ',' ORDER BY pos) AS ids FROM met GROUP BY ALL),
+best AS (SELECT * FROM one JOIN ids USING (event_id, path_number, direction, kind, day)),
+t AS (SELECT a.event_id, concat(a.direction, '_', a.path_number) AS track, a.day AS reference_date, coalesce(b.day, c.day) AS post_date, a.ids AS pre, coalesce(b.ids, c.ids) AS post
+  FROM best a LEFT JOIN best b ON b.kind = 'post1' AND b.event_id = a.event_id AND b.path_number = a.path_number AND b.direction = a.direction
+  LEFT JOIN best c ON c.kind = 'post2' AND c.event_id = a.event_id AND c.path_number = a.path_number AND c.direction = a.direction WHERE a.kind = 'pre')
+SELECT event_id::VARCHAR AS event_id, track, reference_date, post_date,
+  CASE WHEN post_date IS NULL OR event_id % 3 = 0 THEN 'AWAITING_POST_SEISMIC' WHEN event_id % 4 = 0 THEN 'READY_FOR_EMAIL'
+    WHEN event_id % 5 = 0 THEN 'FAILED_NEEDS_ATTENTION' ELSE 'REMOVED' END AS status,
+  CASE WHEN post_date IS NOT NULL THEN pre END AS secondary, CASE WHEN post_date IS NOT NULL THEN post END AS reference FROM t"""
+
 _BOX = "minx, miny, maxx, maxy"
 
 ORACLES: dict[str, str] = {
@@ -189,6 +221,7 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
   GROUP BY event_id, flight_direction, path_number""",
     "discovery_run": f"""SELECT region::VARCHAR AS event_id, event_id AS revision, mag, event_time FROM ({Q}) WHERE {FORWARD}
   AND region NOT IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY region ORDER BY event_time DESC, event_id DESC) = 1""",
+    "forward_run": _FORWARD,
     "waiting_scenes": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0), {_AREA}
   SELECT event_id, concat(flight_direction, '_', path_number) AS track, 'mosaic' AS kind, acq_date, start_time, pos, area FROM ar""",
     **{

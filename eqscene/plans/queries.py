@@ -15,7 +15,7 @@ from eqscene.plans import runs
 from eqscene.plans import views as v
 from eqscene.plans.landing import landed, shared_dir
 from eqscene.sources import readers, sinks
-from eqscene.streaming import tracker
+from eqscene.streaming import forward, tracker
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,6 +199,43 @@ def discovery_run(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(feed.schema).parquet(f"{root}/out").select("event_id", "revision", "mag", "event_time")
 
 
+@_query
+def forward_run(spark: SparkSession, d: str) -> DataFrame:
+    """Passes of a forward run over quakes and scenes that come in two parts, then over the results and the acknowledgements of its jobs."""
+    root = f"{shared_dir(spark)}/forward-{uuid4().hex}"
+    quakes = v.view(spark, d, v.QUAKE).withColumn("event_time", F.col("event_time").cast("timestamp")).withColumn("revision", F.lit(1))
+    scenes = v.view(spark, d, v.SCENE).withColumn("ring", _ring(*geo.BOX)).withColumn("start_time", F.col("start_time").cast("timestamp"))
+    scenes = scenes.select("file_id", "start_time", "acq_date", "flight_direction", "path_number", "frame_number", "ring", "pos")
+    keyed = "event_id string, track string"
+    landed_as = {"feed": quakes.schema, "scenes": scenes.schema, "results": f"{keyed}, result string", "acks": keyed}
+    for name, schema in landed_as.items():
+        spark.createDataFrame([], schema).write.parquet(f"{root}/{name}")
+    land = lambda df, name: df.write.mode("append").parquet(f"{root}/{name}")
+    boxed = lambda df: df.withColumn("bbox", readers.ring_box(F.col("ring")))
+    about = lambda e: e.select("event_id", *((F.col(c) + x).alias(n) for c, x, n in zip(("lon", "lat", "lon", "lat"), (-50, -50, 50, 50), geo.BOX, strict=True)))
+    run = forward.Forward(spark, f"{root}/run", _land(spark, d), lambda: boxed(spark.read.schema(scenes.schema).parquet(f"{root}/scenes")), cell=50.0, aois=about)
+
+    def go() -> None:
+        of = {name: spark.readStream.schema(schema).parquet(f"{root}/{name}") for name, schema in landed_as.items()}
+        run.run_pass(of["feed"], boxed(of["scenes"]), of["results"], of["acks"])
+
+    for part in (0, 1):
+        land(quakes.filter(F.col("event_id") % 2 == part), "feed")
+        land(scenes.filter((F.col("pos") % 3 == 0) == (part == 1)), "scenes")
+        go()
+    number = F.col("event_id").cast("long")
+    result = F.when(number % 5 == 0, "Failed: run").otherwise("Success")
+    land(run.read("jobs").filter(number % 3 > 0).select("event_id", "track", result.alias("result")), "results")
+    go()
+    land(run.read("jobs").filter(number % 4 > 0).select("event_id", "track"), "acks")
+    go()
+    jobs_due = run.read("jobs").select("event_id", "track", "name", "job_parameters")
+    return run.state().join(jobs_due, ["event_id", "track"], "left").select(
+        "event_id", "track", "reference_date", "post_date", "status", F.array_join("job_parameters.secondary_granules", ",").alias("secondary"),
+        F.array_join("job_parameters.granules", ",").alias("reference"),
+    )
+
+
 @_query
 def coseismic_pair(spark: SparkSession, d: str) -> DataFrame:
     return _pairs(pairing.bracket_pair(_accepted(spark, d)))
