@@ -28,3 +28,10 @@ def landed(rows: DataFrame, key: str, item: Column, root: str | None = None, mos
     value = F.to_json(F.struct(items.alias(root)) if root else items)
     rows.groupBy(F.floor(F.col(key) / most).alias("part")).agg(value.alias("value")).write.partitionBy("part").text(path)
     return path
+
+
+def staged(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` written once to the shared folder and read again; what is used several times is then made once."""
+    path = f"{shared_dir(rows.sparkSession)}/{label}-{uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

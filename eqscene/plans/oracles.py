@@ -79,6 +79,13 @@ _OPTICAL_MET = f"""SELECT e.event_id, e.event_time, e.minx, e.miny, e.maxx, e.ma
   ON e.minx < x2 AND x1 < e.maxx AND e.miny < y2 AND y1 < e.maxy AND s.start_time >= date_trunc('day', event_time - INTERVAL 90 DAY)
  AND s.start_time <= date_trunc('day', event_time + INTERVAL 30 DAY)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 1 SECOND"""
 
+#: The same for the events of a historic run: strong, near an island, 90 days to either side.
+_HISTORIC_MET = f"""SELECT e.event_id, e.event_time, e.minx, e.miny, e.maxx, e.maxy, s.* FROM ({v.duck(v.OPTICAL_EVENT)}) e JOIN ({v.duck(v.OPTICAL_SCENE)}) s
+  ON e.minx < x2 AND x1 < e.maxx AND e.miny < y2 AND y1 < e.maxy AND s.start_time >= event_time - INTERVAL 90 DAY AND s.start_time <= event_time + INTERVAL 90 DAY
+  WHERE e.event_id % 40 >= 10 AND EXISTS (FROM (SELECT n_nationkey * 7 % 34 - 1 AS a, n_nationkey * 5 % 34 - 1 AS b FROM nation)
+    WHERE pow(greatest(a - e.minx - 3, 0, e.minx + 3 - a - 4), 2) + pow(greatest(b - e.miny - 3, 0, e.miny + 3 - b - 4), 2) < 1)"""
+_SNAKE = "lower(replace(s_name, '#', ''))"
+
 #: Footprints of whole units: the union's area is the number of unit squares that any covers.
 _FOOT = f"""ft AS ({FT}),
 sq AS (SELECT *, unnest(range(greatest(y1, 0), least(y2, 10))) AS y FROM (SELECT *, unnest(range(greatest(x1, 0), least(x2, 10))) AS x FROM ft))"""
@@ -229,6 +236,10 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
   ON pow(greatest(x1 - lon, 0, lon - x2), 2) + pow(greatest(y1 - lat, 0, lat - y2), 2) < 100 WHERE {rule}"""
         for k, rule in (("historic", HISTORIC), ("forward", FORWARD), ("v1", "mag >= 6.0 AND depth_km <= 40"))
     },
+    "direction_coverage": f"""WITH met AS (SELECT 0 AS event_id, 0 AS path_number, flight_direction, 0 AS acq_date, start_time, pos,
+  minx AS sx1, miny AS sy1, maxx AS sx2, maxy AS sy2, -1700 AS minx, -500 AS miny, 1700 AS maxx, 500 AS maxy FROM ({S})
+  WHERE minx < 1700 AND maxx > -1700 AND miny < 500 AND maxy > -500), {_AREA}
+  SELECT flight_direction, round(area::DOUBLE, 3) AS area FROM ar""",
     "bbox_agg": f"SELECT path_number, min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM ({S}) GROUP BY ALL",
     "aoi_precedence": f"""SELECT q.event_id, coalesce(l.x1, u.minx, q.lon - 0.5)::DOUBLE AS minx, coalesce(l.y1, u.miny, q.lat - 0.5)::DOUBLE AS miny,
   coalesce(l.x2, u.maxx, q.lon + 0.5)::DOUBLE AS maxx, coalesce(l.y2, u.maxy, q.lat + 0.5)::DOUBLE AS maxy,
@@ -244,6 +255,13 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
   QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY cc, acq_date) = 1""",
     "optical_jobs": f"{_TILES}{_OPTICAL_JOBS}",
     "optical_run": f"{_tiles(_OPTICAL_MET)}{_OPTICAL_JOBS}",
+    "historic_optical_run": f"{_tiles(_HISTORIC_MET)}{_OPTICAL_JOBS}".replace("concat(s_name,", f"concat({_SNAKE},"),
+    "selected_scenes": f"""{_tiles(_HISTORIC_MET)},
+  n AS (SELECT *, count(DISTINCT side) OVER (PARTITION BY event_id, orbit_id) AS sides FROM c),
+  p AS (SELECT * FROM n WHERE sides = 2 QUALIFY row_number() OVER (PARTITION BY event_id, orbit_id, side ORDER BY coverage DESC, cc, delta, acq_date) = 1)
+  SELECT p.event_id, {_SNAKE} AS earthquake, CASE side WHEN 'pre' THEN 'Pre-Event' ELSE 'Post-Event' END AS role, p.acq_date::VARCHAR AS date, p.orbit_id AS orbit,
+    'sentinel-2a' AS platform, granule_id, cloud_cover, round(coverage, 1) AS coverage_pct, x1::DOUBLE AS x
+  FROM p JOIN t ON t.event_id = p.event_id AND t.orbit_id = p.orbit_id AND t.acq_date = p.acq_date JOIN supplier ON s_suppkey = p.event_id""",
     "historic_run": f"""WITH q AS (SELECT DISTINCT q.* FROM ({Q}) q JOIN ({L}) l
   ON pow(greatest(x1 - lon, 0, lon - x2), 2) + pow(greatest(y1 - lat, 0, lat - y2), 2) < 1 WHERE {HISTORIC}),
 met AS (SELECT q.event_id, q.event_time, lon - 400 AS minx, lat - 400 AS miny, lon + 400 AS maxx, lat + 400 AS maxy, s.minx AS sx1, s.miny AS sy1, s.maxx AS sx2, s.maxy AS sy2,

@@ -48,11 +48,15 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 
 def _land(spark: SparkSession, d: str) -> DataFrame:
+    return _sides(v.view(spark, d, v.LAND))
+
+
+def _sides(boxes: DataFrame) -> DataFrame:
     """The rings' four sides as segments."""
     x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
     corners = ((x1, y1, x2, y1), (x2, y1, x2, y2), (x2, y2, x1, y2), (x1, y2, x1, y1))
     sides = F.array(*(F.struct(*(c.alias(n) for c, n in zip(k, ("x1", "y1", "x2", "y2"), strict=True))) for k in corners))
-    return v.view(spark, d, v.LAND).select("ring_id", F.inline(sides))
+    return boxes.select("ring_id", F.inline(sides))
 
 
 def _ring(x1: str, y1: str, x2: str, y2: str) -> Column:
@@ -313,6 +317,14 @@ def mosaic_coverage(spark: SparkSession, d: str) -> DataFrame:
     return grouped.select("event_id", "path_number", "acq_date", "n_scenes", F.round(geo.mosaic_area("rings", *boxes), 6).alias("area"))
 
 
+@_query
+def direction_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """What all scenes of a direction cover of a belt: mosaics that grow with the catalogue, cut into bands."""
+    belt = {"minx": F.lit(-1700.0), "miny": F.lit(-500.0), "maxx": F.lit(1700.0), "maxy": F.lit(500.0)}
+    scenes = v.view(spark, d, v.SCENE).withColumn("ring", _ring(*geo.BOX)).select("flight_direction", "ring").withColumns(belt)
+    return geo.banded_areas(scenes, ["flight_direction"], 20.0).select("flight_direction", F.round("area", 3).alias("area"))
+
+
 @_query
 def bbox_agg(spark: SparkSession, d: str) -> DataFrame:
     return geo.bbox_agg(v.view(spark, d, v.SCENE), ["path_number"])
@@ -375,7 +387,7 @@ def optical_run(spark: SparkSession, d: str) -> DataFrame:
     events = v.view(spark, d, v.OPTICAL_EVENT)
     scenes = v.view(spark, d, v.OPTICAL_SCENE).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
     p = F.col("job_parameters")
-    return runs.process_optical(events, events, scenes, 10.0).select(
+    return runs.process_optical(events, events, scenes, 10.0, (90, 30), True).select(
         "event_id", "orbit_id", "name", "status_note",
         F.array_join(p["reference"], ",").alias("reference"), F.array_join(p["secondary"], ",").alias("secondary"),
     )
@@ -394,6 +406,32 @@ def historic_run(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _historic_optical(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """A historic run over the optical events, of which some are weak or far from land."""
+    events = v.view(spark, d, v.OPTICAL_EVENT)
+    known = {"mag": F.lit(5.0) + F.col("event_id") % 40 / 10.0, "alert": F.lit("green"), "depth_km": F.lit(10.0), "lon": F.col("minx") + 3, "lat": F.col("miny") + 3, "url": F.lit(None).cast("string")}
+    ring = {"x1": F.col("n_nationkey") * 7 % 34 - 1.0, "y1": F.col("n_nationkey") * 5 % 34 - 1.0}
+    land = _sides(v.table(spark, d, "nation").withColumns(ring).select(F.col("n_nationkey").alias("ring_id"), "x1", "y1", (F.col("x1") + 4).alias("x2"), (F.col("y1") + 4).alias("y2")))
+    scenes = v.view(spark, d, v.OPTICAL_SCENE).withColumns({"ring": _ring("x1", "y1", "x2", "y2"), "platform": s.platform(F.col("granule_id"))})
+    return runs.historic_outputs(events.withColumns(known), land, scenes, "optical", user=events.select("event_id", *geo.BOX), cell=10.0)
+
+
+@_query
+def historic_optical_run(spark: SparkSession, d: str) -> DataFrame:
+    """Feed, coastline and optical scenes to jobs."""
+    p = F.col("job_parameters")
+    return _historic_optical(spark, d)["jobs"].select("event_id", "orbit_id", "name", "status_note", F.array_join(p["reference"], ",").alias("reference"), F.array_join(p["secondary"], ",").alias("secondary"))
+
+
+@_query
+def selected_scenes(spark: SparkSession, d: str) -> DataFrame:
+    """The footprints of the scenes that the complete pairs of a historic run hold."""
+    of = lambda k, t="string": F.get_json_object("value", f"$.properties.{k}").cast(t).alias(k)
+    corner = F.get_json_object("value", "$.geometry.coordinates[0][0][0]").cast("double").alias("x")
+    names = (of("earthquake"), of("role"), of("date"), of("orbit"), of("platform"), of("granule_id"), of("cloud_cover", "double"), of("coverage_pct", "double"))
+    return _historic_optical(spark, d)["features"].select("event_id", *names, corner)
+
+
 @_query
 def read_feed(spark: SparkSession, d: str) -> DataFrame:
     """Quakes landed as feed files, read with the feed's own predicates."""

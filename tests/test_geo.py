@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eqscene.operators import catalog
-from eqscene.operators.geo import BOX, mosaic_area, union_area
+from eqscene.operators.geo import BOX, banded_areas, mosaic_area, union_area
 from eqscene.operators.significance import near_line, significant
 
 
@@ -75,3 +75,25 @@ def test_scene_join_counts_each_pair_once(spark):
     e = spark.sql("SELECT 1 AS event_id, -5.0D AS minx, -5.0D AS miny, 9.0D AS maxx, 9.0D AS maxy, TIMESTAMP '2024-01-01' AS window_start, TIMESTAMP '2024-04-01' AS window_end")
     s = spark.sql("SELECT * FROM VALUES ('a', -9.0D, -9.0D, 12.0D, 12.0D, TIMESTAMP '2024-02-02'), ('touch', 9.0D, 0.0D, 12.0D, 1.0D, TIMESTAMP '2024-02-02'), ('late', 0.0D, 0.0D, 1.0D, 1.0D, TIMESTAMP '2024-04-02') AS t(file_id, minx, miny, maxx, maxy, start_time)")
     assert [r.file_id for r in catalog.scene_events(e, s, 2.0).collect()] == ["a"]
+
+
+def test_many_mosaics_at_once_and_large_ones_by_bands(spark):
+    rng = np.random.default_rng(3)
+    box = (0.1, 0.2, 0.9, 0.8)
+    mosaics = [[rectangle(rng) for _ in range(n)] for n in (1, 0, 3, 7, 70, 2)]
+    rows = [(k, [[(float(a), float(b)) for a, b in r] for r in m], *box) for k, m in enumerate(mosaics)] + [(6, None, *box), (7, [[(0.0, 0.0), (1.0, 1.0)], None], *box), (8, [], None, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "k int, rings array<array<struct<x:double,y:double>>>, minx double, miny double, maxx double, maxy double")
+    got = {r.k: r.area for r in df.select("k", mosaic_area("rings", *BOX).alias("area")).coalesce(1).collect()}
+    want = {k: union_area(m, box) for k, m in enumerate(mosaics)}
+    assert got == pytest.approx({**want, 6: 0.0, 7: 0.0, 8: None})
+    by_band = {r.k: r.area for r in banded_areas(df.filter("k < 6").select("k", *BOX, F.explode("rings").alias("ring")), ["k"], 0.07).collect()}
+    assert by_band == pytest.approx({k: a for k, a in want.items() if mosaics[k]})
+
+
+def test_rings_with_common_sides_and_corners():
+    unit = lambda x, y: np.array([(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1)], float)
+    assert union_area([unit(x, y) for x in range(4) for y in range(4)] * 3, (0, 0, 4, 4)) == pytest.approx(16)
+    star = [np.array([(2, 0), (4, 4), (0, 1.5), (4, 1.5), (0, 4)], float)] * 5  # over itself, five times the same
+    assert union_area(star, (0, 0, 4, 4)) == pytest.approx(union_area(star[:1], (0, 0, 4, 4)))
+    bow = np.array([(0, 0), (2, 2), (2, 0), (0, 2)], float)
+    assert union_area([bow, bow[::-1], unit(0, 0)], (0, 0, 2, 2)) == pytest.approx(2.5)
