@@ -84,14 +84,22 @@ def tracks_per_event(jobs: DataFrame) -> DataFrame:
     )
 
 
+def flagged(jobs: DataFrame) -> DataFrame:
+    """``jobs`` with ``keep`` (of ``ranked``), ``ok`` (conforming), ``frame_group`` and the parts of their names."""
+    return named(ranked(jobs)).withColumns({"ok": conforms(), "frame_group": frame_group()})
+
+
 def curation_funnel(jobs: DataFrame) -> DataFrame:
     """Events and jobs after each step, in one pass: all, deduplicated, conforming."""
-    flagged = named(ranked(jobs)).withColumn("ok", F.col("keep") & conforms())
-    steps = (("all", F.lit(True)), ("deduplicated", F.col("keep")), ("conforming", F.col("ok")))
-    counted = flagged.agg(
-        *(F.count_if(c).alias(f"{s}_jobs") for s, c in steps),
-        *(F.count_distinct(F.when(c, F.col("event_name"))).alias(f"{s}_events") for s, c in steps),
-    )
+    return _funnel(flagged(jobs))
+
+
+def _funnel(flags: DataFrame) -> DataFrame:
+    done = F.col("keep") & F.col("ok")
+    steps = (("all", F.lit(True)), ("deduplicated", F.col("keep")), ("conforming", done))
+    # an event's rows become one before events are counted
+    each = flags.groupBy("event_name").agg(*(F.count_if(c).alias(s) for s, c in steps))
+    counted = each.agg(*(F.coalesce(F.sum(s), F.lit(0)).alias(f"{s}_jobs") for s, _ in steps), *(F.count_if((F.col(s) > 0) & F.col("event_name").isNotNull()).alias(f"{s}_events") for s, _ in steps))
     rows = F.array(
         *(
             F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"), F.col(f"{s}_events").alias("n_events"), F.col(f"{s}_jobs").alias("n_jobs"))
@@ -102,15 +110,18 @@ def curation_funnel(jobs: DataFrame) -> DataFrame:
 
 
 def curate(jobs: DataFrame) -> dict[str, DataFrame]:
-    """All outputs of the curation, from one flagged frame."""
-    flagged = ranked(jobs).withColumn("ok", conforms()).withColumn("frame_group", frame_group())
-    kept = flagged.filter("keep AND ok").drop("keep", "ok")
+    """All outputs of the curation, from one flagged frame that is written once (one scan and one window for all of them)."""
+    from eqscene.plans.landing import staged
+
+    flags = staged(flagged(jobs), "curation")
+    added = ("keep", "ok", "event_name", "track", "bad_name", "direction", "path")
+    kept = flags.filter("keep AND ok").drop(*(c for c in added if c not in jobs.columns))
     return {
         "kept": kept,
-        "removed": flagged.filter("NOT keep").drop("keep", "ok"),
-        "nonconforming": flagged.filter("keep AND NOT ok").drop("keep", "ok"),
+        "removed": flags.filter("NOT keep").drop("keep", "ok"),
+        "nonconforming": flags.filter("keep AND NOT ok").drop("keep", "ok"),
         "groups": frame_groups(kept),
         "summary": job_summary(kept),
         "tracks": tracks_per_event(kept),
-        "funnel": curation_funnel(jobs),
+        "funnel": _funnel(flags),
     }

@@ -282,6 +282,9 @@ SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO
   FROM ({v.duck(v.OPTICAL_SCENE)}) WHERE cloud_cover <= 15 AND pos % 4 <> 0""",
     "read_job_lists": f"""SELECT array_to_string(granules, ',') AS reference, array_to_string(secondary_granules, ',') AS secondary, 1::BIGINT AS n
   FROM ({J}) GROUP BY granules, secondary_granules""",
+    "read_shapes": f"""SELECT pos // 1000 AS part, min(minx)::DOUBLE AS minx, min(miny)::DOUBLE AS miny, max(maxx)::DOUBLE AS maxx, max(maxy)::DOUBLE AS maxy, 4 * count(*) AS n_points
+  FROM ({S}) GROUP BY 1""",
+    "catalogue_join": f"SELECT event_id, file_id, path_number, acq_date FROM ({_MET}) WHERE event_id % 10 = 3",
     "read_coastline": f"""SELECT seg::INT AS seg, [x1, x2, x2, x1][seg + 1] AS x1, [y1, y1, y2, y2][seg + 1] AS y1, [x2, x2, x1, x1][seg + 1] AS x2, [y1, y2, y2, y1][seg + 1] AS y2
   FROM ({L}), (SELECT unnest(range(4)) AS seg) WHERE ring_id % 5 <> 0""",
     "attr_lookup": "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0)::DOUBLE AS k, 0.0::DOUBLE AS other FROM events",
@@ -326,6 +329,8 @@ SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO
   SELECT 0 AS step_no, 'all' AS step, count(DISTINCT event_name) AS n_events, count(*) AS n_jobs FROM f UNION ALL
   SELECT 1, 'deduplicated', count(DISTINCT event_name), count(*) FROM f WHERE keep UNION ALL
   SELECT 2, 'conforming', count(DISTINCT event_name), count(*) FROM f WHERE ok""",
+    "curation_run": f"""SELECT pos, CASE WHEN NOT keep THEN 'removed' WHEN {_CONFORMS} THEN 'kept' ELSE 'nonconforming' END AS goes,
+  CASE WHEN len(granules) = len(secondary_granules) THEN len(granules)::VARCHAR ELSE 'mismatched' END AS frame_group FROM ({_dedupe()})""",
     "new_events_anti": f"SELECT event_id, mag FROM ({Q}) WHERE {FORWARD} AND event_id NOT IN (SELECT o_orderkey FROM orders)",
     "complete_partial": f"""WITH n AS ({_NAMED}), best AS (SELECT event_name, track, arg_min(granules, pos) AS g FROM n WHERE len(granules) > 0 GROUP BY ALL)
   SELECT pos, event_name, track, array_to_string(g, ',') AS granules FROM n JOIN best USING (event_name, track) WHERE len(granules) = 0""",
@@ -336,6 +341,8 @@ SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO
     "tracker_state": f"{_STATE} SELECT * FROM st",
     "tracker_gc": f"{_STATE} SELECT event_id FROM st GROUP BY 1 HAVING bool_and(status = 'REMOVED')",
     "tracker_sync": f"{_STATE} SELECT event_id, CASE WHEN bool_and(status = 'REMOVED') THEN 'delete' ELSE 'update' END AS action FROM st GROUP BY 1",
+    "tracker_saved": f"""{_STATE} SELECT event_id, CASE WHEN bool_and(status = 'REMOVED') THEN 'delete' ELSE 'update' END AS action,
+  count(*) FILTER (status <> 'REMOVED') AS n_tracks FROM st GROUP BY 1""",
     "pending_resolve": f"{_BASE} SELECT event_id, event_id IN (SELECT event_id FROM ({_CO})) AS resolved FROM ({Q})",
     "stream_discovery": f"""SELECT region AS event_id, event_id AS revision, mag, event_time FROM ({Q}) WHERE {FORWARD}
   AND region NOT IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY region ORDER BY event_time DESC, event_id DESC) = 1""",

@@ -484,6 +484,29 @@ def read_job_lists(spark: SparkSession, d: str) -> DataFrame:
     return kept.groupBy(F.concat_ws(",", "granules").alias("reference"), F.concat_ws(",", "secondary_granules").alias("secondary")).agg(F.count("*").alias("n"))
 
 
+@_query
+def read_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Footprints landed as files whose features also have boxes and pairs of numbers that are no coordinates."""
+    scenes = v.view(spark, d, v.SCENE)
+    corner = lambda x, y: F.array(F.col(x).cast("double"), F.col(y).cast("double"))
+    corners = F.array(*(corner(x, y) for x, y in (("minx", "miny"), ("maxx", "miny"), ("maxx", "maxy"), ("minx", "miny"))))
+    far = F.array(F.lit(-9999.0), F.lit(9999.0))
+    item = F.struct(far.alias("bbox"), F.struct(far.alias("pair")).alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates"), far.alias("bbox")).alias("geometry"))
+    found = readers.read_shapes(spark, landed(scenes, "pos", item, "features"))
+    return found.select(F.regexp_extract("file", r"part=(\d+)", 1).cast("long").alias("part"), "minx", "miny", "maxx", "maxy", "n_points")
+
+
+@_query
+def catalogue_join(spark: SparkSession, d: str) -> DataFrame:
+    """Scenes landed by month and belt, joined with areas whose directories alone are read."""
+    path = f"{shared_dir(spark)}/catalogue-{uuid4().hex}"
+    scenes = v.view(spark, d, v.SCENE).withColumn("bbox", F.struct(*geo.BOX)).drop(*geo.BOX)
+    sinks.write_catalogue(scenes, path)
+    area = v.view(spark, d, v.AREA).filter("event_id % 10 = 3")
+    found = readers.scene_catalogue(spark, path, area).select("file_id", "path_number", "acq_date", "start_time", "bbox.*")
+    return catalog.scene_events(area, found, 40.0).select("event_id", "file_id", "path_number", "acq_date")
+
+
 @_query
 def read_coastline(spark: SparkSession, d: str) -> DataFrame:
     """Rings landed as lines, read as segments; open lines are closed."""
@@ -689,6 +712,14 @@ def curation_funnel(spark: SparkSession, d: str) -> DataFrame:
     return jobs.curation_funnel(v.view(spark, d, v.JOB_SPARK))
 
 
+@_query
+def curation_run(spark: SparkSession, d: str) -> DataFrame:
+    """Where each job of the list goes, and the group that it is filed under."""
+    out = jobs.curate(v.view(spark, d, v.JOB_SPARK))
+    parts = [out[k].select("pos", F.lit(k).alias("goes"), "frame_group") for k in ("kept", "removed", "nonconforming")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @_query
 def new_events_anti(spark: SparkSession, d: str) -> DataFrame:
     known = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("event_id"))
@@ -751,6 +782,16 @@ def tracker_sync(spark: SparkSession, d: str) -> DataFrame:
     return tracker.sync_actions(state, state.filter(F.col("status") != tracker.REMOVED))
 
 
+@_query
+def tracker_saved(spark: SparkSession, d: str) -> DataFrame:
+    """The tracker saved, read, and saved again where it was read from without the tracks that are done."""
+    path = f"{shared_dir(spark)}/tracker-{uuid4().hex}"
+    sinks.save_tracker(_state(spark, d), path, "1")
+    actions = sinks.save_tracker(sinks.load_tracker(spark, path).filter(F.col("status") != tracker.REMOVED), path, "2")
+    left = sinks.load_tracker(spark, path).groupBy("event_id").agg(F.count("*").alias("n_tracks"))
+    return actions.join(left, "event_id", "left").select("event_id", "action", F.coalesce("n_tracks", F.lit(0)).alias("n_tracks"))
+
+
 @_query
 def pending_resolve(spark: SparkSession, d: str) -> DataFrame:
     return tracker.resolve_pending(_scenes(spark, d), v.view(spark, d, v.QUAKE), RATIO)

@@ -75,10 +75,10 @@ def ring_box(ring: Column) -> Column:
 def _placed(rows: DataFrame) -> DataFrame:
     """``rows`` (file, at, ...) with ``pos``: unique over all files, by their names and then by place.
 
-    Only the names of the files are numbered together.
+    Only the names of the files are numbered together, and Spark chooses how they are joined.
     """
     files = rows.select("file").distinct().withColumn("number", F.row_number().over(Window.orderBy("file")) - 1)
-    return rows.join(F.broadcast(files), "file").withColumn("pos", F.col("number") * F.lit(1 << 32) + F.col("at")).drop("number")
+    return rows.join(files, "file").withColumn("pos", F.col("number") * F.lit(1 << 32) + F.col("at")).drop("number")
 
 
 def read_scenes(spark: SparkSession, path: str) -> DataFrame:
@@ -154,25 +154,46 @@ def read_tracker(spark: SparkSession, path: str) -> DataFrame:
     return raw.filter("_bad IS NULL AND tracks IS NOT NULL").drop("_bad")
 
 
-def read_shape_bbox(spark: SparkSession, path: str) -> DataFrame:
-    """The bounding box of all geometries of a file: every coordinate pair is read by one pattern."""
-    pair = r"\[\s*(-?[0-9.eE+-]+)\s*,\s*(-?[0-9.eE+-]+)"
-    text = spark.read.text(path, wholetext=True)
-    points = text.select(
-        F.explode(F.arrays_zip(F.regexp_extract_all("value", F.lit(pair), F.lit(1)).alias("x"), F.regexp_extract_all("value", F.lit(pair), F.lit(2)).alias("y"))).alias("p")
+_PAIR = r"\[\s*(-?[0-9.eE+-]+)\s*,\s*(-?[0-9.eE+-]+)"
+
+
+def read_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """``file, minx, miny, maxx, maxy, n_points``: the box of each file's geometries, null if it has none.
+
+    Geometries of any type are taken from a collection's features, a feature or by themselves
+    (also those of a geometry collection); other numbers of the file, as in a ``bbox`` or in
+    properties, are not coordinates. A third coordinate is ignored.
+    """
+    one = "struct<type:string,coordinates:string,geometries:array<struct<coordinates:string>>>"
+    shape = F.from_json("value", f"features array<struct<geometry:{one}>>, geometry {one}, type string, coordinates string, geometries array<struct<coordinates:string>>")
+    file = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), shape.alias("s"))
+    whole = F.concat(
+        F.coalesce(F.transform("s.features", lambda f: f["geometry"]), F.array().cast(f"array<{one}>")),
+        F.array(F.col("s.geometry"), F.struct(F.col("s.type").alias("type"), F.col("s.coordinates").alias("coordinates"), F.col("s.geometries").alias("geometries"))),
+    )
+    texts = F.flatten(F.transform(F.filter(whole, lambda g: g.isNotNull()), lambda g: F.concat(F.array(g["coordinates"]), F.coalesce(F.transform(g["geometries"], lambda x: x["coordinates"]), F.array().cast("array<string>")))))
+    # a point's text has no inner brackets, those of all other types have a pair in each
+    found = file.select("file", F.array_join(F.filter(texts, lambda t: t.isNotNull()), " ").alias("text"))
+    at = lambda k: F.transform(F.regexp_extract_all("text", F.lit(_PAIR), F.lit(k)), lambda c: c.try_cast("double"))
+    found = found.select("file", at(1).alias("x"), at(2).alias("y"))
+    return found.select(
+        "file", F.array_min("x").alias("minx"), F.array_min("y").alias("miny"), F.array_max("x").alias("maxx"), F.array_max("y").alias("maxy"), F.size("x").cast("long").alias("n_points")
     )
-    return points.agg(
-        F.min(F.col("p.x").cast("double")).alias("minx"),
-        F.min(F.col("p.y").cast("double")).alias("miny"),
-        F.max(F.col("p.x").cast("double")).alias("maxx"),
-        F.max(F.col("p.y").cast("double")).alias("maxy"),
-        F.count("*").alias("n_points"),
+
+
+def read_shape_bbox(spark: SparkSession, path: str) -> DataFrame:
+    """The bounding box of all geometries of one or many files; none at all is an error."""
+    return read_shapes(spark, path).agg(
+        *(f(c).alias(c) for f, c in ((F.min, "minx"), (F.min, "miny"), (F.max, "maxx"), (F.max, "maxy"))), F.coalesce(F.sum("n_points"), F.lit(0)).alias("n_points")
     ).filter(F.assert_true(F.col("n_points") > 0, "the shape has no geometry").isNull())
 
 
 def read_coastline(spark: SparkSession, path: str) -> DataFrame:
-    """Segments of all LineStrings, open ones closed: ``ring_id, seg, x1, y1, x2, y2``; others are dropped."""
-    f = _json(spark, schemas.LINES, path).select(F.posexplode("features").alias("ring_id", "f"))
+    """Segments of all LineStrings, open ones closed: ``ring_id, seg, x1, y1, x2, y2``; others are dropped.
+
+    A ring's id is unique over all files: a ring of one file within one of another stays a ring of its own.
+    """
+    f = _placed(_json(spark, schemas.LINES, path).select(F.posexplode("features").alias("at", "f"), F.col("_metadata.file_path").alias("file"))).withColumnRenamed("pos", "ring_id")
     c = F.col("f.geometry.coordinates")
     closed = F.when(F.get(c, F.lit(0)) == F.element_at(c, -1), c).otherwise(F.concat(c, F.slice(c, 1, 1)))
     lines = f.filter((F.col("f.geometry.type") == "LineString") & (F.size(c) >= 2)).select("ring_id", closed.alias("c"))
@@ -215,3 +236,27 @@ def read_fault_urls(spark: SparkSession, path: str) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return _json(spark, schemas.MANIFEST, path)
+
+
+def scene_catalogue(spark: SparkSession, path: str, events: DataFrame | None = None) -> DataFrame:
+    """Scenes landed by ``sinks.write_catalogue``: all, or those in months and belts that the boxes and windows of ``events`` touch.
+
+    The months and belts are read from the events and put into the plan as constants, so that
+    only their directories are listed and read; they are as many as the calendar and the globe have.
+    """
+    scenes = spark.read.parquet(f"{path}/scenes")
+    if events is None:
+        return scenes
+    widest = spark.read.parquet(f"{path}/widest").agg(F.max("widest")).first()[0] or 0.0
+    month = lambda c: F.year(c) * 12 + F.month(c)
+    belt = lambda c: F.floor(c / schemas.BELT).cast("int")
+    touched = events.select(
+        F.explode(F.sequence(month("window_start"), month("window_end"))).alias("month"), F.sequence(belt(F.col("minx") - widest), belt(F.col("maxx"))).alias("belts")
+    ).select("month", F.explode("belts").alias("belt")).distinct().groupBy("month").agg(F.sort_array(F.collect_set("belt")).alias("belts")).collect()
+    by_belts: dict[tuple, list[int]] = {}
+    for r in touched:
+        by_belts.setdefault(tuple(r.belts), []).append(r.month)
+    keep = F.lit(False)
+    for belts, months in by_belts.items():
+        keep |= F.col("month").isin(months) & F.col("belt").isin(list(belts))
+    return scenes.filter(keep)

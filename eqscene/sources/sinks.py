@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from uuid import uuid4
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eqscene.schemas import BELT
+
+POINTER = "number long, version string, batch string"
+
+#: The columns and property names that readers of the exports expect.
 CSV_COLUMNS = ("Place", "Magnitude", "Date", "Time_utc", "Longitude", "Latitude", "Depth_km", "Alert", "URL")
 
 
@@ -103,6 +110,60 @@ def write_scene_features(selected: DataFrame, path: str) -> None:
     scene_features(selected).write.mode("overwrite").partitionBy("event_id").text(path)
 
 
+def write_catalogue(scenes: DataFrame, path: str, mode: str = "append") -> None:
+    """Scenes (as ``read_scenes`` gives them) as Parquet, a directory for each month and belt of longitude, sorted by path in each file.
+
+    ``readers.scene_catalogue`` reads the directories that events touch. The widest scene is
+    kept beside them, as a scene lies in the belt of its western side.
+    """
+    start, west = F.col("start_time"), F.col("bbox.minx")
+    rows = scenes.withColumns({"month": F.year(start) * 12 + F.month(start), "belt": F.floor(west / BELT).cast("int")})
+    # a month of a belt may hold many of the scenes: it is dealt to several tasks
+    rows.repartition("month", "belt", F.pmod(F.xxhash64("path_number"), F.lit(16))).sortWithinPartitions("month", "belt", "path_number", "start_time").write.mode(mode).partitionBy("month", "belt").parquet(f"{path}/scenes")
+    scenes.agg(F.max(F.col("bbox.maxx") - west).alias("widest")).write.mode(mode).parquet(f"{path}/widest")
+
+
+def sync_actions(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``event_id, action``: what a save does to each event's entry."""
+    o = old.select("event_id", F.lit(True).alias("was")).distinct()
+    n = new.select("event_id", F.lit(True).alias("will")).distinct()
+    return o.join(n, "event_id", "full_outer").select(
+        "event_id", F.when(F.col("will").isNull(), "delete").when(F.col("was").isNull(), "insert").otherwise("update").alias("action")
+    )
+
+
+def save_tracker(state: DataFrame, path: str, batch: str | None = None) -> DataFrame:
+    """The whole tracker as a new version beside the old ones; the actions by event (insert, update, delete) that lead to it.
+
+    A version counts when its pointer is there, which is written last, as one file; so a
+    ``state`` that is read from the version before may be saved, and a save that is broken
+    off leaves the old version. A ``batch`` that was saved before is not saved again. One
+    writer at a time.
+    """
+    spark = state.sparkSession
+    spark.createDataFrame([], POINTER).write.mode("ignore").parquet(f"{path}/pointers/first")
+    known = _pointers(spark, path)
+    old = load_tracker(spark, path)
+    if batch is not None and not known.filter(F.col("batch") == batch).isEmpty():
+        return sync_actions(old, old)
+    version = uuid4().hex
+    state.write.parquet(f"{path}/versions/{version}")
+    number = (known.agg(F.max("number")).first()[0] or 0) + 1
+    spark.createDataFrame([(number, version, batch)], POINTER).coalesce(1).write.parquet(f"{path}/pointers/{version}")
+    new = spark.read.schema(state.schema).parquet(f"{path}/versions/{version}")
+    return sync_actions(new.limit(0) if old is None else old, new)
+
+
+def _pointers(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(POINTER).option("recursiveFileLookup", "true").parquet(f"{path}/pointers")
+
+
+def load_tracker(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last version that was saved whole; None before the first."""
+    last = _pointers(spark, path).orderBy(F.desc("number")).first()
+    return None if last is None else spark.read.parquet(f"{path}/versions/{last.version}")
+
+
 def write_tracker(state: DataFrame, path: str) -> None:
     """The whole state: absent events go, as the directory is replaced."""
     state.write.mode("overwrite").json(path)

@@ -19,6 +19,7 @@ from eqscene.operators.catalog import CELL, track_scenes
 from eqscene.operators.geo import BOX, mosaic_area
 from eqscene.operators.pairing import asof_before, bracket_pair, filter_coverage, mosaics, split_side, with_max_coverage
 from eqscene.operators.significance import strong
+from eqscene.sources.sinks import sync_actions as sync_actions
 
 AWAITING, READY, FAILED, REMOVED = "AWAITING_POST_SEISMIC", "READY_FOR_EMAIL", "FAILED_NEEDS_ATTENTION", "REMOVED"
 
@@ -197,15 +198,6 @@ def collect_finished(state: DataFrame) -> DataFrame:
     return state.groupBy("event_id").agg(F.bool_and(F.col("status") == REMOVED).alias("done")).filter("done").select("event_id")
 
 
-def sync_actions(old: DataFrame, new: DataFrame) -> DataFrame:
-    """``event_id, action``: what a save does to each event's file."""
-    o = old.select("event_id", F.lit(True).alias("was")).distinct()
-    n = new.select("event_id", F.lit(True).alias("will")).distinct()
-    return o.join(n, "event_id", "full_outer").select(
-        "event_id", F.when(F.col("will").isNull(), "delete").when(F.col("was").isNull(), "insert").otherwise("update").alias("action")
-    )
-
-
 def resolve_pending(scenes: DataFrame, pending: DataFrame, ratio: float = 0.95) -> DataFrame:
     """``event_id, resolved``: whether any track has an accepted pair."""
     pairs = bracket_pair(filter_coverage(with_max_coverage(mosaics(scenes)), ratio)).select("event_id", F.lit(True).alias("ok")).distinct()

@@ -1,8 +1,11 @@
 import json
+from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from eqscene.operators import jobs
+from eqscene.operators.significance import near_line
 from eqscene.sources import readers, sinks
 
 
@@ -75,3 +78,82 @@ def test_job_lists_go_from_reader_to_curation(spark, tmp_path):
 def test_compile_features(spark):
     rows = [('{"type":"Feature","id":1}',), ('{"type":"FeatureCollection","features":[{"id":2},{"id":3}]}',), ('{"type":"Point"}',)]
     assert readers.compile_features(spark.createDataFrame(rows, "value string")).count() == 3
+
+
+def test_only_geometries_are_coordinates(spark, tmp_path):
+    files = {
+        "all.json": {"type": "FeatureCollection", "bbox": [-170, -80, 100, 200], "features": [
+            {"bbox": [-170, -80], "properties": {"pair": [500, 500]}, "geometry": {"type": "Polygon", "coordinates": [[[1, 1], [2, 1.5], [1e0, 2], [1, 1]]]}},
+            {"properties": {}, "geometry": {"type": "Point", "coordinates": [3, -1.25, 700]}},
+            {"geometry": {"type": "MultiPolygon", "coordinates": [[[[1.5, 1.5, 9], [1.6, 1.5, 9], [1.5, 1.6, 9]]], [[[0, 0], [1, 0], [0, 1]]]]}},
+            {"geometry": None}]},
+        "feature.json": {"type": "Feature", "properties": {"c": [9, 9]}, "geometry": {"type": "LineString", "coordinates": [[5, 6], [7, 8]]}},
+        "bare.json": {"type": "GeometryCollection", "geometries": [{"type": "MultiPoint", "coordinates": [[5, 5], [6, 6]]}]},
+        "empty.json": {"type": "FeatureCollection", "features": [], "bbox": [0, 0, 1, 1]},
+    }
+    for name, content in files.items():
+        (tmp_path / name).write_text(json.dumps(content))
+    (tmp_path / "nothing.json").write_text("")
+    rows = {r.file.rsplit("/", 1)[1]: (r.minx, r.miny, r.maxx, r.maxy, r.n_points) for r in readers.read_shapes(spark, str(tmp_path)).collect()}
+    assert rows["all.json"] == (0, -1.25, 3, 2, 11) and rows["feature.json"] == (5, 6, 7, 8, 2) and rows["bare.json"] == (5, 5, 6, 6, 2)
+    assert rows["empty.json"] == (None, None, None, None, 0)
+    with pytest.raises(Exception, match="no geometry"):
+        readers.read_shape_bbox(spark, str(tmp_path / "nothing.json")).collect()
+
+
+def test_rings_of_two_files_stay_apart(spark, tmp_path):
+    box = lambda a, b: {"features": [{"geometry": {"type": "LineString", "coordinates": [[a, a], [b, a], [b, b], [a, b]]}}]}
+    (tmp_path / "land.json").write_text(json.dumps(box(0, 30)))
+    (tmp_path / "island.json").write_text(json.dumps(box(10, 20)))  # within the other: both hold its points
+    points = spark.createDataFrame([(1, 15.0, 15.0), (2, 5.0, 5.0), (3, 40.0, 40.0)], "event_id int, lon double, lat double")
+    assert sorted(r.event_id for r in near_line(points, readers.read_coastline(spark, str(tmp_path))).collect()) == [1, 2]
+
+
+def test_events_read_their_part_of_the_catalogue(spark, tmp_path):
+    ring = "array<struct<x:double,y:double>>"
+    rows = [(f"s{m}{x}", datetime(2024, m, 5), 1, [(x, 0.0), (x + 3, 0.0), (x + 3, 3.0)]) for m in range(1, 13) for x in (-100.0, -16.0, 0.0, 29.0, 90.0)]
+    scenes = spark.createDataFrame(rows, f"file_id string, start_time timestamp, path_number int, ring {ring}").withColumn("bbox", readers.ring_box(F.col("ring")))
+    path = str(tmp_path / "catalogue")
+    sinks.write_catalogue(scenes, path)
+    events = spark.createDataFrame([(1, -14.0, 0.0, -13.5, 1.0, datetime(2024, 2, 20), datetime(2024, 4, 10))], "event_id int, minx double, miny double, maxx double, maxy double, window_start timestamp, window_end timestamp")
+    found = readers.scene_catalogue(spark, path, events)
+    assert sorted({(r.month % 12, r.belt) for r in found.collect()}) == [(m, -2) for m in (2, 3, 4)]  # the scene at -16 reaches in from the belt to the west
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(found.inputFiles()) <= len(readers.scene_catalogue(spark, path).inputFiles())
+    none = readers.scene_catalogue(spark, path, events.limit(0))
+    assert none.count() == 0 and readers.scene_catalogue(spark, path).count() == len(rows)
+
+
+def test_a_tracker_is_saved_where_it_was_read(spark, tmp_path):
+    path = str(tmp_path / "tracker")
+    state = lambda *ids: spark.createDataFrame([(i, 1) for i in ids], "event_id string, n int")
+    actions = lambda df: {r.event_id: r.action for r in df.collect()}
+    assert actions(sinks.save_tracker(state("a", "b"), path, "1")) == {"a": "insert", "b": "insert"}
+    old = sinks.load_tracker(spark, path)
+    again = old.filter("event_id <> 'a'").unionByName(state("c"))
+    assert actions(sinks.save_tracker(again, path, "2")) == {"a": "delete", "b": "update", "c": "insert"}
+    assert sorted(r.event_id for r in old.collect()) == ["a", "b"]  # a reader of the old version still has it
+    sinks.save_tracker(state("x"), path, "2")  # the same batch once more
+    assert sorted(r.event_id for r in sinks.load_tracker(spark, path).collect()) == ["b", "c"]
+    state("lost").write.parquet(f"{path}/versions/broken-off")
+    assert sorted(r.event_id for r in sinks.load_tracker(spark, path).collect()) == ["b", "c"]
+
+
+def test_files_of_the_smaller_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("e", "user", 0.0, 1.0, 2.0, 3.0, [3, 1], "2", "m_60_there")], "event_id string, source string, minx double, miny double, maxx double, maxy double, frames array<int>, frame_group string, name string")
+    sinks.write_aoi(rows, str(tmp_path / "aoi"))
+    ring = json.loads(spark.read.text(str(tmp_path / "aoi")).first().value)["geometry"]["coordinates"][0]
+    assert ring[0] == ring[-1] == [0.0, 1.0] and len(ring) == 5
+    sinks.write_frames(rows.select("event_id", "frames"), str(tmp_path / "frames"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "frames")).first().frames == "3,1"
+    sinks.write_split_jobs(rows.select("name", "frame_group"), str(tmp_path / "split"))
+    assert (tmp_path / "split/frame_group=2").is_dir()
+    sinks.write_partials(rows.select("event_id", "name"), str(tmp_path / "partial"))
+    assert (tmp_path / "partial/event_id=e").is_dir()
+    sinks.write_summary(rows.select("name"), spark.createDataFrame([(1,)], "n_jobs int"), str(tmp_path / "summary"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "summary/totals")).first().n_jobs == "1"
+    files = [{"name": "m_60_a-A001", "year": "2024", "files": [{"filename": "p.nc", "s3": {"bucket": "b", "key": "k"}}], "browse_images": ["p.png"]}]
+    (tmp_path / "manifest.json").write_text(json.dumps(files))
+    got = readers.read_manifest(spark, str(tmp_path / "manifest.json")).first()
+    assert (got.year, got.files[0].s3.key, got.browse_images) == ("2024", "k", ["p.png"])
