@@ -177,6 +177,28 @@ SELECT event_id::VARCHAR AS event_id, track, reference_date, post_date,
     WHEN event_id % 5 = 0 THEN 'FAILED_NEEDS_ATTENTION' ELSE 'REMOVED' END AS status,
   CASE WHEN post_date IS NOT NULL THEN pre END AS secondary, CASE WHEN post_date IS NOT NULL THEN post END AS reference FROM t"""
 
+
+def _pending(check: int) -> str:
+    """Events with a pair by the rules of v1 in a check: of those that came up to it, with the AOI and the scenes of that time."""
+    half = f"CASE WHEN event_id % 2 <= {check - 2} THEN 100 ELSE 0.5 END"
+    return f"""
+  SELECT DISTINCT event_id, {check} AS left_at FROM (
+    SELECT event_id, event_time, path_number, flight_direction, acq_date AS d, lead(acq_date) OVER (PARTITION BY event_id, path_number, flight_direction ORDER BY acq_date) AS e FROM (
+      SELECT k.event_id, k.event_time, s.path_number, s.flight_direction, s.acq_date FROM (
+        SELECT DISTINCT q.event_id, q.event_time, s.path_number, s.flight_direction, s.frame_number
+        FROM (SELECT *, {half} AS half FROM ({Q}) WHERE mag >= 6.0 AND depth_km <= 40 AND event_id % 3 + 1 <= {check}) q JOIN ({S}) s
+          ON s.pos % 4 < {check + 1} AND lon - half < s.maxx AND s.minx < lon + half AND lat - half < s.maxy AND s.miny < lat + half
+         AND s.start_time >= date_trunc('day', event_time - INTERVAL 24 DAY) AND s.start_time <= date_trunc('day', event_time)::TIMESTAMP + INTERVAL 1 DAY - INTERVAL 1 SECOND) k
+      JOIN ({S}) s ON s.pos % 4 < {check + 1} AND s.path_number = k.path_number AND s.flight_direction = k.flight_direction AND s.frame_number = k.frame_number
+       AND s.start_time >= date_trunc('day', k.event_time - INTERVAL 90 DAY)
+      GROUP BY ALL HAVING count(*) = count(DISTINCT s.frame_number)))
+  WHERE d < date_trunc('day', event_time) AND e > date_trunc('day', event_time)"""
+
+
+_PENDING = f"""WITH a AS ({_pending(1)}), b AS ({_pending(2)}), c AS ({_pending(3)})
+SELECT event_id::VARCHAR AS event_id, coalesce(a.left_at, b.left_at, c.left_at, 0)::INT AS left_at
+FROM (SELECT event_id FROM ({Q}) WHERE mag >= 6.0 AND depth_km <= 40) LEFT JOIN a USING (event_id) LEFT JOIN b USING (event_id) LEFT JOIN c USING (event_id)"""
+
 _BOX = "minx, miny, maxx, maxy"
 
 ORACLES: dict[str, str] = {
@@ -229,6 +251,9 @@ SELECT {_PAIR}, 'co-seismic' AS timing FROM ({_CO})""",
     "discovery_run": f"""SELECT region::VARCHAR AS event_id, event_id AS revision, mag, event_time FROM ({Q}) WHERE {FORWARD}
   AND region NOT IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY region ORDER BY event_time DESC, event_id DESC) = 1""",
     "forward_run": _FORWARD,
+    "pending_queue": _PENDING,
+    "discovery_stateless": f"""WITH p AS (SELECT region, event_id % 3 AS poll, max(event_id) AS event_id, arg_max(mag, event_id) AS mag, arg_max(depth_km, event_id) AS depth_km FROM ({Q}) GROUP BY 1, 2)
+  SELECT region::VARCHAR AS event_id, poll, event_id AS revision, mag FROM p WHERE {FORWARD} QUALIFY row_number() OVER (PARTITION BY region ORDER BY poll) = 1""",
     "waiting_scenes": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0), {_AREA}
   SELECT event_id, concat(flight_direction, '_', path_number) AS track, 'mosaic' AS kind, acq_date, start_time, pos, area FROM ar""",
     **{

@@ -203,6 +203,37 @@ def discovery_run(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(feed.schema).parquet(f"{root}/out").select("event_id", "revision", "mag", "event_time")
 
 
+@_query
+def discovery_stateless(spark: SparkSession, d: str) -> DataFrame:
+    """Three polls of one day, each with a row of an event at most, as a stream that keeps ids only."""
+    root = f"{shared_dir(spark)}/polls-{uuid4().hex}"
+    day = F.expr("TIMESTAMP '2024-01-01 00:00:00'") + F.make_dt_interval(mins=(F.col("event_id") % 1440).cast("int"))
+    rows = v.view(spark, d, v.QUAKE).groupBy("region", (F.col("event_id") % 3).alias("poll")).agg(F.max_by(F.struct("event_id", "mag", "depth_km"), "event_id").alias("r")).select("region", "poll", "r.*")
+    rows = rows.select(F.col("region").cast("string").alias("event_id"), "poll", F.col("event_id").alias("revision"), "mag", "depth_km", day.alias("event_time"))
+    for poll in range(3):
+        rows.filter(F.col("poll") == poll).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = tracker.first_seen(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in"))
+    stream.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{root}/out").select("event_id", "poll", "revision", "mag")
+
+
+@_query
+def pending_queue(spark: SparkSession, d: str) -> DataFrame:
+    """Three checks of the queue, as events and scenes come in: the check in which each event left it, 0 for those that wait."""
+    path = f"{shared_dir(spark)}/pending-{uuid4().hex}"
+    quakes = v.view(spark, d, v.QUAKE).filter(strong("v1")).withColumn("event_time", F.col("event_time").cast("timestamp"))
+    box = lambda e, half: e.select(F.col("event_id").cast("string"), *((F.col(c) + x).alias(n) for c, x, n in zip(("lon", "lat", "lon", "lat"), (-half, -half, half, half), geo.BOX, strict=True)))
+    scenes = v.view(spark, d, v.SCENE).withColumn("start_time", F.col("start_time").cast("timestamp")).withColumn("ring", _ring(*geo.BOX)).withColumn("bbox", readers.ring_box(F.col("ring")))
+    left = []
+    for check in (1, 2, 3):
+        new = quakes.filter(F.col("event_id") % 3 + 1 == check)
+        fault = box(quakes.filter(F.col("event_id") % 2 <= check - 2), 100)  # faults come with the second and the third check
+        done = tracker.check_pending(spark, path, str(check), new, scenes.filter(F.col("pos") % 4 < check + 1), "2024-12-31 00:00:00", fault, cell=100.0)
+        left.append(done.select("event_id").distinct().withColumn("left_at", F.lit(check)))
+    stays = sinks.load_tracker(spark, path).select("event_id", F.lit(0).alias("left_at"))
+    return stays.unionByName(left[0]).unionByName(left[1]).unionByName(left[2])
+
+
 @_query
 def forward_run(spark: SparkSession, d: str) -> DataFrame:
     """Passes of a forward run over quakes and scenes that come in two parts, then over the results and the acknowledgements of its jobs."""

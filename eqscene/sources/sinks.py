@@ -141,11 +141,10 @@ def save_tracker(state: DataFrame, path: str, batch: str | None = None) -> DataF
     writer at a time.
     """
     spark = state.sparkSession
-    spark.createDataFrame([], POINTER).write.mode("ignore").parquet(f"{path}/pointers/first")
-    known = _pointers(spark, path)
     old = load_tracker(spark, path)
-    if batch is not None and not known.filter(F.col("batch") == batch).isEmpty():
+    if saved_batch(spark, path, batch):
         return sync_actions(old, old)
+    known = _pointers(spark, path)
     version = uuid4().hex
     state.write.parquet(f"{path}/versions/{version}")
     number = (known.agg(F.max("number")).first()[0] or 0) + 1
@@ -154,7 +153,13 @@ def save_tracker(state: DataFrame, path: str, batch: str | None = None) -> DataF
     return sync_actions(new.limit(0) if old is None else old, new)
 
 
+def saved_batch(spark: SparkSession, path: str, batch: str | None) -> bool:
+    """Whether a version was saved for the batch."""
+    return batch is not None and not _pointers(spark, path).filter(F.col("batch") == batch).isEmpty()
+
+
 def _pointers(spark: SparkSession, path: str) -> DataFrame:
+    spark.createDataFrame([], POINTER).write.mode("ignore").parquet(f"{path}/pointers/first")
     return spark.read.schema(POINTER).option("recursiveFileLookup", "true").parquet(f"{path}/pointers")
 
 

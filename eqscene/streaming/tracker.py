@@ -10,15 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from eqscene.functions.scalars import has_failures
-from eqscene.operators.catalog import CELL, track_scenes
+from eqscene.functions.scalars import has_failures, snake_title
+from eqscene.operators.catalog import CELL, resolve_aoi, track_scenes
 from eqscene.operators.geo import BOX, mosaic_area
 from eqscene.operators.pairing import asof_before, bracket_pair, filter_coverage, mosaics, split_side, with_max_coverage
 from eqscene.operators.significance import strong
+from eqscene.sources import sinks
 from eqscene.sources.sinks import sync_actions as sync_actions
 
 AWAITING, READY, FAILED, REMOVED = "AWAITING_POST_SEISMIC", "READY_FOR_EMAIL", "FAILED_NEEDS_ATTENTION", "REMOVED"
@@ -64,6 +65,16 @@ def discovery_stream(feed: DataFrame, known_path: str, out_path: str, checkpoint
     return feed.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def first_seen(feed: DataFrame, rules: str = "forward", lookback: str = "48 hours", key: str = "event_id") -> DataFrame:
+    """A stream's significant rows, each event once: for a sink that keeps no snapshot.
+
+    Rows are told apart after the rules, so an event that a later poll revises upwards is
+    given out then; its id is kept for the look-back only. An event that came to nothing is
+    not tried again.
+    """
+    return feed.filter(strong(rules)).withWatermark("event_time", lookback).dropDuplicatesWithinWatermark([key])
+
+
 def init_tracks(scenes: DataFrame, ratio: float = 0.95) -> DataFrame:
     """A waiting row for each event and track with a covered date before the rupture."""
     return asof_before(scenes, ratio).select(
@@ -198,6 +209,36 @@ def collect_finished(state: DataFrame) -> DataFrame:
     return state.groupBy("event_id").agg(F.bool_and(F.col("status") == REMOVED).alias("done")).filter("done").select("event_id")
 
 
+def check_pending(
+    spark: SparkSession, path: str, batch: str, new: DataFrame, scenes: DataFrame, now: str, fault: DataFrame | None = None, resolution: int = 90, cell: float = CELL
+) -> DataFrame:
+    """One check of the queue at ``path``: the jobs of events that leave it.
+
+    ``new`` events (``event_id, title, event_time, lon, lat``) join those that wait. Each
+    event's AOI is taken anew, as its fault may have come meanwhile; with any job by the rules
+    of v1 over scenes up to ``now`` it leaves the queue, else it stays. Jobs are written
+    under the batch before the queue's next version is, so a batch that is run again after a
+    failure, or after all, gives the same jobs and the same queue.
+    """
+    from eqscene.plans.runs import process_events
+
+    columns = "event_id string, title string, event_time timestamp, lon double, lat double"
+    new = new.select("event_id", "title", "event_time", "lon", "lat")
+    new = new.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in columns.split(", ")))
+    saved = sinks.saved_batch(spark, path, batch)
+    if not saved:
+        old = sinks.load_tracker(spark, path)
+        waiting = new if old is None else old.unionByName(new.join(old.select("event_id"), "event_id", "left_anti"))
+        waiting = waiting.dropDuplicates(["event_id"])
+        none = waiting.select("event_id", *(F.lit(0.0).alias(c) for c in BOX)).limit(0)
+        aois = resolve_aoi(waiting, none if fault is None else fault, none)
+        made = process_events(waiting.withColumn("title", snake_title(F.col("title"))), aois, scenes, resolution=resolution, cell=cell, rules="v1", until=F.lit(now).cast("timestamp"))
+        made.write.mode("overwrite").parquet(f"{path}/jobs/batch={batch}")
+        jobs = spark.read.schema(made.schema).parquet(f"{path}/jobs/batch={batch}")
+        sinks.save_tracker(waiting.join(jobs.select("event_id").distinct(), "event_id", "left_anti"), path, batch)
+    return spark.read.parquet(f"{path}/jobs/batch={batch}")
+
+
 def resolve_pending(scenes: DataFrame, pending: DataFrame, ratio: float = 0.95) -> DataFrame:
     """``event_id, resolved``: whether any track has an accepted pair."""
     pairs = bracket_pair(filter_coverage(with_max_coverage(mosaics(scenes)), ratio)).select("event_id", F.lit(True).alias("ok")).distinct()

@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+from eqscene.sources import sinks
 from eqscene.streaming import tracker
 
 T = datetime(2024, 1, 10, 12)
@@ -84,3 +85,21 @@ def test_waiting_tracks_take_whole_mosaics(spark):
 def test_sync(spark):
     old, new = (spark.createDataFrame([(x,) for x in v], "event_id string") for v in ("ab", "bc"))
     assert {r.event_id: r.action for r in tracker.sync_actions(old, new).collect()} == {"a": "delete", "b": "update", "c": "insert"}
+
+
+def test_a_check_of_the_queue_can_be_run_again(spark, tmp_path):
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)]
+    schema = "file_id string, start_time timestamp, acq_date date, flight_direction string, path_number int, frame_number int, pos long, ring array<struct<x:double,y:double>>, bbox struct<minx:double,miny:double,maxx:double,maxy:double>"
+    scenes = lambda *days, p="S1A": spark.createDataFrame([(f"{p}_{d}", datetime(2024, 1, d), date(2024, 1, d), "ASCENDING", 7, 1, d, ring, (0.0, 0.0, 1.0, 1.0)) for d in days], schema)
+    quakes = lambda *ids: spark.createDataFrame([(i, "M 6 - X", T, 0.5, 0.5) for i in ids], "event_id string, title string, event_time timestamp, lon double, lat double")
+    path, now = str(tmp_path / "queue"), "2024-06-01 00:00:00"
+    waits = lambda: sorted(r.event_id for r in sinks.load_tracker(spark, path).collect())
+    assert tracker.check_pending(spark, path, "1", quakes("a", "a"), scenes(2), now).count() == 0 and waits() == ["a"]
+    away = spark.createDataFrame([("b", 50.0, 50.0, 51.0, 51.0)], "event_id string, minx double, miny double, maxx double, maxy double")
+    third = scenes(2).unionByName(scenes(15, p="S1C"))
+    assert tracker.check_pending(spark, path, "2", quakes("a", "b"), third, now, away).count() == 0 and waits() == ["a", "b"]
+    both = scenes(2, 15)
+    assert [r.event_id for r in tracker.check_pending(spark, path, "3", quakes(), both, now, away).collect()] == ["a"] and waits() == ["b"]
+    assert [r.event_id for r in tracker.check_pending(spark, path, "3", quakes("c"), both, now).collect()] == ["a"] and waits() == ["b"]  # once more
+    done = tracker.check_pending(spark, path, "4", quakes(), both, now).collect()  # without the fault the AOI is the square again
+    assert [(r.event_id, r.name, r.reference_date.day) for r in done] == [("b", "m_6_x-A007", 15)] and waits() == []
