@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from eqscene.llm import hard_negatives
 from eqscene.llm.hard_negatives import mine
 from eqscene.llm.whitening import whiten
 
@@ -112,3 +113,16 @@ def test_whitening_without_variance(spark):
 def test_whitening_beyond_a_long(spark):
     got = whiten(_frame(spark, [(i, [float(2**38) * (i % 2), float(i)], 0) for i in range(40)])).toPandas()
     assert got.deviation.isna().all() and got.identity_error[0] < 1e-4
+
+
+def test_hard_negatives_over_many_tiles(spark, monkeypatch):
+    """Small blocks make shares of anchors and of rows, whose results a window puts together."""
+    monkeypatch.setattr(hard_negatives, "BLOCK", 16)
+    rows = _random(5, 300, 3)
+    made = []
+    tiles = hard_negatives._tiles
+    monkeypatch.setattr(hard_negatives, "_tiles", lambda *a: made.append(tiles(*a)) or made[-1])
+    got = mine(_frame(spark, rows), F.col("vec_id") % 3 == 0).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()
+    assert sorted(map(tuple, got)) == _brute_negatives(rows, 3)
+    shape = made[-1].agg(F.count_distinct("share"), F.count_distinct("part")).first()
+    assert shape[0] > 1 and shape[1] > 1
