@@ -184,10 +184,10 @@ def track_state_stream(spark: SparkSession, d: str) -> DataFrame:
     blank = {c: F.lit(None) for c, _ in fields if c not in results.columns}
     results = results.withColumns({**blank, "kind": F.lit("result"), "result": F.lit("Success")})
     typed(found).unionByName(typed(results)).write.parquet(f"{root}/in")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     stream = tracker.track_state(spark.readStream.schema(tracker.STATE_INPUT).parquet(f"{root}/in"))
     write = stream.writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{root}/out/batch={n}"))
-    write.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    with forward.state_settings(spark):
+        write.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(tracker.STATE_OUTPUT).parquet(f"{root}/out").select("event_id", "track", "status", "post_date")
 
 
