@@ -309,7 +309,7 @@ SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO
   FROM ({J}) GROUP BY granules, secondary_granules""",
     "read_shapes": f"""SELECT pos // 1000 AS part, min(minx)::DOUBLE AS minx, min(miny)::DOUBLE AS miny, max(maxx)::DOUBLE AS maxx, max(maxy)::DOUBLE AS maxy, 4 * count(*) AS n_points
   FROM ({S}) GROUP BY 1""",
-    "catalogue_join": f"SELECT event_id, file_id, path_number, acq_date FROM ({_MET}) WHERE event_id % 10 = 3",
+    "catalogue_join": f"SELECT event_id, file_id, path_number, acq_date FROM ({_MET})",
     "read_coastline": f"""SELECT seg::INT AS seg, [x1, x2, x2, x1][seg + 1] AS x1, [y1, y1, y2, y2][seg + 1] AS y1, [x2, x2, x1, x1][seg + 1] AS x2, [y1, y2, y2, y1][seg + 1] AS y2
   FROM ({L}), (SELECT unnest(range(4)) AS seg) WHERE ring_id % 5 <> 0""",
     "attr_lookup": "SELECT event_id, coalesce(TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.0)::DOUBLE AS k, 0.0::DOUBLE AS other FROM events",
@@ -371,4 +371,31 @@ SELECT event_id, secondary_date, reference_date, secondary, reference FROM ({_CO
     "pending_resolve": f"{_BASE} SELECT event_id, event_id IN (SELECT event_id FROM ({_CO})) AS resolved FROM ({Q})",
     "stream_discovery": f"""SELECT region AS event_id, event_id AS revision, mag, event_time FROM ({Q}) WHERE {FORWARD}
   AND region NOT IN (SELECT s_suppkey FROM supplier) QUALIFY row_number() OVER (PARTITION BY region ORDER BY event_time DESC, event_id DESC) = 1""",
+    "stream_feed": f"""SELECT event_id::VARCHAR AS event_id, title, mag, lon, lat, depth_km, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS at FROM ({Q})
+  WHERE date_trunc('second', event_time) >= TIMESTAMP '2024-01-18 00:00:00' AND mag >= 5.5""",
+    "read_tracker_files": """SELECT concat('ev', l_suppkey) AS title, concat('A00', l_linenumber) AS track, l_linenumber::INT AS path_number,
+  max(l_shipdate)::DATE::VARCHAR AS reference_date, 'AWAITING_POST_SEISMIC' AS status FROM lineitem WHERE l_suppkey % 5 <> 0 GROUP BY l_suppkey, l_linenumber""",
+    "manifest_missing": f"""SELECT concat(event, '-D', doc_id) AS name, f AS file, key FROM (
+    SELECT *, concat('share/', year, '/', event, '/prod.', doc_id, '/prod.', doc_id, right(f, 4)) AS key FROM (
+      SELECT *, unnest(CASE WHEN doc_id % 3 = 0 THEN [file, concat('prod.', doc_id, '.png')] ELSE [file] END) AS f FROM ({v.duck(v.DELIVERED)} FROM documents) WHERE year IS NOT NULL))
+  WHERE key NOT IN (SELECT key FROM ({_EXPECTED['labels']}))""",
+    "job_export": f"""SELECT pos, name, 'ARIA_S1_COSEIS' AS job_type, name.split('-')[2][1] AS code, array_to_string(granules, ',') AS granules FROM ({J})""",
+    "job_split_export": f"""SELECT pos, name, array_to_string(granules, ',') AS granules,
+  CASE WHEN len(granules) = len(secondary_granules) THEN len(granules)::VARCHAR ELSE 'mismatched' END AS frame_group FROM ({J})""",
+    "summary_export": f"""SELECT event_name, count(DISTINCT track) AS num_tracks, array_to_string(list_sort(list_distinct(list(track))), ' ') AS tracks FROM ({_NAMED}) GROUP BY 1
+  UNION ALL SELECT 'all', count(DISTINCT event_name), count(*)::VARCHAR FROM ({_NAMED})""",
+    "aoi_export": f"""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'fault' ELSE 'square' END AS source, minx - h AS minx, miny - h AS miny,
+  CASE WHEN event_id % 3 = 0 THEN maxx ELSE minx + h END AS maxx, CASE WHEN event_id % 3 = 0 THEN maxy ELSE miny + h END AS maxy, 5::BIGINT AS n, true AS closed
+  FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE 0.5 END::DOUBLE AS h FROM ({v.duck(v.OPTICAL_EVENT)}))""",
+    "frames_export": f"""SELECT event_id, flight_direction, path_number, array_to_string(list_sort(list_distinct(list(frame_number))), ',') AS frames FROM ({TS}) GROUP BY ALL""",
+    "partial_jobs_completed": f"""SELECT b.event_id, b.track, concat('e', b.event_id, '-A', lpad(b.track::VARCHAR, 3, '0')) AS name, b.scenes AS secondary, a.scenes AS reference
+  FROM ({_asof('pre')}) b JOIN ({_asof('post')}) a USING (event_id, track)""",
+    "platforms": """SELECT l_orderkey, l_linenumber, CASE l_suppkey % 4 WHEN 0 THEN 'sentinel-2a' WHEN 1 THEN 'sentinel-2b' WHEN 2 THEN 'sentinel-2c' ELSE 'sentinel-2' END AS platform FROM lineitem""",
+    "display_rounding": f"SELECT event_id, round(lon / 3, 3) AS lon, round(lat / 3, 3) AS lat, round(depth_km / 3, 1) AS depth_km FROM ({Q})",
+    "transitions_by_pass": f"""WITH met AS (SELECT * FROM ({_MET}) WHERE start_time > window_start AND event_id % 3 > 0), {_AREA},
+first AS (SELECT event_id, concat(flight_direction, '_', path_number) AS track, min(acq_date) AS post_date
+  FROM (SELECT *, max(area) OVER (PARTITION BY event_id, flight_direction, path_number) AS most FROM ar) WHERE most > 0 AND area / most > 0.95
+  GROUP BY event_id, flight_direction, path_number)
+  SELECT event_id::VARCHAR AS event_id, track, 1::BIGINT AS pass, 'READY_FOR_EMAIL' AS status, post_date FROM first UNION ALL
+  SELECT event_id::VARCHAR, track, 2, CASE WHEN event_id % 5 = 0 THEN 'FAILED_NEEDS_ATTENTION' ELSE 'REMOVED' END, post_date FROM first WHERE event_id % 2 = 0""",
 }

@@ -529,11 +529,11 @@ def read_shapes(spark: SparkSession, d: str) -> DataFrame:
 
 @_query
 def catalogue_join(spark: SparkSession, d: str) -> DataFrame:
-    """Scenes landed by month and belt, joined with areas whose directories alone are read."""
+    """Scenes landed by month and belt, joined with areas, of whose months and belts alone the directories are read."""
     path = f"{shared_dir(spark)}/catalogue-{uuid4().hex}"
     scenes = v.view(spark, d, v.SCENE).withColumn("bbox", F.struct(*geo.BOX)).drop(*geo.BOX)
     sinks.write_catalogue(scenes, path)
-    area = v.view(spark, d, v.AREA).filter("event_id % 10 = 3")
+    area = v.view(spark, d, v.AREA)
     found = readers.scene_catalogue(spark, path, area).select("file_id", "path_number", "acq_date", "start_time", "bbox.*")
     return catalog.scene_events(area, found, 40.0).select("event_id", "file_id", "path_number", "acq_date")
 
@@ -833,3 +833,144 @@ def stream_discovery(spark: SparkSession, d: str) -> DataFrame:
     feed = v.view(spark, d, v.QUAKE).withColumnRenamed("event_id", "revision").withColumnRenamed("region", "event_id")
     known = v.table(spark, d, "supplier").select(F.col("s_suppkey").alias("event_id"))
     return tracker.discover(feed, known).select("event_id", "revision", "mag", "event_time")
+
+
+@_query
+def stream_feed(spark: SparkSession, d: str) -> DataFrame:
+    """Quakes landed as feed files and read as a stream: the look-back of 48 hours, then the feed's least magnitude."""
+    root = f"{shared_dir(spark)}/feed-{uuid4().hex}"
+    p = F.struct("title", "mag", F.unix_millis(F.col("event_time").cast("timestamp")).alias("time"))
+    point = F.struct(F.array("lon", "lat", "depth_km").alias("coordinates"))
+    path = landed(v.view(spark, d, v.QUAKE), "event_id", F.struct(F.col("event_id").cast("string").alias("id"), p.alias("properties"), point.alias("geometry")), "features")
+    stream = readers.filter_quakes(readers.stream_quakes(spark, f"{path}/*", "2024-01-20 00:00:00"), min_mag=5.5).drop("extra")
+    stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out").select("event_id", "title", "mag", "lon", "lat", "depth_km", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@_query
+def read_tracker_files(spark: SparkSession, d: str) -> DataFrame:
+    """Tracks landed as a file for each event, every fifth of which is broken off."""
+    path = f"{shared_dir(spark)}/tracker-{uuid4().hex}"
+    rows = v.table(spark, d, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.max("l_shipdate").cast("date").cast("string").alias("reference_date"))
+    entry = F.struct(F.concat(F.lit("A00"), F.col("l_linenumber").cast("string")).alias("key"), F.struct(F.col("l_linenumber").cast("int").alias("path_number"), "reference_date", F.lit(tracker.AWAITING).alias("status")).alias("value"))
+    files = rows.groupBy("l_suppkey").agg(F.to_json(F.struct(F.concat(F.lit("ev"), F.col("l_suppkey").cast("string")).alias("title"), F.map_from_entries(F.collect_list(entry)).alias("tracks"))).alias("value"))
+    files.withColumn("value", F.when(F.col("l_suppkey") % 5 == 0, F.expr("left(value, length(value) - 9)")).otherwise(F.col("value"))).repartition("l_suppkey").write.partitionBy("l_suppkey").text(path)
+    return readers.read_tracker(spark, f"{path}/*").select("title", F.explode("tracks")).select("title", F.col("key").alias("track"), "value.path_number", "value.reference_date", "value.status")
+
+
+@_query
+def manifest_missing(spark: SparkSession, d: str) -> DataFrame:
+    """Manifests landed as files; their files and browse images that are not in the store."""
+    rows = v.view(spark, d, f"{v.DELIVERED} FROM documents")
+    browse = F.when(F.col("doc_id") % 3 == 0, F.array(F.concat(F.lit("prod."), F.col("doc_id").cast("string"), F.lit(".png"))))
+    item = F.struct(
+        F.concat("event", F.lit("-D"), F.col("doc_id").cast("string")).alias("name"), "year", F.array(F.struct(F.col("file").alias("filename"))).alias("files"), browse.alias("browse_images")
+    )
+    expected = delivery.expected_keys(readers.read_manifest(spark, landed(rows, "doc_id", item)), "share")
+    return delivery.missing(expected, _expected(spark, d, "labels")).select("name", "file", "key")
+
+
+@_query
+def job_export(spark: SparkSession, d: str) -> DataFrame:
+    """Job lists written by direction and read back; the list of a direction without jobs is not written."""
+    path = f"{shared_dir(spark)}/jobs-{uuid4().hex}"
+    every = _full_job(spark, d)
+    for code in "ADX":
+        sinks.write_jobs(every.filter(F.col("name").rlike(f"-{code}[0-9]+$")), f"{path}/{code}")
+    found = spark.read.schema(every.schema).option("recursiveFileLookup", "true").json(path)
+    return found.select("pos", "name", "job_type", F.regexp_extract(F.col("_metadata.file_path"), r"/([ADX])/[^/]*$", 1).alias("code"), F.array_join("job_parameters.granules", ",").alias("granules"))
+
+
+@_query
+def job_split_export(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs written to a directory for each number of frames, and read back."""
+    path = f"{shared_dir(spark)}/split-{uuid4().hex}"
+    rows = v.view(spark, d, v.JOB_SPARK).select("pos", "name", "granules", "secondary_granules", jobs.frame_group().alias("frame_group"))
+    sinks.write_split_jobs(rows, path)
+    return spark.read.schema(rows.schema).json(path).select("pos", "name", F.array_join("granules", ",").alias("granules"), "frame_group")
+
+
+@_query
+def summary_export(spark: SparkSession, d: str) -> DataFrame:
+    """Totals and tracks of each event, written as tables of text and read back."""
+    path = f"{shared_dir(spark)}/summary-{uuid4().hex}"
+    rows = v.view(spark, d, v.JOB_SPARK)
+    sinks.write_summary(jobs.tracks_per_event(rows), jobs.job_summary(rows), path)
+    text = lambda name, *columns: spark.read.option("header", True).schema(", ".join(columns)).csv(f"{path}/{name}")
+    detail = text("detail", "event_name string", "num_tracks long", "tracks string")
+    total = text("totals", "n_events long", "n_jobs long").select(F.lit("all").alias("event_name"), F.col("n_events").alias("num_tracks"), F.col("n_jobs").cast("string").alias("tracks"))
+    return detail.unionByName(total)
+
+
+@_query
+def aoi_export(spark: SparkSession, d: str) -> DataFrame:
+    """Areas written as closed rings, a directory for each event, and read back."""
+    path = f"{shared_dir(spark)}/aois-{uuid4().hex}"
+    events = v.view(spark, d, v.OPTICAL_EVENT)
+    fault = events.filter("event_id % 3 = 0").select("event_id", *geo.BOX)
+    points = events.select("event_id", F.col("minx").alias("lon"), F.col("miny").alias("lat"))
+    sinks.write_aoi(catalog.resolve_aoi(points, fault, fault.limit(0)), path)
+    ring = F.from_json(F.get_json_object("value", "$.geometry.coordinates[0]"), "array<array<double>>")
+    found = spark.read.schema("value string, event_id long").text(path).select("event_id", F.get_json_object("value", "$.properties.source").alias("source"), ring.alias("r"))
+    at = lambda i, k: F.get(F.get("r", F.lit(i)), F.lit(k))
+    closed = F.get("r", F.lit(0)) == F.element_at("r", -1)
+    return found.select("event_id", "source", at(0, 0).alias("minx"), at(0, 1).alias("miny"), at(2, 0).alias("maxx"), at(2, 1).alias("maxy"), F.size("r").cast("long").alias("n"), closed.alias("closed"))
+
+
+@_query
+def frames_export(spark: SparkSession, d: str) -> DataFrame:
+    """Frames of each event's tracks, written with the lists as text and read back."""
+    path = f"{shared_dir(spark)}/frames-{uuid4().hex}"
+    sinks.write_frames(catalog.tracks(_scenes(spark, d)).select("event_id", "flight_direction", "path_number", "frames"), path)
+    return spark.read.option("header", True).schema("event_id long, flight_direction string, path_number long, frames string").csv(path)
+
+
+@_query
+def partial_jobs_completed(spark: SparkSession, d: str) -> DataFrame:
+    """Partial jobs of waiting tracks written by event; read back, completed by the first later date, written as a list, and read."""
+    path = f"{shared_dir(spark)}/partial-{uuid4().hex}"
+    scenes = _scenes(spark, d)
+    none = F.array().cast("array<string>")
+    partial = tracker.init_tracks(scenes, RATIO).withColumn("name", F.concat(F.lit("e"), F.col("event_id").cast("string")))
+    partial = partial.select("event_id", "track", *s.radar_job(F.col("name"), F.lit("ASCENDING"), F.col("track").cast("string"), none, F.col("secondary_granules")))
+    sinks.write_partials(partial, f"{path}/partial")
+    back = spark.read.schema(partial.schema).json(f"{path}/partial").withColumn("granules", none)
+    later = pairing.asof_after(scenes, RATIO).select("event_id", "track", F.transform("scenes", lambda x: x["scene_id"]).alias("granules"))
+    full = tracker.complete_partial(back, later, ["event_id", "track"])
+    full = full.withColumn("job_parameters", F.col("job_parameters").withField("granules", F.col("granules")))
+    sinks.write_jobs(full, f"{path}/full")
+    return spark.read.schema(full.schema).json(f"{path}/full").select("event_id", "track", "name", F.array_join("job_parameters.secondary_granules", ",").alias("secondary"), F.array_join("job_parameters.granules", ",").alias("reference"))
+
+
+@_query
+def platforms(spark: SparkSession, d: str) -> DataFrame:
+    """Platforms by the beginning of a granule's name."""
+    name = F.concat(F.lit("S2"), F.element_at(F.array(*(F.lit(x) for x in "ABCX")), (F.col("l_suppkey") % 4 + 1).cast("int")), F.lit("_MSIL1C_"), F.col("l_orderkey").cast("string"))
+    return v.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", s.platform(name).alias("platform"))
+
+
+@_query
+def display_rounding(spark: SparkSession, d: str) -> DataFrame:
+    """Coordinates to three places, depths to one (thirds of whole numbers, so no ties)."""
+    third = lambda c: F.col(c) / 3
+    return v.view(spark, d, v.QUAKE).select("event_id", *(s.display_round(third(c), n).alias(c) for c, n in (("lon", 3), ("lat", 3), ("depth_km", 1))))
+
+
+@_query
+def transitions_by_pass(spark: SparkSession, d: str) -> DataFrame:
+    """Two passes over waiting tracks: an acknowledgement that comes with the result is too early, the one after it counts."""
+    root = f"{shared_dir(spark)}/passes-{uuid4().hex}"
+    fields = [f.split() for f in tracker.STATE_INPUT.split(", ")]
+    typed = lambda df: df.select(*(F.col(c).cast(t) for c, t in fields))
+    found = _waiting(spark, d)
+    track = found.select("event_id", "track", "event_time").distinct()
+    of_kind = lambda df, kind, result=None: typed(df.withColumns({**{c: F.lit(None) for c, _ in fields if c not in df.columns}, "kind": F.lit(kind), "result": F.lit(result) if result is None else result}))
+    result = F.when(F.col("event_id") % 5 == 0, "Failed: run").otherwise("Success")
+    first = typed(found).unionByName(of_kind(track, "result", result)).unionByName(of_kind(track, "ack"))
+    for n, rows in enumerate((first, of_kind(track.filter("event_id % 2 = 0"), "ack"))):
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = tracker.track_state(spark.readStream.schema(tracker.STATE_INPUT).parquet(f"{root}/in"))
+        write = stream.writeStream.outputMode("update").foreachBatch(lambda df, _, n=n: df.write.mode("overwrite").parquet(f"{root}/out/pass={n + 1}"))
+        with forward.state_settings(spark):
+            write.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(f"{tracker.STATE_OUTPUT}, pass long").parquet(f"{root}/out").select("event_id", "track", "pass", "status", "post_date")

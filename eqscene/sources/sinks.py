@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eqscene.functions.scalars import display_round
 from eqscene.schemas import BELT
 
 POINTER = "number long, version string, batch string"
@@ -100,7 +101,7 @@ def scene_features(selected: DataFrame) -> DataFrame:
                 "platform",
                 F.col("s.granule_id").alias("granule_id"),
                 F.col("s.cloud_cover").alias("cloud_cover"),
-                F.round("coverage", 1).alias("coverage_pct"),
+                display_round(F.col("coverage"), 1).alias("coverage_pct"),
             ),
         ).alias("value"),
     )
@@ -195,7 +196,7 @@ def write_frames(tracks: DataFrame, path: str) -> None:
 
 
 def write_partials(jobs: DataFrame, path: str) -> None:
-    jobs.write.mode("overwrite").partitionBy("event_id").json(path)
+    jobs.repartition("event_id").write.mode("overwrite").partitionBy("event_id").json(path)
 
 
 def write_boxes(boxes: DataFrame, path: str) -> None:
