@@ -32,7 +32,7 @@ def _ids(column: str, name: str = "scene_id") -> Column:
 
 
 def _scenes(spark: SparkSession, d: str) -> DataFrame:
-    return v.view(spark, d, v.TRACK_SCENE)
+    return v.track_scenes(spark, d)
 
 
 def _accepted(spark: SparkSession, d: str) -> DataFrame:
@@ -66,7 +66,7 @@ def _ring(x1: str, y1: str, x2: str, y2: str) -> Column:
 
 
 def _footprints(spark: SparkSession, d: str) -> DataFrame:
-    return v.view(spark, d, v.FOOTPRINT).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
+    return v.footprints(spark, d).withColumn("ring", _ring("x1", "y1", "x2", "y2"))
 
 
 def _optical(spark: SparkSession, d: str) -> DataFrame:

@@ -6,7 +6,8 @@ the queries (through Spark SQL) and by their SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -42,11 +43,11 @@ FROM ({QUAKE}) q JOIN ({SCENE}) s ON s.path_number = q.region
 WHERE s.start_time BETWEEN q.event_time - INTERVAL 10 DAY AND q.event_time + INTERVAL 5 DAY"""
 
 #: The same scenes with footprints that overlap, over an area of 10 by 10, dated by the week.
-FOOTPRINT = f"""
+_FOOTPRINT_COLUMNS = """
 SELECT event_id, track, event_time, CAST(date_trunc('week', start_time) AS DATE) AS acq_date, start_time, pos, scene_id, frame_number,
        CAST(pos * 7 % 9 - 2 AS INT) AS x1, CAST(pos * 11 % 8 - 2 AS INT) AS y1, CAST(pos * 7 % 9 + 2 + pos % 4 AS INT) AS x2, CAST(pos * 11 % 8 + 3 + pos % 3 AS INT) AS y2,
-       CAST(0 AS DOUBLE) AS minx, CAST(0 AS DOUBLE) AS miny, CAST(10 AS DOUBLE) AS maxx, CAST(10 AS DOUBLE) AS maxy
-FROM ({TRACK_SCENE})"""
+       CAST(0 AS DOUBLE) AS minx, CAST(0 AS DOUBLE) AS miny, CAST(10 AS DOUBLE) AS maxx, CAST(10 AS DOUBLE) AS maxy"""
+FOOTPRINT = f"{_FOOTPRINT_COLUMNS} FROM ({TRACK_SCENE})"
 
 #: One-degree areas (in tenths) with a window of ten days each.
 AREA = """
@@ -132,3 +133,25 @@ def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _fortnight(time: Column) -> Column:
+    return F.floor(F.datediff(time, F.lit("1970-01-01").cast("date")) / 15)
+
+
+def track_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``TRACK_SCENE``, joined on buckets of 15 days besides the region: a quake's window lies in two of them."""
+    quakes = view(spark, sf_dir, QUAKE).select(
+        "event_id", "region", "event_time", (F.col("event_time") - F.expr("INTERVAL 10 DAY")).alias("least"), (F.col("event_time") + F.expr("INTERVAL 5 DAY")).alias("most")
+    ).withColumn("bucket", F.explode(F.sequence(_fortnight(F.col("least")), _fortnight(F.col("most")))))
+    scenes = view(spark, sf_dir, SCENE).withColumn("bucket", _fortnight(F.col("start_time")))
+    met = quakes.join(scenes, (F.col("region") == F.col("path_number")) & (quakes["bucket"] == scenes["bucket"]) & F.col("start_time").between(F.col("least"), F.col("most")))
+    return met.select(
+        "event_id", F.col("path_number").alias("track"), "event_time", "acq_date", "start_time", "pos", F.col("file_id").alias("scene_id"),
+        "frame_number", "flight_direction", "path_number", "area",
+    )
+
+
+def footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``FOOTPRINT``."""
+    return spark.sql(_FOOTPRINT_COLUMNS + " FROM {scenes}", scenes=track_scenes(spark, sf_dir))
