@@ -29,6 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from eqscene.llm._common import whole_text
 from eqscene.llm._shingles import chunks, mix, shingle_hashes
@@ -137,6 +138,26 @@ def _pairs(ranges: list, ahead: list, ids: list, texts: list, id_type: pa.DataTy
     )
 
 
+def _bounds(docs: DataFrame, n: int, k: int) -> np.ndarray | None:
+    """Ids at which about ``k`` ranges start, the least one first; None if there is no id.
+
+    Ids that are not numbers have no quantiles: about ten ids for each range, chosen by their
+    hash, stand for all. They only balance the ranges.
+    """
+    if isinstance(docs.schema["doc_id"].dataType, NumericType):
+        quantiles = F.percentile_approx("doc_id", [i / k for i in range(k)], min(1_000_000, max(10_000, 100 * k)))
+        found = docs.agg(F.min("doc_id").alias("least"), quantiles.alias("q")).first()
+        return np.array(sorted({found["least"], *found["q"]})) if found["q"] else None
+    least = docs.agg(F.min("doc_id")).first()[0]
+    if least is None:
+        return None
+    share = max(1, n // (10 * k))
+    some = sorted({r[0] for r in docs.filter("doc_id IS NOT NULL").filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select("doc_id").distinct().collect()})
+    out = np.empty(k, object)
+    out[:] = [least, *(some[i * len(some) // k] if some else least for i in range(1, k))]
+    return np.unique(out)
+
+
 def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``.
 
@@ -150,9 +171,7 @@ def fingerprint_with_next(docs: DataFrame) -> DataFrame:
     )
     n = docs.count()
     k = max(1, min(MAX_RANGES, n // RANGE_ROWS))
-    quantiles = F.percentile_approx("doc_id", [i / k for i in range(k)], min(1_000_000, max(10_000, 100 * k)))
-    found = docs.agg(F.min("doc_id").alias("least"), quantiles.alias("q")).first()
-    bounds = np.array(sorted({found["least"], *found["q"]})) if found["q"] else None
+    bounds = _bounds(docs, n, k)
 
     @F.pandas_udf("struct<range_no:int,first:boolean>")
     def placed(ids: pd.Series) -> pd.DataFrame:

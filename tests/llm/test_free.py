@@ -96,6 +96,16 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def test_fingerprints_of_ids_that_are_strings(docs):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 13}" for k in range(i % 40))) for i in range(1000, 1300)] + [(None, "no id"), (1001, "again")]
+    by_number = fingerprints.fingerprint_with_next(docs(rows)).selectExpr("CAST(doc_id AS STRING) AS doc_id", "n_chars", "edited_sha256", "fingerprint", "near_next").collect()
+    named = docs(rows).selectExpr("CAST(doc_id AS STRING) AS doc_id", "text")
+    by_name = fingerprints.fingerprint_with_next(named).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "near_next").collect()
+    assert sorted(map(repr, by_name)) == sorted(map(repr, by_number))
+    assert fingerprints.fingerprint_with_next(named.limit(0)).collect() == []
+    assert len(fingerprints.fingerprint_with_next(named.filter("doc_id IS NULL")).collect()) == 1
+
+
 def test_fingerprints(docs, none):
     rng = random.Random(4)
     rows = [(i * 3, " ".join(prose(rng, rng.choice([1, 3, 5, 40, 400])))) for i in range(40)] + [(500, ""), (501, None), (502, PROSE), (503, PROSE), (504, "é" * 41)]
