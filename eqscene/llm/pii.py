@@ -14,6 +14,7 @@ addresses are found by one pattern, validated, and permuted within their format:
 * dates: the day's number within 1900-01-01 .. 2099-12-31 goes through a numeric
   Feistel network over a slightly larger square, again and again until it falls within
   the range (cycle walking).
+* social security numbers walk likewise until area, group and serial number are valid.
 
 ``invert=True`` takes pseudonyms back. All of it is built-in column functions: texts
 are cut at the matches, the matches are rewritten, and the parts are joined again.
@@ -164,6 +165,11 @@ def _card(value: Column, key: str, invert: bool) -> Column:
     return _let(_digits(value), lambda d: F.when(luhn(d) % 10 == 0, new(d)).otherwise(value))
 
 
+def _walk(start: Column, once: Callable[[Column], Column], inside: Callable[[Column], Column]) -> Column:
+    """Cycle walking: ``once``, and again while the outcome is not ``inside``."""
+    return F.aggregate(F.sequence(F.lit(0), F.lit(WALK)), start, lambda x, i: F.when((i == 0) | ~inside(x), once(x)).otherwise(x))
+
+
 def _plain(value: Column, key: str, kind: str, invert: bool, keep: int = 0, least: dict[int, int] | None = None) -> Column:
     """All digits after the first ``keep``; ``least``: places whose digit is no smaller."""
     least = least or {}
@@ -187,6 +193,21 @@ def _phone(value: Column, key: str, invert: bool) -> Column:
     )
 
 
+def _ssn(value: Column, key: str, invert: bool) -> Column:
+    """Area (neither 000, 666 nor from 900 on), group (not 00) and serial number (not 0000); others are no numbers."""
+
+    def valid(d: Column) -> Column:
+        at = lambda i: F.get(d, F.lit(i))
+        area = at(0) * 100 + at(1) * 10 + at(2)
+        return (area > 0) & (area != 666) & (area < 900) & (at(3) + at(4) > 0) & (at(5) + at(6) + at(7) + at(8) > 0)
+
+    def new(d: Column) -> Column:
+        walked = _walk(d, lambda x: feistel(x, _constant(x, 10), key, "ssn", invert), valid)
+        return F.when(valid(d), _put_back(value, _as_text(walked), "[0-9]")).otherwise(value)
+
+    return _let(_digits(value), new)
+
+
 def _ip(value: Column, key: str, invert: bool) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda x: x.cast("int"))
     return F.array_join(_as_text(feistel(octets, _constant(octets, 256), key, "ip", invert)), ".")
@@ -263,9 +284,7 @@ def _day(number: Column, key: str, invert: bool) -> Column:
         return _let(out, lambda s: s["a"] * SIDE + s["b"])
 
     # SIDE ** 2 - DAYS = 392 numbers lie outside, so a step leaves the range with a chance of 0.5 %
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)), once(number), lambda x, _: F.when(x >= DAYS, once(x)).otherwise(x)
-    )
+    return _walk(number, once, lambda x: x < DAYS)
 
 
 def _date(value: Column, key: str, invert: bool) -> Column:
@@ -290,7 +309,7 @@ def pseudonym(value: Column, key: str, invert: bool = False) -> Column:
         "iban": _iban,
         "ip": _ip,
         "date": _date,
-        "ssn": lambda v, k, inv: _plain(v, k, "ssn", inv),
+        "ssn": _ssn,
         "phone": _phone,
         "card": _card,
     }
@@ -300,23 +319,21 @@ def pseudonym(value: Column, key: str, invert: bool = False) -> Column:
     return out
 
 
-def pseudonymise_text(text: Column, key: str, invert: bool = False) -> Column:
-    """``text`` with every valid value replaced."""
-    gaps, values = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    rewritten = F.array_join(
-        F.zip_with(gaps, F.transform(values, lambda v: pseudonym(v, key, invert)), lambda g, v: F.concat(g, F.coalesce(v, F.lit("")))),
-        "",
-    )
-    return F.when(text.rlike(ANY), rewritten).otherwise(text)
-
-
 def pseudonymise(docs: DataFrame, key: str, invert: bool = False) -> DataFrame:
     """``docs`` with ``text`` pseudonymised, and ``n_values``, how many values were replaced.
 
     ``n_values`` takes the place of a column of that name; a value that fails its checks is
     left alone and not counted (nor is one of the rare that stand for themselves).
     """
-    values = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
-    changed = F.size(F.filter(values, lambda v: pseudonym(v, key, invert) != v))
-    count = F.when(F.col("text").rlike(ANY), changed).otherwise(0).cast("long")
-    return docs.withColumns({"n_values": count, "text": pseudonymise_text(docs["text"], key, invert)})
+    found = "found"
+    while found in docs.columns:
+        found += "_"
+    text = docs["text"]
+    value = lambda v: F.struct(v.alias("old"), pseudonym(v, key, invert).alias("new"))
+    # a column of its own, so that each pseudonym is made once for both results
+    with_values = docs.withColumn(found, F.when(text.rlike(ANY), F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), value)))
+    parts = F.zip_with(F.split("text", ANY, -1), found, lambda gap, v: F.concat(gap, F.coalesce(v["new"], F.lit(""))))
+    changed = F.size(F.filter(found, lambda v: v["new"] != v["old"]))
+    return with_values.withColumns(
+        {"n_values": F.when(F.col(found).isNull(), 0).otherwise(changed).cast("long"), "text": F.when(F.col(found).isNull(), F.col("text")).otherwise(F.array_join(parts, ""))}
+    ).drop(found)

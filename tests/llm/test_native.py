@@ -1,6 +1,7 @@
 """Operators 1, 5, 7 and 8."""
 
 
+import hashlib
 import random
 import re
 import zlib
@@ -57,6 +58,65 @@ def test_pseudonyms_invert_link_and_keep_their_format(docs):
     assert digits(new[2].text)[1:11] == digits(new[3].text)[:10]
 
 
+def plain_feistel(symbols, radix, key, kind):
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    middle = len(symbols) // 2
+    halves, radices = [symbols[:middle], symbols[middle:]], [radix[:middle], radix[middle:]]
+    for number in range(pii.ROUNDS):
+        own, other = number % 2, 1 - number % 2
+        seed = sha(f"{key}|{kind}|{number}|" + ",".join(map(str, halves[other])))
+        by = [int(sha(seed + str(i // 10))[i % 10 * 6 :][:6], 16) for i in range(len(halves[own]))]
+        halves[own] = [(x + y) % r for x, y, r in zip(halves[own], by, radices[own])]
+    return halves[0] + halves[1]
+
+
+def plain_ssn(text, key):
+    def valid(d):
+        area = d[0] * 100 + d[1] * 10 + d[2]
+        return 0 < area < 900 and area != 666 and any(d[3:5]) and any(d[5:])
+
+    d = [int(c) for c in text if c.isdigit()]
+    if not valid(d):
+        return text
+    while True:
+        d = plain_feistel(d, [10] * 9, key, "ssn")
+        if valid(d):
+            return "{}{}{}-{}{}-{}{}{}{}".format(*d)
+
+
+def plain_card(text, key):
+    def total(d):
+        return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(reversed(d)))
+
+    d = [int(c) for c in text]
+    if total(d) % 10:
+        return text
+    body = plain_feistel(d[:-1], [10] * (len(d) - 1), key, "card")
+    return "".join(map(str, [*body, -total([*body, 0]) % 10]))
+
+
+def test_pseudonyms_against_a_plain_network(docs):
+    rng = random.Random(5)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    numbers = [f"{digits(3)}-{digits(2)}-{digits(4)}" for _ in range(60)] + ["000-12-3456", "666-12-3456", "900-12-3456", "123-00-3456", "123-45-0000", "001-01-0001"]
+    cards = [digits(rng.randint(13, 19)) for _ in range(60)]
+    addresses = [".".join(str(rng.randint(0, 255)) for _ in range(4)) for _ in range(20)]
+    plain = {v: plain_ssn(v, "k") for v in numbers} | {v: plain_card(v, "k") for v in cards}
+    plain |= {v: ".".join(map(str, plain_feistel([int(x) for x in v.split(".")], [256] * 4, "k", "ip"))) for v in addresses}
+    values = list(plain)
+    got = {r.doc_id: r for r in pii.pseudonymise(docs([(i, f"a {v} b") for i, v in enumerate(values)]), "k").collect()}
+    for i, v in enumerate(values):
+        assert got[i].text == f"a {plain[v]} b"
+        assert got[i].n_values == (plain[v] != v)
+
+
+def test_pseudonyms_beside_columns_of_any_name(docs):
+    wide = docs([(1, "x 123-45-6789 y"), (2, None)]).selectExpr("*", "7 AS found", "8 AS found_", "9 AS n_values")
+    assert sorted(wide.columns) == sorted((out := pii.pseudonymise(wide, "k")).columns)
+    rows = {r.doc_id: r for r in out.collect()}
+    assert (rows[1].found, rows[1].found_, rows[1].n_values) == (7, 8, 1) and (rows[2].n_values, rows[2].text) == (0, None)
+
+
 def test_pseudonyms_of_odd_rows(odd, none):
     out = {(r.doc_id, r.text) for r in pii.pseudonymise(odd, "k").collect()}
     assert out == {(i, t) for i, t in ODD}
