@@ -475,6 +475,8 @@ def _links(members: DataFrame, texts: DataFrame, reps: DataFrame, kind: str) ->
         verdicts = _aligned(meeting.filter("r1 <> r2"), codes, kind)
         found = verdicts if found is None else found.unionByName(verdicts)
         roots = _merged(roots, verdicts)
+        if now is waiting:
+            break
         # done with leads: who is in the class of one that it met, and the leads themselves
         joined = (
             _with_root(_with_root(meeting.select(*place, "lead"), "rep", roots, "r1"), "lead", roots, "r2")
