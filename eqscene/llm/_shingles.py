@@ -10,9 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SHINGLE = 5
-CHUNK_BYTES = 2_000_000
+#: Hashing takes some ten times a chunk, in each worker.
+CHUNK_BYTES = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 
@@ -38,6 +41,18 @@ def chunks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def byte_chunks(column: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The same ranges of a column of texts, each with its UTF-8 bytes: only one range is held as Python objects."""
+    raw = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+    end = np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(raw):
+        before = end[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(end, before + CHUNK_BYTES, "right")))
+        yield i, j, raw.slice(i, j - i).to_pylist()
+        i = j
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words in order, and the number of words of each text."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from eqscene.llm._common import broadcast_if_small, staged, whole_text
 from eqscene.llm._components import components
-from eqscene.llm._shingles import SHINGLE, chunks, mix, shingle_hashes, word_hashes
+from eqscene.llm._shingles import SHINGLE, byte_chunks, mix, shingle_hashes, word_hashes
 
 SIMILARITY = 0.8
 BANDS = 32
@@ -195,10 +195,9 @@ def alike(a: str, b: str, similarity: float = SIMILARITY) -> bool:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
         keys: list = []
-        for i, j in chunks(texts):
-            hashes, count = shingle_hashes(texts[i:j])
+        for _, _, texts in byte_chunks(batch.column("text")):
+            hashes, count = shingle_hashes(texts)
             end = np.cumsum(count)
             keys += [bands(hashes[e - c : e]).view(np.int64) if c else [] for e, c in zip(end, count, strict=True)]
         yield pa.RecordBatch.from_arrays(
@@ -209,9 +208,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        for i, j in chunks(texts):
-            words, n = word_hashes(texts[i:j])
+        for i, j, texts in byte_chunks(batch.column("text")):
+            words, n = word_hashes(texts)
             code, end = (words >> np.uint64(32)).astype(np.uint32), np.cumsum(n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep").slice(i, j - i), pa.array(n), pa.array([code[e - k : e].tobytes() for e, k in zip(end, n, strict=True)], pa.binary())],

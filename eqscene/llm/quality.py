@@ -16,14 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eqscene.llm._common import whole_text
 from eqscene.llm._labelled import fold, labelled_sample
-from eqscene.llm._shingles import chunks, word_hashes
+from eqscene.llm._shingles import byte_chunks, chunks, word_hashes
 
 FOLDS = 5
 THRESHOLD = 0.3
@@ -94,6 +93,11 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def statistics_of(column: pa.Array) -> np.ndarray:
+    """The same of a column of texts."""
+    return np.concatenate([np.zeros((0, len(FEATURES))), *(statistics(texts) for _, _, texts in byte_chunks(column))])
+
+
 @dataclass
 class Forest:
     """Complete trees in flat arrays: split of node s of tree t, and value of its leaf."""
@@ -165,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = statistics([t.encode() for t in b.column("text").to_pylist()])
+            x = statistics_of(b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.string()), b.column("label"), pa.array(list(x), pa.list_(pa.float64()))],
                 names=["doc_id", "label", "x"],
@@ -181,9 +185,9 @@ def train(docs: DataFrame, labels: DataFrame, max_train_rows: int = MAX_TRAIN_RO
 def quality_score(forest: Forest) -> Column:
     """The score of column ``text``."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(forest.scores(statistics([t.encode() for t in texts])))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(forest.scores(statistics_of(texts)))
 
     return score(whole_text())
 

@@ -41,6 +41,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ PART_UNITS = 20_000
 #: Java and Python regular expression of a unit.
 UNIT = rf"{MARK}*[\p{{L}}\p{{M}}]+|{MARK}*[^\p{{L}}\p{{M}}{MARK}]+|{MARK}+"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_CHUNK_CHARS, _COUNT_CHARS, _CHUNK_IDS = 500_000, 1_000_000, 200_000
+_CHUNK_CHARS, _COUNT_CHARS, _CHUNK_IDS = 250_000, 500_000, 200_000
 #: Places of an edge's parts in one long: rank, start, end, whether its rank needs care, id.
 _RANK, _START, _END, _CARE = 41, 33, 25, 24
 _ID = (1 << _CARE) - 1
@@ -135,14 +136,13 @@ def units_of(docs: DataFrame) -> DataFrame:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [_escape(t) for t in batch.column("text").to_pylist()]
-            for i, j in _ranges(texts, _COUNT_CHARS):
-                h, check, starts, ends, _ = unit_hashes(texts[i:j])
+            for _, _, texts in _ranges(batch.column("text"), _COUNT_CHARS):
+                h, check, starts, ends, _ = unit_hashes(texts)
                 order = np.argsort(h, kind="stable")
                 new = np.ones(len(h), bool)
                 new[1:] = (h[order][1:] != h[order][:-1]) | (check[order][1:] != check[order][:-1])
                 at = np.flatnonzero(new)
-                first, flat = order[at], "".join(texts[i:j])
+                first, flat = order[at], "".join(texts)
                 spans = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([flat[x:y] for x, y in spans], pa.string()), pa.array(np.diff(np.append(at, len(h))))], names=["unit", "n"]
@@ -531,15 +531,14 @@ def _escape(text: str | None) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
-def _ranges(texts: list[str], most: int = _CHUNK_CHARS) -> Iterator[tuple[int, int]]:
-    start = total = 0
-    for i, t in enumerate(texts):
-        if i > start and total + len(t) > most:
-            yield start, i
-            start, total = i, 0
-        total += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def _ranges(column: pa.Array, most: int = _CHUNK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of about ``most`` characters, each with its escaped texts: only one is held as Python strings."""
+    end = np.cumsum(pc.utf8_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(end, (end[i - 1] if i else 0) + most, "right")))
+        yield i, j, [_escape(t) for t in column.slice(i, j - i).to_pylist()]
+        i = j
 
 
 def _code_table(docs: DataFrame, table: Pieces) -> tuple[DataFrame, str]:
@@ -577,9 +576,8 @@ def encode(docs: DataFrame, table: Pieces | None = None, lookup_bytes: int = LOO
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _loaded(folder, least or 0)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in _ranges(texts):
-                count, ids = _looked_up([_escape(t) for t in texts[i:j]], batch.column("own").slice(i, j - i), known)
+            for i, j, texts in _ranges(batch.column("text")):
+                count, ids = _looked_up(texts, batch.column("own").slice(i, j - i), known)
                 edge = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
                 columns = {
                     "doc_id": batch.column("doc_id").slice(i, j - i),
@@ -630,9 +628,8 @@ def _with_own(rows: DataFrame, rare: DataFrame, folder: str, least: int) -> Data
 
     def missing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for i, j in _ranges(texts):
-                hashes, checks, _, _, n = unit_hashes([_escape(t) for t in texts[i:j]])
+            for i, j, texts in _ranges(batch.column("text")):
+                hashes, checks, _, _, n = unit_hashes(texts)
                 lacks = np.flatnonzero(_loaded(folder, least).find(hashes, checks) < 0)
                 row = np.repeat(np.arange(i, j), n)[lacks]
                 order = np.lexsort((hashes[lacks], row))
