@@ -524,6 +524,7 @@ def _read(folder: str, least: int) -> Lookup:
     for part in kept:
         columns.append(np.concatenate(part))
         part.clear()
+        pa.default_memory_pool().release_unused()
     return Lookup.of(*columns)
 
 
