@@ -453,7 +453,6 @@ def _links(members: DataFrame, texts: DataFrame, reps: DataFrame, kind: str) ->
     crowd = members.groupBy("band", "value").agg(F.count("*").alias("crowd"))
     rank = members.join(crowd, ["band", "value"]).groupBy("rep").agg(F.sum("crowd").alias("rank"))
     members = staged(members.join(rank.join(codes.select("rep", "n"), "rep"), "rep"), "members")
-    place = ["band", "value", "rep"]
     first = F.col("band") < FIRST_BANDS
     found, roots, waiting = None, None, None
     for now, leads in ((members.filter(first), 1), (members.filter(~first), 1), (None, LEADS)):
@@ -463,26 +462,20 @@ def _links(members: DataFrame, texts: DataFrame, reps: DataFrame, kind: str) ->
             .agg(F.min(F.struct((-F.col("rank")).alias("rank"), "rep", "n")).alias("best"))
             .select("b", "v", F.col("best.rep").alias("lead"), F.col("best.n").alias("m"))
         )
-        same_bucket = (F.col("band") == F.col("b")) & (F.col("value") == F.col("v")) & (F.col("rep") != F.col("lead"))
-        meeting = staged(
-            _with_root(now, "rep", roots, "r1")
-            .join(_with_root(chosen, "lead", roots, "r2"), same_bucket & _compatible("n", "m"))
-            .select(*place, "lead", "r1", "r2"),
-            "meeting",
-        )
-        verdicts = _aligned(meeting.filter("r1 <> r2"), codes, kind)
+        # a text that is in the class of a lead already doesn't meet it, so a class gives no rows for its other bands
+        met = (F.col("band") == F.col("b")) & (F.col("value") == F.col("v")) & _compatible("n", "m")
+        meeting = _with_root(now, "rep", roots, "r1").join(_with_root(chosen, "lead", roots, "r2"), met & (F.col("r1") != F.col("r2")))
+        verdicts = _aligned(meeting, codes, kind)
         found = verdicts if found is None else found.unionByName(verdicts)
         roots = _merged(roots, verdicts)
         if now is waiting:
             break
         # done with leads: who is in the class of one that it met, and the leads themselves
-        joined = (
-            _with_root(_with_root(meeting.select(*place, "lead"), "rep", roots, "r1"), "lead", roots, "r2")
-            .filter("r1 = r2")
-            .select(*place)
-            .unionByName(chosen.select(F.col("b").alias("band"), F.col("v").alias("value"), F.col("lead").alias("rep")))
+        late = (
+            _with_root(now, "rep", roots, "r1")
+            .join(_with_root(chosen, "lead", roots, "r2"), met & (F.col("r1") == F.col("r2")), "left_anti")
+            .select(*now.columns)
         )
-        late = now.join(joined.distinct(), place, "left_anti")
         waiting = late if waiting is None else staged(late.unionByName(waiting), "waiting")
     across = _divided(members, roots, codes, reps, kind)
     return found.unionByName(across), _merged(roots, across)

@@ -51,6 +51,25 @@ def test_near_duplicates_against_brute_force(docs):
     assert {r.doc_id for r in kept.collect()} == set(root.values()) | {None} and kept.columns == docs(rows).columns
 
 
+def test_leads_meet_no_text_of_their_own_class(docs, monkeypatch):
+    """Copies that the first bands bring into one class give no rows for the other bands."""
+    rng = random.Random(12)
+    base = prose(rng, 300)
+    rows = [(i, " ".join("edit" if k == i else w for k, w in enumerate(base))) for i in range(150)]
+    written, write = {}, order_minhash.staged
+
+    def counted(df, label):
+        out = write(df, label)
+        written[label] = written.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(order_minhash, "staged", counted)
+    got = order_minhash.near_duplicates(docs(rows)).collect()
+    assert {r.class_id for r in got} == {0} and len(got) == len(rows)
+    assert written["members"] > 20 * len(rows)
+    assert written.get("meeting", 0) + written["pairs"] < 3 * len(rows)
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(odd).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 3, None: None, 5: 5, 6: 6, 7: 7}
