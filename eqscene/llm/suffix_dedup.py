@@ -9,7 +9,10 @@ a smaller doc_id; strings are judged on the input, and overlaps count.
    first goes at once, and only first occurrences are sorted.
 2. Narrowing. Winnowed hashes (the least of every ``SPAN`` hashes of ``GRAM`` bytes;
    any string of WIDTH bytes holds one) that occur in first pieces of two documents at
-   least leave the places whose string can be repeated at all.
+   least leave the places whose string can be repeated at all. They travel packed: by
+   chunks of pieces and buckets of hashes, ``PACKED`` bytes each, and those of several
+   documents come back to their chunk. What the packing confuses is only looked at once
+   more, as are hashes of one document that lies in two chunks.
 3. Difference cover. Of the places modulo 3, residues 1 and 2 are sampled. The triples
    of 8-byte letters there are sorted over ranges and named by their ranks; a pair of
    names 24 bytes apart stands for 48 bytes. Recursion ends there, as strings are
@@ -30,11 +33,11 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,13 @@ GRAM = 24
 SPAN = WIDTH - GRAM + 1
 LETTERS = 24  # bytes of a triple
 MEAN, LEAST, MOST = 128, 64, 4096
+#: Pieces are winnowed so many bytes at once, a power of two as places share a number with hashes.
+BATCH_BITS = 21
+BATCH = 1 << BATCH_BITS
+#: First pieces are kept in chunks of about so many bytes.
+CHUNK = 4_000_000
+#: A packed hash, and the bits of its bucket: one for about so many bytes of pieces.
+PACKED, MOST_BITS, BUCKET_BYTES = 5, 12, 4_000_000
 #: A piece is known by its two hashes, 128 bits.
 PIECE = "struct<h1:bigint,h2:bigint>"
 
@@ -82,15 +92,45 @@ def pieces(raw: bytes) -> list[tuple[int, bytes]]:
     return [(s, p) for s, p in found if len(p) >= WIDTH]
 
 
-def marks(piece: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Winnowed hashes of a piece and their places."""
-    raw = np.frombuffer(piece, np.uint8)
+def marks(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Winnowed hashes of pieces: the number of the piece, the hash, its place there."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
+    start = total = 0
+    for i, piece in enumerate([*held, b""]):
+        if i == len(held) or (i > start and total + len(piece) > BATCH):
+            if total:
+                row, value, place = _marks_at_once(held[start:i])
+                out.append((row + start, value, place))
+            start, total = i, 0
+        total += len(piece)
+    row, value, place = (np.concatenate(c) for c in zip(*out, strict=True))
+    return row, value, place
+
+
+def _marks_at_once(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of pieces of WIDTH bytes at least, BATCH bytes together at most."""
+    raw = np.frombuffer(b"".join(held), np.uint8)
+    end = np.cumsum([len(p) for p in held])
+    start = end - [len(p) for p in held]
     letter = _letters(raw)
     n = len(raw) - GRAM + 1
     grams = mix(letter[:n] + mix(letter[8 : 8 + n] + mix(letter[16 : 16 + n])))
-    view = sliding_window_view(grams, SPAN)
-    at = np.unique(np.arange(len(view)) + (SPAN - 1 - view[:, ::-1].argmin(1)))
-    return grams[at], at
+    # the place, counted from behind, in the low bits: the least is the last of equal ones
+    last = np.uint64((1 << BATCH_BITS) - 1)
+    least = (grams | last) - np.arange(n, dtype=np.uint64)
+    width = 1
+    while 2 * width <= SPAN:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    rest = SPAN - width
+    least = np.minimum(least[: len(least) - rest], least[rest:])
+    inside = np.ones(len(least), bool)
+    for e in end[:-1].tolist():
+        inside[e - WIDTH + 1 : e] = False
+    at = (last - (least[inside] & last)).astype(np.int64)
+    at = at[np.append(True, at[1:] != at[:-1])]
+    row = np.searchsorted(start, at, "right") - 1
+    return row, grams[at], at - start[row]
 
 
 def _row_key(text) -> Column:
@@ -115,18 +155,133 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of first pieces, in chunks of about CHUNK bytes under a number of their own."""
+    chunk, size = _number(), 0
     for b in batches:
-        found = [marks(p) for p in b.column("bytes").to_pylist()]
-        row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        value = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.uint64)
-        place = np.concatenate([f[1] for f in found]) if found else np.empty(0, np.int64)
-        take = pa.array(row.astype(np.int64))
+        rows, parts, chunks, names = [], [], [], []
+        for i, (text, wanted) in enumerate(zip(b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
+            raw = text.encode()
+            for w in wanted:
+                if size >= CHUNK:
+                    chunk, size = _number(), 0
+                size += w["size"]
+                rows.append(i)
+                chunks.append(chunk)
+                names.append(w["piece"])
+                parts.append(raw[w["at"] : w["at"] + w["size"]])
         yield pa.RecordBatch.from_arrays(
-            [b.column("piece").take(take), b.column("doc_id").take(take), pa.array(value.view(np.int64)), pa.array(place.astype(np.int32))],
-            names=["piece", "doc_id", "mark", "place"],
+            [
+                b.column("doc_id").take(pa.array(rows, pa.int64())),
+                pa.array(names, pa.struct([("h1", pa.int64()), ("h2", pa.int64())])),
+                pa.array(parts, pa.binary()),
+                pa.array(chunks, pa.int64()),
+            ],
+            names=["doc_id", "piece", "bytes", "chunk"],
+        )
+
+
+def _number() -> int:
+    return uuid4().int >> 65
+
+
+def _packed(value: np.ndarray) -> bytes:
+    """The low PACKED bytes of numbers."""
+    return value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED].tobytes()
+
+
+def _unpacked(held: bytes) -> np.ndarray:
+    out = np.zeros((len(held) // PACKED, 8), np.uint8)
+    out[:, :PACKED] = np.frombuffer(held, np.uint8).reshape(-1, PACKED)
+    return out.view("<u8").ravel()
+
+
+def _split(value: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and packed number of hashes, whose lowest bit stays free for a flag."""
+    kept = value >> np.uint64(64 - 8 * PACKED - bits + 1)
+    return (value >> np.uint64(64 - bits)).astype(np.int64), (kept << np.uint64(1)) & np.uint64((1 << 8 * PACKED) - 1)
+
+
+def _tally(bits: int):
+    """Rows (bucket, chunk, run, marks): distinct hashes of a run of a chunk's pieces, flagged if two documents there hold them."""
+
+    def told(chunk: int, docs: list, held: list[bytes]) -> pa.RecordBatch:
+        code = np.unique(np.array([str(d) for d in docs]), return_inverse=True)[1]
+        row, value, _ = marks(held)
+        bucket, number = _split(value, bits)
+        order = np.lexsort((code[row], number, bucket))
+        bucket, number, doc = bucket[order], number[order], code[row][order]
+        new = np.append(True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1]))
+        start = np.flatnonzero(new)
+        several = np.append(start[1:], len(doc)) - 1
+        number = number[start] | (doc[several] != doc[start]).astype(np.uint64)
+        bucket = bucket[start]
+        edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        parts = [_packed(number[i:j]) for i, j in zip(edge.tolist(), [*edge[1:].tolist(), len(number)], strict=True)]
+        run = _number()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[edge]), pa.array([chunk] * len(edge), pa.int64()), pa.array([run] * len(edge), pa.int64()), pa.array(parts, pa.binary())],
+            names=["bucket", "chunk", "run", "marks"],
         )
 
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, docs, held = None, [], []
+        for b in batches:
+            for d, c, p in zip(b.column("doc_id").to_pylist(), b.column("chunk").to_pylist(), b.column("bytes").to_pylist(), strict=True):
+                if c != chunk and held:
+                    yield told(chunk, docs, held)
+                    docs, held = [], []
+                chunk = c
+                docs.append(d)
+                held.append(p)
+        if held:
+            yield told(chunk, docs, held)
+
+    return tally
+
+
+def _shared(group: pa.Table) -> pa.Table:
+    """Of a bucket: for each chunk its hashes that several documents or runs hold."""
+    parts = [_unpacked(x) for x in group.column("marks").to_pylist()]
+    number = np.concatenate(parts)
+    owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+    flag, number = (number & np.uint64(1)).astype(bool), number >> np.uint64(1)
+    _, at, count = np.unique(number, return_inverse=True, return_counts=True)
+    again = (count > 1) | np.bincount(at, flag, len(count)).astype(bool)
+    keep = again[at]
+    cut = np.searchsorted(owner[keep], np.arange(len(parts) + 1))
+    number = number[keep] << np.uint64(1)
+    rows = [k for k in range(len(parts)) if cut[k] < cut[k + 1]]
+    return pa.table(
+        {
+            "chunk": group.column("chunk").take(pa.array(rows, pa.int64())),
+            "bucket": group.column("bucket").take(pa.array(rows, pa.int64())),
+            "marks": pa.array([_packed(number[cut[k] : cut[k + 1]]) for k in rows], pa.binary()),
+        }
+    )
+
+
+def _opened(bits: int):
+    """Of a chunk: its pieces with marks among the shared ones, and the places of these."""
+
+    def opened(pieces_: pa.Table, shared: pa.Table) -> pa.Table:
+        taken, held = pieces_.select(["piece", "doc_id", "bytes"]), pieces_.column("bytes").to_pylist()
+        row, value, place = marks(held)
+        bucket, number = _split(value, bits)
+        known = {b: [] for b in shared.column("bucket").to_pylist()}
+        for b, x in zip(shared.column("bucket").to_pylist(), shared.column("marks").to_pylist(), strict=True):
+            known[b].append(_unpacked(x))
+        # bucket and number are 12 and 40 bits at most, so that both fit one number
+        joined = [np.concatenate(x) | np.uint64(b << 8 * PACKED) for b, x in known.items()]
+        hit = np.isin(number | (bucket.astype(np.uint64) << np.uint64(8 * PACKED)), np.concatenate(joined) if joined else np.empty(0, np.uint64))
+        row, place = row[hit], place[hit]
+        rows = np.unique(row)
+        cut = np.append(np.searchsorted(row, rows), len(row))
+        places = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(place.astype(np.int32)))
+        return taken.take(pa.array(rows)).append_column("places", pa.chunked_array([places]))
+
+    return opened
+
 
 def _starts(places: list[int], size: int) -> np.ndarray:
     """Starts of the strings that hold one of the marked places."""
@@ -236,14 +391,18 @@ def repeated_places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     stored = staged(
         texts.dropDuplicates(["doc_id", "key"])
         .join(wanted, ["doc_id", "key"])
-        .select("doc_id", F.encode("text", "UTF-8").alias("raw"), F.explode("wanted").alias("w"))
-        .select("doc_id", "w.piece", F.substring("raw", F.col("w.at").cast("int") + 1, F.col("w.size").cast("int")).alias("bytes")),
+        .select("doc_id", "text", "wanted")
+        .mapInArrow(_store, f"doc_id {kind}, piece {PIECE}, bytes binary, chunk long"),
         "stored",
     )
-    marked = staged(stored.mapInArrow(_mark, f"piece {PIECE}, doc_id {kind}, mark long, place int"), "marks")
-    shared = marked.groupBy("mark").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("mark")
-    places = marked.join(shared, "mark").groupBy("piece").agg(F.collect_list("place").alias("places"))
-    open_pieces = staged(stored.join(places, "piece"), "open")
+    total = first.agg(F.sum("size")).first()[0] or 0
+    bits = min(max((total // BUCKET_BYTES).bit_length(), 4), MOST_BITS)
+    tallied = stored.mapInArrow(_tally(bits), "bucket long, chunk long, run long, marks binary")
+    shared = tallied.groupBy("bucket").applyInArrow(_shared, "chunk long, bucket long, marks binary")
+    open_pieces = staged(
+        stored.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_opened(bits), f"piece {PIECE}, doc_id {kind}, bytes binary, places array<int>"),
+        "open",
+    )
 
     triples = staged(open_pieces.mapInArrow(_triples, f"piece {PIECE}, place int, triple binary"), "sampled")
     names = triples.join(_named(triples), "triple").groupBy("piece").agg(F.collect_list(F.struct("place", "name")).alias("names"))

@@ -244,6 +244,36 @@ def test_repeats_against_brute_force(docs, none):
         assert got == brute_repeats(rows)
 
 
+def test_marks_are_the_last_of_the_least_and_travel_packed(docs, monkeypatch):
+    rng = random.Random(13)
+    held = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (50, 51, 400)] + [b"a" * 90, rng.randbytes(3000)]
+    row, value, place = suffix_dedup.marks(held)
+    for k, piece in enumerate(held):
+        at = place[row == k]
+        assert len(at) == len(set(at.tolist())) and all(any(i <= p <= i + 26 for p in at) for i in range(len(piece) - 49))
+    same = {}
+    for k, v, p in zip(row, value, place, strict=True):
+        assert same.setdefault(held[k][p : p + suffix_dedup.GRAM], v) == v
+    monkeypatch.setattr(suffix_dedup, "BATCH", 500)
+    assert all((x == y).all() for x, y in zip(suffix_dedup.marks(held), (row, value, place), strict=True))
+    written, write = {}, suffix_dedup.staged
+
+    def counted(df, label):
+        out = write(df, label)
+        written[label] = out.count()
+        return out
+
+    # small chunks and many buckets; texts that share nothing leave no row for a place
+    for k, v in {"CHUNK": 2000, "BUCKET_BYTES": 500, "staged": counted}.items():
+        monkeypatch.setattr(suffix_dedup, k, v)
+    rows = [(i, "".join(rng.choice("abcdefghijklmnop") for _ in range(900))) for i in range(40)]
+    assert sum(r.n_removed for r in suffix_dedup.remove_repeats(docs(rows)).collect()) == 0
+    assert max(written.values()) == written["pieces"]
+    rows += [(i + 100, t[100:400] + t[700:] + rows[i // 2][1][:60]) for i, t in rows]
+    got = {(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs(rows)).collect()}
+    assert got == brute_repeats(rows)
+
+
 TEXTS = [(1, ""), (2, None), (3, "Hello  world\n  foo\tbar 123 ½ ﬁ 😀  "), (4, " "), (5, "a" * 500), (6, "the" * 200 + " 中文 русский"), (7, "x▁y"), (None, "null id"), (3, "again")]
 
 
