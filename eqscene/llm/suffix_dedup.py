@@ -3,31 +3,29 @@
 A byte goes if a string of ``WIDTH`` bytes that covers it also starts in a document with
 a smaller doc_id; strings are judged on the input, and overlaps count.
 
-1. Folding. Texts are cut where their content says so into pieces, each with the
-   ``WIDTH - 1`` bytes after it, so every string of the text starts in one piece. Equal
-   pieces hold equal strings: all of an occurrence in a later document than the piece's
-   first goes at once, and only first occurrences are sorted.
-2. Narrowing. Winnowed hashes (the least of every ``SPAN`` hashes of ``GRAM`` bytes;
-   any string of WIDTH bytes holds one) that occur in first pieces of two documents at
-   least leave the places whose string can be repeated at all. They travel packed: by
-   chunks of pieces and buckets of hashes, ``PACKED`` bytes each, and those of several
-   documents come back to their chunk. What the packing confuses is only looked at once
-   more, as are hashes of one document that lies in two chunks.
-3. Difference cover. Of the places modulo 3, residues 1 and 2 are sampled. The triples
-   of 8-byte letters there are sorted over ranges and named by their ranks; a pair of
-   names 24 bytes apart stands for 48 bytes. Recursion ends there, as strings are
-   compared to ``WIDTH`` bytes only.
-4. Merging. Two places of any residues have a distance of at most 2 at which both are
-   sampled, so every string has two forms, each of a name pair and the two bytes that it
-   lacks, and any two places share a form. Equal forms are equal prefixes; the least
-   doc_id of each is what later places are held against.
-
-No group is gathered: forms and names are grouped by aggregation and joined back.
+1. Folding. Of equal texts (128 bits) those of later documents go at once; the others are
+   kept in chunks, compressed.
+2. Narrowing. The mark of a string is the least (the last of equal ones) of the ``SPAN``
+   hashes of ``GRAM`` bytes in it; strings that follow each other and share their mark
+   are a run. Hashes of marks travel packed, by chunks and buckets, ``PACKED`` bytes each,
+   and those of several documents come back to their chunk. What the packing confuses is
+   only looked at once more, as are hashes of one document that lies in two chunks.
+3. Meeting. Equal strings have equal marks, so the bytes of the runs left go to the bucket
+   of their mark, each distinct one of a chunk once, with its places. Runs of a mark that
+   very many texts hold are dealt out string by string, by a hash of the whole string.
+4. Difference cover. In a bucket, of the places modulo 3, residues 1 and 2 are sampled.
+   The triples of 8-byte letters there are sorted and named by their ranks; pairs of
+   names 24 bytes apart, which stand for 48 bytes, are sorted and named again. Recursion
+   ends there, as strings are compared to ``WIDTH`` bytes only.
+5. Merging. Two places of any residues have a distance of at most 2 at which both are
+   sampled, so every string has two forms, each of a name and the two bytes that it
+   lacks, and any two places share a form. Equal forms are equal strings; the least
+   doc_id of each is what later places are held against, and what is to go comes back
+   to the chunk as spans.
 
 Edge cases: null and empty texts, and those under WIDTH bytes, lose nothing; a null
 doc_id neither loses nor removes anything; rows that share a doc_id do not remove each
-other's bytes, equal texts or not; long runs of one byte are cut into pieces of bounded length; an empty
-table gives no rows; other columns are ignored.
+other's bytes, equal texts or not; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,152 +35,90 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eqscene.llm._common import staged, whole_text
+from eqscene.llm._common import broadcast_if_small, staged, whole_text
 from eqscene.llm._shingles import mix
 
 WIDTH = 50
 GRAM = 24
 SPAN = WIDTH - GRAM + 1
 LETTERS = 24  # bytes of a triple
-MEAN, LEAST, MOST = 128, 64, 4096
-#: Pieces are winnowed so many bytes at once, a power of two as places share a number with hashes.
-BATCH_BITS = 21
-BATCH = 1 << BATCH_BITS
-#: First pieces are kept in chunks of about so many bytes.
+#: So many strings are marked at once; places share a number with hashes.
+BATCH_BITS = 17
+BATCH = (1 << BATCH_BITS) - WIDTH
+#: Texts are kept in chunks of about so many bytes.
 CHUNK = 4_000_000
-#: A packed hash, and the bits of its bucket: one for about so many bytes of pieces.
-PACKED, MOST_BITS, BUCKET_BYTES = 5, 12, 4_000_000
-#: A piece is known by its two hashes, 128 bits.
-PIECE = "struct<h1:bigint,h2:bigint>"
+#: A packed hash, its bits for a flag, and the bits of its bucket: one for about so many bytes of texts.
+PACKED, FLAG_BITS, MOST_BITS, BUCKET_BYTES = 5, 3, 12, 4_000_000
+NUMBER_BITS = 8 * PACKED - FLAG_BITS
+#: Runs of a mark with about so many places are dealt out string by string.
+HEAVY = 1 << 14
 
 
 def _letters(raw: np.ndarray) -> np.ndarray:
     """The 8 bytes from each place on, as one ordered number."""
-    if len(raw) < 8:
-        return np.empty(0, np.uint64)
-    out = np.zeros(len(raw) - 7, np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | raw[i : i + len(out)]
+    out = np.empty(max(len(raw) - 7, 0), np.uint64)
+    for i in range(min(8, len(out))):
+        out[i::8] = raw[i : i + (len(raw) - i) // 8 * 8].view(">u8")
     return out
 
 
-def cuts(raw: np.ndarray) -> list[int]:
-    """Where pieces start: after 8 bytes whose hash says so, LEAST to MOST bytes apart."""
-    found = np.flatnonzero(mix(_letters(raw)) % np.uint64(MEAN) == 0) + 8
-    out, last = [0], 0
-    for at in [*found.tolist(), len(raw)]:
-        while at - last > MOST:
-            last += MOST
-            out.append(last)
-        if LEAST <= at - last and at < len(raw):
-            out.append(at)
-            last = at
-    return out
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...``, ``count`` of each."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
-def pieces(raw: bytes) -> list[tuple[int, bytes]]:
-    """(start, bytes) of each piece with at least one string of WIDTH bytes."""
-    starts = cuts(np.frombuffer(raw, np.uint8))
-    ends = [*starts[1:], len(raw)]
-    found = ((s, raw[s : e + WIDTH - 1]) for s, e in zip(starts, ends, strict=True))
-    return [(s, p) for s, p in found if len(p) >= WIDTH]
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where rows differ from the row before, the first one included."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
 
-def marks(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Winnowed hashes of pieces: the number of the piece, the hash, its place there."""
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
-    start = total = 0
-    for i, piece in enumerate([*held, b""]):
-        if i == len(held) or (i > start and total + len(piece) > BATCH):
-            if total:
-                row, value, place = _marks_at_once(held[start:i])
-                out.append((row + start, value, place))
-            start, total = i, 0
-        total += len(piece)
-    row, value, place = (np.concatenate(c) for c in zip(*out, strict=True))
-    return row, value, place
-
-
-def _marks_at_once(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same of pieces of WIDTH bytes at least, BATCH bytes together at most."""
-    raw = np.frombuffer(b"".join(held), np.uint8)
-    end = np.cumsum([len(p) for p in held])
-    start = end - [len(p) for p in held]
-    letter = _letters(raw)
-    n = len(raw) - GRAM + 1
-    grams = mix(letter[:n] + mix(letter[8 : 8 + n] + mix(letter[16 : 16 + n])))
-    # the place, counted from behind, in the low bits: the least is the last of equal ones
-    last = np.uint64((1 << BATCH_BITS) - 1)
-    least = (grams | last) - np.arange(n, dtype=np.uint64)
-    width = 1
-    while 2 * width <= SPAN:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    rest = SPAN - width
-    least = np.minimum(least[: len(least) - rest], least[rest:])
-    inside = np.ones(len(least), bool)
+def runs(raw: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of strings that share their mark: first string, last, the mark's place, its hash.
+
+    ``raw`` has texts of WIDTH bytes at least, which end at ``end``.
+    """
+    n = max(len(raw) - WIDTH + 1, 0)
+    inside = np.ones(n, bool)
     for e in end[:-1].tolist():
         inside[e - WIDTH + 1 : e] = False
-    at = (last - (least[inside] & last)).astype(np.int64)
-    at = at[np.append(True, at[1:] != at[:-1])]
-    row = np.searchsorted(start, at, "right") - 1
-    return row, grams[at], at - start[row]
-
-
-def _row_key(text) -> Column:
-    """Tells the texts of one doc_id apart."""
-    return F.xxhash64("doc_id", text).alias("key")
-
-
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ids, at, size, h1, h2 = [], [], [], [], []
-        for i, text in enumerate(b.column("text").to_pylist()):
-            for s, p in pieces(text.encode()):
-                d = xxhash.xxh3_128_digest(p)
-                ids.append(i)
-                at.append(s)
-                size.append(len(p))
-                h1.append(int.from_bytes(d[:8], "big", signed=True))
-                h2.append(int.from_bytes(d[8:], "big", signed=True))
-        yield pa.RecordBatch.from_arrays(
-            [*(b.column(c).take(pa.array(ids, pa.int64())) for c in ("doc_id", "key")), *(pa.array(x, pa.int64()) for x in (at, size, h1, h2))],
-            names=["doc_id", "key", "at", "size", "h1", "h2"],
-        )
-
-
-def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of first pieces, in chunks of about CHUNK bytes under a number of their own."""
-    chunk, size = _number(), 0
-    for b in batches:
-        rows, parts, chunks, names = [], [], [], []
-        for i, (text, wanted) in enumerate(zip(b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True)):
-            raw = text.encode()
-            for w in wanted:
-                if size >= CHUNK:
-                    chunk, size = _number(), 0
-                size += w["size"]
-                rows.append(i)
-                chunks.append(chunk)
-                names.append(w["piece"])
-                parts.append(raw[w["at"] : w["at"] + w["size"]])
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column("doc_id").take(pa.array(rows, pa.int64())),
-                pa.array(names, pa.struct([("h1", pa.int64()), ("h2", pa.int64())])),
-                pa.array(parts, pa.binary()),
-                pa.array(chunks, pa.int64()),
-            ],
-            names=["doc_id", "piece", "bytes", "chunk"],
-        )
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64))]
+    last = np.uint64((1 << BATCH_BITS) - 1)
+    for low in range(0, n, BATCH):
+        letter = _letters(raw[low : low + BATCH + WIDTH - 1])
+        k = len(letter) + 8 - GRAM
+        grams = mix(letter[:k] + mix(letter[8 : 8 + k] + mix(letter[16 : 16 + k])))
+        # the place, counted from behind, in the low bits: the least is the last of equal ones
+        least = (grams | last) - np.arange(k, dtype=np.uint64)
+        width = 1
+        while 2 * width <= SPAN:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        rest = SPAN - width
+        least = np.minimum(least[: len(least) - rest], least[rest:])
+        string = np.flatnonzero(inside[low : low + BATCH])
+        at = (last - (least[string] & last)).astype(np.int64)
+        new = _edges(at)
+        out.append((string[new] + low, string[np.append(new[1:], len(at)) - 1] + low if len(at) else string, at[new] + low, grams[at[new]]))
+    start, stop, place, value = (np.concatenate(c) for c in zip(*out, strict=True))
+    new = _edges(place)  # a run may go on in the next batch
+    # the least of many hashes are small numbers; mixed again they spread evenly
+    return start[new], stop[np.append(new[1:], len(stop)) - 1] if len(stop) else stop, place[new], mix(value[new])
 
 
-def _number() -> int:
-    return uuid4().int >> 65
+def marks(held: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of texts: the number of the text, the hash, its place there."""
+    end = np.cumsum([len(p) for p in held], dtype=np.int64)
+    _, _, place, value = runs(np.frombuffer(b"".join(held), np.uint8), end)
+    row = np.searchsorted(end, place, "right")
+    return row, value, place - np.append(0, end)[row]
 
 
 def _packed(value: np.ndarray) -> bytes:
@@ -196,272 +132,344 @@ def _unpacked(held: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _split(value: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and packed number of hashes, whose lowest bit stays free for a flag."""
-    kept = value >> np.uint64(64 - 8 * PACKED - bits + 1)
-    return (value >> np.uint64(64 - bits)).astype(np.int64), (kept << np.uint64(1)) & np.uint64((1 << 8 * PACKED) - 1)
+def _squeezed(*columns: np.ndarray) -> bytes:
+    return pa.compress(b"".join(c.tobytes() for c in columns), codec="zstd", asbytes=True)
 
 
-def _tally(bits: int):
-    """Rows (bucket, chunk, run, marks): distinct hashes of a run of a chunk's pieces, flagged if two documents there hold them."""
-
-    def told(chunk: int, docs: list, held: list[bytes]) -> pa.RecordBatch:
-        code = np.unique(np.array([str(d) for d in docs]), return_inverse=True)[1]
-        row, value, _ = marks(held)
-        bucket, number = _split(value, bits)
-        order = np.lexsort((code[row], number, bucket))
-        bucket, number, doc = bucket[order], number[order], code[row][order]
-        new = np.append(True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1]))
-        start = np.flatnonzero(new)
-        several = np.append(start[1:], len(doc)) - 1
-        number = number[start] | (doc[several] != doc[start]).astype(np.uint64)
-        bucket = bucket[start]
-        edge = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        parts = [_packed(number[i:j]) for i, j in zip(edge.tolist(), [*edge[1:].tolist(), len(number)], strict=True)]
-        run = _number()
+def _loosened(block: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(block, size, codec="zstd"), np.uint8)
+
+
+def _order(docs: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Numbers in the order of doc_ids, equal ones for equal ids."""
+    return np.unique(docs.to_numpy(zero_copy_only=False) if isinstance(docs, pa.Array) else docs.to_numpy(), return_inverse=True)[1]
+
+
+def _pieces(most: int):
+    """Rows (chunk, docs, sizes, size, block): whole texts, about ``most`` bytes together, compressed."""
+
+    def told(docs: list[pa.Array], texts: list[pa.Array]) -> pa.RecordBatch:
+        ids, column = pa.concat_arrays(docs), pa.concat_arrays(texts)
+        one = pa.array([0, len(ids)], pa.int32())
+        raw = b"".join(column.to_pylist())
         return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[edge]), pa.array([chunk] * len(edge), pa.int64()), pa.array([run] * len(edge), pa.int64()), pa.array(parts, pa.binary())],
-            names=["bucket", "chunk", "run", "marks"],
+            [
+                pa.array([uuid4().int >> 65], pa.int64()),
+                pa.ListArray.from_arrays(one, ids),
+                pa.ListArray.from_arrays(one, pc.binary_length(column).cast(pa.int32())),
+                pa.array([len(raw)], pa.int64()),
+                pa.array([pa.compress(raw, codec="zstd", asbytes=True)], pa.binary()),
+            ],
+            names=["chunk", "docs", "sizes", "size", "block"],
         )
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs, texts, held = [], [], 0
+        for b in batches:
+            ids, column = b.column("doc_id"), b.column("text").cast(pa.binary())
+            reach = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+            i = 0
+            while i < len(reach):
+                before = reach[i - 1] if i else 0
+                j = min(int(np.searchsorted(reach, before + most - held)) + 1, len(reach))
+                docs.append(ids[i:j])
+                texts.append(column[i:j])
+                held += int(reach[j - 1] - before)
+                i = j
+                if held >= most:
+                    yield told(docs, texts)
+                    docs, texts, held = [], [], 0
+        if docs:
+            yield told(docs, texts)
+
+    return pieces
+
+
+def _text(table: pa.Table | pa.RecordBatch, i: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Of a row of pieces: doc_ids, the ends of their texts, and the texts."""
+    sizes = table.column("sizes")[i].values.to_numpy(zero_copy_only=False)
+    return table.column("docs")[i].values, np.cumsum(sizes, dtype=np.int64), _loosened(table.column("block")[i].as_py(), table.column("size")[i].as_py())
+
+
+def _number(value: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of hashes, and under it what is packed of them."""
+    return value >> np.uint64(64 - bits - NUMBER_BITS)
+
+
+def _by_bucket(number: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Buckets of sorted numbers, and their numbers packed with a flag."""
+    bucket = (number >> np.uint64(NUMBER_BITS)).astype(np.int64)
+    held = (number << np.uint64(FLAG_BITS)) & np.uint64((1 << 8 * PACKED) - 1) | flag.astype(np.uint64)
+    edge = _edges(bucket)
+    return bucket[edge], [_packed(x) for x in np.split(held, edge[1:])] if len(edge) else []
+
+
+def _tally(bits: int):
+    """Rows (bucket, chunk, marks): distinct hashes of a chunk, with a class of their number if several documents hold them."""
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, docs, held = None, [], []
         for b in batches:
-            for d, c, p in zip(b.column("doc_id").to_pylist(), b.column("chunk").to_pylist(), b.column("bytes").to_pylist(), strict=True):
-                if c != chunk and held:
-                    yield told(chunk, docs, held)
-                    docs, held = [], []
-                chunk = c
-                docs.append(d)
-                held.append(p)
-        if held:
-            yield told(chunk, docs, held)
+            for i, chunk in enumerate(b.column("chunk").to_pylist()):
+                docs, end, raw = _text(b, i)
+                _, _, place, value = runs(raw, end)
+                number, doc = _number(value, bits), _order(docs)[np.searchsorted(end, place, "right")]
+                order = np.argsort(number)
+                number, doc = number[order], doc[order]
+                new = _edges(number)
+                several = np.minimum.reduceat(doc, new) < np.maximum.reduceat(doc, new)
+                count = np.diff(np.append(new, len(doc)))
+                bucket, held = _by_bucket(number[new], np.where(several, np.minimum(1 + np.log2(count).astype(np.int64) // 2, 7), 0))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array([chunk] * len(bucket), pa.int64()), pa.array(held, pa.binary())], names=["bucket", "chunk", "marks"])
 
     return tally
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """Of a bucket: for each chunk its hashes that several documents or runs hold."""
-    parts = [_unpacked(x) for x in group.column("marks").to_pylist()]
-    number = np.concatenate(parts)
-    owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
-    flag, number = (number & np.uint64(1)).astype(bool), number >> np.uint64(1)
-    _, at, count = np.unique(number, return_inverse=True, return_counts=True)
-    again = (count > 1) | np.bincount(at, flag, len(count)).astype(bool)
-    keep = again[at]
-    cut = np.searchsorted(owner[keep], np.arange(len(parts) + 1))
-    number = number[keep] << np.uint64(1)
-    rows = [k for k in range(len(parts)) if cut[k] < cut[k + 1]]
-    return pa.table(
-        {
-            "chunk": group.column("chunk").take(pa.array(rows, pa.int64())),
-            "bucket": group.column("bucket").take(pa.array(rows, pa.int64())),
-            "marks": pa.array([_packed(number[cut[k] : cut[k + 1]]) for k in rows], pa.binary()),
-        }
-    )
+def _shared(heavy: int):
+    """Of a bucket: for each chunk its hashes that several documents or chunks hold, flagged if about ``heavy`` places have them."""
+
+    def shared(group: pa.Table) -> pa.Table:
+        parts = [_unpacked(x) for x in group.column("marks").to_pylist()]
+        bucket, chunk = group.column("bucket")[0].as_py(), group.column("chunk")
+        held = np.concatenate(parts)
+        grade = (held & np.uint64((1 << FLAG_BITS) - 1)).astype(np.int64)
+        number = held >> np.uint64(FLAG_BITS)
+        at = np.unique(number, return_inverse=True)[1]
+        total = np.bincount(at, np.where(grade > 0, 2 * 4 ** np.maximum(grade - 1, 0), 1))[at]
+        held = number << np.uint64(FLAG_BITS) | (total >= heavy).astype(np.uint64)
+        cut = np.cumsum([0, *(len(x) for x in parts)]).tolist()
+        kept = [_packed(held[i:j][total[i:j] > 1]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        rows = [k for k, x in enumerate(kept) if x]
+        return pa.table(
+            {
+                "chunk": chunk.take(pa.array(rows, pa.int64())),
+                "bucket": pa.array([bucket] * len(rows), pa.int64()),
+                "marks": pa.array([kept[k] for k in rows], pa.binary()),
+            }
+        )
 
+    return shared
 
-def _opened(bits: int):
-    """Of a chunk: its pieces with marks among the shared ones, and the places of these."""
-
-    def opened(pieces_: pa.Table, shared: pa.Table) -> pa.Table:
-        taken, held = pieces_.select(["piece", "doc_id", "bytes"]), pieces_.column("bytes").to_pylist()
-        row, value, place = marks(held)
-        bucket, number = _split(value, bits)
-        known = {b: [] for b in shared.column("bucket").to_pylist()}
-        for b, x in zip(shared.column("bucket").to_pylist(), shared.column("marks").to_pylist(), strict=True):
-            known[b].append(_unpacked(x))
-        # bucket and number are 12 and 40 bits at most, so that both fit one number
-        joined = [np.concatenate(x) | np.uint64(b << 8 * PACKED) for b, x in known.items()]
-        hit = np.isin(number | (bucket.astype(np.uint64) << np.uint64(8 * PACKED)), np.concatenate(joined) if joined else np.empty(0, np.uint64))
-        row, place = row[hit], place[hit]
-        rows = np.unique(row)
-        cut = np.append(np.searchsorted(row, rows), len(row))
-        places = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(place.astype(np.int32)))
-        return taken.take(pa.array(rows)).append_column("places", pa.chunked_array([places]))
 
-    return opened
+def _strings(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    """Byte strings that lie one after the other."""
+    offset = np.append(0, np.cumsum(size)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offset), pa.py_buffer(data)])
 
 
-def _starts(places: list[int], size: int) -> np.ndarray:
-    """Starts of the strings that hold one of the marked places."""
-    open_at = np.zeros(size + 1, np.int32)
-    p = np.array(places)
-    np.add.at(open_at, np.maximum(p - (WIDTH - GRAM), 0), 1)
-    np.add.at(open_at, np.minimum(p, size - WIDTH) + 1, -1)
-    found = np.flatnonzero(np.cumsum(open_at[:-1]) > 0)
-    return found[found <= size - WIDTH]
+def _flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of strings, and where each starts and the last one ends."""
+    _, offset, data = strings.buffers()
+    offset = np.frombuffer(offset, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    return np.frombuffer(data, np.uint8)[offset[0] : offset[-1]], offset - offset[0]
 
 
-def _sampled(p: np.ndarray) -> np.ndarray:
-    """The sampled places whose names the forms of strings at ``p`` use."""
-    one, two = forms(p)
-    q = np.concatenate([one[1], two[1]])
-    return np.unique(np.concatenate([q, q + LETTERS]))
+def _folded(strings: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct strings, which of them each is, and the first that is each of them."""
+    coded = strings.dictionary_encode()
+    code = coded.indices.to_numpy().astype(np.int64)
+    return coded.dictionary, code, np.unique(code, return_index=True)[1]
 
 
-def forms(p: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
-    """For each place its two forms: kind (bytes before the name pair) and the pair's place."""
-    kind = np.array([[1, 2], [1, 0], [0, 2]])[p % 3]
-    return (kind[:, 0], p + kind[:, 0]), (kind[:, 1], p + kind[:, 1])
+def _single(distinct: pa.Array, bucket: np.ndarray, code: np.ndarray, where: np.ndarray, many: np.ndarray, bits: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """The same runs and their places, but of ``many`` each string alone, in the bucket of its own hash."""
+    data, offset = _flat(distinct)
+    n = np.where(many, np.diff(offset) - WIDTH + 1, 0)
+    at = _ranges(offset[:-1], n)
+    alone, which, first = _folded(_strings(data[_ranges(at, np.full(len(at), WIDTH))], np.full(len(at), WIDTH)))
+    letter, hashed = _letters(data), np.zeros(len(first), np.uint64)
+    for i in (*range(0, WIDTH - 8, 8), WIDTH - 8):
+        hashed = mix(hashed + letter[at[first] + i])
+    few, of = np.flatnonzero(~many), many[code]
+    base, count = (np.cumsum(n) - n)[code[of]], n[code[of]]
+    return (
+        pa.concat_arrays([distinct.take(pa.array(few)), alone]),
+        np.concatenate([bucket[few], (hashed >> np.uint64(64 - bits)).astype(np.int64)]),
+        np.concatenate([np.cumsum(~many)[code[~of]] - 1, which[_ranges(base, count)] + len(few)]),
+        np.concatenate([where[~of], _ranges(where[of], count)]),
+    )
 
 
-def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        row, keys, where = [], [], []
-        for i, (raw, places) in enumerate(zip(b.column("bytes").to_pylist(), b.column("places").to_pylist(), strict=True)):
-            q = _sampled(_starts(places, len(raw)))
-            row.append(np.full(len(q), i))
-            where.append(q)
-            keys += [raw[x : x + LETTERS] for x in q.tolist()]
-        take = pa.array(np.concatenate(row)) if row else pa.array([], pa.int64())
-        place = np.concatenate(where) if where else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("piece").take(take), pa.array(place.astype(np.int32)), pa.array(keys, pa.binary())],
-            names=["piece", "place", "triple"],
+def _opened(bits: int):
+    """Rows (bucket, chunk, docs, contexts, places, size, block): the distinct runs of a chunk whose mark is shared, and their places."""
+
+    def opened(pieces: pa.Table, shared: pa.Table) -> pa.Table:
+        docs, end, raw = _text(pieces, 0)
+        out: list[list] = [[] for _ in range(6)]
+        if len(shared):
+            start, stop, _, value = runs(raw, end)
+            number = _number(value, bits)
+            parts = [_unpacked(x) for x in shared.column("marks").to_pylist()]
+            held = np.concatenate(parts)
+            of = np.repeat(shared.column("bucket").to_numpy().astype(np.uint64), [len(x) for x in parts])
+            known = of << np.uint64(NUMBER_BITS) | held >> np.uint64(FLAG_BITS)
+            order = np.argsort(known)
+            known, heavy = known[order], (held[order] & np.uint64(1)).astype(bool)
+            at = np.minimum(np.searchsorted(known, number), len(known) - 1)
+            hit = known[at] == number
+            where, size, many, bucket = start[hit], (stop - start)[hit] + WIDTH, heavy[at[hit]], (number[hit] >> np.uint64(NUMBER_BITS)).astype(np.int64)
+            distinct, code, first = _folded(_strings(raw[_ranges(where, size)], size))
+            many, bucket = many[first], bucket[first]
+            if many.any():
+                distinct, bucket, code, where = _single(distinct, bucket, code, where, many, bits)
+            by = np.argsort(bucket, kind="stable")
+            data, offset = _flat(distinct.take(pa.array(by)))
+            bucket, code = bucket[by], np.argsort(by)[code]
+            order = np.argsort(code, kind="stable")
+            where, places = where[order], np.bincount(code, minlength=len(by))
+            text, reach = np.searchsorted(end, where, "right"), np.append(0, np.cumsum(places))
+            edge = [*_edges(bucket).tolist(), len(bucket)]
+            for i, j in zip(edge[:-1], edge[1:], strict=True):
+                own, doc = np.unique(text[reach[i] : reach[j]], return_inverse=True)
+                parts = [
+                    np.diff(offset[i : j + 1]).astype(np.uint8),
+                    places[i:j].astype("<i4"),
+                    doc.astype("<i4"),
+                    where[reach[i] : reach[j]].astype("<i4"),
+                    data[offset[i] : offset[j]],
+                ]
+                row = (int(bucket[i]), docs.take(pa.array(own)), j - i, int(reach[j] - reach[i]), sum(p.nbytes for p in parts), _squeezed(*parts))
+                for column, x in zip(out, row, strict=True):
+                    column.append(x)
+        ids = pa.concat_arrays(out[1]) if out[1] else docs[:0]
+        cut = pa.array(np.cumsum([0, *map(len, out[1])]), pa.int32())
+        return pa.table(
+            {
+                "bucket": pa.array(out[0], pa.int64()),
+                "chunk": pa.array([pieces.column("chunk")[0].as_py()] * len(out[0]), pa.int64()),
+                "docs": pa.ListArray.from_arrays(cut, ids),
+                **{name: pa.array(column, pa.int64()) for name, column in zip(("contexts", "places", "size"), out[2:5], strict=True)},
+                "block": pa.array(out[5], pa.binary()),
+            }
         )
 
+    return opened
 
-def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out: list[list] = [[], [], [], [], [], []]
-        for i, (raw, places, names) in enumerate(
-            zip(b.column("bytes").to_pylist(), b.column("places").to_pylist(), b.column("names").to_pylist(), strict=True)
-        ):
-            text = np.frombuffer(raw, np.uint8).astype(np.int32)
-            p = _starts(places, len(raw))
-            name = np.zeros(len(raw) + 1, np.int64)
-            name[[n["place"] for n in names]] = [n["name"] for n in names]
-            for kind, q in forms(p):
-                rest = np.where(
-                    kind == 0,
-                    text[np.minimum(p + 48, len(raw) - 1)] << 8 | text[p + 49],
-                    np.where(kind == 1, text[p] << 8 | text[p + 49], text[p] << 8 | text[p + 1]),
-                )
-                for column, x in zip(out, (np.full(len(p), i), p, kind, name[q], name[q + LETTERS], rest), strict=True):
-                    column.append(x)
-        flat = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
-        take = pa.array(flat[0].astype(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column("piece").take(take),
-                b.column("doc_id").take(take),
-                pa.array(flat[1].astype(np.int32)),
-                pa.array((flat[2] << 16 | flat[5]).astype(np.int32)),
-                pa.array(flat[3]),
-                pa.array(flat[4]),
-            ],
-            names=["piece", "doc_id", "place", "rest", "n1", "n2"],
-        )
 
+def forms(p: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """For each place its two forms: kind (bytes before the name) and the name's place."""
+    kind = np.array([[1, 2], [1, 0], [0, 2]])[p % 3]
+    return (kind[:, 0], p + kind[:, 0]), (kind[:, 1], p + kind[:, 1])
 
-def _named(triples: DataFrame) -> DataFrame:
-    """``triple, name``: distinct triples in order, numbered over ranges."""
-    spark = triples.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = staged(
-        triples.select("triple").distinct().repartitionByRange(ranges, "triple").select("triple", F.spark_partition_id().alias("part")),
-        "triples",
-    )
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
-    offsets = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy("triple"))
-    return ordered.withColumn("rank", rank).join(F.broadcast(offsets), "part").select("triple", (F.col("offset") + F.col("rank")).alias("name"))
 
+def _names(*columns: np.ndarray) -> np.ndarray:
+    """The ranks of rows of ordered numbers, equal ones for equal rows."""
+    out = np.unique(columns[0], return_inverse=True)[1]
+    for c in columns[1:]:
+        out = np.unique(out << 32 | np.unique(c, return_inverse=True)[1], return_inverse=True)[1]
+    return out
 
-def repeated_places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All pieces (``doc_id, at, size, piece, first_doc``), and of first pieces the places
-    (``piece, place``) whose string also starts in an earlier document.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", _row_key(whole_text()), whole_text().alias("text")).filter("doc_id IS NOT NULL")
-    cut = staged(texts.mapInArrow(_cut, f"doc_id {kind}, key long, at long, size long, h1 long, h2 long"), "pieces")
-    first = staged(
-        cut.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "key", "at")).alias("first"), F.first("size").alias("size"))
-        .select("h1", "h2", "first", "size", F.struct("h1", "h2").alias("piece")),
-        "first",
-    )
-    every = cut.join(first.select("h1", "h2", "piece", F.col("first.doc_id").alias("first_doc")), ["h1", "h2"]).select(
-        "doc_id", "key", "at", "size", "piece", "first_doc"
-    )
-    wanted = first.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key")).agg(
-        F.collect_list(F.struct(F.col("first.at").alias("at"), "size", "piece")).alias("wanted")
-    )
-    stored = staged(
-        texts.dropDuplicates(["doc_id", "key"])
-        .join(wanted, ["doc_id", "key"])
-        .select("doc_id", "text", "wanted")
-        .mapInArrow(_store, f"doc_id {kind}, piece {PIECE}, bytes binary, chunk long"),
-        "stored",
-    )
-    total = first.agg(F.sum("size")).first()[0] or 0
-    bits = min(max((total // BUCKET_BYTES).bit_length(), 4), MOST_BITS)
-    tallied = stored.mapInArrow(_tally(bits), "bucket long, chunk long, run long, marks binary")
-    shared = tallied.groupBy("bucket").applyInArrow(_shared, "chunk long, bucket long, marks binary")
-    open_pieces = staged(
-        stored.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_opened(bits), f"piece {PIECE}, doc_id {kind}, bytes binary, places array<int>"),
-        "open",
-    )
 
-    triples = staged(open_pieces.mapInArrow(_triples, f"piece {PIECE}, place int, triple binary"), "sampled")
-    names = triples.join(_named(triples), "triple").groupBy("piece").agg(F.collect_list(F.struct("place", "name")).alias("names"))
-    formed = staged(
-        open_pieces.join(names, "piece").mapInArrow(_forms, f"piece {PIECE}, doc_id {kind}, place int, rest int, n1 long, n2 long"),
-        "forms",
+def least_of_strings(text: np.ndarray, p: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For the strings of WIDTH bytes at ``p``: the least ``doc`` of all equal ones, by a difference cover modulo 3."""
+    (kind, q), (kind2, q2) = forms(p)
+    kind, q, p2 = np.concatenate([kind, kind2]), np.concatenate([q, q2]), np.concatenate([p, p])
+    first = np.zeros(len(text), bool)
+    first[q] = True
+    sampled = first.copy()
+    sampled[LETTERS:] |= first[:-LETTERS]
+    at, pair = np.flatnonzero(sampled), np.flatnonzero(first)
+    letter = _letters(text)
+    name = np.zeros(len(text), np.int64)
+    name[at] = _names(letter[at], letter[at + 8], letter[at + 16])
+    name[pair] = _names(name[pair], name[pair + LETTERS])
+    # the two bytes that a name of 48 bytes lacks
+    byte = text.astype(np.int64)
+    rest = byte[np.where(kind == 0, p2 + 48, p2)] << 8 | byte[np.where(kind == 2, p2 + 1, p2 + 49)]
+    form = name[q] << 18 | kind << 16 | rest
+    order = np.argsort(form)
+    new = _edges(form[order])
+    out = np.empty(len(form), np.int64)
+    out[order] = np.repeat(np.minimum.reduceat(np.concatenate([doc, doc])[order], new), np.diff(np.append(new, len(form)))) if len(form) else 0
+    return np.minimum(out[: len(p)], out[len(p) :])
+
+
+def _repeated(group: pa.Table) -> pa.Table:
+    """Of a bucket: for each chunk the spans (start, end) of places whose string starts in an earlier document."""
+    lengths, places, owner, where, texts, base = [], [], [], [], [], 0
+    for i, (n, m, size, block) in enumerate(zip(*(group.column(c).to_pylist() for c in ("contexts", "places", "size", "block")), strict=True)):
+        held = _loosened(block, size)
+        a, b = n + 4 * n, n + 4 * n + 4 * m
+        lengths.append(held[:n].astype(np.int64))
+        places.append(held[n:a].view("<i4").astype(np.int64))
+        owner.append(held[a:b].view("<i4").astype(np.int64) + base)
+        where.append(held[b : b + 4 * m].view("<i4").astype(np.int64))
+        texts.append(held[b + 4 * m :])
+        base += len(group.column("docs")[i].values)
+    chunk = np.repeat(group.column("chunk").to_numpy(), [len(x) for x in where])
+    doc = _order(pa.concat_arrays([group.column("docs")[i].values for i in range(len(group))]))[np.concatenate(owner)]
+    where, coded = np.concatenate(where), _strings(np.concatenate(texts), np.concatenate(lengths)).dictionary_encode()
+    text, offset = _flat(coded.dictionary)
+    of = np.repeat(coded.indices.to_numpy().astype(np.int64), np.concatenate(places))
+    # runs of one document alone have nothing to lose
+    low, high = np.full(len(offset) - 1, np.iinfo(np.int64).max), np.zeros(len(offset) - 1, np.int64)
+    np.minimum.at(low, of, doc)
+    np.maximum.at(high, of, doc)
+    n = np.diff(offset) - WIDTH + 1
+    first = np.cumsum(n) - n
+    least = least_of_strings(text, _ranges(offset[:-1], n), np.repeat(low, n))
+    open_ = np.minimum.reduceat(least, first)[of] < doc
+    of, doc, where, chunk = of[open_], doc[open_], where[open_], chunk[open_]
+    gone = least[_ranges(first[of], n[of])] < np.repeat(doc, n[of])
+    row, place = np.repeat(np.arange(len(of)), n[of])[gone], _ranges(where, n[of])[gone]
+    new = _edges(row, place - np.arange(len(place)))
+    start, end, chunk = place[new], place[np.append(new[1:], len(place)) - 1] + WIDTH if len(place) else place, chunk[row[new]]
+    order = np.lexsort((start, chunk))
+    spans = np.stack([start, end], 1).astype("<i4")[order]
+    edge = _edges(chunk[order])
+    return pa.table({"chunk": pa.array(chunk[order][edge]), "spans": pa.array([x.tobytes() for x in np.split(spans, edge[1:])] if len(edge) else [], pa.binary())})
+
+
+def _strip(pieces: pa.Table, spans: pa.Table) -> pa.Table:
+    docs, end, raw = _text(pieces, 0)
+    start = np.append(0, end[:-1])
+    held = np.frombuffer(b"".join(spans.column("spans").to_pylist()), "<i4").reshape(-1, 2)
+    depth = np.bincount(held[:, 0], minlength=len(raw) + 1) - np.bincount(held[:, 1], minlength=len(raw) + 1)
+    gone = np.cumsum(depth[:-1]) > 0
+    opens = gone.copy()
+    opens[1:] &= ~gone[:-1]
+    opens[start] = gone[start]
+    removed, kept = np.add.reduceat(gone.astype(np.int64), start), raw[~gone]
+    return pa.table(
+        {
+            "doc_id": docs,
+            "n_bytes": pa.array(end - start),
+            "n_removed": pa.array(removed),
+            "n_spans": pa.array(np.add.reduceat(opens.astype(np.int64), start)),
+            "kept": _strings(kept, end - start - removed).cast(pa.binary()),
+        }
     )
-    key = ["rest", "n1", "n2"]
-    least = formed.groupBy(*key).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    again = formed.join(least.select(*key, "least"), key).filter("least < doc_id").select("piece", "place").distinct()
-    return every, again
-
-
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = []
-        for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-            raw = text.encode()
-            kept, reach, count, gone = [], 0, 0, 0
-            for s in sorted((x["start"], x["end"]) for x in spans or ()):
-                if s[0] > reach or (s[0] == reach and not count):
-                    kept.append(raw[reach : s[0]])
-                    count += 1
-                    reach = s[0]
-                if s[1] > reach:
-                    gone += s[1] - reach
-                    reach = s[1]
-            kept.append(raw[reach:])
-            rows.append((len(raw), gone, count, b"".join(kept)))
-        yield pa.RecordBatch.from_arrays(
-            [
-                b.column("doc_id"),
-                *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-                pa.array([r[3] for r in rows], pa.binary()),
-            ],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-        )
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    every, again = repeated_places(docs)
-    later = every.filter("first_doc < doc_id").select("doc_id", "key", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
-    # places of one piece that follow each other become one span
-    runs = (
-        again.withColumn("run", F.col("place") - F.row_number().over(Window.partitionBy("piece").orderBy("place")))
-        .groupBy("piece", "run")
-        .agg(F.min("place").alias("low"), F.max("place").alias("high"))
+    texts = docs.select("doc_id", whole_text().alias("text")).withColumns({"digest": F.unhex(F.md5("text")), "n": F.octet_length("text").cast("long")})
+    copies = staged(
+        texts.filter(f"doc_id IS NOT NULL AND n >= {WIDTH}").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies"),
+        "copies",
     )
-    # all texts of the first document hold what the piece's own places lose, wherever they hold the piece
-    own = every.filter("first_doc = doc_id").join(runs, "piece").select(
-        "doc_id", "key", (F.col("at") + F.col("low")).alias("start"), (F.col("at") + F.col("high") + WIDTH).alias("end")
+    known = texts.join(broadcast_if_small(copies), "digest", "left")
+    later, sorted_out = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False)), F.col("doc_id").isNull() | (F.col("n") < WIDTH)
+    pieces = staged(
+        known.filter(~later & ~sorted_out).select("doc_id", "text").mapInArrow(_pieces(CHUNK), f"chunk long, docs array<{kind}>, sizes array<int>, size long, block binary"), "pieces"
     )
-    spans = later.unionByName(own).groupBy(F.col("doc_id").alias("id"), F.col("key").alias("id_key")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return (
-        docs.select("doc_id", _row_key(whole_text()), whole_text().alias("text"))
-        .join(spans, (F.col("doc_id") == F.col("id")) & (F.col("key") == F.col("id_key")), "left")
-        .select("doc_id", "text", "spans")
-        .mapInArrow(_strip, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    total = pieces.agg(F.sum("size")).first()[0] or 0
+    bits = min(max((total // BUCKET_BYTES).bit_length(), 4), MOST_BITS)
+    by_chunk = pieces.groupBy("chunk")
+    tallied = pieces.mapInArrow(_tally(bits), "bucket long, chunk long, marks binary")
+    shared = tallied.groupBy("bucket").applyInArrow(_shared(HEAVY), "chunk long, bucket long, marks binary")
+    opened = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(
+        _opened(bits), f"bucket long, chunk long, docs array<{kind}>, contexts long, places long, size long, block binary"
     )
-
+    spans = opened.groupBy("bucket").applyInArrow(_repeated, "chunk long, spans binary")
+    stripped = by_chunk.cogroup(spans.groupBy("chunk")).applyInArrow(_strip, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    # the others lose all or nothing
+    gone = later & ~sorted_out
+    whole = known.filter(later | sorted_out).select(
+        "doc_id",
+        F.col("n").alias("n_bytes"),
+        F.when(gone, F.col("n")).otherwise(0).alias("n_removed"),
+        gone.cast("long").alias("n_spans"),
+        F.when(gone, F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"),
+    )
+    return stripped.unionByName(whole)

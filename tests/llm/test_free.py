@@ -274,6 +274,47 @@ def test_marks_are_the_last_of_the_least_and_travel_packed(docs, monkeypatch):
     assert got == brute_repeats(rows)
 
 
+@pytest.mark.parametrize("heavy", [1 << 14, 3])
+def test_repeats_leave_no_row_for_a_place(docs, monkeypatch, heavy):
+    """Texts that share nearly all they have: what is written stays within a row for each text."""
+    rng = random.Random(17)
+    base = ["".join(rng.choice("abcdé ") for _ in range(400)) for _ in range(8)]
+    rows = [(i, "".join(rng.choice(base)[rng.randrange(90) :] + rng.choice(["", "-", "=="]) for _ in range(3))) for i in range(60)]
+    rows += [(70, "a" * 3000), (71, "b" + "a" * 2000), (72, rows[0][1]), (0, rows[0][1]), (None, rows[1][1])]
+    written, write = {}, suffix_dedup.staged
+
+    def counted(df, label):
+        out = write(df, label)
+        written[label] = out.count()
+        return out
+
+    for k, v in {"CHUNK": 5000, "BUCKET_BYTES": 500, "HEAVY": heavy, "staged": counted}.items():
+        monkeypatch.setattr(suffix_dedup, k, v, raising=False)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs(rows)).collect())
+    want = {(str(d), *rest) for d, *rest in brute_repeats(rows)}
+    assert len(got) == len(rows) and set(got) == want
+    assert max(written.values()) <= len(rows)
+
+
+def test_marks_spread_over_buckets():
+    rng = random.Random(19)
+    value = suffix_dedup.marks([rng.randbytes(100_000)])[1]
+    bucket = np.bincount((value >> np.uint64(60)).astype(int), minlength=16)
+    assert bucket.max() < 2 * len(value) / 16
+
+
+def test_difference_cover_against_a_dictionary():
+    rng = random.Random(23)
+    text = "".join(rng.choice(["ab" * 40, "a" * 60, "".join(rng.choice("ab") for _ in range(70))]) for _ in range(60)).encode()
+    p = np.array(rng.sample(range(len(text) - 49), 2500))
+    doc = np.array([rng.randrange(1000) for _ in p])
+    least = {}
+    for x, d in zip(p.tolist(), doc.tolist(), strict=True):
+        least[text[x : x + 50]] = min(d, least.get(text[x : x + 50], d))
+    got = suffix_dedup.least_of_strings(np.frombuffer(text, np.uint8), p, doc)
+    assert got.tolist() == [least[text[x : x + 50]] for x in p.tolist()]
+
+
 TEXTS = [(1, ""), (2, None), (3, "Hello  world\n  foo\tbar 123 ½ ﬁ 😀  "), (4, " "), (5, "a" * 500), (6, "the" * 200 + " 中文 русский"), (7, "x▁y"), (None, "null id"), (3, "again")]
 
 
