@@ -56,6 +56,8 @@ PACKED, FLAG_BITS, MOST_BITS, BUCKET_BYTES = 5, 3, 12, 4_000_000
 NUMBER_BITS = 8 * PACKED - FLAG_BITS
 #: Runs of a mark with about so many places are dealt out string by string.
 HEAVY = 1 << 14
+#: Buckets of more bytes of runs are worked on in parts, by this many more bits of the hash.
+PART_BYTES, PART_BITS = 4_000_000, 8
 
 
 def _letters(raw: np.ndarray) -> np.ndarray:
@@ -271,7 +273,7 @@ def _folded(strings: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def _single(distinct: pa.Array, bucket: np.ndarray, code: np.ndarray, where: np.ndarray, many: np.ndarray, bits: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """The same runs and their places, but of ``many`` each string alone, in the bucket of its own hash."""
+    """The same runs and their places, but of ``many`` each string alone, in the bucket (and part) of its own hash."""
     data, offset = _flat(distinct)
     n = np.where(many, np.diff(offset) - WIDTH + 1, 0)
     at = _ranges(offset[:-1], n)
@@ -283,7 +285,7 @@ def _single(distinct: pa.Array, bucket: np.ndarray, code: np.ndarray, where: np.
     base, count = (np.cumsum(n) - n)[code[of]], n[code[of]]
     return (
         pa.concat_arrays([distinct.take(pa.array(few)), alone]),
-        np.concatenate([bucket[few], (hashed >> np.uint64(64 - bits)).astype(np.int64)]),
+        np.concatenate([bucket[few], (hashed >> np.uint64(64 - bits - PART_BITS)).astype(np.int64)]),
         np.concatenate([np.cumsum(~many)[code[~of]] - 1, which[_ranges(base, count)] + len(few)]),
         np.concatenate([where[~of], _ranges(where[of], count)]),
     )
@@ -306,7 +308,7 @@ def _opened(bits: int):
             known, heavy = known[order], (held[order] & np.uint64(1)).astype(bool)
             at = np.minimum(np.searchsorted(known, number), len(known) - 1)
             hit = known[at] == number
-            where, size, many, bucket = start[hit], (stop - start)[hit] + WIDTH, heavy[at[hit]], (number[hit] >> np.uint64(NUMBER_BITS)).astype(np.int64)
+            where, size, many, bucket = start[hit], (stop - start)[hit] + WIDTH, heavy[at[hit]], (number[hit] >> np.uint64(NUMBER_BITS - PART_BITS)).astype(np.int64)
             distinct, code, first = _folded(_strings(raw[_ranges(where, size)], size))
             many, bucket = many[first], bucket[first]
             if many.any():
@@ -317,11 +319,13 @@ def _opened(bits: int):
             order = np.argsort(code, kind="stable")
             where, places = where[order], np.bincount(code, minlength=len(by))
             text, reach = np.searchsorted(end, where, "right"), np.append(0, np.cumsum(places))
+            part, bucket = bucket & ((1 << PART_BITS) - 1), bucket >> PART_BITS
             edge = [*_edges(bucket).tolist(), len(bucket)]
             for i, j in zip(edge[:-1], edge[1:], strict=True):
                 own, doc = np.unique(text[reach[i] : reach[j]], return_inverse=True)
                 parts = [
                     np.diff(offset[i : j + 1]).astype(np.uint8),
+                    part[i:j].astype(np.uint8),
                     places[i:j].astype("<i4"),
                     doc.astype("<i4"),
                     where[reach[i] : reach[j]].astype("<i4"),
@@ -353,7 +357,7 @@ def forms(p: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarra
 
 def _names(*columns: np.ndarray) -> np.ndarray:
     """The ranks of rows of ordered numbers, equal ones for equal rows."""
-    out = np.unique(columns[0], return_inverse=True)[1]
+    out = np.unique(columns[0], return_inverse=True)[1].astype(np.int64)
     for c in columns[1:]:
         out = np.unique(out << 32 | np.unique(c, return_inverse=True)[1], return_inverse=True)[1]
     return out
@@ -383,40 +387,59 @@ def least_of_strings(text: np.ndarray, p: np.ndarray, doc: np.ndarray) -> np.nda
     return np.minimum(out[: len(p)], out[len(p) :])
 
 
-def _repeated(group: pa.Table) -> pa.Table:
+def _repeated(most: int):
     """Of a bucket: for each chunk the spans (start, end) of places whose string starts in an earlier document."""
-    lengths, places, owner, where, texts, base = [], [], [], [], [], 0
-    for i, (n, m, size, block) in enumerate(zip(*(group.column(c).to_pylist() for c in ("contexts", "places", "size", "block")), strict=True)):
-        held = _loosened(block, size)
-        a, b = n + 4 * n, n + 4 * n + 4 * m
-        lengths.append(held[:n].astype(np.int64))
-        places.append(held[n:a].view("<i4").astype(np.int64))
-        owner.append(held[a:b].view("<i4").astype(np.int64) + base)
-        where.append(held[b : b + 4 * m].view("<i4").astype(np.int64))
-        texts.append(held[b + 4 * m :])
-        base += len(group.column("docs")[i].values)
-    chunk = np.repeat(group.column("chunk").to_numpy(), [len(x) for x in where])
-    doc = _order(pa.concat_arrays([group.column("docs")[i].values for i in range(len(group))]))[np.concatenate(owner)]
-    where, coded = np.concatenate(where), _strings(np.concatenate(texts), np.concatenate(lengths)).dictionary_encode()
-    text, offset = _flat(coded.dictionary)
-    of = np.repeat(coded.indices.to_numpy().astype(np.int64), np.concatenate(places))
-    # runs of one document alone have nothing to lose
-    low, high = np.full(len(offset) - 1, np.iinfo(np.int64).max), np.zeros(len(offset) - 1, np.int64)
+
+    def repeated(group: pa.Table) -> pa.Table:
+        lengths, part, places, owner, where, texts, base = [], [], [], [], [], [], 0
+        for i, (n, m, size, block) in enumerate(zip(*(group.column(c).to_pylist() for c in ("contexts", "places", "size", "block")), strict=True)):
+            held = _loosened(block, size)
+            length, of_part, count, doc, at, text = np.split(held, np.cumsum([n, n, 4 * n, 4 * m, 4 * m]))
+            lengths.append(length.astype(np.int64))
+            part.append(of_part.astype(np.int64))
+            places.append(count.view("<i4").astype(np.int64))
+            owner.append(doc.view("<i4").astype(np.int64) + base)
+            where.append(at.view("<i4").astype(np.int64))
+            texts.append(text)
+            base += len(group.column("docs")[i].values)
+        chunk = np.repeat(group.column("chunk").to_numpy(), [len(x) for x in where])
+        doc = _order(pa.concat_arrays([group.column("docs")[i].values for i in range(len(group))]))[np.concatenate(owner)]
+        length, part, places, where, text = (np.concatenate(x) for x in (lengths, part, places, where, texts))
+        start, count = np.cumsum(length) - length, min(len(text) // most + 1, 1 << PART_BITS)
+        out = []
+        for k in range(count):
+            # equal strings are in one part
+            run = np.flatnonzero(part * count >> PART_BITS == k)
+            place = _ranges((np.cumsum(places) - places)[run], places[run])
+            low, high, row = _spans(text[_ranges(start[run], length[run])], length[run], places[run], doc[place], where[place])
+            out.append((low, high, chunk[place[row]]))
+        low, high, chunk = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((low, chunk))
+        spans, edge = np.stack([low, high], 1).astype("<i4")[order], _edges(chunk[order])
+        return pa.table({"chunk": pa.array(chunk[order][edge]), "spans": pa.array([x.tobytes() for x in np.split(spans, edge[1:])] if len(edge) else [], pa.binary())})
+
+    return repeated
+
+
+def _spans(text: np.ndarray, length: np.ndarray, places: np.ndarray, doc: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans (start, end, row) of strings that start in an earlier document, too.
+
+    Runs lie one after the other in ``text``, each with its number of places; each place has a row of ``doc`` and ``where``.
+    """
+    strings, code, _ = _folded(_strings(text, length))
+    text, offset = _flat(strings) if len(strings) else (text, np.zeros(1, np.int64))
+    of = np.repeat(code, places)
+    low = np.full(len(strings), np.iinfo(np.int64).max)
     np.minimum.at(low, of, doc)
-    np.maximum.at(high, of, doc)
     n = np.diff(offset) - WIDTH + 1
     first = np.cumsum(n) - n
     least = least_of_strings(text, _ranges(offset[:-1], n), np.repeat(low, n))
-    open_ = np.minimum.reduceat(least, first)[of] < doc
-    of, doc, where, chunk = of[open_], doc[open_], where[open_], chunk[open_]
-    gone = least[_ranges(first[of], n[of])] < np.repeat(doc, n[of])
-    row, place = np.repeat(np.arange(len(of)), n[of])[gone], _ranges(where, n[of])[gone]
-    new = _edges(row, place - np.arange(len(place)))
-    start, end, chunk = place[new], place[np.append(new[1:], len(place)) - 1] + WIDTH if len(place) else place, chunk[row[new]]
-    order = np.lexsort((start, chunk))
-    spans = np.stack([start, end], 1).astype("<i4")[order]
-    edge = _edges(chunk[order])
-    return pa.table({"chunk": pa.array(chunk[order][edge]), "spans": pa.array([x.tobytes() for x in np.split(spans, edge[1:])] if len(edge) else [], pa.binary())})
+    row = np.flatnonzero(np.minimum.reduceat(least, first)[of] < doc) if len(of) else of
+    n, first = n[of[row]], first[of[row]]
+    gone = least[_ranges(first, n)] < np.repeat(doc[row], n)
+    at, row = _ranges(where[row], n)[gone], np.repeat(row, n)[gone]
+    new = _edges(row, at - np.arange(len(at)))
+    return at[new], at[np.append(new[1:], len(at)) - 1] + WIDTH if len(at) else at, row[new]
 
 
 def _strip(pieces: pa.Table, spans: pa.Table) -> pa.Table:
@@ -461,7 +484,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     opened = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(
         _opened(bits), f"bucket long, chunk long, docs array<{kind}>, contexts long, places long, size long, block binary"
     )
-    spans = opened.groupBy("bucket").applyInArrow(_repeated, "chunk long, spans binary")
+    spans = opened.groupBy("bucket").applyInArrow(_repeated(PART_BYTES), "chunk long, spans binary")
     stripped = by_chunk.cogroup(spans.groupBy("chunk")).applyInArrow(_strip, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     # the others lose all or nothing
     gone = later & ~sorted_out

@@ -274,8 +274,8 @@ def test_marks_are_the_last_of_the_least_and_travel_packed(docs, monkeypatch):
     assert got == brute_repeats(rows)
 
 
-@pytest.mark.parametrize("heavy", [1 << 14, 3])
-def test_repeats_leave_no_row_for_a_place(docs, monkeypatch, heavy):
+@pytest.mark.parametrize(("heavy", "part"), [(1 << 14, 4_000_000), (3, 4_000_000), (20, 100)])
+def test_repeats_leave_no_row_for_a_place(docs, monkeypatch, heavy, part):
     """Texts that share nearly all they have: what is written stays within a row for each text."""
     rng = random.Random(17)
     base = ["".join(rng.choice("abcdé ") for _ in range(400)) for _ in range(8)]
@@ -288,7 +288,7 @@ def test_repeats_leave_no_row_for_a_place(docs, monkeypatch, heavy):
         written[label] = out.count()
         return out
 
-    for k, v in {"CHUNK": 5000, "BUCKET_BYTES": 500, "HEAVY": heavy, "staged": counted}.items():
+    for k, v in {"CHUNK": 5000, "BUCKET_BYTES": 500, "HEAVY": heavy, "PART_BYTES": part, "staged": counted}.items():
         monkeypatch.setattr(suffix_dedup, k, v, raising=False)
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.remove_repeats(docs(rows)).collect())
     want = {(str(d), *rest) for d, *rest in brute_repeats(rows)}
