@@ -97,3 +97,22 @@ def test_rings_with_common_sides_and_corners():
     assert union_area(star, (0, 0, 4, 4)) == pytest.approx(union_area(star[:1], (0, 0, 4, 4)))
     bow = np.array([(0, 0), (2, 2), (2, 0), (0, 2)], float)
     assert union_area([bow, bow[::-1], unit(0, 0)], (0, 0, 2, 2)) == pytest.approx(2.5)
+
+
+@pytest.mark.parametrize("few", [400_000, 0])
+def test_areas_alike_are_searched_once_and_each_gets_its_scenes(spark, monkeypatch, few):
+    """Areas with the same box and window are searched once (each was searched by itself before); the rows are those of a plain join."""
+    monkeypatch.setattr("eqscene.operators.catalog.FEW", few)
+    day = lambda n: F.make_timestamp(F.lit(2024), F.lit(1), n, F.lit(0), F.lit(0), F.lit(0))
+    n = F.col("event_id")
+    areas = spark.range(30).withColumnRenamed("id", "event_id").select("event_id", (n % 3).alias("minx"), (n % 2).alias("miny"), (n % 3 + 1).alias("maxx"), (n % 2 + 1).alias("maxy"), day(F.lit(2)).alias("window_start"), day((n % 2 + 5).cast("int")).alias("window_end"))
+    i = F.col("pos")
+    scenes = spark.range(40).withColumnRenamed("id", "pos").select("pos", i.cast("string").alias("file_id"), (i % 4).alias("path_number"), F.lit("ASCENDING").alias("flight_direction"), (i % 3).cast("int").alias("frame_number"), day((i % 8 + 1).cast("int")).alias("start_time"), (i % 5 / 2).alias("minx"), (i % 3 / 2).alias("miny"), (i % 5 / 2 + 1).alias("maxx"), (i % 3 / 2 + 1).alias("maxy"))
+    one, members = catalog.shared(areas, "minx", "miny", "maxx", "maxy", "window_start", "window_end")
+    assert one.count() == 6 and members.count() == 30
+    a, s = areas.alias("a"), scenes.alias("s")
+    plain = a.join(s, (F.col("a.minx") < F.col("s.maxx")) & (F.col("s.minx") < F.col("a.maxx")) & (F.col("a.miny") < F.col("s.maxy")) & (F.col("s.miny") < F.col("a.maxy")) & F.col("start_time").between(F.col("window_start"), F.col("window_end")))
+    pairs = sorted(map(tuple, plain.select("event_id", "file_id").collect()))
+    assert len(pairs) > 100 and sorted(map(tuple, catalog.listed_scenes(areas, scenes, "aoi", 1.0).select("event_id", "file_id").collect())) == pairs
+    frames = plain.select("event_id", "path_number", "frame_number", "window_start", "window_end").distinct().join(scenes, ["path_number", "frame_number"]).filter("start_time BETWEEN window_start AND window_end")
+    assert sorted(map(tuple, catalog.listed_scenes(areas, scenes, "frame", 1.0).select("event_id", "file_id").collect())) == sorted(map(tuple, frames.select("event_id", "file_id").collect()))
