@@ -29,10 +29,10 @@ def snake_title(title: Column) -> Column:
     table = F.str_to_map(F.lit("\n".join(f"{c}\t{d}" for c, d in _SEVERAL.items())), F.lit("\n"), F.lit("\t"))
     taken = F.array_join(F.transform(F.split(title, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
     some = F.when(title.rlike(f"[{''.join(_SEVERAL)}]"), taken).otherwise(title)
-    plain = F.translate(some, "".join(_SINGLE), "".join(_SINGLE.values()))
-    ascii_only = F.regexp_replace(plain, r"[^\x00-\x7F]", "")
-    words = F.trim(F.regexp_replace(F.regexp_replace(ascii_only, r"[^A-Za-z0-9_\s]", ""), r"\s+", " "))
-    return F.lower(F.regexp_replace(words, " ", "_"))
+    # a plain title is not looked through letter by letter; what is no letter here, beyond ASCII or not, goes in one pass
+    plain = F.when(title.rlike(r"[^\x00-\x7F]"), F.translate(some, "".join(_SINGLE), "".join(_SINGLE.values()))).otherwise(title)
+    words = F.trim(F.regexp_replace(F.regexp_replace(plain, r"[^A-Za-z0-9_\s]+", ""), r"\s+", " "))
+    return F.lower(F.replace(words, F.lit(" "), F.lit("_")))
 
 
 def square_aoi(lon: Column, lat: Column, side: float = 1.0) -> list[Column]:
